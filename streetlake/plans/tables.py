@@ -45,3 +45,36 @@ def registry(spark: SparkSession) -> DataFrame:
 def as_of(clean_df: DataFrame):
     """The fixture's 'now': the newest event time, as a scalar-subquery Column."""
     return clean_df.agg(F.max("event_ts")).scalar()
+
+
+# --- fixture stand-ins for the alert side (SQL-checkable; FIXTURES.md §3) ------
+# fixed values: score = ((event_id * 7919) % 1000) / 1000; alerts of events with
+# event_id % 5 = 0 are acknowledged one hour after creation.
+STANDIN_MULT = 7919
+STANDIN_ACK_EVERY = 5
+
+
+def standin_scored(clean_df: DataFrame) -> DataFrame:
+    from ..schema import FEATURE_COLS
+    eid = F.col("event_id").cast("long")
+    return (clean_df.dropna(subset=FEATURE_COLS)
+            .withColumn("anomaly_score", ((eid * STANDIN_MULT) % 1000).cast("double") / 1000))
+
+
+def standin_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alert records (one per anomalous delivered row) from the stand-in score."""
+    from ..operators.alerts import baselines, build_alerts
+    c = clean(spark, sf_dir)
+    return build_alerts(standin_scored(c), baselines(c))
+
+
+def standin_acks(alerts: DataFrame) -> DataFrame:
+    return (alerts.filter(F.col("event_id").cast("long") % STANDIN_ACK_EVERY == 0)
+            .select("alert_id", (F.col("created_at") + F.expr("INTERVAL 1 HOUR")).alias("acked_at")))
+
+
+def alerts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts table: insert-if-absent of the stand-in alerts, with acks."""
+    from ..operators.alerts import alerts_with_ack, append_new_alerts
+    a = append_new_alerts(standin_alerts(spark, sf_dir), None)
+    return alerts_with_ack(a, standin_acks(a))
