@@ -566,6 +566,46 @@ def q_registry_upsert(spark, sf_dir):
     return upsert_registry(TB.registry(spark), seen)
 
 
+# ============================================================================
+# Isolation forest (rows-only checks; scaler statistics are SQL-checked)
+# ============================================================================
+
+def _scaler_sql() -> str:
+    from ..schema import FEATURE_COLS, INTEGRAL_FEATURES
+    parts = []
+    for f in FEATURE_COLS:
+        integral = f in INTEGRAL_FEATURES
+        m = O.imean(f) if integral else O.mean(f)
+        sd = O.pop_std(f, integral)
+        parts.append(f"SELECT '{f}' AS feature, count({f}) AS n, {m} AS mean, "
+                     f"CASE WHEN {sd} > 0 THEN {sd} ELSE cast(1.0 as double) END AS std FROM feat")
+    return O.with_adapter(_ALERTS_SQL[0], body=" UNION ALL ".join(parts))
+
+
+@register("scaler_stats", _scaler_sql())
+def q_scaler_stats(spark, sf_dir):
+    """Feature means and population stds (zero std -> 1)."""
+    from ..operators.iforest import fit_scaler
+    from ..schema import FEATURE_COLS
+    return fit_scaler(TB.clean(spark, sf_dir).dropna(subset=FEATURE_COLS))
+
+
+@register("forest_scores", None)
+def q_forest_scores(spark, sf_dir):
+    """Isolation-forest scores of every clean row (batch min-max)."""
+    from ..operators.iforest import fit_forest, score_events
+    c = TB.clean(spark, sf_dir)
+    model = fit_forest(c)
+    return score_events(c, model).select("event_id", "kafka_offset", "camera_id", "anomaly_raw", "anomaly_score")
+
+
+@register("detect_alerts", None)
+def q_detect_alerts(spark, sf_dir):
+    """The full detection run over the clean zone (dry run, no writes)."""
+    from .detect import detect
+    return detect(spark, TB.clean(spark, sf_dir), window_hours=None, dry_run=True)
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
