@@ -606,6 +606,17 @@ def q_detect_alerts(spark, sf_dir):
     return detect(spark, TB.clean(spark, sf_dir), window_hours=None, dry_run=True)
 
 
+@register("zone_freshness", None)
+def q_zone_freshness(spark, sf_dir):
+    """Freshness / lag / status of the raw, clean and analytics zones."""
+    from ..operators.windows import sliding_metrics
+    from ..streaming.health import zone_freshness
+    raw = TB.raw(spark, sf_dir)
+    clean = TB.clean(spark, sf_dir, processing_time=True)
+    analytics = sliding_metrics(clean).withColumnRenamed("window_end", "event_ts")
+    return zone_freshness({"raw": raw, "clean": clean, "analytics": analytics}, as_of=TB.as_of(clean))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
