@@ -100,7 +100,7 @@ def reject_stats(df: DataFrame) -> DataFrame:
     long = wide.unpivot(["total_rows"], names, "rule", "rejected_rows")
     return long.select(
         "rule", "rejected_rows", "total_rows",
-        (F.col("rejected_rows") / F.col("total_rows")).alias("reject_rate"))
+        F.try_divide(F.col("rejected_rows"), F.col("total_rows")).alias("reject_rate"))
 
 
 def apply_defaults(df: DataFrame) -> DataFrame:
@@ -126,12 +126,16 @@ def dq_stats(df: DataFrame, date=None, by_date: bool = True) -> DataFrame:
     total = F.count(F.lit(1))
     nulls = [F.count_if(F.col(c).isNull()) for c in ("camera_id", "vehicle_count", "average_speed")]
     vc = F.col("vehicle_count")
+
+    def rate(x):
+        return F.try_divide(x, total)          # empty input -> null, not an error
+
     aggs = [
         total.alias("total"),
-        ((nulls[0] / total + nulls[1] / total + nulls[2] / total) / 3).alias("null_rate_raw"),
-        (F.count_if((vc < X.VEHICLE_RANGE[0]) | (vc > X.VEHICLE_RANGE[1])) / total).alias("out_of_range_raw"),
-        ((total - F.count_distinct("event_id")
-          - F.max(F.col("event_id").isNull().cast("int"))) / total).alias("dup_rate_raw"),
+        ((rate(nulls[0]) + rate(nulls[1]) + rate(nulls[2])) / 3).alias("null_rate_raw"),
+        rate(F.count_if((vc < X.VEHICLE_RANGE[0]) | (vc > X.VEHICLE_RANGE[1]))).alias("out_of_range_raw"),
+        rate(total - F.count_distinct("event_id")
+             - F.coalesce(F.max(F.col("event_id").isNull().cast("int")), F.lit(0))).alias("dup_rate_raw"),
     ]
     keys = ["event_date"] if by_date else []
     out = df.groupBy(*keys).agg(*aggs)
