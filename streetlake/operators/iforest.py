@@ -25,12 +25,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..schema import FEATURE_COLS, INTEGRAL_FEATURES
+from .joins import spread
 
 N_TREES = 200
 PSI = 256
@@ -135,18 +137,33 @@ class ForestModel:
 
     # arrays for traversal ---------------------------------------------------------
     def arrays(self):
-        nd = self.nodes.sort_values(["tree", "node"])
-        counts = nd.groupby("tree").size().reindex(range(self.n_trees), fill_value=0).to_numpy()
-        offsets = np.concatenate([[0], np.cumsum(counts)[:-1]]).astype(np.int64)
-        tree = nd["tree"].to_numpy()
-        off = offsets[tree]
-        feat = nd["feature"].to_numpy().astype(np.int64)
-        thr = nd["threshold"].fillna(0.0).to_numpy()
-        left = np.where(feat >= 0, nd["left"].fillna(0).to_numpy() + off, 0).astype(np.int64)
-        right = np.where(feat >= 0, nd["right"].fillna(0).to_numpy() + off, 0).astype(np.int64)
-        path = nd["path"].fillna(0.0).to_numpy()
-        return dict(roots=offsets[counts > 0], feat=feat, thr=thr, left=left, right=right, path=path,
-                    depth=int(math.ceil(math.log2(max(self.psi, 2)))) + 1, c=float(c_factor(self.psi)))
+        """Trees re-laid as complete binary trees of depth D (heap order).
+
+        Internal slots hold (feature, threshold); a leaf above depth D becomes a
+        pass-through chain (threshold +inf, always left) ending in its path
+        length at the bottom level, so traversal is exactly D steps of
+        ``idx = 2*idx + 1 + (x > t)`` with no branching.
+        """
+        depth = max(1, int(math.ceil(math.log2(max(self.psi, 2)))))
+        n_int, n_leaf = (1 << depth) - 1, 1 << depth
+        feat = np.zeros((self.n_trees, n_int), dtype=np.int64)
+        thr = np.full((self.n_trees, n_int), np.inf)
+        leaf = np.zeros((self.n_trees, n_leaf))
+        for t, g in self.nodes.groupby("tree"):
+            rec = {int(r.node): r for r in g.itertuples(index=False)}
+            stack = [(0, 0)]                       # (node id, heap slot)
+            while stack:
+                nid, h = stack.pop()
+                r = rec[nid]
+                if r.feature >= 0:
+                    feat[t, h], thr[t, h] = int(r.feature), float(r.threshold)
+                    stack += [(int(r.left), 2 * h + 1), (int(r.right), 2 * h + 2)]
+                    continue
+                while h < n_int:                   # pass-through to the bottom level
+                    h = 2 * h + 1
+                leaf[t, h - n_int] = float(r.path)
+        return dict(feat=feat.ravel(), thr=thr.ravel(), leaf=leaf.ravel(), depth=depth,
+                    n_int=n_int, n_leaf=n_leaf, n_trees=self.n_trees, c=float(c_factor(self.psi)))
 
 
 # --- tree building (runs inside applyInPandas, one group = one tree) ----------------
@@ -197,8 +214,13 @@ def _builder(features, psi, seed):
 
 
 def fit_forest(df: DataFrame, n_trees: int = N_TREES, psi: int = PSI, seed: int = SEED,
-               features=FEATURE_COLS, pool_factor: int = POOL_FACTOR) -> ForestModel | None:
-    """Fit on feature-complete rows of ``df`` (needs event_id, kafka_offset)."""
+               features=FEATURE_COLS, pool_factor: int = POOL_FACTOR,
+               calibrate: bool = False) -> ForestModel | None:
+    """Fit on feature-complete rows of ``df`` (needs event_id, kafka_offset).
+
+    ``calibrate`` also scores the pool once to store the min/max that
+    ``norm="model"`` (streaming) scales by; batch scoring does not need it.
+    """
     data = df.dropna(subset=list(features))
     stats_rows = fit_scaler(data, features).collect()           # one row per feature
     n = int(stats_rows[0]["n"]) if stats_rows else 0
@@ -209,7 +231,10 @@ def fit_forest(df: DataFrame, n_trees: int = N_TREES, psi: int = PSI, seed: int
     pool_frac = min(1.0, pool_factor * n_trees * psi / n)
     key = [F.col("event_id").cast("string"), F.lit(seed)]
     pool = data if pool_frac >= 1.0 else data.filter(_unit_hash(*key) < pool_frac)
-    pool = scale(pool.select("event_id", "kafka_offset", *features), scaler, features)
+    # the pool is bounded by pool_factor * trees * psi rows at any n, so a
+    # round-robin split for parallel hashing/building is always cheap
+    pool = scale(pool.select("event_id", "kafka_offset", *features), scaler, features) \
+        .repartition(df.sparkSession.sparkContext.defaultParallelism)
     m = max(1.0, n * pool_frac)
     q = min(1.0, OVERSAMPLE * psi_eff / m)
     zcols = ["z_" + f for f in features]
@@ -218,22 +243,29 @@ def fit_forest(df: DataFrame, n_trees: int = N_TREES, psi: int = PSI, seed: int
     pairs = pool.select("event_id", "kafka_offset", *zcols, F.explode(trees).alias("tree"))
     pairs = pairs.withColumn("h", _unit_hash(F.col("event_id").cast("string"), F.col("tree"), F.lit(seed)))
     for _ in range(6):
-        sample = pairs.filter(F.col("h") < q) if q < 1.0 else pairs
+        sample = (pairs.filter(F.col("h") < q) if q < 1.0 else pairs).persist(StorageLevel.MEMORY_AND_DISK)
         if q >= 1.0:
             break
         # every tree must see at least psi rows; otherwise widen the sample
         full = sample.groupBy("tree").count().filter(F.col("count") >= psi_eff).count()
         if full == n_trees:
             break
+        sample.unpersist()
         q = min(1.0, q * 2)
     nodes = (sample.groupBy("tree")
              .applyInPandas(_builder(features, psi_eff, seed), NODE_SCHEMA)
              .toPandas())
+    sample.unpersist()
     model = ForestModel(nodes=nodes, features=list(features), scaler=scaler, psi=psi_eff,
                         n_trees=n_trees, seed=seed)
-    # min/max of the pool's scores, for norm="model" (streaming)
-    mm = score_raw(pool.select("event_id", "kafka_offset", *features), model, spark) \
-        .agg(F.min("anomaly_raw").alias("lo"), F.max("anomaly_raw").alias("hi")).first()
+    if calibrate:
+        calibrate_model(model, pool.select("event_id", "kafka_offset", *features))
+    return model
+
+
+def calibrate_model(model: ForestModel, df: DataFrame) -> ForestModel:
+    """Store min/max of ``df``'s raw scores in the model (for norm="model")."""
+    mm = score_raw(df, model).agg(F.min("anomaly_raw").alias("lo"), F.max("anomaly_raw").alias("hi")).first()
     model.score_min, model.score_max = float(mm["lo"]), float(mm["hi"])
     return model
 
@@ -243,25 +275,21 @@ def fit_forest(df: DataFrame, n_trees: int = N_TREES, psi: int = PSI, seed: int
 def _scorer(bc, features, zmeans, zstds):
     def score(batches):
         a = bc.value
-        feat, thr, left, right, path = a["feat"], a["thr"], a["left"], a["right"], a["path"]
-        roots = a["roots"]
+        feat, thr, leaf = a["feat"], a["thr"], a["leaf"]
+        n_trees, n_int, n_leaf = a["n_trees"], a["n_int"], a["n_leaf"]
+        int_off = (np.arange(n_trees) * n_int)[None, :]
+        leaf_off = (np.arange(n_trees) * n_leaf)[None, :]
         for pdf in batches:
             if len(pdf) == 0:
                 yield pdf.assign(anomaly_raw=pd.Series([], dtype=float))
                 continue
             x = (pdf[features].to_numpy(dtype=float) - zmeans) / zstds
-            n = x.shape[0]
-            idx = np.broadcast_to(roots, (n, roots.size)).copy()
-            rows = np.arange(n)[:, None]
+            rows = np.arange(x.shape[0])[:, None]
+            idx = np.zeros((x.shape[0], n_trees), dtype=np.int64)
             for _ in range(a["depth"]):
-                f = feat[idx]
-                leaf = f < 0
-                if leaf.all():
-                    break
-                fv = x[rows, np.where(leaf, 0, f)]
-                nxt = np.where(fv <= thr[idx], left[idx], right[idx])
-                idx = np.where(leaf, idx, nxt)
-            eh = path[idx].mean(axis=1)
+                flat = idx + int_off
+                idx = 2 * idx + 1 + (x[rows, feat[flat]] > thr[flat])
+            eh = leaf[idx - n_int + leaf_off].mean(axis=1)
             yield pdf.assign(anomaly_raw=-np.power(2.0, -eh / a["c"]))
     return score
 
@@ -284,10 +312,11 @@ def score_events(df: DataFrame, model: ForestModel, norm: str = "batch") -> Data
     from one aggregate over the persisted scores); ``norm="model"`` uses the
     min/max stored at fit and needs no extra pass (works on streams).
     """
-    from pyspark import StorageLevel
-    data = df.dropna(subset=model.features)
+    data = spread(df.dropna(subset=model.features))
     raw = score_raw(data, model)
     if norm == "model":
+        if model.score_min is None or model.score_max is None:
+            raise ValueError("norm='model' needs a calibrated model (fit_forest(calibrate=True))")
         lo, hi = model.score_min, model.score_max
     else:
         raw = raw.persist(StorageLevel.MEMORY_AND_DISK)

@@ -31,3 +31,16 @@ def attach_small(big: DataFrame, small: DataFrame, on, how: str = "left",
 def broadcast_fixed(df: DataFrame) -> DataFrame:
     """Broadcast a frame whose size is fixed by construction (e.g. 12 cameras)."""
     return F.broadcast(df)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin split an input that arrives in fewer partitions than the
+    cluster has cores (e.g. one small unsplittable file) before CPU-heavy
+    Python work.  Inputs that already have enough partitions -- any large
+    table -- are returned unchanged, so no shuffle is added at scale."""
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

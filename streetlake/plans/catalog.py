@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
 from ..functions.registry import upsert_registry
 from ..operators import alerts as A
 from ..operators import daily as D
@@ -535,7 +536,8 @@ def q_new_alerts_only(spark, sf_dir):
     """A re-run's alerts minus those a run a week earlier stored."""
     c, now = _clean_now(spark, sf_dir)
     run = TB.standin_alerts(spark, sf_dir)
-    existing = A.append_new_alerts(run.filter(F.col("created_at") < now - F.expr("INTERVAL 7 DAYS")), None)
+    existing = A.append_new_alerts(
+        run.filter(F.col("created_at") < X.ts_value(now) - F.expr("INTERVAL 7 DAYS")), None)
     return A.append_new_alerts(run, existing)
 
 

@@ -43,7 +43,8 @@ def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
         return None
     model = None if retrain else ForestModel.load(spark, model_path)
     if model is None:
-        model = fit_forest(scan)
+        # a saved model is calibrated so streams can score with norm="model"
+        model = fit_forest(scan, calibrate=(norm == "model" or bool(model_path)))
         if model is not None and model_path and not dry_run:
             model.save(spark, model_path)
     scored = score_events(scan, model, norm=norm)

@@ -43,8 +43,13 @@ def registry(spark: SparkSession) -> DataFrame:
 
 
 def as_of(clean_df: DataFrame):
-    """The fixture's 'now': the newest event time, as a scalar-subquery Column."""
-    return clean_df.agg(F.max("event_ts")).scalar()
+    """The fixture's 'now': the newest event time.
+
+    Resolved once to a literal (one aggregate job returning one value), so the
+    time filters that use it are plain literal predicates: pushed to Parquet
+    and pruning ``event_date`` partitions on a stored clean zone.
+    """
+    return clean_df.agg(F.max("event_ts")).first()[0]
 
 
 # --- fixture stand-ins for the alert side (SQL-checkable; FIXTURES.md §3) ------

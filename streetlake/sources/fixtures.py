@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.registry import camera_registry
+from ..functions.registry import CAMERA_REGISTRY
 from ..schema import RAW_FIELDS, WIRE_FIELDS
 
 # --- fixed values of the fixture adapter --------------------------------------
@@ -31,7 +31,6 @@ INGEST_DELAY_SECONDS = 2
 
 def traffic_raw(events: DataFrame) -> DataFrame:
     """``events`` -> decoded raw traffic events (the RAW frame, no ``value``)."""
-    spark = events.sparkSession
     n = F.col("event_id")
     base = events.select(
         n.alias("n"),
@@ -47,9 +46,15 @@ def traffic_raw(events: DataFrame) -> DataFrame:
         F.explode(F.when(n % DUPLICATE_EVERY == 0, F.array(F.lit(0), F.lit(1)))
                   .otherwise(F.array(F.lit(0)))).alias("copy"),
     )
-    reg = F.broadcast(camera_registry(spark).select(
-        F.col("camera_id").alias("cam"), "location", "latitude", "longitude"))
-    d = base.join(reg, "cam", "inner")
+    # The 12 seeded cameras are a fixed lookup: a literal map replaces the
+    # join (no broadcast stage); unknown ids are dropped as an inner join would.
+    lookup = F.create_map(*[x for cam, loc, lat, lon, _ in CAMERA_REGISTRY
+                            for x in (F.lit(cam), F.struct(F.lit(loc).alias("location"),
+                                                           F.lit(lat).alias("latitude"),
+                                                           F.lit(lon).alias("longitude")))])
+    d = (base.withColumn("_r", F.element_at(lookup, F.col("cam")))
+         .filter(F.col("_r").isNotNull())
+         .select("*", "_r.location", "_r.latitude", "_r.longitude"))
     k = F.col("k")
     n = F.col("n")
     score = F.col("score")
