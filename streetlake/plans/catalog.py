@@ -619,6 +619,17 @@ def q_zone_freshness(spark, sf_dir):
     return zone_freshness({"raw": raw, "clean": clean, "analytics": analytics}, as_of=TB.as_of(clean))
 
 
+@register("stream_sliding_metrics", _window_sql("1 minute", 5, "5 minutes").replace(
+    "FROM w GROUP BY camera_id, location, window_start",
+    "FROM w GROUP BY camera_id, location, window_start "
+    "HAVING window_start + INTERVAL '5 minutes' <= (SELECT max(event_ts) FROM clean) - INTERVAL '10 minutes'"))
+def q_stream_sliding_metrics(spark, sf_dir):
+    """The watermarked streaming window query over a time-ordered
+    file replay of the events; equals the batch windows up to the watermark."""
+    from .replay import replay_sliding_metrics
+    return replay_sliding_metrics(spark, TB.raw(spark, sf_dir))
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
