@@ -8,7 +8,8 @@ per-key aggregates; nothing is funnelled through one task or the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
@@ -25,11 +26,19 @@ def _minutes(m: float) -> Column:
 
 
 def _window(df: DataFrame, as_of, minutes: float | None) -> DataFrame:
-    """Rows with event_ts in [as_of - minutes, as_of]."""
+    """Rows with event_ts in [as_of - minutes, as_of].
+
+    On a zone partitioned by ``event_date`` the implied day range is added
+    so whole day directories are pruned (event_date = to_date(event_ts)).
+    """
     if minutes is None:
         return df
     now = X.ts_value(as_of)
-    return df.filter((F.col("event_ts") >= now - _minutes(minutes)) & (F.col("event_ts") <= now))
+    lo = now - _minutes(minutes)
+    out = df.filter((F.col("event_ts") >= lo) & (F.col("event_ts") <= now))
+    if "event_date" in df.columns:
+        out = out.filter(F.col("event_date").between(F.to_date(lo), F.to_date(now)))
+    return out
 
 
 def latest_per_camera(clean: DataFrame, as_of=None, minutes: float | None = 5,
@@ -165,29 +174,41 @@ def peak_hours(clean: DataFrame, as_of=None, minutes: float | None = None) -> Da
     by_hour = (_window(clean, as_of, minutes).groupBy("event_hour")
                .agg(F.sum("vehicle_count").alias("total_vehicles"),
                     F.count(F.lit(1)).alias("event_count")))
-    peak = by_hour.agg(F.max_by("event_hour", F.struct(F.col("total_vehicles"),
-                                                       -F.col("event_hour")))).scalar()
+    # the peak is found over the aggregated rows (at most 24), so this
+    # unpartitioned window is bounded and the events are scanned once
+    best = F.max(F.struct(F.col("total_vehicles"), -F.col("event_hour"))).over(Window.partitionBy())
     band = F.format_string("%02d:00-%02d:00", F.col("event_hour"), (F.col("event_hour") + 1) % 24)
     return by_hour.select("event_hour", "total_vehicles", "event_count",
-                          (F.col("event_hour") == peak).alias("is_peak"), band.alias("hour_band"))
+                          (-best.getField("col2") == F.col("event_hour")).alias("is_peak"),
+                          band.alias("hour_band"))
 
 
 def hour_over_hour(clean: DataFrame) -> DataFrame:
     """Hourly totals with the change vs the previous clock hour.
 
-    The previous hour is found by an equi-join on ``hour_start - 1 hour``
-    (distributed) rather than an unpartitioned ``lag`` window.
+    No ``lag`` over an unpartitioned window and no self-join: the hourly
+    aggregate is computed once and re-grouped with a shifted copy of itself.
     """
     hourly = (clean.groupBy(F.date_trunc("hour", "event_ts").alias("hour_start"))
               .agg(F.count(F.lit(1)).alias("event_count"),
                    F.sum("vehicle_count").alias("total_vehicles")))
-    prev = hourly.select((F.col("hour_start") + F.expr("INTERVAL 1 HOUR")).alias("hour_start"),
-                         F.col("event_count").alias("prev_event_count"),
-                         F.col("total_vehicles").alias("prev_total_vehicles"))
-    j = hourly.join(prev, "hour_start", "left")
-    return j.select("hour_start", "event_count", "total_vehicles", "prev_event_count", "prev_total_vehicles",
-                    X.pct_change(F.col("event_count"), F.col("prev_event_count")).alias("events_pct_change"),
-                    X.pct_change(F.col("total_vehicles"), F.col("prev_total_vehicles")).alias("vehicles_pct_change"))
+    # each hourly row plays two roles: itself, and "previous" of the next hour;
+    # regrouping the small hourly table pairs them without a second scan
+    none = F.lit(None).cast("long")
+    roles = F.array(
+        F.struct(F.col("hour_start").alias("h"), F.col("event_count").alias("c"),
+                 F.col("total_vehicles").alias("v"), none.alias("pc"), none.alias("pv")),
+        F.struct((F.col("hour_start") + F.expr("INTERVAL 1 HOUR")).alias("h"), none.alias("c"), none.alias("v"),
+                 F.col("event_count").alias("pc"), F.col("total_vehicles").alias("pv")))
+    paired = (hourly.select(F.explode(roles).alias("r"))
+              .groupBy(F.col("r.h").alias("hour_start"))
+              .agg(F.max("r.c").alias("event_count"), F.max("r.v").alias("total_vehicles"),
+                   F.max("r.pc").alias("prev_event_count"), F.max("r.pv").alias("prev_total_vehicles"))
+              .filter(F.col("event_count").isNotNull()))
+    return paired.select(
+        "hour_start", "event_count", "total_vehicles", "prev_event_count", "prev_total_vehicles",
+        X.pct_change(F.col("event_count"), F.col("prev_event_count")).alias("events_pct_change"),
+        X.pct_change(F.col("total_vehicles"), F.col("prev_total_vehicles")).alias("vehicles_pct_change"))
 
 
 def availability(clean: DataFrame, registry: DataFrame | None = None) -> DataFrame:
@@ -196,14 +217,18 @@ def availability(clean: DataFrame, registry: DataFrame | None = None) -> DataFra
     Minutes with data are counted per (camera, day); the expected cells are a
     spine of registry cameras x days between the first and last event day
     (generated by ``sequence``/``explode`` per camera, not a cross join).
+    With no events at all the spine is empty.
     """
     reg = registry if registry is not None else camera_registry(clean.sparkSession)
-    lo = clean.agg(F.min("event_date")).scalar()
-    hi = clean.agg(F.max("event_date")).scalar()
-    spine = F.broadcast(reg).select("camera_id", "zone",
-                                    F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 DAY"))).alias("event_date"))
+    # one scan: per (camera, day) minute counts, small (cameras x days) and
+    # kept for the span and the join
     seen = (clean.groupBy("camera_id", "event_date")
-            .agg(F.count_distinct(F.date_trunc("minute", "event_ts")).alias("minutes_with_data")))
+            .agg(F.count_distinct(F.date_trunc("minute", "event_ts")).alias("minutes_with_data"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    lo, hi = seen.agg(F.min("event_date"), F.max("event_date")).first()
+    days = (F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY")) if lo is not None
+            else F.array().cast("array<date>"))
+    spine = F.broadcast(reg).select("camera_id", "zone", F.explode(days).alias("event_date"))
     out = spine.join(seen, ["camera_id", "event_date"], "left")
     m = F.coalesce(F.col("minutes_with_data"), F.lit(0).cast("long"))
     return out.select("event_date", "camera_id", "zone", m.alias("minutes_with_data"),
