@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..schema import FEATURE_COLS, INTEGRAL_FEATURES
+from ..session import cut_lineage
 from .joins import spread
 
 N_TREES = 200
@@ -243,19 +244,19 @@ def fit_forest(df: DataFrame, n_trees: int = N_TREES, psi: int = PSI, seed: int
     pairs = pool.select("event_id", "kafka_offset", *zcols, F.explode(trees).alias("tree"))
     pairs = pairs.withColumn("h", _unit_hash(F.col("event_id").cast("string"), F.col("tree"), F.lit(seed)))
     for _ in range(6):
-        sample = (pairs.filter(F.col("h") < q) if q < 1.0 else pairs).persist(StorageLevel.MEMORY_AND_DISK)
+        # bounded (~2 psi rows per tree): checkpointed so the size check and
+        # the tree build neither recompute nor depend on the scan behind it
+        sample = cut_lineage(pairs.filter(F.col("h") < q) if q < 1.0 else pairs)
         if q >= 1.0:
             break
         # every tree must see at least psi rows; otherwise widen the sample
         full = sample.groupBy("tree").count().filter(F.col("count") >= psi_eff).count()
         if full == n_trees:
             break
-        sample.unpersist()
         q = min(1.0, q * 2)
     nodes = (sample.groupBy("tree")
              .applyInPandas(_builder(features, psi_eff, seed), NODE_SCHEMA)
              .toPandas())
-    sample.unpersist()
     model = ForestModel(nodes=nodes, features=list(features), scaler=scaler, psi=psi_eff,
                         n_trees=n_trees, seed=seed)
     if calibrate:

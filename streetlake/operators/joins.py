@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # Largest dimension/statistics frame that is ever broadcast (rows).
 MAX_BROADCAST_ROWS = 200_000
 
@@ -14,14 +15,15 @@ def attach_small(big: DataFrame, small: DataFrame, on, how: str = "left",
                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Join a derived, usually small frame (per-key statistics) onto ``big``.
 
-    ``small`` is materialised once (memory and disk, recomputed from lineage if
-    an executor is lost) and counted.  Within ``max_rows`` it is broadcast, so
-    ``big`` is not shuffled; beyond it the plan falls back to a shuffled join
-    that AQE may still re-plan.  Streaming frames are joined without the check.
+    ``small`` is checkpointed once into the shared checkpoint folder (its
+    lineage, a scan of the big input, is cut) and counted.  Within
+    ``max_rows`` it is broadcast, so ``big`` is not shuffled; beyond it the
+    plan falls back to a shuffled join that AQE may still re-plan.  Streaming
+    frames are joined without the check.
     """
     if big.isStreaming or small.isStreaming:
         return big.join(small, on, how)
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    small = cut_lineage(small)
     n = small.count()
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)

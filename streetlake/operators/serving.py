@@ -8,12 +8,12 @@ per-key aggregates; nothing is funnelled through one task or the driver.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..functions.registry import camera_registry
+from ..session import cut_lineage
 from .enrich import with_zone
 
 LIVE_COLS = ["camera_id", "location", "vehicle_count", "average_speed", "congestion_score",
@@ -222,13 +222,12 @@ def availability(clean: DataFrame, registry: DataFrame | None = None) -> DataFra
     reg = registry if registry is not None else camera_registry(clean.sparkSession)
     # one scan: per (camera, day) minute counts, small (cameras x days) and
     # kept for the span and the join
-    seen = (clean.groupBy("camera_id", "event_date")
-            .agg(F.count_distinct(F.date_trunc("minute", "event_ts")).alias("minutes_with_data"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    seen = cut_lineage(clean.groupBy("camera_id", "event_date")
+                       .agg(F.count_distinct(F.date_trunc("minute", "event_ts")).alias("minutes_with_data")))
     lo, hi = seen.agg(F.min("event_date"), F.max("event_date")).first()
     days = (F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY")) if lo is not None
             else F.array().cast("array<date>"))
-    spine = F.broadcast(reg).select("camera_id", "zone", F.explode(days).alias("event_date"))
+    spine = reg.select("camera_id", "zone", F.explode(days).alias("event_date"))
     out = spine.join(seen, ["camera_id", "event_date"], "left")
     m = F.coalesce(F.col("minutes_with_data"), F.lit(0).cast("long"))
     return out.select("event_date", "camera_id", "zone", m.alias("minutes_with_data"),

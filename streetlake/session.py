@@ -16,6 +16,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # remove checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -57,3 +59,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return checkpoint_dir(spark).rstrip("/") + "/" + name
+
+
+def cut_lineage(df):
+    """Materialise a small, bounded intermediate into the shared checkpoint
+    folder (reliable ``checkpoint``, never ``localCheckpoint``): losing an
+    executor later re-reads it instead of re-running the scan behind it."""
+    if df.isStreaming:
+        return df
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
