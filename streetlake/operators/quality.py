@@ -103,6 +103,22 @@ def reject_stats(df: DataFrame) -> DataFrame:
         F.try_divide(F.col("rejected_rows"), F.col("total_rows")).alias("reject_rate"))
 
 
+def observe_rejects(df: DataFrame, name: str = "contract_rejects") -> DataFrame:
+    """Q3 on streams: per-rule reject counts attached as observed metrics.
+
+    The counts ride along each micro-batch (``StreamingQueryProgress
+    .observedMetrics[name]``) without a second query over the data.
+    """
+    conds = rule_conditions()
+    any_bad = None
+    for _, c in conds:
+        any_bad = c if any_bad is None else (any_bad | c)
+    metrics = [F.count(F.lit(1)).alias("total_rows")]
+    metrics += [F.count_if(c).alias(r) for r, c in conds]
+    metrics.append(F.count_if(any_bad).alias("any"))
+    return df.observe(name, *metrics)
+
+
 def apply_defaults(df: DataFrame) -> DataFrame:
     """Q4/Q5: contract defaults for absent optional fields; score to 2 dp."""
     out = df

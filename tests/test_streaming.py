@@ -153,3 +153,49 @@ def test_kafka_source_options():
     assert opts["startingOffsets"] == "latest"
     assert opts["maxOffsetsPerTrigger"] == 5000
     assert opts["failOnDataLoss"] == "false"
+
+
+def test_observed_reject_counts_on_stream(spark, lines, tmp_path):
+    from streetlake.operators.quality import observe_rejects
+    src = str(tmp_path / "src")
+    _write(src, 0, lines)
+    raw = observe_rejects(raw_stream(file_source(spark, src, max_files=1)), "rejects")
+    q = (raw.writeStream.format("noop").trigger(availableNow=True)
+         .option("checkpointLocation", str(tmp_path / "ck")).start())
+    q.awaitTermination()
+    seen = [p["observedMetrics"]["rejects"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["total_rows"] for m in seen) == len(lines)
+    from streetlake.operators.quality import reject_stats
+    expected = {r.rule: r.rejected_rows for r in reject_stats(
+        decode_events(file_batch(spark, src))).collect()}
+    assert sum(m["any"] for m in seen) == expected["any"]
+
+
+def test_score_stream_appends_alerts_once(spark, tmp_path):
+    from streetlake.operators.alerts import baselines
+    from streetlake.operators.iforest import fit_forest
+    from streetlake.sources.streams import read_zone_stream
+    from streetlake.streaming.pipeline import score_stream
+    clean = TB.clean(spark, SF001)
+    model = fit_forest(clean, n_trees=30, calibrate=True)
+    zone = str(tmp_path / "clean")
+    clean.write.partitionBy("event_date").parquet(zone)
+    ap = str(tmp_path / "alerts")
+    for run in range(2):                      # second run: nothing new, nothing appended
+        stream = read_zone_stream(spark, zone, schema=spark.read.parquet(zone).schema, fmt="parquet")
+        q = score_stream(stream, model, ap, str(tmp_path / "ck"), baselines(clean), threshold=0.8,
+                         available_now=True)
+        q.awaitTermination()
+        assert q.exception() is None
+    alerts = spark.read.parquet(ap)
+    assert alerts.count() > 0
+    assert alerts.count() == alerts.select("alert_id").distinct().count()
+
+
+def test_jdbc_options_wiring():
+    from streetlake.sources.jdbc import jdbc_options
+    o = jdbc_options("jdbc:postgresql://db/x", "clean_events", partition_column="id", lower=0, upper=100,
+                     num_partitions=4)
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("id", "0", "100", "4")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", partition_column="id")
