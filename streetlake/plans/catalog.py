@@ -90,9 +90,10 @@ def q_contract_violations(spark, sf_dir):
 def _reject_sql() -> str:
     flags = ", ".join(f"({c}) AS {r}" for r, c in RULE_SQL.items())
     any_c = " OR ".join(f"({c})" for c in RULE_SQL.values())
-    parts = [f"SELECT '{r}' AS rule, count_if({r}) AS rejected_rows, count(*) AS total_rows FROM flags"
-             for r in RULE_SQL]
-    parts.append("SELECT 'any' AS rule, count_if(any_bad) AS rejected_rows, count(*) AS total_rows FROM flags")
+    parts = [f"SELECT '{r}' AS rule, cast(count_if({r}) as bigint) AS rejected_rows, count(*) AS total_rows "
+             "FROM flags" for r in RULE_SQL]
+    parts.append("SELECT 'any' AS rule, cast(count_if(any_bad) as bigint) AS rejected_rows, "
+                 "count(*) AS total_rows FROM flags")
     return O.with_adapter(
         f"flags AS (SELECT {flags}, ({any_c}) AS any_bad FROM traffic_raw)",
         f"u AS ({' UNION ALL '.join(parts)})",
@@ -212,8 +213,9 @@ def _z(c: str, mean: str, std: str) -> str:
     f"{_z('c.vehicle_count', 'st.vc_mean', 'st.vc_std')} AS vo, "
     f"{_z('c.average_speed', 'st.sp_mean', 'st.sp_std')} AS so "
     "FROM clean c JOIN st ON c.camera_id = st.camera_id)",
-    "g AS (SELECT camera_id, count(*) AS events, count_if(vo) AS vehicle_outliers, "
-    "count_if(so) AS speed_outliers, count_if(vo OR so) AS outlier_rows FROM j GROUP BY camera_id)",
+    "g AS (SELECT camera_id, count(*) AS events, cast(count_if(vo) as bigint) AS vehicle_outliers, "
+    "cast(count_if(so) as bigint) AS speed_outliers, cast(count_if(vo OR so) as bigint) AS outlier_rows "
+    "FROM j GROUP BY camera_id)",
     body=("SELECT camera_id, events, vehicle_outliers, speed_outliers, outlier_rows, "
           "outlier_rows / events AS outlier_rate, outlier_rows / events <= 0.05 AS zscore_pass FROM g")))
 def q_zscore_outliers(spark, sf_dir):
@@ -519,7 +521,7 @@ def q_recent_alerts(spark, sf_dir):
 
 @register("active_anomalies", O.with_adapter(NOW_CTE, *_ALERTS_SQL, body=(
     "SELECT w.window_minutes, a.severity, a.alert_type, count(*) AS alerts, "
-    "count_if(a.acknowledged_at IS NULL OR a.acknowledged_at > nowt.now) AS unacknowledged "
+    "cast(count_if(a.acknowledged_at IS NULL OR a.acknowledged_at > nowt.now) as bigint) AS unacknowledged "
     "FROM alerts_tbl a, nowt, (SELECT unnest([15, 60, 1440]) AS window_minutes) w "
     "WHERE a.created_at >= nowt.now - to_minutes(w.window_minutes) AND a.created_at <= nowt.now "
     "GROUP BY 1, 2, 3")))

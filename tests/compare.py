@@ -41,6 +41,17 @@ def canon(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
+def type_mismatches(sdf, rel) -> list:
+    """Columns whose Spark type and DuckDB type differ."""
+    s = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    d = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return [(c, s[c], d.get(c)) for c in s if SPARK_TO_DUCK.get(s[c], s[c]) != d.get(c)]
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     con.execute("SET TimeZone='UTC'")
@@ -78,6 +89,11 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
             print(name, results[name]) if verbose else None
             continue
         ok_cols = sorted(scols) == sorted(dcols)
+        types_bad = type_mismatches(sdf, rel) if ok_cols else []
+        if types_bad:
+            results[name] = f"TYPES differ {types_bad}"
+            print(name, results[name]) if verbose else None
+            continue
         if not ok_cols:
             results[name] = f"COLUMNS differ spark={sorted(scols)} duck={sorted(dcols)}"
             print(name, results[name]) if verbose else None
