@@ -632,6 +632,57 @@ def q_stream_sliding_metrics(spark, sf_dir):
     return replay_sliding_metrics(spark, TB.raw(spark, sf_dir))
 
 
+# ============================================================================
+# Dimension lookup, filtered alerts, table maintenance (write, then read back)
+# ============================================================================
+
+@register("events_with_zone", O.with_adapter(body=(
+    "SELECT c.event_id, c.kafka_offset, c.camera_id, r.zone, CASE WHEN r.camera_id IS NULL THEN NULL "
+    "ELSE true END AS active FROM clean c LEFT JOIN registry r ON c.camera_id = r.camera_id")))
+def q_events_with_zone(spark, sf_dir):
+    """Every clean event with its registry zone (null outside the registry)."""
+    from ..operators.enrich import with_zone
+    return with_zone(TB.clean(spark, sf_dir), TB.registry(spark)).select(
+        "event_id", "kafka_offset", "camera_id", "zone", "active")
+
+
+@register("critical_alerts", O.with_adapter(*_ALERTS_SQL, body=(
+    "SELECT * FROM alerts_tbl WHERE severity = 'CRITICAL' ORDER BY created_at DESC, alert_id LIMIT 500")))
+def q_critical_alerts(spark, sf_dir):
+    """Newest CRITICAL alerts (severity filter upper-cased), limit 500."""
+    return S.recent_alerts(TB.alerts_table(spark, sf_dir), severity="critical", limit=500)
+
+
+@register("compacted_clean_zone", O.with_adapter(body=(
+    f"SELECT {RAW_COLS}, {O.speed_index()} AS speed_index, congestion_category, is_peak_hour, "
+    "event_date, event_hour FROM clean")))
+def q_compacted_clean_zone(spark, sf_dir):
+    """K8: the clean zone written as small files, compacted into a new
+    generation and read back: the row multiset is unchanged."""
+    import uuid
+    from ..session import scratch_path
+    from .maintenance import compact_zone
+    base = scratch_path(spark, f"compact-{uuid.uuid4().hex}")
+    clean = TB.clean(spark, sf_dir).select(*CLEAN_OUT)
+    clean.repartition(16).write.partitionBy("event_date").parquet(f"{base}/gen=0")
+    gen1 = compact_zone(spark, f"{base}/gen=0", f"{base}/gen=1")
+    return spark.read.parquet(gen1).select(*CLEAN_OUT)
+
+
+@register("daily_summary_table", O.with_adapter(*_DAILY_CTES, body="SELECT * FROM daily"))
+def q_daily_summary_table(spark, sf_dir):
+    """K6: the daily summary table after writing every day twice with
+    replace-day semantics (the re-run leaves the table unchanged)."""
+    import uuid
+    from ..schema import DAILY_FIELDS
+    from ..session import scratch_path
+    path = scratch_path(spark, f"daily-{uuid.uuid4().hex}")
+    summary = D.daily_summary(TB.clean(spark, sf_dir))
+    D.replace_day(summary, path)
+    D.replace_day(summary, path)
+    return spark.read.parquet(path).select(*DAILY_FIELDS)
+
+
 def queries() -> dict[str, QueryFn]:
     return {k: v[0] for k, v in REGISTRY.items()}
 
