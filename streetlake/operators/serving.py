@@ -264,10 +264,49 @@ def active_anomalies(alerts: DataFrame, as_of=None, windows=(15, 30, 60)) -> Dat
                  F.count_if(unacknowledged_at(now)).alias("unacknowledged")))
 
 
+def _bucket(ts: Column, seconds: float) -> Column:
+    micros = max(1, int(seconds * 1_000_000))
+    return F.timestamp_micros(F.floor(F.unix_micros(ts) / micros) * micros)
+
+
+def _cutoff(df: DataFrame, n: int, width_s: float, max_buckets: int):
+    """Start of the newest time bucket at which the running count reaches n
+    (None if the frame has fewer than n rows), and that bucket's row count."""
+    width = max(width_s / max_buckets, 1e-6)
+    hist = (df.groupBy(_bucket(F.col("event_ts"), width).alias("b")).count()
+            .orderBy(F.col("b").desc()).collect())            # <= max_buckets rows
+    total = 0
+    for r in hist:
+        total += r["count"]
+        if total >= n:
+            return r["b"], r["count"], width
+    return None, 0, width
+
+
 def recent_events(clean: DataFrame, as_of=None, hours: float = 48, n: int = 500_000,
-                  cols=None) -> DataFrame:
-    """Newest-first events since as_of - hours, capped at ``n`` rows."""
+                  cols=None, max_buckets: int = 4096) -> DataFrame:
+    """Newest-first events since as_of - hours, capped at ``n`` rows
+    (ties: larger event_id first).
+
+    A plain ``orderBy().limit(n)`` merges every partition's top n in one task
+    (partitions x n rows).  Instead a per-bucket histogram (at most
+    ``max_buckets`` rows to the driver) finds the time cutoff, so the final
+    top-n only sees rows from the cutoff bucket on: at most n plus one bucket.
+    A boundary bucket holding more than n rows is refined once more.
+    """
     from ..schema import FEATURE_COLS
     cols = cols or (FEATURE_COLS + ["camera_id", "event_ts", "event_id"])
-    df = _window(clean, as_of, hours * 60)
-    return df.select(*cols).orderBy(F.col("event_ts").desc(), F.col("event_id").desc()).limit(n)
+    df = _window(clean, as_of, hours * 60).select(*cols)
+    order = [F.col("event_ts").desc(), F.col("event_id").desc()]
+    start, in_bucket, width = _cutoff(df, n, hours * 3600, max_buckets)
+    if start is None:                      # fewer than n rows: all of them
+        return df.orderBy(*order)
+    if in_bucket > n:                      # refine inside the boundary bucket
+        lo = F.lit(start)
+        inner = df.filter((F.col("event_ts") >= lo) & (F.col("event_ts") < lo + F.expr(
+            f"INTERVAL {max(1, int(width * 1_000_000))} MICROSECONDS")))
+        above = df.filter(F.col("event_ts") >= lo + F.expr(
+            f"INTERVAL {max(1, int(width * 1_000_000))} MICROSECONDS")).count()
+        sub, _, _ = _cutoff(inner, n - above, width, max_buckets)
+        start = sub if sub is not None else start
+    return df.filter(F.col("event_ts") >= F.lit(start)).orderBy(*order).limit(n)

@@ -241,3 +241,14 @@ def test_compaction_preserves_rows_and_vacuum_keeps_current(spark, tmp_path):
     far_future = int((dt.datetime.now() + dt.timedelta(days=30)).timestamp() * 1000)
     gone = vacuum_zone(spark, str(root), retain_hours=168, keep=[g2], now_ms=far_future)
     assert len(gone) == 1 and gone[0].endswith("gen=1") and os.path.exists(g2)
+
+
+def test_recent_events_top_n_matches_plain_sort(spark):
+    clean = TB.clean(spark, SF001)
+    now = TB.as_of(clean)
+    for n in (1, 7, 50, 300, 5000):
+        got = S.recent_events(clean, as_of=now, hours=24 * 40, n=n, max_buckets=16)
+        ref = (clean.select(*got.columns).filter(F.col("event_ts") <= F.lit(now))
+               .orderBy(F.col("event_ts").desc(), F.col("event_id").desc()).limit(n))
+        assert got.count() == min(n, ref.count())
+        assert got.exceptAll(ref).count() == 0
