@@ -22,6 +22,8 @@ from ..operators.windows import WATERMARK, sliding_metrics
 from ..sources.decode import decode_events
 from ..sources.streams import zone_format
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 RAW_TRIGGER = "5 seconds"
 CLEAN_TRIGGER = "5 seconds"
 ANALYTICS_TRIGGER = "30 seconds"
@@ -85,12 +87,19 @@ def analytics_stream(clean: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 
 def run_pipeline(spark: SparkSession, source: Callable[[], DataFrame], base: str,
                  available_now: bool = False, dedup: bool = False, fmt: str | None = None,
-                 triggers=(RAW_TRIGGER, CLEAN_TRIGGER, ANALYTICS_TRIGGER)) -> list[StreamingQuery]:
+                 triggers=(RAW_TRIGGER, CLEAN_TRIGGER, ANALYTICS_TRIGGER),
+                 state_store: str | None = None) -> list[StreamingQuery]:
     """T4: start the raw, clean and analytics queries; each reads the source.
 
     ``source`` is a zero-argument function returning the Kafka-shaped stream
-    (``kafka_source`` or ``file_source``).
+    (``kafka_source`` or ``file_source``).  ``state_store="rocksdb"`` keeps
+    window and de-duplication state in RocksDB (off-heap, spills to local
+    disk, checkpointed incrementally) instead of executor heap, for large
+    numbers of open windows.  It must be chosen before a checkpoint's first
+    run.
     """
+    if state_store == "rocksdb":
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     z = ZonePaths(base)
     fmt = fmt or zone_format(spark)
     q_raw = write_zone(raw_stream(source()), z.raw, z.checkpoint("raw"), triggers[0],

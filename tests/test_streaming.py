@@ -199,3 +199,19 @@ def test_jdbc_options_wiring():
     assert (o["partitionColumn"], o["lowerBound"], o["upperBound"], o["numPartitions"]) == ("id", "0", "100", "4")
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", partition_column="id")
+
+
+def test_rocksdb_state_store_pipeline(spark, lines, tmp_path):
+    src = str(tmp_path / "src")
+    for i, chunk in enumerate(_slices(lines, 3)):
+        _write(src, i, chunk)
+    base = str(tmp_path / "zones")
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    try:
+        await_all(run_pipeline(spark, lambda: file_source(spark, src, max_files=1), base,
+                               available_now=True, fmt="parquet", state_store="rocksdb"))
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    _, expected = _expected(spark, src)
+    got = spark.read.parquet(base + "/analytics").drop("agg_ts", "window_date")
+    assert _same(got.select(*expected.columns), expected)
