@@ -74,8 +74,8 @@ def q_decode_events(spark, sf_dir):
          "AND congestion_score BETWEEN 0 AND 100 AND event_ts IS NOT NULL "
          "AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180"))
 def q_validate_events(spark, sf_dir):
-    """Q1: validity filter over the decoded stream."""
-    return Q.validate(TB.decoded(spark, sf_dir))
+    """Q1: validity filter over the raw zone."""
+    return Q.validate(TB.raw(spark, sf_dir))
 
 
 @register("contract_violations", O.with_adapter(body="\nUNION ALL\n".join(

@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.daily import daily_report, daily_summary, replace_day
 from ..operators.quality import dq_gate, dq_stats

@@ -36,15 +36,26 @@ def write_replay(raw: DataFrame, path: str, slice_days: int = SLICE_DAYS) -> int
 
 
 def replay_sliding_metrics(spark: SparkSession, raw: DataFrame, base: str | None = None,
-                           fmt: str = "parquet") -> DataFrame:
+                           fmt: str = "parquet", state_partitions: int | None = None) -> DataFrame:
     """Run the analytics query over a file replay of ``raw`` and return the
-    analytics zone (processing-time columns dropped)."""
+    analytics zone (processing-time columns dropped).
+
+    The number of state partitions is fixed when a checkpoint is created; the
+    replay uses the cluster's parallelism rather than the session's shuffle
+    setting so a small replay does not run hundreds of state tasks per batch.
+    """
     base = base or scratch_path(spark, f"replay-{uuid.uuid4().hex}")
     src = f"{base}/source"
     write_replay(raw, src)
     stream = analytics_stream(clean_stream(raw_stream(file_source(spark, src, max_files=1))))
-    q = write_zone(stream, f"{base}/analytics", f"{base}/_checkpoints/analytics", fmt=fmt,
-                   partition_by=["window_date"], available_now=True, name=None)
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = write_zone(stream, f"{base}/analytics", f"{base}/_checkpoints/analytics", fmt=fmt,
+                       partition_by=["window_date"], available_now=True, name=None)
+    finally:
+        spark.conf.set(key, old)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"replay failed: {q.exception()}")
