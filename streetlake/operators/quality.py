@@ -74,11 +74,23 @@ def violations(df: DataFrame) -> DataFrame:
     return df.withColumn("violations", F.filter(arr, lambda x: x.isNotNull()))
 
 
+def any_violation() -> Column:
+    """True when at least one contract rule fails (plain boolean, codegen'd)."""
+    out = None
+    for _, c in rule_conditions():
+        out = c if out is None else (out | c)
+    return out
+
+
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Q3: (good rows, quarantined rows with their violations)."""
-    v = violations(df)
-    good = v.filter(F.size("violations") == 0).drop("violations")
-    bad = v.filter(F.size("violations") > 0)
+    """Q3: (good rows, quarantined rows with their violations).
+
+    The split is a boolean filter; the per-row violations array (a
+    higher-order function) is only built for the quarantined side.
+    """
+    bad_row = any_violation()
+    good = df.filter(~bad_row)
+    bad = violations(df.filter(bad_row))
     return good, bad
 
 
@@ -89,9 +101,7 @@ def reject_stats(df: DataFrame) -> DataFrame:
     failing at least one rule).
     """
     conds = rule_conditions()
-    any_bad = None
-    for _, c in conds:
-        any_bad = c if any_bad is None else (any_bad | c)
+    any_bad = any_violation()
     aggs = [F.count(F.lit(1)).alias("total_rows")]
     aggs += [F.count_if(c).alias(name) for name, c in conds]
     aggs.append(F.count_if(any_bad).alias("any"))
@@ -110,9 +120,7 @@ def observe_rejects(df: DataFrame, name: str = "contract_rejects") -> DataFrame:
     .observedMetrics[name]``) without a second query over the data.
     """
     conds = rule_conditions()
-    any_bad = None
-    for _, c in conds:
-        any_bad = c if any_bad is None else (any_bad | c)
+    any_bad = any_violation()
     metrics = [F.count(F.lit(1)).alias("total_rows")]
     metrics += [F.count_if(c).alias(r) for r, c in conds]
     metrics.append(F.count_if(any_bad).alias("any"))
