@@ -39,16 +39,20 @@ def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
     ``dry_run`` nothing is written (neither the model nor alerts).
     """
     scan = recent_window(clean, as_of, window_hours).dropna(subset=FEATURE_COLS)
-    if scan.isEmpty():
-        return None
     model = None if retrain else ForestModel.load(spark, model_path)
     if model is None:
         # a saved model is calibrated so streams can score with norm="model"
         model = fit_forest(scan, calibrate=(norm == "model" or bool(model_path)))
-        if model is not None and model_path and not dry_run:
+        if model is None:                   # no rows in the window
+            return None
+        if model_path and not dry_run:
             model.save(spark, model_path)
-    scored = score_events(scan, model, norm=norm)
-    alerts = A.build_alerts(scored, A.baselines(scan), threshold=threshold)
+    scored = score_events(scan, model, norm=norm)     # persisted when norm="batch"
+    if norm != "model" and scored.isEmpty():
+        return None                         # loaded model, empty window (reads the cache)
+    # baselines from the scored rows (feature-complete by construction): with
+    # batch normalisation these are read from the persisted scores, not re-scanned
+    alerts = A.build_alerts(scored, A.baselines(scored), threshold=threshold)
     if alerts_path and not dry_run:
         try:
             existing = spark.read.parquet(alerts_path)
