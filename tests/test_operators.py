@@ -252,3 +252,44 @@ def test_recent_events_top_n_matches_plain_sort(spark):
                .orderBy(F.col("event_ts").desc(), F.col("event_id").desc()).limit(n))
         assert got.count() == min(n, ref.count())
         assert got.exceptAll(ref).count() == 0
+
+
+def test_zone_freshness_status(spark):
+    from streetlake.streaming.health import zone_freshness
+    now = dt.datetime(2024, 1, 1, 12, 0, 0)
+    fresh = ev(spark, [row("1", ts=now - dt.timedelta(seconds=30))])
+    lagging = ev(spark, [row("2", ts=now - dt.timedelta(seconds=300))])
+    stale = ev(spark, [row("3", ts=now - dt.timedelta(hours=2))])
+    empty = ev(spark, [row("4")]).filter(F.lit(False))
+    out = {r.component: r for r in zone_freshness(
+        {"a": fresh, "b": lagging, "c": stale, "d": empty}, as_of=now).collect()}
+    assert (out["a"].status, out["b"].status, out["c"].status, out["d"].status) == \
+        ("running", "degraded", "down", "down")
+    assert out["a"].rows == 1 and out["d"].rows == 0
+
+
+def test_hour_over_hour_gaps_and_zero(spark):
+    rows = [row("1", ts=dt.datetime(2024, 1, 1, 8, 5), vc=10), row("2", ts=dt.datetime(2024, 1, 1, 9, 5), vc=0),
+            row("3", ts=dt.datetime(2024, 1, 1, 10, 5), vc=5), row("4", ts=dt.datetime(2024, 1, 1, 12, 5), vc=5)]
+    out = {r.hour_start.hour: r for r in S.hour_over_hour(ev(spark, rows)).collect()}
+    assert out[8].prev_event_count is None and out[8].events_pct_change is None
+    assert out[9].vehicles_pct_change == -100.0 and out[9].events_pct_change == 0.0
+    assert out[10].vehicles_pct_change is None          # previous hour had 0 vehicles
+    assert out[12].prev_event_count is None             # 11:00 had no events
+
+
+def test_optional_filters_and_empty_summary(spark):
+    clean = TB.clean(spark, SF001)
+    day = clean.select("event_date").first()[0]
+    prof = S.hourly_profile(clean, date=day, camera_id="CAM_03")
+    assert prof.columns[0] == "event_hour"
+    assert prof.agg(F.sum("event_count")).first()[0] == clean.filter(
+        (F.col("event_date") == day) & (F.col("camera_id") == "CAM_03")).count()
+    det = S.camera_detail(clean, camera_id="CAM_03", as_of=TB.as_of(clean), minutes=60 * 24 * 40)
+    assert [r.camera_id for r in det.collect()] == ["CAM_03"]
+    alerts = TB.alerts_table(spark, SF001)
+    summary = S.platform_summary(clean, alerts, as_of=dt.datetime(2030, 1, 1)).first()
+    assert (summary.total_events_today, summary.active_cameras, summary.total_cameras) == (0, 0, 12)
+    assert (summary.avg_speed_kmh, summary.avg_congestion_score, summary.active_anomalies) == (0.0, 0.0, 0)
+    crit = S.recent_alerts(alerts, severity="critical", limit=5).collect()
+    assert all(r.severity == "CRITICAL" for r in crit) and len(crit) <= 5
