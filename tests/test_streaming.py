@@ -215,3 +215,18 @@ def test_rocksdb_state_store_pipeline(spark, lines, tmp_path):
     _, expected = _expected(spark, src)
     got = spark.read.parquet(base + "/analytics").drop("agg_ts", "window_date")
     assert _same(got.select(*expected.columns), expected)
+
+
+def test_chained_zones_read_source_once(spark, lines, tmp_path):
+    from streetlake.streaming.pipeline import run_chained
+    src = str(tmp_path / "src")
+    for i, chunk in enumerate(_slices(lines, 3)):
+        _write(src, i, chunk)
+    base = str(tmp_path / "zones")
+    await_all(run_chained(spark, lambda: file_source(spark, src, max_files=1), base,
+                          available_now=True, fmt="parquet"))
+    assert spark.read.parquet(base + "/raw").count() == len(lines)
+    clean, expected = _expected(spark, src)
+    assert spark.read.parquet(base + "/clean").count() == clean.count()
+    got = spark.read.parquet(base + "/analytics").drop("agg_ts", "window_date")
+    assert _same(got.select(*expected.columns), expected)
