@@ -33,10 +33,32 @@ REGISTRY_SCHEMA = T.StructType([
 ])
 
 
+_SAMPLE = {"string": "", "double": 0.0, "boolean": False}
+
+
 def camera_registry(spark: SparkSession) -> DataFrame:
-    """The seeded registry as a 12-row DataFrame (always broadcast-safe)."""
-    rows = [r + (True,) for r in CAMERA_REGISTRY]
-    return spark.createDataFrame(rows, REGISTRY_SCHEMA)
+    """The seeded registry as a 12-row DataFrame.
+
+    Built as an inline literal relation (not ``createDataFrame``, whose RDD
+    has no size estimate), so the planner knows it is tiny; the frame is
+    flagged fixed-size so joins broadcast it without a runtime check.
+    """
+    rows = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                       for v, f in zip(r + (True,), REGISTRY_SCHEMA.fields)]) for r in CAMERA_REGISTRY]
+    df = spark.range(1).select(F.inline(F.array(*rows)))
+    # union with an empty relation typed as declared, so nullable columns are
+    # nullable (a union's nullability is the OR of its inputs); the empty
+    # branch is removed by the optimizer
+    typed = spark.range(0).select(*[(F.lit(None) if f.nullable else F.lit(_SAMPLE[f.dataType.typeName()]))
+                                    .cast(f.dataType).alias(f.name) for f in REGISTRY_SCHEMA.fields])
+    df = df.unionByName(typed)
+    df._fixed_size = True
+    return df
+
+
+def is_fixed_size(df: DataFrame) -> bool:
+    """True for frames of a size fixed by construction (the registry seed)."""
+    return bool(getattr(df, "_fixed_size", False))
 
 
 def upsert_registry(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
-from ..functions.registry import camera_registry
+from ..functions.registry import camera_registry, is_fixed_size
 from .joins import attach_small
 
 
@@ -28,12 +28,12 @@ def enrich(df: DataFrame, processing_time: bool = True) -> DataFrame:
 def with_zone(df: DataFrame, registry: DataFrame | None = None, how: str = "left") -> DataFrame:
     """Attach ``zone`` and ``active`` from the camera registry.
 
-    A driver-local registry (the fixed seed) is broadcast as is; a registry
+    The fixed seed (or any driver-local registry) is broadcast as is; a registry
     read from a table goes through the size-checked ``attach_small``.  Events
     of cameras outside it keep a null zone (``how='left'``).
     """
     reg = registry if registry is not None else camera_registry(df.sparkSession)
     dim = reg.select("camera_id", "zone", "active")
-    if reg.isLocal() or df.isStreaming:
+    if is_fixed_size(reg) or reg.isLocal() or df.isStreaming:
         return df.join(F.broadcast(dim), "camera_id", how)
     return attach_small(df, dim, "camera_id", how)

@@ -81,5 +81,7 @@ def standin_acks(alerts: DataFrame) -> DataFrame:
 def alerts_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alerts table: insert-if-absent of the stand-in alerts, with acks."""
     from ..operators.alerts import alerts_with_ack, append_new_alerts
-    a = append_new_alerts(standin_alerts(spark, sf_dir), None)
+    from ..session import cut_lineage
+    # written once (checkpoint) and read by both sides of the ack join
+    a = cut_lineage(append_new_alerts(standin_alerts(spark, sf_dir), None))
     return alerts_with_ack(a, standin_acks(a))
