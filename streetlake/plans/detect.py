@@ -29,6 +29,30 @@ def clean_day(clean: DataFrame, date) -> DataFrame:
     return clean.filter(F.col("event_date") == F.lit(str(date)).cast("date"))
 
 
+def read_clean(spark: SparkSession, path: str, as_of=None, window_hours: float | None = 48,
+               columns=None, fmt: str | None = None) -> DataFrame:
+    """The clean zone's last ``window_hours`` before as_of, projected.
+
+    Reads through ``read_zone`` (partition discovery, table/commit log); the
+    filters prune day partitions and push down to Parquet, the projection
+    prunes columns.
+    """
+    from ..sources.streams import read_zone
+    df = recent_window(read_zone(spark, path, fmt), as_of, window_hours)
+    return df.select(*columns) if columns else df
+
+
+def read_clean_day(spark: SparkSession, path: str, date, fmt: str | None = None,
+                   require_rows: bool = True) -> DataFrame:
+    """One day of the clean zone; an empty day is an error by default
+    (the pipeline may be down)."""
+    from ..sources.streams import read_zone
+    day = clean_day(read_zone(spark, path, fmt), date)
+    if require_rows and day.isEmpty():
+        raise ValueError(f"No data found for {date} - pipeline may be down.")
+    return day
+
+
 def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
            window_hours: float | None = 48, threshold: float = 0.85, retrain: bool = False,
            dry_run: bool = False, as_of=None, norm: str = "batch",

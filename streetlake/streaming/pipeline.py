@@ -68,6 +68,24 @@ def write_zone(df: DataFrame, path: str, checkpoint: str, trigger: str | None =
     return _trigger(w, trigger, available_now).start()
 
 
+def write_raw(df: DataFrame, path: str, checkpoint: str, trigger: str | None = RAW_TRIGGER,
+              **kw) -> StreamingQuery:
+    """K1: raw zone append (5 s trigger by default)."""
+    return write_zone(df, path, checkpoint, trigger, **kw)
+
+
+def write_clean(df: DataFrame, path: str, checkpoint: str, trigger: str | None = CLEAN_TRIGGER,
+                **kw) -> StreamingQuery:
+    """K2: clean zone append, partitioned by event_date / event_hour."""
+    return write_zone(df, path, checkpoint, trigger, partition_by=["event_date", "event_hour"], **kw)
+
+
+def write_analytics(df: DataFrame, path: str, checkpoint: str, trigger: str | None = ANALYTICS_TRIGGER,
+                    **kw) -> StreamingQuery:
+    """K3: analytics zone append, partitioned by window_date (30 s trigger)."""
+    return write_zone(df, path, checkpoint, trigger, partition_by=["window_date"], **kw)
+
+
 def raw_stream(records: DataFrame) -> DataFrame:
     """Raw zone content: decoded events plus broker columns and the original text."""
     return decode_events(records, keep_value=True)
@@ -102,14 +120,14 @@ def run_pipeline(spark: SparkSession, source: Callable[[], DataFrame], base: str
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     z = ZonePaths(base)
     fmt = fmt or zone_format(spark)
-    q_raw = write_zone(raw_stream(source()), z.raw, z.checkpoint("raw"), triggers[0],
-                       fmt=fmt, available_now=available_now)
+    q_raw = write_raw(raw_stream(source()), z.raw, z.checkpoint("raw"), triggers[0],
+                      fmt=fmt, available_now=available_now)
     clean = clean_stream(raw_stream(source()), dedup=dedup)
-    q_clean = write_zone(clean, z.clean, z.checkpoint("clean"), triggers[1],
-                         partition_by=["event_date", "event_hour"], fmt=fmt, available_now=available_now)
+    q_clean = write_clean(clean, z.clean, z.checkpoint("clean"), triggers[1],
+                          fmt=fmt, available_now=available_now)
     analytics = analytics_stream(clean_stream(raw_stream(source()), dedup=dedup))
-    q_agg = write_zone(analytics, z.analytics, z.checkpoint("analytics"), triggers[2],
-                       partition_by=["window_date"], fmt=fmt, available_now=available_now)
+    q_agg = write_analytics(analytics, z.analytics, z.checkpoint("analytics"), triggers[2],
+                            fmt=fmt, available_now=available_now)
     return [q_raw, q_clean, q_agg]
 
 

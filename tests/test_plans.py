@@ -63,3 +63,16 @@ def test_peak_hour_ties_take_earliest_and_empty_availability(spark):
     assert peak == [3]
     empty = TB.clean(spark, SF001).filter(F.lit(False))
     assert S.availability(empty).count() == 0
+
+
+def test_read_clean_window_and_day(spark, tmp_path):
+    import pytest
+    from streetlake.plans.detect import read_clean, read_clean_day
+    path = str(tmp_path / "clean")
+    TB.clean(spark, SF001).write.partitionBy("event_date", "event_hour").parquet(path)
+    w = read_clean(spark, path, as_of=dt.datetime(2024, 1, 20, 12), window_hours=48,
+                   columns=["camera_id", "event_ts"], fmt="parquet")
+    assert w.columns == ["camera_id", "event_ts"] and w.count() > 0
+    assert read_clean_day(spark, path, "2024-01-15", fmt="parquet").count() > 0
+    with pytest.raises(ValueError):
+        read_clean_day(spark, path, "2030-01-01", fmt="parquet")
