@@ -26,8 +26,14 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kafka-shaped records (JSON value) as a producer would send them."""
-    return to_wire(raw(spark, sf_dir))
+    """Kafka-shaped records (JSON value) as a producer would send them.
+
+    JSON rendering and parsing are the CPU-heavy per-row work here, so an
+    input that arrives as fewer partitions than cores (one small file) is
+    spread first; a large, well-partitioned input is left as is.
+    """
+    from ..operators.joins import spread
+    return to_wire(traffic_raw(spread(table(spark, sf_dir, "events"))))
 
 
 def decoded(spark: SparkSession, sf_dir: str, keep_value: bool = False) -> DataFrame:
