@@ -11,6 +11,9 @@ from ..operators.iforest import ForestModel, fit_forest, score_events
 from ..schema import FEATURE_COLS
 
 
+DETECT_COLS = ["event_id", "kafka_offset", "camera_id", "event_ts", "accident_detected"] + FEATURE_COLS
+
+
 def recent_window(clean: DataFrame, as_of=None, window_hours: float | None = 48) -> DataFrame:
     """Rows of the last ``window_hours`` before as_of.
 
@@ -62,7 +65,10 @@ def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
     Returns the alert records, or None when the window holds no rows.  With
     ``dry_run`` nothing is written (neither the model nor alerts).
     """
-    scan = recent_window(clean, as_of, window_hours).dropna(subset=FEATURE_COLS)
+    # only what fitting, scoring and alert records need: the Parquet scan
+    # prunes the rest, and the persisted scores stay narrow
+    scan = (recent_window(clean, as_of, window_hours).dropna(subset=FEATURE_COLS)
+            .select(*[c for c in DETECT_COLS if c in clean.columns]))
     model = None if retrain else ForestModel.load(spark, model_path)
     if model is None:
         # a saved model is calibrated so streams can score with norm="model"
