@@ -45,8 +45,8 @@ def latest_per_camera(clean: DataFrame, as_of=None, minutes: float | None = 5,
                       cols=LIVE_COLS) -> DataFrame:
     """Newest row per camera within the look-back (ties: larger event_id).
 
-    ``max_by`` is a partial aggregate: no sort, no window, and a hot camera
-    is combined map-side instead of landing whole in one task.
+    ``max_by`` is a two-phase aggregate (no window function): a hot camera is
+    combined map-side instead of landing whole in one task.
     """
     recent = _window(clean, as_of, minutes)
     rest = [c for c in cols if c != "camera_id"]
