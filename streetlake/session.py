@@ -69,3 +69,30 @@ def cut_lineage(df):
         return df
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``streetlake`` importable in every Python worker (once per context).
+
+    The Arrow UDFs (forest build and scoring) are defined in this package, so
+    executors must import it.  The package is zipped and added with
+    ``addPyFile`` (what ``--py-files`` does), which Spark distributes to all
+    executors; the zip on the driver is only the staging copy.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_streetlake_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    stage = tempfile.mkdtemp(prefix="streetlake-pyfiles-")
+    zpath = os.path.join(stage, "streetlake.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    sc._streetlake_shipped = True

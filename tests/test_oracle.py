@@ -23,3 +23,26 @@ def test_entry_smoke(spark):
 def test_entry_registry_has_oracle(name):
     import __spark_entry__ as E
     assert name in E.queries() and name in E.oracle_sql()
+
+
+def test_entry_module_loads_from_any_directory(tmp_path):
+    """The driver may load __spark_entry__.py by path from another folder with
+    a plain session: the package must reach the Python workers (forest UDFs)."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import importlib.util\n"
+        f"spec = importlib.util.spec_from_file_location('e', {os.path.join(repo, '__spark_entry__.py')!r})\n"
+        "m = importlib.util.module_from_spec(spec); spec.loader.exec_module(m)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "s.sparkContext.setLogLevel('ERROR')\n"
+        "assert m.entry(s).count() > 0\n"
+        "assert m.queries()['forest_scores'](s, '/root/testdata/sf0.001').count() > 0\n"
+        "print('OK')\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0 and "OK" in out.stdout, out.stderr[-2000:]
