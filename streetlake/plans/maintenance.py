@@ -18,18 +18,30 @@ from ..sources.streams import has_delta
 
 
 def compact_frame(df: DataFrame, partition_cols=("event_date",), sort_cols=("camera_id", "event_ts"),
-                  spread: int = 8) -> DataFrame:
-    """Lay rows out for compaction: each partition value spread over at most
-    ``spread`` writer tasks (a hot day is split, not funnelled into one task),
-    rows sorted so Parquet min/max statistics skip row groups on camera/time."""
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-    return (df.repartition(*[F.col(c) for c in partition_cols], salt)
-            .sortWithinPartitions(*partition_cols, *sort_cols))
+                  rows_per_file: int = 1_000_000) -> DataFrame:
+    """Lay rows out for compaction: about ``rows_per_file`` rows per output file.
+
+    A small aggregate counts rows per partition value (one row per day); each
+    value gets ``ceil(rows / rows_per_file)`` writer slots, so a small day
+    becomes one file and a hot day is split over several tasks instead of
+    being funnelled into one.  Rows are sorted by camera/time inside each file
+    so Parquet min/max statistics skip row groups.
+    """
+    from ..operators.joins import attach_small
+    keys = list(partition_cols)
+    slots = (df.groupBy(*keys).count()
+             .select(*keys, F.greatest(F.lit(1), F.ceil(F.col("count") / rows_per_file)).cast("int").alias("_slots")))
+    keyed = attach_small(df, slots, keys, "inner")
+    n_slots = slots.agg(F.sum("_slots")).first()[0] or 1
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_slots"))
+    return (keyed.repartition(max(int(n_slots), 1), *[F.col(c) for c in keys], salt)
+            .drop("_slots")
+            .sortWithinPartitions(*keys, *sort_cols))
 
 
 def compact_zone(spark: SparkSession, src: str, dst: str, partition_cols=("event_date",),
-                 closed_before=None, sort_cols=("camera_id", "event_ts"), spread: int = 8,
-                 max_records_per_file: int = 5_000_000) -> str:
+                 closed_before=None, sort_cols=("camera_id", "event_ts"),
+                 rows_per_file: int = 1_000_000) -> str:
     """K8: rewrite (closed) partitions of ``src`` into generation folder ``dst``.
 
     Only partitions with ``partition_cols[0] < closed_before`` are taken when
@@ -42,8 +54,8 @@ def compact_zone(spark: SparkSession, src: str, dst: str, partition_cols=("event
     df = spark.read.parquet(src)
     if closed_before is not None:
         df = df.filter(F.col(partition_cols[0]) < F.lit(str(closed_before)).cast("date"))
-    (compact_frame(df, partition_cols, [c for c in sort_cols if c in df.columns], spread)
-     .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+    (compact_frame(df, partition_cols, [c for c in sort_cols if c in df.columns], rows_per_file)
+     .write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
      .partitionBy(*partition_cols).parquet(dst))
     return dst
 
