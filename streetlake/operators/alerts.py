@@ -32,8 +32,14 @@ def baselines(df: DataFrame) -> DataFrame:
             .agg(X.mean_of("vehicle_count", integral=True).alias("baseline_vehicle_count")))
 
 
-def with_baseline(df: DataFrame, base: DataFrame) -> DataFrame:
-    """Left join of the per-camera baseline (size-checked broadcast)."""
+def with_baseline(df: DataFrame, base: DataFrame, checked: bool = False) -> DataFrame:
+    """Left join of the per-camera baseline (size-checked broadcast).
+
+    ``checked=True`` when ``base`` already passed ``attach_small``'s check
+    (e.g. once before a stream starts), so it is broadcast without another.
+    """
+    if checked:
+        return df.join(F.broadcast(base), "camera_id", "left")
     return attach_small(df, base, "camera_id", "left")
 
 
@@ -90,24 +96,55 @@ def alert_records(classified: DataFrame) -> DataFrame:
         "pct_above_baseline", "event_id")
 
 
-def build_alerts(scored: DataFrame, base: DataFrame, threshold: float = 0.85, **kw) -> DataFrame:
+def build_alerts(scored: DataFrame, base: DataFrame, threshold: float = 0.85,
+                 base_checked: bool = False, **kw) -> DataFrame:
     """Anomalies (score >= threshold) -> baseline -> classification -> records."""
     anomalies = scored.filter(F.col("anomaly_score") >= threshold)
-    return alert_records(classify(with_baseline(anomalies, base), **kw))
+    return alert_records(classify(with_baseline(anomalies, base, base_checked), **kw))
 
 
-def append_new_alerts(alerts: DataFrame, existing: DataFrame | None) -> DataFrame:
+def append_new_alerts(alerts: DataFrame, existing: DataFrame | None,
+                      time_bounded: bool = False) -> DataFrame:
     """Insert-if-absent by alert_id (batch de-duplicated first).
 
     Rows sharing an alert_id come from re-deliveries of one event and are
     identical, so keeping any one of them is deterministic.
+
+    ``time_bounded``: an alert id embeds its event time (= created_at), so
+    only existing alerts inside the new batch's created_at range can collide;
+    the existing table is read for that range only (partition-pruned on
+    ``created_date`` when the table is laid out by ``write_alerts``), instead
+    of anti-joining against the whole, ever-growing table.
     """
     fresh = alerts.dropDuplicates(["alert_id"])
     if existing is None:
         return fresh
+    if time_bounded:
+        lo, hi = fresh.agg(F.min("created_at"), F.max("created_at")).first()
+        if lo is None:
+            return fresh
+        existing = existing.filter(F.col("created_at").between(F.lit(lo), F.lit(hi)))
+        if "created_date" in existing.columns:
+            existing = existing.filter(F.col("created_date").between(F.lit(lo).cast("date"),
+                                                                     F.lit(hi).cast("date")))
     return fresh.join(existing.select("alert_id"), "alert_id", "left_anti")
 
 
+def write_alerts(alerts: DataFrame, path: str) -> None:
+    """K4: append alerts to the alerts table, laid out by ``created_date``."""
+    (alerts.withColumn("created_date", F.to_date("created_at"))
+     .write.mode("append").partitionBy("created_date").parquet(path))
+
+
+def append_alerts_table(spark, alerts: DataFrame, path: str) -> None:
+    """K4: insert-if-absent into the alerts table at ``path`` (re-run safe)."""
+    try:
+        existing = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001  (first run: no table yet)
+        existing = None
+    write_alerts(append_new_alerts(alerts, existing, time_bounded=True), path)
+
+
 def alerts_with_ack(alerts: DataFrame, acks: DataFrame) -> DataFrame:
     """Alerts with ``acknowledged`` / ``acknowledged_at`` from an ack log
     (alert_id, acked_at); the earliest ack of an id wins."""

@@ -540,7 +540,7 @@ def q_new_alerts_only(spark, sf_dir):
     run = TB.standin_alerts(spark, sf_dir)
     existing = A.append_new_alerts(
         run.filter(F.col("created_at") < X.ts_value(now) - F.expr("INTERVAL 7 DAYS")), None)
-    return A.append_new_alerts(run, existing)
+    return A.append_new_alerts(run, existing, time_bounded=True)
 
 
 @register("alert_topic_rows", O.with_adapter(*_ALERTS_SQL[:7], body=(

@@ -84,9 +84,5 @@ def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
     # batch normalisation these are read from the persisted scores, not re-scanned
     alerts = A.build_alerts(scored, A.baselines(scored), threshold=threshold)
     if alerts_path and not dry_run:
-        try:
-            existing = spark.read.parquet(alerts_path)
-        except Exception:  # noqa: BLE001  (first run: no table yet)
-            existing = None
-        A.append_new_alerts(alerts, existing).write.mode("append").parquet(alerts_path)
+        A.append_alerts_table(spark, alerts, alerts_path)
     return alerts

@@ -180,15 +180,16 @@ def score_stream(clean: DataFrame, model: ForestModel, alerts_path: str, checkpo
     """Score each micro-batch (model-fixed normalisation) and append only
     alerts whose id is not in the table yet (re-run safe)."""
     spark = clean.sparkSession
+    # the static baselines are checked once, not in every micro-batch
+    from ..operators.joins import MAX_BROADCAST_ROWS
+    from ..session import cut_lineage
+    base = cut_lineage(baselines)
+    checked = base.count() <= MAX_BROADCAST_ROWS
 
     def each(batch: DataFrame, batch_id: int) -> None:
         scored = score_events(batch, model, norm="model")
-        alerts = A.build_alerts(scored, baselines, threshold=threshold)
-        try:
-            existing = spark.read.parquet(alerts_path)
-        except Exception:  # noqa: BLE001  (first batch)
-            existing = None
-        A.append_new_alerts(alerts, existing).write.mode("append").parquet(alerts_path)
+        alerts = A.build_alerts(scored, base, threshold=threshold, base_checked=checked)
+        A.append_alerts_table(spark, alerts, alerts_path)
 
     w = clean.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger, available_now).start()
