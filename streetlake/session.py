@@ -21,14 +21,39 @@ SESSION_DEFAULTS = {
 }
 
 
+# Settings for a large cluster (hundreds of executors, tens of TB per job).
+# Shuffles start wide and AQE coalesces them to ~256 MB partitions, so no
+# reduce task has to hold a large slice of a day's data; skewed joins are
+# split; file splits match the partition size; streaming state lives in
+# RocksDB (off-heap, spills to local disk).
+CLUSTER_PROFILE = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str | None = None, app: str = "streetlake",
                   shuffle_partitions: int | None = None,
-                  extra: dict | None = None) -> SparkSession:
-    """Create (or reuse) a session with the package defaults applied."""
+                  extra: dict | None = None, profile: str | None = None) -> SparkSession:
+    """Create (or reuse) a session with the package defaults applied.
+
+    ``profile="cluster"`` adds ``CLUSTER_PROFILE`` (explicit arguments win).
+    """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    for k, v in SESSION_DEFAULTS.items():
+    settings = dict(SESSION_DEFAULTS)
+    if profile == "cluster":
+        settings.update(CLUSTER_PROFILE)
+    for k, v in settings.items():
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
