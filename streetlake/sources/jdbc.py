@@ -51,3 +51,19 @@ def jdbc_batch_writer(url: str, table: str, **kw):
     def write(batch: DataFrame, batch_id: int) -> None:
         write_jdbc(batch, url, table, **kw)
     return write
+
+
+def append_new_jdbc(spark: SparkSession, df: DataFrame, url: str, table: str, key: str,
+                    key_query: str | None = None, **kw) -> DataFrame:
+    """Insert-if-absent into a database table (the ON CONFLICT DO NOTHING case).
+
+    The table's existing keys are read over JDBC (optionally restricted by
+    ``key_query``, e.g. a time range, so the read stays small), the batch is
+    anti-joined on ``key`` and only new rows are appended.  Returns the rows
+    written.  Concurrent writers still need the table's unique constraint.
+    """
+    src = key_query or f"(SELECT {key} FROM {table}) existing_keys"
+    keys = jdbc_table(spark, url, src, **{k: v for k, v in kw.items() if k in ("user", "password", "driver")})
+    fresh = df.dropDuplicates([key]).join(keys.select(key), key, "left_anti")
+    write_jdbc(fresh, url, table, **kw)
+    return fresh
