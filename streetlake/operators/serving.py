@@ -66,7 +66,9 @@ def platform_summary(clean: DataFrame, alerts: DataFrame, registry: DataFrame |
                      as_of=None) -> DataFrame:
     """V2: one-row KPI summary for the as_of day.
 
-    Alert and registry counts enter as scalar subqueries (no cross join).
+    Alert, registry and availability counts enter as scalar subqueries (no
+    cross join).  ``pipeline_sla_pct`` is data-derived: the percentage of
+    (registry camera, minute) cells of the day so far that have an event.
     """
     now = X.ts_value(as_of)
     reg = registry if registry is not None else camera_registry(clean.sparkSession)
@@ -75,6 +77,10 @@ def platform_summary(clean: DataFrame, alerts: DataFrame, registry: DataFrame |
               .agg(F.count(F.lit(1))).scalar())
     total_cams = reg.agg(F.count(F.lit(1))).scalar()
     today = clean.filter(F.col("event_date") == F.to_date(now))
+    # SLA: share of (registry camera, minute) cells of the day so far with data
+    cells = (today.join(F.broadcast(reg.select("camera_id")), "camera_id", "left_semi")
+             .agg(F.count_distinct("camera_id", F.date_trunc("minute", "event_ts"))).scalar())
+    minutes_so_far = F.hour(now) * 60 + F.minute(now) + 1
     return today.agg(
         F.count(F.lit(1)).alias("total_events_today"),
         F.count_distinct("camera_id").alias("active_cameras"),
@@ -87,7 +93,9 @@ def platform_summary(clean: DataFrame, alerts: DataFrame, registry: DataFrame |
         F.round(F.coalesce(F.col("_spd"), F.lit(0.0)), 1).alias("avg_speed_kmh"),
         F.round(F.coalesce(F.col("_score"), F.lit(0.0)), 1).alias("avg_congestion_score"),
         active.alias("active_anomalies"),
+        F.round(F.lit(100.0) * cells / (total_cams * minutes_so_far), 1).alias("pipeline_sla_pct"),
         F.round(F.col("_eps").cast("double"), 1).alias("events_per_second"),
+        now.alias("last_updated"),
     )
 
 

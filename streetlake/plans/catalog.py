@@ -303,8 +303,13 @@ _ALERTS_SQL = (
     f"{O.rnd('coalesce(' + O.mean('congestion_score') + ', cast(0.0 as double))', 1)} AS avg_congestion_score, "
     "(SELECT count(*) FROM alerts_tbl a, nowt n WHERE a.created_at >= n.now - INTERVAL 60 MINUTE "
     "AND a.created_at <= n.now AND (a.acknowledged_at IS NULL OR a.acknowledged_at > n.now)) AS active_anomalies, "
-    f"{O.rnd('cast(count_if(event_ts >= nowt.now - INTERVAL 1 SECOND) as double)', 1)} AS events_per_second "
-    "FROM clean, nowt WHERE event_date = cast(nowt.now as date)")))
+    + O.rnd("cast(100.0 as double) * (SELECT count(*) FROM (SELECT DISTINCT c.camera_id, "
+            "date_trunc('minute', c.event_ts) FROM clean c JOIN registry r ON c.camera_id = r.camera_id, nowt n "
+            "WHERE c.event_date = cast(n.now as date))) / ((SELECT count(*) FROM registry) * "
+            "(hour(nowt.now) * 60 + minute(nowt.now) + 1))", 1) + " AS pipeline_sla_pct, "
+    f"{O.rnd('cast(count_if(event_ts >= nowt.now - INTERVAL 1 SECOND) as double)', 1)} AS events_per_second, "
+    "nowt.now AS last_updated "
+    "FROM clean, nowt WHERE event_date = cast(nowt.now as date) GROUP BY nowt.now")))
 def q_platform_summary(spark, sf_dir):
     """V2: KPI row for the as_of day."""
     c, now = _clean_now(spark, sf_dir)
