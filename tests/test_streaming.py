@@ -230,3 +230,15 @@ def test_chained_zones_read_source_once(spark, lines, tmp_path):
     assert spark.read.parquet(base + "/clean").count() == clean.count()
     got = spark.read.parquet(base + "/analytics").drop("agg_ts", "window_date")
     assert _same(got.select(*expected.columns), expected)
+
+
+def test_progress_rows_from_finished_queries(spark, lines, tmp_path):
+    from streetlake.streaming.health import progress_rows
+    src = str(tmp_path / "src")
+    _write(src, 0, lines[:50])
+    qs = run_pipeline(spark, lambda: file_source(spark, src, max_files=1), str(tmp_path / "zones"),
+                      available_now=True, fmt="parquet")
+    await_all(qs)
+    rows = progress_rows(qs)
+    assert len(rows) == 3 and all(r[1] == "stopped" for r in rows)
+    assert all("rows" in r[3] for r in rows)
