@@ -23,9 +23,15 @@ def attach_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     """
     if big.isStreaming or small.isStreaming:
         return big.join(small, on, how)
-    small = cut_lineage(small)
-    n = small.count()
-    if n <= max_rows:
+    return join_counted(big, cut_lineage(small), on, how, max_rows)
+
+
+def join_counted(big: DataFrame, small: DataFrame, on, how: str = "left",
+                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Join an already materialised (checkpointed) ``small``: count it (cheap,
+    it is read back from the checkpoint) and broadcast only within
+    ``max_rows``; otherwise a shuffled join, with the broadcast hint withheld."""
+    if small.count() <= max_rows:
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
 

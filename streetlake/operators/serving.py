@@ -15,6 +15,7 @@ from ..functions import exprs as X
 from ..functions.registry import camera_registry
 from ..session import cut_lineage
 from .enrich import with_zone
+from .joins import join_counted
 
 LIVE_COLS = ["camera_id", "location", "vehicle_count", "average_speed", "congestion_score",
              "congestion_level", "accident_detected", "event_ts"]
@@ -236,7 +237,8 @@ def availability(clean: DataFrame, registry: DataFrame | None = None) -> DataFra
     days = (F.sequence(F.lit(lo), F.lit(hi), F.expr("INTERVAL 1 DAY")) if lo is not None
             else F.array().cast("array<date>"))
     spine = reg.select("camera_id", "zone", F.explode(days).alias("event_date"))
-    out = spine.join(seen, ["camera_id", "event_date"], "left")
+    # seen grows with the time span: broadcast only behind its row count
+    out = join_counted(spine, seen, ["camera_id", "event_date"], "left")
     m = F.coalesce(F.col("minutes_with_data"), F.lit(0).cast("long"))
     return out.select("event_date", "camera_id", "zone", m.alias("minutes_with_data"),
                       F.lit(1440).alias("expected_minutes"), (m / F.lit(1440)).alias("availability"))
