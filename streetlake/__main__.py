@@ -5,6 +5,7 @@ detect       score the clean zone and append alerts (window, threshold, retrain,
 daily-close  DQ gate -> daily summary -> refit -> compaction -> report (JSON)
 compact      rewrite closed partitions of a zone into a new generation
 vacuum       drop old, non-current zone generations
+endpoint     the operational API's queries over stored zones (live, summary, ...)
 query        run a registered query over a scale-factor folder and print rows
 """
 
@@ -76,6 +77,47 @@ def cmd_vacuum(spark, a):
     return 0
 
 
+def cmd_endpoint(spark, a):
+    """The operational API's endpoints as queries over stored zones."""
+    from .operators import serving as S
+    from .operators.alerts import alerts_with_ack
+    from .sources.streams import read_zone
+    from .streaming.health import zone_freshness
+    from pyspark.sql import functions as F
+    clean = read_zone(spark, a.clean) if a.clean else None
+
+    def alerts():
+        t = spark.read.parquet(a.alerts)
+        if a.acks:
+            t = alerts_with_ack(t, spark.read.parquet(a.acks))
+        elif "acknowledged_at" not in t.columns:
+            t = t.withColumn("acknowledged_at", F.lit(None).cast("timestamp"))
+        return t
+
+    name = a.name
+    if name == "live":
+        df = S.live_metrics(clean, as_of=a.as_of, minutes=a.minutes, camera_id=a.camera_id)
+    elif name == "summary":
+        df = S.platform_summary(clean, alerts(), as_of=a.as_of)
+    elif name == "cameras":
+        df = S.cameras_status(clean, as_of=a.as_of, minutes=a.minutes)
+    elif name == "camera":
+        df = S.camera_detail(clean, as_of=a.as_of, camera_id=a.camera_id, minutes=a.minutes)
+    elif name == "alerts":
+        df = S.recent_alerts(alerts(), severity=a.severity, limit=a.limit)
+    elif name == "hourly":
+        df = S.hourly_profile(clean, date=a.date, camera_id=a.camera_id)
+    elif name == "health":
+        zones = {z: read_zone(spark, f"{a.base}/{z}") for z in ("raw", "clean")}
+        zones["analytics"] = read_zone(spark, f"{a.base}/analytics").withColumnRenamed("window_end", "event_ts")
+        df = zone_freshness(zones, as_of=a.as_of)
+    else:
+        raise SystemExit(f"unknown endpoint {name}")
+    for row in df.limit(a.limit).collect():
+        print(json.dumps(row.asDict(), default=str))
+    return 0
+
+
 def cmd_query(spark, a):
     from .plans.catalog import queries
     df = queries()[a.name](spark, a.sf_dir)
@@ -135,6 +177,19 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--retain-hours", type=float, default=168)
     v.add_argument("--keep", nargs="*")
 
+    e = sub.add_parser("endpoint", help="live | summary | cameras | camera | alerts | hourly | health")
+    e.add_argument("name", choices=["live", "summary", "cameras", "camera", "alerts", "hourly", "health"])
+    e.add_argument("--clean")
+    e.add_argument("--alerts")
+    e.add_argument("--acks", help="ack log (alert_id, acked_at) joined onto the alerts")
+    e.add_argument("--base", help="zone base folder (health)")
+    e.add_argument("--as-of")
+    e.add_argument("--minutes", type=float, default=5)
+    e.add_argument("--camera-id")
+    e.add_argument("--severity")
+    e.add_argument("--date")
+    e.add_argument("--limit", type=int, default=50)
+
     q = sub.add_parser("query")
     q.add_argument("name")
     q.add_argument("--sf-dir", default="/root/testdata/sf0.01")
@@ -143,7 +198,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"stream": cmd_stream, "detect": cmd_detect, "daily-close": cmd_daily_close,
-            "compact": cmd_compact, "vacuum": cmd_vacuum, "query": cmd_query}
+            "compact": cmd_compact, "vacuum": cmd_vacuum, "endpoint": cmd_endpoint, "query": cmd_query}
 
 
 def main(argv=None, spark=None) -> int:
