@@ -4,688 +4,14 @@ Each entry is ``name -> (spark_fn(spark, sf_dir) -> DataFrame, oracle_sql or Non
 All queries read the scale-factor folder's ``events`` table through the fixture
 adapter; none runs on made-up input.  Columns are aliased identically on both
 sides.  Processing-time columns (pipeline_ts, agg_ts, created_at of summaries)
-are not part of registered outputs.
+are not part of registered outputs.  The queries live in ``queries_ingest``,
+``queries_serving`` and ``queries_tables``; importing them fills the registry.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..functions import exprs as X
-from ..functions.registry import upsert_registry
-from ..operators import alerts as A
-from ..operators import daily as D
-from ..operators import quality as Q
-from ..operators import serving as S
-from ..operators import windows as W
-from ..schema import RAW_FIELDS
-from . import oracle as O
-from . import tables as TB
-
-QueryFn = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
-
-
-def register(name: str, sql: str | None):
-    def deco(fn: QueryFn) -> QueryFn:
-        REGISTRY[name] = (fn, sql)
-        return fn
-    return deco
-
-
-RAW_COLS = ", ".join(RAW_FIELDS)
-CLEAN_OUT = RAW_FIELDS + ["speed_index", "congestion_category", "is_peak_hour",
-                          "event_date", "event_hour"]
-
-# --- SQL twins of the contract rules (independent spec for the oracle) ---------
-RULE_SQL = {
-    "camera_id_missing": "camera_id IS NULL",
-    "camera_id_pattern": "camera_id IS NOT NULL AND NOT regexp_matches(camera_id, '^CAM_\\d{2}$')",
-    "event_ts_invalid": "event_ts IS NULL",
-    "location_missing": "location IS NULL",
-    "latitude_range": "NOT coalesce(latitude BETWEEN -90 AND 90, false)",
-    "longitude_range": "NOT coalesce(longitude BETWEEN -180 AND 180, false)",
-    "vehicle_count_range": "NOT coalesce(vehicle_count BETWEEN 0 AND 2000, false)",
-    "average_speed_range": "NOT coalesce(average_speed BETWEEN 0 AND 200, false)",
-    "congestion_level_enum": "NOT coalesce(congestion_level IN ('LOW','MEDIUM','HIGH','CRITICAL'), false)",
-    "congestion_score_range": "NOT coalesce(congestion_score BETWEEN 0 AND 100, false)",
-    "critical_below_min_score": "coalesce(congestion_level = 'CRITICAL' AND congestion_score < 75, false)",
-    "pedestrian_count_range": "coalesce(pedestrian_count < 0, false)",
-    "heavy_vehicle_pct_range": "coalesce(NOT (heavy_vehicle_pct BETWEEN 0 AND 100), false)",
-}
-
-
-# ============================================================================
-# Ingest, validation, enrichment
-# ============================================================================
-
-@register("decode_events", O.with_adapter(body=f"SELECT {RAW_COLS} FROM traffic_raw"))
-def q_decode_events(spark, sf_dir):
-    """Kafka-shaped JSON records -> typed raw events."""
-    return TB.decoded(spark, sf_dir, keep_value=False)
-
-
-@register("validate_events", O.with_adapter(
-    body=f"SELECT {RAW_COLS} FROM traffic_raw WHERE camera_id IS NOT NULL "
-         "AND vehicle_count BETWEEN 0 AND 2000 AND average_speed BETWEEN 0 AND 200 "
-         "AND congestion_score BETWEEN 0 AND 100 AND event_ts IS NOT NULL "
-         "AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180"))
-def q_validate_events(spark, sf_dir):
-    """Q1: validity filter over the raw zone."""
-    return Q.validate(TB.raw(spark, sf_dir))
-
-
-@register("contract_violations", O.with_adapter(body="\nUNION ALL\n".join(
-    f"SELECT event_id, kafka_offset, '{r}' AS rule FROM traffic_raw WHERE {c}"
-    for r, c in RULE_SQL.items())))
-def q_contract_violations(spark, sf_dir):
-    """Q2: one row per (delivered event, failed contract rule)."""
-    v = Q.violations(TB.raw(spark, sf_dir))
-    return v.select("event_id", "kafka_offset", F.explode("violations").alias("rule"))
-
-
-def _reject_sql() -> str:
-    flags = ", ".join(f"({c}) AS {r}" for r, c in RULE_SQL.items())
-    any_c = " OR ".join(f"({c})" for c in RULE_SQL.values())
-    parts = [f"SELECT '{r}' AS rule, cast(count_if({r}) as bigint) AS rejected_rows, count(*) AS total_rows "
-             "FROM flags" for r in RULE_SQL]
-    parts.append("SELECT 'any' AS rule, cast(count_if(any_bad) as bigint) AS rejected_rows, "
-                 "count(*) AS total_rows FROM flags")
-    return O.with_adapter(
-        f"flags AS (SELECT {flags}, ({any_c}) AS any_bad FROM traffic_raw)",
-        f"u AS ({' UNION ALL '.join(parts)})",
-        body="SELECT rule, rejected_rows, total_rows, rejected_rows / total_rows AS reject_rate FROM u")
-
-
-@register("reject_stats", _reject_sql())
-def q_reject_stats(spark, sf_dir):
-    """Q3: per-rule reject counts and rate."""
-    return Q.reject_stats(TB.raw(spark, sf_dir))
-
-
-@register("quarantine_events", O.with_adapter(
-    body=f"SELECT {RAW_COLS} FROM traffic_raw WHERE " + " OR ".join(f"({c})" for c in RULE_SQL.values())))
-def q_quarantine(spark, sf_dir):
-    """Q3: the quarantined side of the good/bad split."""
-    _, bad = Q.split_quarantine(TB.raw(spark, sf_dir))
-    return bad.drop("violations")
-
-
-@register("apply_defaults", O.with_adapter(body=(
-    "SELECT event_id, kafka_offset, coalesce(accident_detected, false) AS accident_detected, "
-    "coalesce(pedestrian_count, 0) AS pedestrian_count, "
-    "coalesce(heavy_vehicle_pct, cast(0.0 as double)) AS heavy_vehicle_pct, "
-    "coalesce(producer_version, '2.4.1') AS producer_version, coalesce(schema_version, '1.0') AS schema_version, "
-    f"{O.rnd('congestion_score', 2)} AS congestion_score FROM traffic_raw")))
-def q_apply_defaults(spark, sf_dir):
-    """Q4/Q5: contract defaults and the 2-dp score."""
-    d = Q.apply_defaults(TB.decoded(spark, sf_dir))
-    return d.select("event_id", "kafka_offset", "accident_detected", "pedestrian_count",
-                    "heavy_vehicle_pct", "producer_version", "schema_version", "congestion_score")
-
-
-@register("enrich_events", O.with_adapter(body=(
-    f"SELECT {RAW_COLS}, {O.speed_index()} AS speed_index, congestion_category, is_peak_hour, "
-    "event_date, event_hour FROM clean")))
-def q_enrich_events(spark, sf_dir):
-    """The clean zone (validated + derived columns)."""
-    return TB.clean(spark, sf_dir).select(*CLEAN_OUT)
-
-
-# ============================================================================
-# Windows
-# ============================================================================
-
-def _window_sql(bucket: str, n_slides: int, width: str) -> str:
-    return O.with_adapter(
-        f"w AS (SELECT c.*, time_bucket(INTERVAL '{bucket}', event_ts) - (k.k * INTERVAL '{bucket}') AS window_start "
-        f"FROM clean c CROSS JOIN range({n_slides}) AS k(k))",
-        body=(
-            f"SELECT camera_id, location, window_start, window_start + INTERVAL '{width}' AS window_end, "
-            f"{O.imean('vehicle_count')} AS avg_vehicle_count, max(vehicle_count) AS max_vehicle_count, "
-            "min(vehicle_count) AS min_vehicle_count, "
-            f"{O.mean('average_speed')} AS avg_speed, min(average_speed) AS min_speed, "
-            f"{O.mean('congestion_score')} AS avg_congestion_score, max(congestion_score) AS max_congestion_score, "
-            f"{O.isum('cast(accident_detected as int)')} AS accident_count, count(*) AS event_count, "
-            "arg_min(congestion_category, row(event_ts, event_id)) AS congestion_category "
-            "FROM w GROUP BY camera_id, location, window_start"))
-
-
-@register("sliding_metrics", _window_sql("1 minute", 5, "5 minutes"))
-def q_sliding_metrics(spark, sf_dir):
-    """5-minute windows sliding by 1 minute per camera."""
-    return W.sliding_metrics(TB.clean(spark, sf_dir))
-
-
-@register("tumbling_metrics", _window_sql("1 hour", 1, "1 hour"))
-def q_tumbling_metrics(spark, sf_dir):
-    """Hourly tumbling windows per camera."""
-    return W.tumbling_metrics(TB.clean(spark, sf_dir), window="1 hour")
-
-
-# ============================================================================
-# Data quality
-# ============================================================================
-
-_DQ_RATES = (
-    "((count_if(camera_id IS NULL) / count(*) + count_if(vehicle_count IS NULL) / count(*)) "
-    "+ count_if(average_speed IS NULL) / count(*)) / 3 AS nr, "
-    "count_if(vehicle_count < 0 OR vehicle_count > 2000) / count(*) AS oor, "
-    "(count(*) - count(DISTINCT event_id) - max(cast(event_id IS NULL as int))) / count(*) AS dr")
-
-
-@register("dq_stats", O.with_adapter(
-    f"s AS (SELECT cast(event_ts as date) AS event_date, count(*) AS total, {_DQ_RATES} "
-    "FROM traffic_raw GROUP BY 1)",
-    body=(f"SELECT event_date, total, {O.rnd('nr', 4)} AS null_rate, {O.rnd('oor', 4)} AS out_of_range, "
-          f"{O.rnd('dr', 4)} AS dup_rate FROM s")))
-def q_dq_stats(spark, sf_dir):
-    """DQ statistics per event date of the raw zone."""
-    return Q.dq_stats(TB.raw(spark, sf_dir)).select(
-        "event_date", "total", "null_rate", "out_of_range", "dup_rate")
-
-
-@register("dq_gate", O.with_adapter(
-    f"s AS (SELECT cast(event_ts as date) AS event_date, count(*) AS total, {_DQ_RATES} "
-    "FROM traffic_raw GROUP BY 1)",
-    body=(f"SELECT event_date, total, {O.rnd('nr', 4)} AS null_rate, {O.rnd('oor', 4)} AS out_of_range, "
-          f"{O.rnd('dr', 4)} AS dup_rate, (nr + oor + dr) / 3 AS bad_pct, "
-          "CASE WHEN (nr + oor + dr) / 3 < 0.05 THEN 'quality_pass' ELSE 'quality_fail' END AS decision "
-          "FROM s")))
-def q_dq_gate(spark, sf_dir):
-    """A10: the DQ gate decision per event date of the raw zone."""
-    return Q.dq_gate(Q.dq_stats(TB.raw(spark, sf_dir)))
-
-
-def _z(c: str, mean: str, std: str) -> str:
-    return f"coalesce(abs(CASE WHEN {std} > 0 THEN ({c} - {mean}) / {std} ELSE 0.0 END) > 3, false)"
-
-
-@register("zscore_outliers", O.with_adapter(
-    "st AS (SELECT camera_id, "
-    f"{O.imean('vehicle_count')} AS vc_mean, {O.pop_std('vehicle_count', True)} AS vc_std, "
-    f"{O.mean('average_speed')} AS sp_mean, {O.pop_std('average_speed', False)} AS sp_std "
-    "FROM clean GROUP BY camera_id)",
-    "j AS (SELECT c.camera_id, "
-    f"{_z('c.vehicle_count', 'st.vc_mean', 'st.vc_std')} AS vo, "
-    f"{_z('c.average_speed', 'st.sp_mean', 'st.sp_std')} AS so "
-    "FROM clean c JOIN st ON c.camera_id = st.camera_id)",
-    "g AS (SELECT camera_id, count(*) AS events, cast(count_if(vo) as bigint) AS vehicle_outliers, "
-    "cast(count_if(so) as bigint) AS speed_outliers, cast(count_if(vo OR so) as bigint) AS outlier_rows "
-    "FROM j GROUP BY camera_id)",
-    body=("SELECT camera_id, events, vehicle_outliers, speed_outliers, outlier_rows, "
-          "outlier_rows / events AS outlier_rate, outlier_rows / events <= 0.05 AS zscore_pass FROM g")))
-def q_zscore_outliers(spark, sf_dir):
-    """Per-camera 3-sigma outlier share and gate."""
-    return Q.zscore_outliers(TB.clean(spark, sf_dir))
-
-
-@register("dedup_events", O.with_adapter(body=(
-    f"SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY event_id "
-    "ORDER BY kafka_ingest_ts NULLS FIRST, kafka_offset NULLS FIRST) AS rn FROM traffic_raw) WHERE rn = 1")))
-def q_dedup_events(spark, sf_dir):
-    """One row per event id, earliest ingest."""
-    return Q.dedup_events(TB.raw(spark, sf_dir))
-
-
-# ============================================================================
-# Serving queries (as_of = newest event time; 24 h look-back at this density)
-# ============================================================================
-
-LOOKBACK_MIN = 1440
-NOW_CTE = "nowt AS (SELECT max(event_ts) AS now FROM clean)"
-STATUS_SQL = ("CASE WHEN {s} >= 75 THEN 'critical' WHEN {s} >= 50 THEN 'high' "
-              "WHEN {s} >= 25 THEN 'medium' ELSE 'normal' END")
-CATEGORY_SQL = ("CASE WHEN {s} >= 75 THEN 'CRITICAL' WHEN {s} >= 50 THEN 'HIGH' "
-                "WHEN {s} >= 25 THEN 'MEDIUM' ELSE 'LOW' END")
-LATEST_CTE = (
-    "lt AS (SELECT * FROM (SELECT c.*, row_number() OVER (PARTITION BY camera_id "
-    "ORDER BY event_ts DESC, event_id DESC) AS rn FROM clean c, nowt "
-    f"WHERE c.event_ts >= nowt.now - INTERVAL {LOOKBACK_MIN} MINUTE AND c.event_ts <= nowt.now) WHERE rn = 1)")
-
-
-def _clean_now(spark, sf_dir):
-    c = TB.clean(spark, sf_dir)
-    return c, TB.as_of(c)
-
-
-@register("live_metrics", O.with_adapter(NOW_CTE, LATEST_CTE, body=(
-    "SELECT camera_id, location, vehicle_count, average_speed, congestion_score, congestion_level, "
-    f"accident_detected, event_ts, {STATUS_SQL.format(s='congestion_score')} AS status FROM lt")))
-def q_live_metrics(spark, sf_dir):
-    """Latest reading per camera in the look-back, with status."""
-    c, now = _clean_now(spark, sf_dir)
-    return S.live_metrics(c, as_of=now, minutes=LOOKBACK_MIN)
-
-
-_ALERTS_SQL = (
-    "feat AS (SELECT * FROM clean WHERE vehicle_count IS NOT NULL AND average_speed IS NOT NULL "
-    "AND congestion_score IS NOT NULL AND pedestrian_count IS NOT NULL AND heavy_vehicle_pct IS NOT NULL "
-    "AND event_hour IS NOT NULL)",
-    f"bl AS (SELECT camera_id, {O.imean('vehicle_count')} AS baseline_vehicle_count FROM feat GROUP BY camera_id)",
-    "scored AS (SELECT *, cast((cast(event_id as bigint) * 7919) % 1000 as double) / 1000 AS anomaly_score FROM feat)",
-    "anom AS (SELECT s.*, coalesce(b.baseline_vehicle_count, cast(100.0 as double)) AS b0 FROM scored s "
-    "LEFT JOIN bl b ON s.camera_id = b.camera_id WHERE s.anomaly_score >= 0.85)",
-    f"cls AS (SELECT *, {O.rnd('(cast(vehicle_count as double) - b0) / (b0 + cast(1.0 as double)) * cast(100.0 as double)', 1)} "
-    "AS pct_above_baseline FROM anom)",
-    "typed AS (SELECT *, CASE WHEN average_speed < 10 AND coalesce(accident_detected, false) THEN 'ACCIDENT' "
-    "WHEN pct_above_baseline >= 200 THEN 'TRAFFIC_SPIKE' WHEN average_speed < 10 THEN 'LOW_SPEED' "
-    "ELSE 'UNUSUAL_COUNT' END AS alert_type FROM cls)",
-    "recs AS (SELECT camera_id || '_' || cast(cast(floor(epoch(event_ts)) as bigint) as varchar) || '_' || alert_type "
-    "|| '_' || event_id AS alert_id, camera_id, alert_type, "
-    "CASE WHEN alert_type IN ('ACCIDENT', 'TRAFFIC_SPIKE') THEN 'CRITICAL' ELSE 'WARNING' END AS severity, "
-    f"{O.rnd('anomaly_score', 4)} AS anomaly_score, "
-    "CASE alert_type "
-    "WHEN 'ACCIDENT' THEN 'Accident pattern detected on ' || camera_id || '. Speed dropped to ' "
-    "|| cast(average_speed as varchar) || ' km/h with accident_detected=True.' "
-    "WHEN 'TRAFFIC_SPIKE' THEN 'Anomaly detected: ' || camera_id || ' has ' || cast(pct_above_baseline as varchar) "
-    "|| '% higher vehicle count than normal (' || cast(vehicle_count as varchar) || ' vs baseline ' "
-    "|| cast(cast(round_even(b0, 0) as bigint) as varchar) || ').' "
-    "WHEN 'LOW_SPEED' THEN camera_id || ' reporting critically low speed: ' || cast(average_speed as varchar) "
-    "|| ' km/h. Possible blockage.' "
-    "ELSE 'Unusual vehicle count on ' || camera_id || ': ' || cast(vehicle_count as varchar) "
-    "|| ' (anomaly score ' || printf('%.3f', anomaly_score) || ').' END AS message, "
-    f"event_ts AS created_at, {O.rnd('b0', 2)} AS baseline_vehicle_count, vehicle_count AS current_vehicle_count, "
-    "pct_above_baseline, event_id FROM typed)",
-    "atbl AS (SELECT *, CASE WHEN cast(event_id as bigint) % 5 = 0 THEN created_at + INTERVAL 1 HOUR END "
-    "AS acknowledged_at FROM (SELECT DISTINCT * FROM recs))",
-    "alerts_tbl AS (SELECT *, acknowledged_at IS NOT NULL AS acknowledged FROM atbl)",
-)
-
-
-@register("platform_summary", O.with_adapter(NOW_CTE, *_ALERTS_SQL, body=(
-    "SELECT count(*) AS total_events_today, count(DISTINCT camera_id) AS active_cameras, "
-    "(SELECT count(*) FROM registry) AS total_cameras, "
-    f"{O.rnd('coalesce(' + O.mean('average_speed') + ', cast(0.0 as double))', 1)} AS avg_speed_kmh, "
-    f"{O.rnd('coalesce(' + O.mean('congestion_score') + ', cast(0.0 as double))', 1)} AS avg_congestion_score, "
-    "(SELECT count(*) FROM alerts_tbl a, nowt n WHERE a.created_at >= n.now - INTERVAL 60 MINUTE "
-    "AND a.created_at <= n.now AND (a.acknowledged_at IS NULL OR a.acknowledged_at > n.now)) AS active_anomalies, "
-    + O.rnd("cast(100.0 as double) * (SELECT count(*) FROM (SELECT DISTINCT c.camera_id, "
-            "date_trunc('minute', c.event_ts) FROM clean c JOIN registry r ON c.camera_id = r.camera_id, nowt n "
-            "WHERE c.event_date = cast(n.now as date))) / ((SELECT count(*) FROM registry) * "
-            "(hour(nowt.now) * 60 + minute(nowt.now) + 1))", 1) + " AS pipeline_sla_pct, "
-    f"{O.rnd('cast(count_if(event_ts >= nowt.now - INTERVAL 1 SECOND) as double)', 1)} AS events_per_second, "
-    "nowt.now AS last_updated "
-    "FROM clean, nowt WHERE event_date = cast(nowt.now as date) GROUP BY nowt.now")))
-def q_platform_summary(spark, sf_dir):
-    """V2: KPI row for the as_of day."""
-    c, now = _clean_now(spark, sf_dir)
-    return S.platform_summary(c, TB.alerts_table(spark, sf_dir), TB.registry(spark), as_of=now)
-
-
-@register("hourly_profile", O.with_adapter(body=(
-    f"SELECT event_date, event_hour, {O.imean('vehicle_count')} AS avg_vehicle_count, "
-    f"max(vehicle_count) AS max_vehicle_count, {O.mean('average_speed')} AS avg_speed, "
-    f"{O.mean('congestion_score')} AS avg_congestion, count(*) AS event_count "
-    "FROM clean GROUP BY event_date, event_hour")))
-def q_hourly_profile(spark, sf_dir):
-    """V4/A3: hourly averages per day."""
-    return S.hourly_profile(TB.clean(spark, sf_dir))
-
-
-_CAMS_BODY = (
-    "SELECT r.camera_id, r.location, r.latitude, r.longitude, r.zone, true AS active, lt.vehicle_count, "
-    "lt.average_speed, lt.congestion_score, lt.event_ts, CASE WHEN lt.event_ts IS NULL THEN 'offline' ELSE "
-    + STATUS_SQL.format(s="lt.congestion_score") + " END AS status "
-    "FROM registry r LEFT JOIN lt ON r.camera_id = lt.camera_id")
-
-
-@register("cameras_status", O.with_adapter(NOW_CTE, LATEST_CTE, body=_CAMS_BODY))
-def q_cameras_status(spark, sf_dir):
-    """Registry cameras with current status (offline when silent)."""
-    c, now = _clean_now(spark, sf_dir)
-    return S.cameras_status(c, TB.registry(spark), as_of=now, minutes=LOOKBACK_MIN)
-
-
-@register("camera_detail", O.with_adapter(
-    NOW_CTE, LATEST_CTE, f"cs AS ({_CAMS_BODY})",
-    "td AS (SELECT camera_id, count(*) AS events_today, "
-    f"{O.imean('vehicle_count')} AS avg_vehicle_count_today, max(vehicle_count) AS max_vehicle_count_today, "
-    f"{O.mean('average_speed')} AS avg_speed_today, {O.mean('congestion_score')} AS avg_congestion_today "
-    "FROM clean, nowt WHERE event_date = cast(nowt.now as date) GROUP BY camera_id)",
-    body=("SELECT cs.*, coalesce(td.events_today, 0) AS events_today, td.avg_vehicle_count_today, "
-          "td.max_vehicle_count_today, td.avg_speed_today, td.avg_congestion_today "
-          "FROM cs LEFT JOIN td ON cs.camera_id = td.camera_id")))
-def q_camera_detail(spark, sf_dir):
-    """V6: per-camera detail (registry + latest + today's aggregates)."""
-    c, now = _clean_now(spark, sf_dir)
-    return S.camera_detail(c, TB.registry(spark), as_of=now, minutes=LOOKBACK_MIN)
-
-
-_ZONE_CTE = ("z AS (SELECT r.zone, " + O.mean("c.congestion_score") + " AS avg_congestion_score, "
-             "count(*) AS event_count, count(DISTINCT c.camera_id) AS cameras "
-             "FROM clean c JOIN registry r ON c.camera_id = r.camera_id GROUP BY r.zone)")
-
-
-@register("zone_congestion", O.with_adapter(_ZONE_CTE, body=(
-    "SELECT zone, avg_congestion_score, event_count, cameras, "
-    + CATEGORY_SQL.format(s="avg_congestion_score") + " AS congestion_level FROM z")))
-def q_zone_congestion(spark, sf_dir):
-    """Mean congestion per zone and its level."""
-    return S.zone_congestion(TB.clean(spark, sf_dir), TB.registry(spark))
-
-
-@register("zone_level_counts", O.with_adapter(_ZONE_CTE, body=(
-    "SELECT " + CATEGORY_SQL.format(s="avg_congestion_score") + " AS congestion_level, count(*) AS zones "
-    "FROM z GROUP BY 1")))
-def q_zone_level_counts(spark, sf_dir):
-    """V7: number of zones per congestion level."""
-    return S.zone_level_counts(S.zone_congestion(TB.clean(spark, sf_dir), TB.registry(spark)))
-
-
-@register("peak_hours", O.with_adapter(
-    "h AS (SELECT event_hour, cast(sum(vehicle_count) as bigint) AS total_vehicles, count(*) AS event_count "
-    "FROM clean GROUP BY event_hour)",
-    "pk AS (SELECT event_hour AS peak FROM h ORDER BY total_vehicles DESC, event_hour ASC LIMIT 1)",
-    body=("SELECT h.event_hour, total_vehicles, event_count, h.event_hour = pk.peak AS is_peak, "
-          "printf('%02d:00-%02d:00', h.event_hour, (h.event_hour + 1) % 24) AS hour_band FROM h, pk")))
-def q_peak_hours(spark, sf_dir):
-    """V8: vehicles by hour of day and the peak hour."""
-    return S.peak_hours(TB.clean(spark, sf_dir))
-
-
-def _pct_sql(c: str, p: str) -> str:
-    inner = (f"(cast({c} as double) - cast({p} as double)) * cast(100.0 as double) / cast({p} as double)")
-    return f"CASE WHEN {p} <> 0 THEN {O.rnd(inner, 1)} END"
-
-
-@register("hour_over_hour", O.with_adapter(
-    "h AS (SELECT date_trunc('hour', event_ts) AS hour_start, count(*) AS event_count, "
-    "cast(sum(vehicle_count) as bigint) AS total_vehicles FROM clean GROUP BY 1)",
-    body=("SELECT h.hour_start, h.event_count, h.total_vehicles, p.event_count AS prev_event_count, "
-          "p.total_vehicles AS prev_total_vehicles, "
-          f"{_pct_sql('h.event_count', 'p.event_count')} AS events_pct_change, "
-          f"{_pct_sql('h.total_vehicles', 'p.total_vehicles')} AS vehicles_pct_change "
-          "FROM h LEFT JOIN h p ON p.hour_start + INTERVAL 1 HOUR = h.hour_start")))
-def q_hour_over_hour(spark, sf_dir):
-    """Hourly totals vs the previous clock hour."""
-    return S.hour_over_hour(TB.clean(spark, sf_dir))
-
-
-@register("availability", O.with_adapter(
-    "days AS (SELECT cast(unnest(generate_series(cast(min(event_date) as timestamp), "
-    "cast(max(event_date) as timestamp), INTERVAL 1 DAY)) as date) AS d FROM clean)",
-    "seen AS (SELECT camera_id, event_date, count(DISTINCT date_trunc('minute', event_ts)) AS m "
-    "FROM clean GROUP BY camera_id, event_date)",
-    body=("SELECT days.d AS event_date, r.camera_id, r.zone, coalesce(seen.m, 0) AS minutes_with_data, "
-          "1440 AS expected_minutes, coalesce(seen.m, 0) / 1440 AS availability "
-          "FROM registry r CROSS JOIN days LEFT JOIN seen ON seen.camera_id = r.camera_id "
-          "AND seen.event_date = days.d")))
-def q_availability(spark, sf_dir):
-    """Share of (camera, minute) cells with data per day."""
-    return S.availability(TB.clean(spark, sf_dir), TB.registry(spark))
-
-
-@register("throughput", O.with_adapter(
-    NOW_CTE,
-    "sp AS (SELECT unnest(generate_series(time_bucket(INTERVAL 60 SECOND, now) - INTERVAL 86340 SECOND, "
-    "time_bucket(INTERVAL 60 SECOND, now), INTERVAL 60 SECOND)) AS bucket_start FROM nowt)",
-    "cnt AS (SELECT time_bucket(INTERVAL 60 SECOND, event_ts) AS bucket_start, count(*) AS events "
-    "FROM clean GROUP BY 1)",
-    body="SELECT sp.bucket_start, coalesce(cnt.events, 0) AS events FROM sp LEFT JOIN cnt USING (bucket_start)"))
-def q_throughput(spark, sf_dir):
-    """Zero-filled per-minute event counts for the last 24 h."""
-    c, now = _clean_now(spark, sf_dir)
-    return S.throughput(c, as_of=now, points=1440, bucket_seconds=60)
-
-
-@register("recent_events", O.with_adapter(NOW_CTE, body=(
-    "SELECT vehicle_count, average_speed, congestion_score, pedestrian_count, heavy_vehicle_pct, event_hour, "
-    "camera_id, event_ts, event_id FROM clean, nowt WHERE event_ts >= now - INTERVAL 2880 MINUTE "
-    "AND event_ts <= now ORDER BY event_ts DESC, event_id DESC LIMIT 500000")))
-def q_recent_events(spark, sf_dir):
-    """Newest-first scan of the last 48 h, capped at 500,000 rows."""
-    c, now = _clean_now(spark, sf_dir)
-    return S.recent_events(c, as_of=now, hours=48, n=500_000)
-
-
-# ============================================================================
-# Daily close
-# ============================================================================
-
-_DAILY_CTES = (
-    "dcnt AS (SELECT event_date, camera_id, location, event_hour, count(*) AS n FROM clean "
-    "GROUP BY event_date, camera_id, location, event_hour)",
-    "dpk AS (SELECT event_date, camera_id, location, event_hour AS peak_hour FROM (SELECT *, row_number() OVER "
-    "(PARTITION BY event_date, camera_id, location ORDER BY n DESC, event_hour) AS rn FROM dcnt) WHERE rn = 1)",
-    "daily AS (SELECT c.event_date AS summary_date, c.camera_id, c.location, count(*) AS total_events, "
-    f"{O.imean('c.vehicle_count')} AS avg_vehicle_count, max(c.vehicle_count) AS max_vehicle_count, "
-    f"{O.mean('c.average_speed')} AS avg_speed, min(c.average_speed) AS min_speed, "
-    f"{O.isum('cast(c.accident_detected as int)')} AS total_accidents, "
-    f"{O.mean('c.congestion_score')} AS avg_congestion_score, any_value(p.peak_hour) AS peak_hour "
-    "FROM clean c JOIN dpk p ON c.event_date = p.event_date AND c.camera_id = p.camera_id "
-    "AND c.location IS NOT DISTINCT FROM p.location GROUP BY c.event_date, c.camera_id, c.location)",
-)
-
-
-@register("daily_summary", O.with_adapter(*_DAILY_CTES, body="SELECT * FROM daily"))
-def q_daily_summary(spark, sf_dir):
-    """A2: per day and camera summary with peak hour."""
-    return D.daily_summary(TB.clean(spark, sf_dir))
-
-
-def _nz(x: str) -> str:
-    return f"CASE WHEN {x} <> 0 THEN {O.rnd(x, 1)} END"
-
-
-@register("daily_report", O.with_adapter(*_DAILY_CTES, body=(
-    "SELECT summary_date AS date, count(DISTINCT camera_id) AS cameras, "
-    "cast(sum(total_events) as bigint) AS total_events, "
-    f"{_nz('avg(avg_vehicle_count)')} AS avg_vehicles, {_nz('avg(avg_speed)')} AS avg_speed_kmh, "
-    "cast(sum(total_accidents) as bigint) AS accidents, "
-    f"{_nz('avg(avg_congestion_score)')} AS avg_congestion FROM daily GROUP BY summary_date")))
-def q_daily_report(spark, sf_dir):
-    """V9/A5: daily report rows over the summaries."""
-    return D.daily_report(D.daily_summary(TB.clean(spark, sf_dir)))
-
-
-# ============================================================================
-# Alerts
-# ============================================================================
-
-@register("baselines", O.with_adapter(*_ALERTS_SQL[:2], body="SELECT * FROM bl"))
-def q_baselines(spark, sf_dir):
-    """Per-camera vehicle baseline."""
-    return A.baselines(TB.clean(spark, sf_dir))
-
-
-@register("classify_alerts", O.with_adapter(*_ALERTS_SQL[:6], body=(
-    "SELECT event_id, kafka_offset, camera_id, anomaly_score, pct_above_baseline, alert_type, "
-    "CASE WHEN alert_type IN ('ACCIDENT', 'TRAFFIC_SPIKE') THEN 'CRITICAL' ELSE 'WARNING' END AS severity "
-    "FROM typed")))
-def q_classify_alerts(spark, sf_dir):
-    """Anomalies joined to baselines and classified."""
-    c = TB.clean(spark, sf_dir)
-    scored = TB.standin_scored(c).filter(F.col("anomaly_score") >= 0.85)
-    cls = A.classify(A.with_baseline(scored, A.baselines(c)))
-    return cls.select("event_id", "kafka_offset", "camera_id", "anomaly_score", "pct_above_baseline",
-                      "alert_type", "severity")
-
-
-@register("alert_messages", O.with_adapter(*_ALERTS_SQL[:7], body="SELECT * FROM recs"))
-def q_alert_messages(spark, sf_dir):
-    """U4: alert records with message text (one per anomalous delivery)."""
-    return TB.standin_alerts(spark, sf_dir)
-
-
-@register("acknowledged_alerts", O.with_adapter(*_ALERTS_SQL, body="SELECT * FROM alerts_tbl"))
-def q_acknowledged_alerts(spark, sf_dir):
-    """The alerts table with acknowledgement state."""
-    return TB.alerts_table(spark, sf_dir)
-
-
-@register("recent_alerts", O.with_adapter(*_ALERTS_SQL, body=(
-    "SELECT * FROM alerts_tbl ORDER BY created_at DESC, alert_id LIMIT 50")))
-def q_recent_alerts(spark, sf_dir):
-    """50 newest alerts."""
-    return S.recent_alerts(TB.alerts_table(spark, sf_dir), limit=50)
-
-
-@register("active_anomalies", O.with_adapter(NOW_CTE, *_ALERTS_SQL, body=(
-    "SELECT w.window_minutes, a.severity, a.alert_type, count(*) AS alerts, "
-    "cast(count_if(a.acknowledged_at IS NULL OR a.acknowledged_at > nowt.now) as bigint) AS unacknowledged "
-    "FROM alerts_tbl a, nowt, (SELECT unnest([15, 60, 1440]) AS window_minutes) w "
-    "WHERE a.created_at >= nowt.now - to_minutes(w.window_minutes) AND a.created_at <= nowt.now "
-    "GROUP BY 1, 2, 3")))
-def q_active_anomalies(spark, sf_dir):
-    """Alerts in the last 15 / 60 / 1440 minutes by severity and type."""
-    c, now = _clean_now(spark, sf_dir)
-    return S.active_anomalies(TB.alerts_table(spark, sf_dir), as_of=now, windows=(15, 60, 1440))
-
-
-@register("new_alerts_only", O.with_adapter(NOW_CTE, *_ALERTS_SQL[:7], body=(
-    "SELECT DISTINCT * FROM recs WHERE alert_id NOT IN (SELECT alert_id FROM recs, nowt "
-    "WHERE created_at < nowt.now - INTERVAL 7 DAY)")))
-def q_new_alerts_only(spark, sf_dir):
-    """A re-run's alerts minus those a run a week earlier stored."""
-    c, now = _clean_now(spark, sf_dir)
-    run = TB.standin_alerts(spark, sf_dir)
-    existing = A.append_new_alerts(
-        run.filter(F.col("created_at") < X.ts_value(now) - F.expr("INTERVAL 7 DAYS")), None)
-    return A.append_new_alerts(run, existing, time_bounded=True)
-
-
-@register("alert_topic_rows", O.with_adapter(*_ALERTS_SQL[:7], body=(
-    "SELECT t.topic, r.camera_id AS key, r.alert_id, to_json(struct_pack(alert_id := r.alert_id, "
-    "camera_id := r.camera_id, alert_type := r.alert_type, severity := r.severity, "
-    "anomaly_score := r.anomaly_score, message := r.message, "
-    "created_at := strftime(r.created_at, '%Y-%m-%dT%H:%M:%S.%fZ'), "
-    "baseline_vehicle_count := r.baseline_vehicle_count, current_vehicle_count := r.current_vehicle_count, "
-    "pct_above_baseline := r.pct_above_baseline))::varchar AS value "
-    "FROM (SELECT DISTINCT * FROM recs) r, (SELECT unnest(['traffic.anomalies', 'traffic.alerts']) AS topic) t")))
-def q_alert_topic_rows(spark, sf_dir):
-    """K5: Kafka records (two topics, keyed by camera) of the new alerts."""
-    return A.alerts_to_kafka(A.append_new_alerts(TB.standin_alerts(spark, sf_dir), None))
-
-
-@register("registry_upsert", O.with_adapter(
-    "obs AS (SELECT camera_id, min(location) AS location, min(latitude) AS latitude, "
-    "min(longitude) AS longitude FROM clean GROUP BY camera_id)",
-    body=("SELECT camera_id, location, latitude, longitude, zone, true AS active FROM registry "
-          "UNION ALL SELECT camera_id, location, latitude, longitude, NULL AS zone, true AS active FROM obs "
-          "WHERE camera_id NOT IN (SELECT camera_id FROM registry)")))
-def q_registry_upsert(spark, sf_dir):
-    """Registry with insert-if-absent of newly observed cameras."""
-    c = TB.clean(spark, sf_dir)
-    seen = c.select("camera_id", "location", "latitude", "longitude",
-                    F.lit(None).cast("string").alias("zone"), F.lit(True).alias("active"))
-    return upsert_registry(TB.registry(spark), seen)
-
-
-# ============================================================================
-# Isolation forest (rows-only checks; scaler statistics are SQL-checked)
-# ============================================================================
-
-def _scaler_sql() -> str:
-    from ..schema import FEATURE_COLS, INTEGRAL_FEATURES
-    parts = []
-    for f in FEATURE_COLS:
-        integral = f in INTEGRAL_FEATURES
-        m = O.imean(f) if integral else O.mean(f)
-        sd = O.pop_std(f, integral)
-        parts.append(f"SELECT '{f}' AS feature, count({f}) AS n, {m} AS mean, "
-                     f"CASE WHEN {sd} > 0 THEN {sd} ELSE cast(1.0 as double) END AS std FROM feat")
-    return O.with_adapter(_ALERTS_SQL[0], body=" UNION ALL ".join(parts))
-
-
-@register("scaler_stats", _scaler_sql())
-def q_scaler_stats(spark, sf_dir):
-    """Feature means and population stds (zero std -> 1)."""
-    from ..operators.iforest import fit_scaler
-    from ..schema import FEATURE_COLS
-    return fit_scaler(TB.clean(spark, sf_dir).dropna(subset=FEATURE_COLS))
-
-
-@register("forest_scores", None)
-def q_forest_scores(spark, sf_dir):
-    """Isolation-forest scores of every clean row (batch min-max)."""
-    from ..operators.iforest import fit_forest, score_events
-    c = TB.clean(spark, sf_dir)
-    model = fit_forest(c)
-    return score_events(c, model).select("event_id", "kafka_offset", "camera_id", "anomaly_raw", "anomaly_score")
-
-
-@register("detect_alerts", None)
-def q_detect_alerts(spark, sf_dir):
-    """The full detection run over the clean zone (dry run, no writes)."""
-    from .detect import detect
-    return detect(spark, TB.clean(spark, sf_dir), window_hours=None, dry_run=True)
-
-
-@register("zone_freshness", None)
-def q_zone_freshness(spark, sf_dir):
-    """Freshness / lag / status of the raw, clean and analytics zones."""
-    from ..operators.windows import sliding_metrics
-    from ..streaming.health import zone_freshness
-    raw = TB.raw(spark, sf_dir)
-    clean = TB.clean(spark, sf_dir, processing_time=True)
-    analytics = sliding_metrics(clean).withColumnRenamed("window_end", "event_ts")
-    return zone_freshness({"raw": raw, "clean": clean, "analytics": analytics}, as_of=TB.as_of(clean))
-
-
-@register("stream_sliding_metrics", _window_sql("1 minute", 5, "5 minutes").replace(
-    "FROM w GROUP BY camera_id, location, window_start",
-    "FROM w GROUP BY camera_id, location, window_start "
-    "HAVING window_start + INTERVAL '5 minutes' <= (SELECT max(event_ts) FROM clean) - INTERVAL '10 minutes'"))
-def q_stream_sliding_metrics(spark, sf_dir):
-    """The watermarked streaming window query over a time-ordered
-    file replay of the events; equals the batch windows up to the watermark."""
-    from .replay import replay_sliding_metrics
-    return replay_sliding_metrics(spark, TB.raw(spark, sf_dir))
-
-
-# ============================================================================
-# Dimension lookup, filtered alerts, table maintenance (write, then read back)
-# ============================================================================
-
-@register("events_with_zone", O.with_adapter(body=(
-    "SELECT c.event_id, c.kafka_offset, c.camera_id, r.zone, CASE WHEN r.camera_id IS NULL THEN NULL "
-    "ELSE true END AS active FROM clean c LEFT JOIN registry r ON c.camera_id = r.camera_id")))
-def q_events_with_zone(spark, sf_dir):
-    """Every clean event with its registry zone (null outside the registry)."""
-    from ..operators.enrich import with_zone
-    return with_zone(TB.clean(spark, sf_dir), TB.registry(spark)).select(
-        "event_id", "kafka_offset", "camera_id", "zone", "active")
-
-
-@register("critical_alerts", O.with_adapter(*_ALERTS_SQL, body=(
-    "SELECT * FROM alerts_tbl WHERE severity = 'CRITICAL' ORDER BY created_at DESC, alert_id LIMIT 500")))
-def q_critical_alerts(spark, sf_dir):
-    """Newest CRITICAL alerts (severity filter upper-cased), limit 500."""
-    return S.recent_alerts(TB.alerts_table(spark, sf_dir), severity="critical", limit=500)
-
-
-@register("compacted_clean_zone", O.with_adapter(body=(
-    f"SELECT {RAW_COLS}, {O.speed_index()} AS speed_index, congestion_category, is_peak_hour, "
-    "event_date, event_hour FROM clean")))
-def q_compacted_clean_zone(spark, sf_dir):
-    """K8: the clean zone written as small files, compacted into a new
-    generation and read back: the row multiset is unchanged."""
-    import uuid
-    from ..session import scratch_path
-    from .maintenance import compact_zone
-    base = scratch_path(spark, f"compact-{uuid.uuid4().hex}")
-    clean = TB.clean(spark, sf_dir).select(*CLEAN_OUT)
-    clean.repartition(16).write.partitionBy("event_date").parquet(f"{base}/gen=0")
-    gen1 = compact_zone(spark, f"{base}/gen=0", f"{base}/gen=1")
-    return spark.read.parquet(gen1).select(*CLEAN_OUT)
-
-
-@register("daily_summary_table", O.with_adapter(*_DAILY_CTES, body="SELECT * FROM daily"))
-def q_daily_summary_table(spark, sf_dir):
-    """K6: the daily summary table after writing every day twice with
-    replace-day semantics (the re-run leaves the table unchanged)."""
-    import uuid
-    from ..schema import DAILY_FIELDS
-    from ..session import scratch_path
-    path = scratch_path(spark, f"daily-{uuid.uuid4().hex}")
-    summary = D.daily_summary(TB.clean(spark, sf_dir))
-    D.replace_day(summary, path)
-    D.replace_day(summary, path)
-    return spark.read.parquet(path).select(*DAILY_FIELDS)
+from . import queries_ingest, queries_serving, queries_tables  # noqa: F401  (registration)
+from .registry import REGISTRY, QueryFn
 
 
 def queries() -> dict[str, QueryFn]:

@@ -48,6 +48,12 @@ def registry(spark: SparkSession) -> DataFrame:
     return camera_registry(spark)
 
 
+def clean_and_now(spark: SparkSession, sf_dir: str):
+    """The clean frame and its 'now' (newest event time) as a literal."""
+    c = clean(spark, sf_dir)
+    return c, as_of(c)
+
+
 def as_of(clean_df: DataFrame):
     """The fixture's 'now': the newest event time.
 
