@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as Q
 from ..operators import windows as W
+from ..schema import EVENT_FIELDS
 from . import oracle as O
 from . import tables as TB
 from .registry import register
@@ -178,3 +179,13 @@ def q_stream_sliding_metrics(spark, sf_dir):
     file replay of the events; equals the batch windows up to the watermark."""
     from .replay import replay_sliding_metrics
     return replay_sliding_metrics(spark, TB.raw(spark, sf_dir))
+
+
+@register("stream_dedup_events", O.with_adapter(body=(
+    "SELECT DISTINCT " + ", ".join(EVENT_FIELDS) + f", {O.speed_index()} AS speed_index, "
+    "congestion_category, is_peak_hour, event_date, event_hour FROM clean")))
+def q_stream_dedup_events(spark, sf_dir):
+    """The clean stream over a time-ordered replay, de-duplicated by
+    event id within the watermark (each re-delivered event kept once)."""
+    from .replay import replay_clean_dedup
+    return replay_clean_dedup(spark, TB.raw(spark, sf_dir))

@@ -60,3 +60,28 @@ def replay_sliding_metrics(spark: SparkSession, raw: DataFrame, base: str | None
     if q.exception() is not None:
         raise RuntimeError(f"replay failed: {q.exception()}")
     return spark.read.format(fmt).load(f"{base}/analytics").drop("agg_ts", "window_date")
+
+
+def replay_clean_dedup(spark: SparkSession, raw: DataFrame, base: str | None = None,
+                       fmt: str = "parquet", state_partitions: int | None = None) -> DataFrame:
+    """T6 over a file replay: the clean stream de-duplicated by event id within
+    the watermark, read back from its sink (broker and processing-time
+    columns dropped: a replay carries no offsets)."""
+    from ..schema import EVENT_FIELDS
+    base = base or scratch_path(spark, f"replay-dedup-{uuid.uuid4().hex}")
+    src = f"{base}/source"
+    write_replay(raw, src)
+    stream = clean_stream(raw_stream(file_source(spark, src, max_files=1)), dedup=True)
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
+    try:
+        q = write_zone(stream, f"{base}/clean", f"{base}/_checkpoints/clean", fmt=fmt,
+                       partition_by=["event_date"], available_now=True)
+    finally:
+        spark.conf.set(key, old)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"replay failed: {q.exception()}")
+    cols = EVENT_FIELDS + ["speed_index", "congestion_category", "is_peak_hour", "event_date", "event_hour"]
+    return spark.read.format(fmt).load(f"{base}/clean").select(*cols)
