@@ -118,3 +118,18 @@ def pct_change(cur: Column, prev: Column) -> Column:
 def nonzero_round(x: Column, d: int) -> Column:
     """round(x, d), null when x is null or 0 (report convention)."""
     return F.when(x != 0, F.round(x, d))
+
+
+def partition_range(cols, lo: Column, hi: Column) -> Column | None:
+    """Predicate on the clean zone's partition columns implied by
+    ``lo <= event_ts <= hi`` (event_date = to_date(event_ts), event_hour =
+    hour(event_ts)), so the planner prunes day and hour directories.
+    Returns None when the frame has no such columns."""
+    if "event_date" not in cols:
+        return None
+    d_lo, d_hi = F.to_date(lo), F.to_date(hi)
+    pred = F.col("event_date").between(d_lo, d_hi)
+    if "event_hour" in cols:
+        d, h = F.col("event_date"), F.col("event_hour")
+        pred = pred & ((d > d_lo) | (h >= F.hour(lo))) & ((d < d_hi) | (h <= F.hour(hi)))
+    return pred

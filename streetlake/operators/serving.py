@@ -29,17 +29,16 @@ def _minutes(m: float) -> Column:
 def _window(df: DataFrame, as_of, minutes: float | None) -> DataFrame:
     """Rows with event_ts in [as_of - minutes, as_of].
 
-    On a zone partitioned by ``event_date`` the implied day range is added
-    so whole day directories are pruned (event_date = to_date(event_ts)).
+    On a zone partitioned by ``event_date`` / ``event_hour`` the implied
+    (day, hour) range is added so only the touched directories are read.
     """
     if minutes is None:
         return df
     now = X.ts_value(as_of)
     lo = now - _minutes(minutes)
     out = df.filter((F.col("event_ts") >= lo) & (F.col("event_ts") <= now))
-    if "event_date" in df.columns:
-        out = out.filter(F.col("event_date").between(F.to_date(lo), F.to_date(now)))
-    return out
+    parts = X.partition_range(df.columns, lo, now)
+    return out if parts is None else out.filter(parts)
 
 
 def latest_per_camera(clean: DataFrame, as_of=None, minutes: float | None = 5,

@@ -24,7 +24,15 @@ def recent_window(clean: DataFrame, as_of=None, window_hours: float | None = 48)
         return clean
     now = X.ts_value(as_of)
     cutoff = now - F.expr(f"INTERVAL {int(window_hours * 3600)} SECONDS")
-    return clean.filter((F.col("event_date") >= F.to_date(cutoff)) & (F.col("event_ts") >= cutoff))
+    out = clean.filter(F.col("event_ts") >= cutoff)
+    if "event_date" in clean.columns:
+        # lower bound only (as the scan has no upper bound): prune older days/hours
+        d = F.col("event_date")
+        pred = d >= F.to_date(cutoff)
+        if "event_hour" in clean.columns:
+            pred = pred & ((d > F.to_date(cutoff)) | (F.col("event_hour") >= F.hour(cutoff)))
+        out = out.filter(pred)
+    return out
 
 
 def clean_day(clean: DataFrame, date) -> DataFrame:

@@ -36,9 +36,15 @@ def test_window_scan_prunes_partitions_and_pushes_filters(spark, tmp_path):
 
 def test_live_metrics_pushes_time_bounds(spark, tmp_path):
     zone = _zone(spark, tmp_path)
-    plan = _plan(S.live_metrics(zone, as_of=dt.datetime(2024, 1, 20, 12), minutes=60))
+    live = S.live_metrics(zone, as_of=dt.datetime(2024, 1, 20, 12), minutes=60)
+    plan = _plan(live)
     assert "GreaterThanOrEqual(event_ts," in plan and "LessThanOrEqual(event_ts," in plan
-    assert "PartitionFilters: [isnotnull(event_date" in plan
+    part = plan[plan.index("PartitionFilters: ["):]
+    part = part[:part.index("]")]
+    assert "event_date#" in part and "event_hour#" in part      # day and hour directories pruned
+    same = S.live_metrics(TB.clean(spark, SF001), as_of=dt.datetime(2024, 1, 20, 12), minutes=60)
+    assert live.exceptAll(same.select(*live.columns)).count() == 0
+    assert same.count() == live.count()
 
 
 def test_attach_small_broadcasts_within_bound_and_falls_back(spark):
