@@ -39,19 +39,29 @@ def compact_frame(df: DataFrame, partition_cols=("event_date",), sort_cols=("cam
             .sortWithinPartitions(*keys, *sort_cols))
 
 
-def compact_zone(spark: SparkSession, src: str, dst: str, partition_cols=("event_date",),
+# date partition column of each zone: clean, raw, analytics
+ZONE_DATE_COLUMNS = ("event_date", "ingest_date", "window_date")
+
+
+def compact_zone(spark: SparkSession, src: str, dst: str, partition_cols=None,
                  closed_before=None, sort_cols=("camera_id", "event_ts"),
                  rows_per_file: int = 1_000_000) -> str:
     """K8: rewrite (closed) partitions of ``src`` into generation folder ``dst``.
 
-    Only partitions with ``partition_cols[0] < closed_before`` are taken when
-    given, so partitions a running stream still appends to are left alone.
-    The row multiset is unchanged.  Returns ``dst``.
+    ``partition_cols`` defaults to the zone's date column (event_date,
+    ingest_date or window_date, whichever it has).  Only partitions with
+    ``partition_cols[0] < closed_before`` are taken when given, so partitions
+    a running stream still appends to are left alone.  The row multiset is
+    unchanged.  Returns ``dst``.
     """
     if has_delta(spark):
         spark.sql(f"OPTIMIZE delta.`{src}`")
         return src
     df = spark.read.parquet(src)
+    if partition_cols is None:
+        partition_cols = tuple(c for c in ZONE_DATE_COLUMNS if c in df.columns)[:1]
+    if not partition_cols:
+        raise ValueError(f"{src}: no date partition column among {ZONE_DATE_COLUMNS}")
     if closed_before is not None:
         df = df.filter(F.col(partition_cols[0]) < F.lit(str(closed_before)).cast("date"))
     (compact_frame(df, partition_cols, [c for c in sort_cols if c in df.columns], rows_per_file)

@@ -242,3 +242,18 @@ def test_progress_rows_from_finished_queries(spark, lines, tmp_path):
     rows = progress_rows(qs)
     assert len(rows) == 3 and all(r[1] == "stopped" for r in rows)
     assert all("rows" in r[3] for r in rows)
+
+
+def test_compact_every_zone_of_a_pipeline(spark, lines, tmp_path):
+    from streetlake.plans.maintenance import compact_zone
+    src = str(tmp_path / "src")
+    for i, chunk in enumerate(_slices(lines, 3)):
+        _write(src, i, chunk)
+    base = str(tmp_path / "zones")
+    await_all(run_pipeline(spark, lambda: file_source(spark, src, max_files=1), base,
+                           available_now=True, fmt="parquet"))
+    for zone in ("raw", "clean", "analytics"):
+        before = spark.read.parquet(f"{base}/{zone}")
+        after = spark.read.parquet(compact_zone(spark, f"{base}/{zone}", str(tmp_path / f"{zone}_gen1")))
+        after = after.select(*before.columns)
+        assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0, zone
