@@ -55,9 +55,12 @@ def cmd_daily_close(spark, a):
     from .plans.daily_close import QualityGateFailed, daily_close
     from .sources.streams import read_zone
     compact = dict(kv.split("=", 1) for kv in (a.compact or []))
+    vacuum = {root: keep.split(",") if keep else [] for root, _, keep in
+              (kv.partition("=") for kv in (a.vacuum or []))}
     try:
         report = daily_close(spark, read_zone(spark, a.clean), a.date, a.summary, model_path=a.model,
-                             alerts_path=a.alerts, compact=compact, refit=not a.no_refit)
+                             alerts_path=a.alerts, compact=compact, refit=not a.no_refit,
+                             vacuum=vacuum, retain_hours=a.retain_hours)
     except QualityGateFailed as e:
         print(json.dumps({"quality": "fail", "stats": e.stats}, default=str))
         return 2
@@ -165,6 +168,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--alerts")
     c.add_argument("--compact", nargs="*", help="SRC=DST zone generation pairs")
     c.add_argument("--no-refit", action="store_true")
+    c.add_argument("--vacuum", nargs="*", help="ROOT=KEEP1,KEEP2 generation roots to clean up")
+    c.add_argument("--retain-hours", type=float, default=168)
 
     k = sub.add_parser("compact")
     k.add_argument("--src", required=True)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.daily import daily_report, daily_summary, replace_day
 from ..operators.quality import dq_gate, dq_stats
 from .detect import clean_day, detect
-from .maintenance import compact_zone
+from .maintenance import compact_zone, vacuum_zone
 
 
 class QualityGateFailed(RuntimeError):
@@ -25,10 +25,13 @@ class QualityGateFailed(RuntimeError):
 
 def daily_close(spark: SparkSession, clean: DataFrame, date, summary_path: str,
                 model_path: str | None = None, alerts_path: str | None = None,
-                compact: dict | None = None, max_bad: float = 0.05, refit: bool = True) -> dict:
+                compact: dict | None = None, max_bad: float = 0.05, refit: bool = True,
+                vacuum: dict | None = None, retain_hours: float = 168) -> dict:
     """Run the daily close for ``date`` and return the report row as a dict.
 
-    ``compact`` maps a source zone path to its new generation path.
+    ``compact`` maps a source zone path to its new generation path;
+    ``vacuum`` maps a generation root to the generations to keep, and drops
+    the others older than ``retain_hours`` (7 days by default).
     Raises ``ValueError`` when the day has no rows and ``QualityGateFailed``
     when the DQ gate fails (with the statistics attached).
     """
@@ -46,7 +49,11 @@ def daily_close(spark: SparkSession, clean: DataFrame, date, summary_path: str,
                as_of=end, alerts_path=alerts_path)
     for src, dst in (compact or {}).items():
         compact_zone(spark, src, dst, closed_before=dt.date.fromisoformat(str(date)) + dt.timedelta(days=1))
+    removed = []
+    for root, keep in (vacuum or {}).items():
+        removed += vacuum_zone(spark, root, retain_hours, keep=keep)
     report = daily_report(spark.read.parquet(summary_path), date).first()
     out = report.asDict() if report is not None else {"date": date}
     out["quality"] = {k: stats[k] for k in ("total", "null_rate", "out_of_range", "dup_rate")}
+    out["vacuumed"] = removed
     return out
