@@ -45,7 +45,7 @@ def cmd_detect(spark, a):
     from .sources.streams import read_zone
     alerts = detect(spark, read_zone(spark, a.clean), model_path=a.model, window_hours=a.window_hours,
                     threshold=a.threshold, retrain=a.retrain, dry_run=a.dry_run, as_of=a.as_of,
-                    norm=a.norm, alerts_path=a.alerts)
+                    norm=a.norm, alerts_path=a.alerts, publish_servers=a.publish)
     n = 0 if alerts is None else alerts.count()
     print(json.dumps({"alerts": n, "dry_run": a.dry_run}))
     return 0
@@ -159,6 +159,7 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--dry-run", action="store_true")
     d.add_argument("--as-of")
     d.add_argument("--norm", choices=["batch", "model"], default="batch")
+    d.add_argument("--publish", help="Kafka servers: also send new alerts to the alert topics")
 
     c = sub.add_parser("daily-close")
     c.add_argument("--clean", required=True)

@@ -136,13 +136,22 @@ def write_alerts(alerts: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("created_date").parquet(path))
 
 
-def append_alerts_table(spark, alerts: DataFrame, path: str) -> None:
-    """K4: insert-if-absent into the alerts table at ``path`` (re-run safe)."""
+def append_alerts_table(spark, alerts: DataFrame, path: str,
+                        publish_servers: str | None = None, topics=ALERT_TOPICS) -> DataFrame:
+    """K4 (+K5): insert-if-absent into the alerts table at ``path`` (re-run
+    safe) and, with ``publish_servers``, send the same new alerts to the
+    Kafka topics.  The new alerts are checkpointed once so both sinks write
+    identical rows.  Returns them."""
+    from ..session import cut_lineage
     try:
         existing = spark.read.parquet(path)
     except Exception:  # noqa: BLE001  (first run: no table yet)
         existing = None
-    write_alerts(append_new_alerts(alerts, existing, time_bounded=True), path)
+    fresh = cut_lineage(append_new_alerts(alerts, existing, time_bounded=True))
+    write_alerts(fresh, path)
+    if publish_servers:
+        write_kafka(alerts_to_kafka(fresh, topics), publish_servers)
+    return fresh
 
 
 def alerts_with_ack(alerts: DataFrame, acks: DataFrame) -> DataFrame:

@@ -67,11 +67,12 @@ def read_clean_day(spark: SparkSession, path: str, date, fmt: str | None = None,
 def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
            window_hours: float | None = 48, threshold: float = 0.85, retrain: bool = False,
            dry_run: bool = False, as_of=None, norm: str = "batch",
-           alerts_path: str | None = None) -> DataFrame | None:
+           alerts_path: str | None = None, publish_servers: str | None = None) -> DataFrame | None:
     """Scan -> (load | fit) model -> score -> classify -> (append alerts).
 
     Returns the alert records, or None when the window holds no rows.  With
-    ``dry_run`` nothing is written (neither the model nor alerts).
+    ``dry_run`` nothing is written (neither the model nor alerts); with
+    ``publish_servers`` new alerts also go to the two Kafka alert topics.
     """
     # only what fitting, scoring and alert records need: the Parquet scan
     # prunes the rest, and the persisted scores stay narrow
@@ -92,5 +93,5 @@ def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
     # batch normalisation these are read from the persisted scores, not re-scanned
     alerts = A.build_alerts(scored, A.baselines(scored), threshold=threshold)
     if alerts_path and not dry_run:
-        A.append_alerts_table(spark, alerts, alerts_path)
+        A.append_alerts_table(spark, alerts, alerts_path, publish_servers=publish_servers)
     return alerts
