@@ -1,7 +1,7 @@
 """Replay a table as a stream: the stream == batch check as a job.
 
 The raw events of a scale-factor folder are written as JSON-lines files, one
-folder per event-time slice, in time order (so later files carry later
+file per event-time slice, in time order (so later files carry later
 modification times), under the session's shared checkpoint folder.  The
 streaming pipeline then consumes them one slice per micro-batch with
 ``availableNow``; the analytics zone it leaves behind must equal the batch
@@ -26,12 +26,20 @@ SLICE_DAYS = 5
 def write_replay(raw: DataFrame, path: str, slice_days: int = SLICE_DAYS) -> int:
     """Write ``raw`` as JSON lines, one sub-folder per ``slice_days`` of ingest
     time, oldest first.  Returns the number of slices."""
+    from ..operators.joins import spread
+    from ..session import cut_lineage
     secs = slice_days * 86400
-    keyed = raw.withColumn("_slice", F.floor(F.unix_seconds("kafka_ingest_ts") / secs))
+    # render the JSON once (checkpointed), then cut it into time slices
+    keyed = cut_lineage(to_wire(spread(raw)).select(
+        "value", F.floor(F.unix_seconds("timestamp") / secs).alias("_slice")))
     slices = [r[0] for r in keyed.select("_slice").distinct().orderBy("_slice").collect()]
-    for i, s in enumerate(slices):                     # one small write job per slice
-        part = keyed.filter(F.col("_slice") == s).drop("_slice")
-        to_wire(part).select("value").write.mode("overwrite").text(f"{path}/slice={i:04d}")
+    for i, s in enumerate(slices):
+        # exactly one file per slice, written oldest first: the stream takes one
+        # file per micro-batch, so file order must follow event time (several
+        # files of one slice, finished in any order, would arrive behind the
+        # watermark).  A replay tool: slices are sized by ``slice_days``.
+        (keyed.filter(F.col("_slice") == s).select("value").coalesce(1)
+         .write.mode("overwrite").text(f"{path}/slice={i:04d}"))
     return len(slices)
 
 
