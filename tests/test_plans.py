@@ -82,3 +82,16 @@ def test_read_clean_window_and_day(spark, tmp_path):
     assert read_clean_day(spark, path, "2024-01-15", fmt="parquet").count() > 0
     with pytest.raises(ValueError):
         read_clean_day(spark, path, "2030-01-01", fmt="parquet")
+
+
+def test_partition_range_across_midnight(spark):
+    from streetlake.functions.exprs import partition_range
+    cells = [(dt.date(2024, 1, d), h) for d in (19, 20, 21, 22) for h in range(24)]
+    df = spark.createDataFrame(cells, "event_date date, event_hour int")
+    lo, hi = F.lit(dt.datetime(2024, 1, 20, 23, 30)), F.lit(dt.datetime(2024, 1, 21, 0, 30))
+    got = sorted((r.event_date.day, r.event_hour) for r in df.filter(partition_range(df.columns, lo, hi)).collect())
+    assert got == [(20, 23), (21, 0)]
+    lo2, hi2 = F.lit(dt.datetime(2024, 1, 20, 10, 5)), F.lit(dt.datetime(2024, 1, 20, 12, 0))
+    got2 = sorted(r.event_hour for r in df.filter(partition_range(df.columns, lo2, hi2)).collect())
+    assert got2 == [10, 11, 12]
+    assert partition_range(["x"], lo, hi) is None
