@@ -137,11 +137,15 @@ def apply_defaults(df: DataFrame) -> DataFrame:
 
 # --- A9 / A10 data-quality statistics and gate --------------------------------
 
-def dq_stats(df: DataFrame, date=None, by_date: bool = True) -> DataFrame:
+def dq_stats(df: DataFrame, date=None, by_date: bool = True, exact: bool = True,
+             rsd: float = 0.01) -> DataFrame:
     """Total, null_rate, out_of_range, dup_rate (4 dp) per event date.
 
     ``date`` restricts to one day (partition filter on ``event_date``).  The
-    unrounded rates are kept in ``*_raw`` columns for the gate.
+    unrounded rates are kept in ``*_raw`` columns for the gate.  The exact
+    duplicate rate shuffles every (day, event_id); ``exact=False`` counts
+    distinct ids with HyperLogLog (relative error ``rsd``, merged map-side, no
+    id shuffle) for days too large to de-duplicate exactly.
     """
     if "event_date" not in df.columns:
         df = df.withColumn("event_date", F.to_date("event_ts"))
@@ -158,8 +162,9 @@ def dq_stats(df: DataFrame, date=None, by_date: bool = True) -> DataFrame:
         total.alias("total"),
         ((rate(nulls[0]) + rate(nulls[1]) + rate(nulls[2])) / 3).alias("null_rate_raw"),
         rate(F.count_if((vc < X.VEHICLE_RANGE[0]) | (vc > X.VEHICLE_RANGE[1]))).alias("out_of_range_raw"),
-        rate(total - F.count_distinct("event_id")
-             - F.coalesce(F.max(F.col("event_id").isNull().cast("int")), F.lit(0))).alias("dup_rate_raw"),
+        rate(F.greatest(F.lit(0), total - (F.count_distinct("event_id") if exact
+                                           else F.approx_count_distinct("event_id", rsd))
+             - F.coalesce(F.max(F.col("event_id").isNull().cast("int")), F.lit(0)))).alias("dup_rate_raw"),
     ]
     keys = ["event_date"] if by_date else []
     out = df.groupBy(*keys).agg(*aggs)

@@ -300,3 +300,11 @@ def test_optional_filters_and_empty_summary(spark):
     assert (summary.avg_speed_kmh, summary.avg_congestion_score, summary.active_anomalies) == (0.0, 0.0, 0)
     crit = S.recent_alerts(alerts, severity="critical", limit=5).collect()
     assert all(r.severity == "CRITICAL" for r in crit) and len(crit) <= 5
+
+
+def test_dq_stats_approximate_mode_close_to_exact(spark):
+    raw = TB.raw(spark, SF001)
+    exact = {r.event_date: r.dup_rate for r in Q.dq_stats(raw).collect()}
+    approx = {r.event_date: r.dup_rate for r in Q.dq_stats(raw, exact=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(exact[k] - approx[k]) <= 0.05 for k in exact)
