@@ -29,9 +29,14 @@ HEAVY_PCT_RANGE = (0, 100)
 SPEED_INDEX_DIVISOR = 120.0
 CRITICAL_MIN_SCORE = 75
 
-# Sensor values carry at most two decimals by contract, so a decimal(18,6)
-# sum is exact and independent of summation order / partitioning.
+# Sensor values carry at most two decimals by contract (speed 1 dp, score
+# 2 dp), so x * 100 is an integer: sums of it in 64-bit integers are exact,
+# independent of summation order / partitioning, and stay in codegen'd long
+# arithmetic (no BigDecimal per row).  |x| <= 2000 gives <= 2e5 per row, so a
+# group would need > 4e13 rows to overflow.  sum / 100 / count is the same
+# correctly rounded double as an exact decimal sum cast to double.
 EXACT_DECIMAL = "decimal(18,6)"
+CENTS = 100
 
 
 def col(c) -> Column:
@@ -49,19 +54,26 @@ def ts_value(as_of) -> Column:
     return F.lit(str(as_of)).cast("timestamp")
 
 
+def cents(c) -> Column:
+    """A <= 2-decimal value as an exact integer count of hundredths."""
+    return F.round(col(c) * F.lit(float(CENTS))).cast("long")
+
+
 def mean_of(c, integral: bool = False) -> Column:
     """Order-independent exact mean: exact sum / count (null for no rows)."""
     c = col(c)
     if integral:
         s = F.sum(c).cast("double")
     else:
-        s = F.sum(c.cast(EXACT_DECIMAL)).cast("double")
+        s = F.sum(cents(c)).cast("double") / F.lit(float(CENTS))
     return F.try_divide(s, F.count(c))
 
 
 def exact_sum(c, integral: bool = False) -> Column:
+    """Exact sum (long for integers; the double value of the exact sum of a
+    <= 2-decimal column, from integer hundredths)."""
     c = col(c)
-    return F.sum(c) if integral else F.sum(c.cast(EXACT_DECIMAL))
+    return F.sum(c) if integral else F.sum(cents(c)).cast("double") / F.lit(float(CENTS))
 
 
 def exact_sum_sq(c, integral: bool = False) -> Column:
