@@ -46,3 +46,16 @@ def test_entry_module_loads_from_any_directory(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env,
                          capture_output=True, text=True, timeout=600)
     assert out.returncode == 0 and "OK" in out.stdout, out.stderr[-2000:]
+
+
+def test_oracle_parity_with_ansi_mode_off(spark):
+    """Sessions with ANSI mode off (the Spark 3 default) give the same results."""
+    names = ["decode_events", "apply_defaults", "dq_gate", "sliding_metrics", "daily_summary",
+             "alert_messages", "platform_summary", "hour_over_hour", "scaler_stats"]
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        res = compare(spark, SF001, names, verbose=False)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert all(v.startswith("OK") for v in res.values()), res
