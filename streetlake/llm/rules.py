@@ -21,21 +21,31 @@ from streetlake.llm.common import stage
 
 # Common words per language (fixed values).
 COMMON = {
-    "en": ["the", "of", "and", "to", "in", "a", "is", "that", "for", "on", "with", "as", "by", "at", "are", "this"],
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf", "für", "ist", "im", "ein"],
-    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par"],
-    "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "no", "una"],
+    "en": ["the", "of", "and", "to", "in", "a", "is", "that", "for", "on"],
+    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "im"],
+    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "une", "que"],
+    "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del"],
 }
-N_COMMON = 16
-MIN_WORDS = 50              # under this many words no histogram is compared
-CLASS_LIMIT = 0.35          # Jensen-Shannon distances (0 to 1)
-WORD_LIMIT = 0.45
-WORDS = r"[^\x20\x09-\x0D]+"
+N_COMMON = 10
+MIN_WORDS, CLASS_LIMIT = 50, 0.30       # character classes: least words, largest Jensen-Shannon distance
+MIN_SAMPLE, WORD_LIMIT = 200, 0.24      # common words: the same; short texts scatter more
+WHITE = "\t\n\x0b\f\r"
 
 
 def word_list(text: Column) -> Column:
-    """The words of a text in order."""
-    return F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
+    """The words of a text in order: what stands between the contract's white space."""
+    return F.array_remove(F.split(F.translate(text, WHITE, " " * len(WHITE)), " ", -1), "")
+
+
+def _times(array: str, k: int) -> Column:
+    """How often ``k`` stands in an array."""
+    return F.size(F.filter(array, lambda x: x == k)).cast("long")
+
+
+def _pairs(left: str, right: str, shift: int) -> Column:
+    """Hashes of left[i] and right[i + shift]."""
+    n = F.greatest(F.size(right) - shift, F.lit(0))
+    return F.zip_with(F.slice(left, 1, n), F.slice(right, shift + 1, n), lambda a, b: F.xxhash64(a, b))
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
@@ -45,10 +55,10 @@ def base_counts(docs: DataFrame) -> DataFrame:
                     text.alias("t"), F.xxhash64(F.col("text").cast("string")).alias("hash"))
     d = d.withColumn("w", word_list(F.col("t")))
     d = d.withColumn("n_words", F.size("w").cast("long"))
-    windows = F.when(F.col("n_words") >= 5, F.transform(
-        F.sequence(F.lit(1), (F.col("n_words") - 4).cast("int")),
-        lambda i: F.xxhash64(F.slice(F.col("w"), i, 5)))).otherwise(F.array().cast("array<bigint>"))
-    d = d.withColumn("h", windows)
+    # five words' hash from hashes of one, two and four
+    d = d.withColumn("h1", F.transform("w", lambda x: F.xxhash64(x)))
+    d = d.withColumn("h2", _pairs("h1", "h1", 1)).withColumn("h4", _pairs("h2", "h2", 2))
+    d = d.withColumn("h", _pairs("h4", "h1", 4))
     # only where some window repeats are windows sorted with their starts; each
     # such start covers its five words, less those covered before
     d = d.withColumn("many", F.size("h") > F.size(F.array_distinct("h")))
@@ -69,24 +79,23 @@ def base_counts(docs: DataFrame) -> DataFrame:
     common = F.create_map(*[x for k, v in COMMON.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     d = d.withColumn("ls", lines).withColumn("list", common[F.col("lang")])
     d = d.withColumn("c", F.when(F.col("list").isNotNull(), F.filter(
-        F.transform(F.col("w"), lambda w: F.array_position(F.col("list"), F.rtrim(F.lower(w), F.lit(".,;:!?")))),
+        F.transform(F.col("w"), lambda w: F.array_position(F.col("list"), w)),
         lambda k: k > 0)))
     n_chars = F.length("t")
     d = d.select(
         "doc_id", "hash", "lang", "n_words",
-        F.aggregate("w", F.lit(0).cast("bigint"), lambda a, w: a + F.length(w)).alias("word_chars"),
+        F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.regexp_count("t", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("ls") - F.size(F.array_distinct("ls"))).cast("long").alias("n_dup_lines"),
         covered.alias("n_repeat_words"),
         n_chars.cast("long").alias("n_chars"),
         F.regexp_count("t", F.lit("[0-9]")).cast("long").alias("n_digits"),
-        F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
-        F.regexp_count("t", F.lit(r"[.,;:!?()\"'-]")).cast("long").alias("n_marks"),
-        *[F.size(F.filter("c", lambda x, k=k: x == k)).cast("long").alias(f"c{k}") for k in range(1, N_COMMON + 1)])
+        F.regexp_count("t", F.lit("[A-ZÀ-ÖØ-Þ]")).cast("long").alias("n_upper"),
+        *[_times("c", k).alias(f"c{k}") for k in range(1, N_COMMON + 1)])
     return d.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-CLASS_COLUMNS = ["k_space", "k_symbol", "k_digit", "k_upper", "k_mark", "k_other"]
+CLASS_COLUMNS = ["k_space", "k_symbol", "k_digit", "k_upper", "k_other"]
 WORD_COLUMNS = [f"c{k}" for k in range(1, N_COMMON + 1)] + ["c_other"]
 
 
@@ -95,8 +104,8 @@ def _histograms(counts: DataFrame) -> DataFrame:
     used = sum((F.col(f"c{k}") for k in range(1, N_COMMON + 1)), F.lit(0))
     return counts.withColumns({
         "k_space": F.col("n_chars") - F.col("word_chars"), "k_symbol": F.col("n_symbols"),
-        "k_digit": F.col("n_digits"), "k_upper": F.col("n_upper"), "k_mark": F.col("n_marks"),
-        "k_other": F.col("word_chars") - F.col("n_symbols") - F.col("n_digits") - F.col("n_upper") - F.col("n_marks"),
+        "k_digit": F.col("n_digits"), "k_upper": F.col("n_upper"),
+        "k_other": F.col("word_chars") - F.col("n_symbols") - F.col("n_digits") - F.col("n_upper"),
         "c_other": F.col("n_words") - used,
     })
 
@@ -116,7 +125,7 @@ def _shares(columns: list[str], prefix: str = "") -> Column:
 
 
 def judge(counts: DataFrame, min_words: int = MIN_WORDS, class_limit: float = CLASS_LIMIT,
-          word_limit: float = WORD_LIMIT) -> DataFrame:
+          min_sample: int = MIN_SAMPLE, word_limit: float = WORD_LIMIT) -> DataFrame:
     """``counts`` (staged) with both distances and ``kept``."""
     h = _histograms(counts)
     # one row per listed language: the lists bound its size
@@ -124,9 +133,9 @@ def judge(counts: DataFrame, min_words: int = MIN_WORDS, class_limit: float = CL
         .agg(*[F.sum(c).alias(f"r_{c}") for c in CLASS_COLUMNS + WORD_COLUMNS]) \
         .select("lang", _shares(CLASS_COLUMNS, "r_").alias("ref_classes"), _shares(WORD_COLUMNS, "r_").alias("ref_words"))
     j = h.join(F.broadcast(ref), "lang", "left")
-    long_enough = F.col("n_words") >= min_words
-    j = j.withColumn("class_distance", F.when(long_enough, js_distance(_shares(CLASS_COLUMNS), F.col("ref_classes")))) \
-        .withColumn("word_distance", F.when(long_enough, js_distance(_shares(WORD_COLUMNS), F.col("ref_words"))))
+    for name, columns, least in (("class", CLASS_COLUMNS, min_words), ("word", WORD_COLUMNS, min_sample)):
+        far = js_distance(_shares(columns), F.col("ref_classes" if name == "class" else "ref_words"))
+        j = j.withColumn(f"{name}_distance", F.when(F.col("n_words") >= least, far))
     odd = (F.coalesce(F.col("class_distance") > class_limit, F.lit(False))
            | F.coalesce(F.col("word_distance") > word_limit, F.lit(False)))
     return j.withColumn("kept", ~F.col("base_failed") & ~odd)
