@@ -9,10 +9,10 @@ similarities well, and rules out most candidates before a text is moved.
 
 Within a band's group not all pairs are made.  The class that meets most
 others is the group's hub; every member is checked against it on full sets.
-Once those links are joined into components, only pairs from different
-components are left in a group, and of those only pairs that sketch, size and
-the triangle inequality of the Jaccard distance (by the exact distances to the
-hub) allow; they are all checked on full sets.  So nothing is capped: a link
+Once those links are joined into components, only members outside the hub's
+component can still bring a new connection; they are compared with all members
+of the hub on full sets, in cells of bounded size that return links between
+different components and nothing else.  So nothing is capped: a link
 of the stated similarity is missed only if no band meets, and the number of
 bands is chosen so that the odds of that are under ``MISS`` for a pair exactly
 at the threshold.  A link that only repeats a connection already proven is not
@@ -41,6 +41,7 @@ ROWS = 4                # MinHash samples of a band
 SAMPLES = 128           # samples of the odd sketch, at least
 SKETCH = 512            # its bits
 MISS = 1e-7
+BLOCK = 128             # members of a hub on each side of a cell
 LONGS = [f"s{i}" for i in range(SKETCH // 64)]
 _U = np.uint64
 
@@ -101,10 +102,10 @@ class Shingler:
         if not len(w):
             return w
         if len(w) < self.width:                 # the whole sequence; its length is part of it
-            h = _U(len(w))
+            h = np.array([len(w)], _U)
             for x in w:
-                h = _mix(np.array([h * _U(0x9E3779B97F4A7C15) + x]))[0]
-            return np.array([h], _U)
+                h = _mix(h * _U(0x9E3779B97F4A7C15) + x)
+            return h
         n = len(w) - self.width + 1
         h = np.zeros(n, _U)
         for j in range(self.width):
@@ -183,6 +184,15 @@ def can_link(a: str, b: str, similarity: float) -> Column:
         & (odd_bits(a, b) <= sketch_limit(similarity))
 
 
+def fetch_texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the classes' representatives, staged."""
+    wanted = classes.select("node", "text_hash").join(nodes, "node", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_bytes("text").alias("text")) \
+        .withColumn("text_hash", F.xxhash64("text")).join(wanted, ["node", "text_hash"], "left_semi") \
+        .select("node", "text")
+    return stage(texts, "neardup-texts")
+
+
 def check_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """Exact similarity of pairs (a, b) of classes: a, b, shared, total.
 
@@ -190,12 +200,7 @@ def check_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: in
     a hub's set is built once per run of its pairs.
     """
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = classes.select("node", "text_hash").join(nodes, "node", "left_semi")
-    body = text_bytes("text")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), body.alias("text")) \
-        .withColumn("text_hash", F.xxhash64("text")).join(wanted, ["node", "text_hash"], "left_semi") \
-        .select("node", "text")
-    texts = stage(texts, "neardup-texts")
+    texts = fetch_texts(nodes, classes, docs)
     ta = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
     both = pairs.select("a", "b").join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb")
@@ -223,6 +228,62 @@ def check_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: in
     return stage(checked.dropDuplicates(["a", "b"]), "neardup-checked")
 
 
+def cross_links(spokes: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
+                percent: int) -> DataFrame:
+    """Links between members of one hub that lie in different components: (a, b).
+
+    Members outside the hub's component meet all members, in cells of BLOCK by
+    BLOCK, so that no task holds a large group.  A cell numbers the shingles
+    it holds; one pass over them then gives the exact intersections of a set
+    with all others.  Per set and component one link is enough.
+    """
+    hub_component = found.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
+    met = stage(spokes.where("node != hub").join(found, "node", "left"), "met").join(hub_component, "hub", "left") \
+        .select("hub", "node", F.coalesce("component", "node").alias("component"),
+                (F.coalesce("component", "node") != F.coalesce("of_hub", "hub")).alias("outer"))
+    met = stage(met, "met")
+    sizes = met.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("outer"), 1)).alias("n_outer")) \
+        .where("n > 1 and n_outer > 0").select(
+            "hub", F.ceil(F.col("n") / BLOCK).cast("int").alias("cols"),
+            F.ceil(F.col("n_outer") / BLOCK).cast("int").alias("rows"))
+    met = stage(met.join(stage(sizes, "met-sizes"), "hub"), "met")
+    texts = fetch_texts(met.select("node").distinct(), classes, docs)
+    met = met.join(texts, "node")
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    one = met.where("outer").select("hub", "node", "component", "text", F.lit(True).alias("asks"),
+                                    place("rows").alias("r"), every("cols").alias("c"))
+    all_of = met.select("hub", "node", "component", "text", F.lit(False).alias("asks"),
+                        every("rows").alias("r"), place("cols").alias("c"))
+
+    def cell(t: pa.Table) -> pa.Table:
+        shingler, out = Shingler(width), []
+        asks = t.column("asks").to_numpy(zero_copy_only=False)
+        nodes, comps = t.column("node").to_numpy(), t.column("component").to_numpy()
+        ask, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+        if len(ask) and len(other):
+            sets = [shingler.shingles(x.as_py()) for x in t.column("text")]
+            sizes = np.array([len(x) for x in sets])
+            codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            ends = np.cumsum(sizes)
+            held = np.concatenate([codes[ends[i] - sizes[i]:ends[i]] for i in other])
+            starts = np.concatenate([[0], np.cumsum(sizes[other])[:-1]])
+            flag = np.zeros(codes.max() + 1, bool)
+            for i in ask:
+                mine = codes[ends[i] - sizes[i]:ends[i]]
+                flag[mine] = True
+                shared = np.add.reduceat(flag[held], starts, dtype=np.int64)
+                flag[mine] = False
+                total = sizes[i] + sizes[other] - shared
+                hit = other[(100 * shared >= percent * total) & (comps[other] != comps[i])]
+                out += [(nodes[i], nodes[j]) for j in hit[np.unique(comps[hit], return_index=True)[1]]]
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return stage(one.unionByName(all_of).groupBy("hub", "r", "c").applyInArrow(cell, "a long, b long").distinct(),
+                 "cross-links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): smallest node reachable over links (a, b).
 
@@ -278,29 +339,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     links = linked(checked)
     found = components(links)
 
-    # what is left: pairs of a band's group in different components
-    rest = spokes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    hub_component = found.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
-    rest = rest.join(hub_component, "hub", "left").withColumn("of_hub", F.coalesce("of_hub", "hub"))
-    distance = checked.select(F.col("a").alias("hub"), F.col("b").alias("node"),
-                              (1 - F.col("shared") / F.col("total")).alias("distance"))
-    rest = stage(rest.join(distance, ["hub", "node"], "left").withColumn(
-        "distance", F.when(F.col("node") == F.col("hub"), 0.0).otherwise(F.col("distance"))), "rest")
-    odd_groups = rest.where("component != of_hub").select("band").distinct()
-    rest = rest.join(odd_groups, "band", "left_semi").join(sketches, "node")
-    rest = stage(rest, "rest")
-    outer = rest.where("component != of_hub")
-    apart = F.coalesce(F.abs(F.col("x.distance") - F.col("y.distance")) <= 1 - t + 1e-9, F.lit(True))
-    left = outer.alias("x").join(rest.alias("y"), (F.col("x.band") == F.col("y.band"))
-                                 & (F.col("x.component") != F.col("y.component"))
-                                 & ((F.col("y.component") == F.col("y.of_hub")) | (F.col("x.node") < F.col("y.node")))
-                                 & apart & can_link("x", "y", t))
-    pairs = left.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    pairs = stage(pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-                  .join(checked.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "pairs")
-    if pairs.limit(1).count():
-        links = links.union(linked(check_pairs(pairs, classes, docs, width)))
-        found = components(links)
+    more = cross_links(spokes.select("hub", "node").distinct(), found, classes, docs, width, percent)
+    if more.limit(1).count():
+        found = components(links.union(more))
 
     by_class = classes.select("k1", "k2", "node").join(found, "node", "left") \
         .select("k1", "k2", F.coalesce("component", "node").alias("component"))
