@@ -116,7 +116,7 @@ def cmd_endpoint(spark, a):
         df = zone_freshness(zones, as_of=a.as_of)
     else:
         raise SystemExit(f"unknown endpoint {name}")
-    for row in df.limit(a.limit).collect():
+    for row in df.toLocalIterator():
         print(json.dumps(row.asDict(), default=str))
     return 0
 

@@ -29,14 +29,10 @@ HEAVY_PCT_RANGE = (0, 100)
 SPEED_INDEX_DIVISOR = 120.0
 CRITICAL_MIN_SCORE = 75
 
-# Sensor values carry at most two decimals by contract (speed 1 dp, score
-# 2 dp), so x * 100 is an integer: sums of it in 64-bit integers are exact,
-# independent of summation order / partitioning, and stay in codegen'd long
-# arithmetic (no BigDecimal per row).  |x| <= 2000 gives <= 2e5 per row, so a
-# group would need > 4e13 rows to overflow.  sum / 100 / count is the same
-# correctly rounded double as an exact decimal sum cast to double.
-EXACT_DECIMAL = "decimal(18,6)"
-CENTS = 100
+# Sums of sensor values are taken in integer millionths, whole units and the
+# rest apart: exact, independent of summation order and partitioning, codegen'd
+# long arithmetic per row, and neither part can overflow before about 9e12 rows.
+MICRO = 1_000_000
 
 
 def col(c) -> Column:
@@ -54,33 +50,35 @@ def ts_value(as_of) -> Column:
     return F.lit(str(as_of)).cast("timestamp")
 
 
-def cents(c) -> Column:
-    """A <= 2-decimal value as an exact integer count of hundredths."""
-    return F.round(col(c) * F.lit(float(CENTS))).cast("long")
+def micros(c) -> Column:
+    """A value as an integer count of millionths (six decimals are kept)."""
+    return F.round(col(c) * F.lit(float(MICRO))).cast("long")
+
+
+def _exact(c) -> Column:
+    """The double of a group's exact sum."""
+    m = micros(c)
+    rest = F.pmod(m, F.lit(MICRO))
+    whole = F.sum(((m - rest) / F.lit(MICRO)).cast("long"))
+    units = whole.cast("decimal(20,0)") * F.lit(MICRO).cast("decimal(8,0)") + F.sum(rest).cast("decimal(20,0)")
+    return units.cast("double") / F.lit(float(MICRO))
 
 
 def mean_of(c, integral: bool = False) -> Column:
     """Order-independent exact mean: exact sum / count (null for no rows)."""
-    c = col(c)
-    if integral:
-        s = F.sum(c).cast("double")
-    else:
-        s = F.sum(cents(c)).cast("double") / F.lit(float(CENTS))
-    return F.try_divide(s, F.count(c))
+    return F.try_divide(exact_sum(c, integral).cast("double"), F.count(col(c)))
 
 
 def exact_sum(c, integral: bool = False) -> Column:
-    """Exact sum (long for integers; the double value of the exact sum of a
-    <= 2-decimal column, from integer hundredths)."""
-    c = col(c)
-    return F.sum(c) if integral else F.sum(cents(c)).cast("double") / F.lit(float(CENTS))
+    """Exact sum (long for integers; else the double of the exact sum)."""
+    return F.sum(col(c)) if integral else _exact(c)
 
 
 def exact_sum_sq(c, integral: bool = False) -> Column:
     c = col(c)
     if integral:
         return F.sum(c.cast("long") * c.cast("long"))
-    d = c.cast("decimal(12,4)")
+    d = c.cast("decimal(18,6)")
     return F.sum(d * d)
 
 

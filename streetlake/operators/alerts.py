@@ -7,6 +7,7 @@ Classification is a ``when`` chain and the message text is built with
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,9 +84,12 @@ def _message() -> Column:
 
 def alert_records(classified: DataFrame) -> DataFrame:
     """U4: the alert record.  ``alert_id`` is deterministic and re-run safe:
-    camera _ epoch(event_ts) _ type _ event_id; ``created_at`` = event time."""
+    camera _ epoch(event_ts) _ type _ event_id; ``created_at`` = event time.
+    An event without an id is named by a hash of its readings."""
+    eid = F.coalesce(F.col("event_id"), F.concat(F.lit("x"), F.hex(F.xxhash64(
+        "vehicle_count", "anomaly_score", "pct_above_baseline"))))
     aid = F.concat_ws("_", F.col("camera_id"), F.unix_seconds("event_ts").cast("string"),
-                      F.col("alert_type"), F.col("event_id"))
+                      F.col("alert_type"), eid)
     return classified.select(
         aid.alias("alert_id"), "camera_id", "alert_type", "severity",
         F.round("anomaly_score", 4).alias("anomaly_score"),
@@ -145,12 +149,15 @@ def append_alerts_table(spark, alerts: DataFrame, path: str,
     from ..session import cut_lineage
     try:
         existing = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001  (first run: no table yet)
-        existing = None
-    fresh = cut_lineage(append_new_alerts(alerts, existing, time_bounded=True))
-    write_alerts(fresh, path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        existing = None                   # first run: no table yet
+    fresh = cut_lineage(append_new_alerts(cut_lineage(alerts), existing, time_bounded=True))
     if publish_servers:
+        # before the append: a failed send is retried with the same rows
         write_kafka(alerts_to_kafka(fresh, topics), publish_servers)
+    write_alerts(fresh, path)
     return fresh
 
 

@@ -233,13 +233,15 @@ def dedup_events(df: DataFrame) -> DataFrame:
 
     An aggregate (``min_by``) rather than a window: it combines map-side, so a
     hot event id never lands whole in one task.  Rows without an event id are
-    de-duplicated by their (partition, offset) delivery coordinates.
+    de-duplicated by their (partition, offset) delivery coordinates; without
+    those, only rows that agree in every column are one row.
     """
     cols = df.columns
     key = F.coalesce(F.col("event_id"),
                      F.concat(F.lit("\u0000"), F.col("kafka_partition").cast("string"),
-                              F.lit(":"), F.col("kafka_offset").cast("string")))
-    order = F.struct(F.col("kafka_ingest_ts"), F.col("kafka_offset"))
+                              F.lit(":"), F.col("kafka_offset").cast("string")),
+                     F.concat(F.lit("\u0000#"), F.sha2(F.to_json(F.struct(*cols)), 256)))
+    order = F.struct(F.col("kafka_ingest_ts"), F.col("kafka_partition"), F.col("kafka_offset"))
     agg = (df.withColumn("_k", key)
            .groupBy("_k")
            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r")))
@@ -247,5 +249,9 @@ def dedup_events(df: DataFrame) -> DataFrame:
 
 
 def dedup_stream(df: DataFrame, watermark: str = "10 minutes") -> DataFrame:
-    """Streaming de-duplication by event_id within the watermark."""
-    return df.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(["event_id"])
+    """Streaming de-duplication by event_id within the watermark.
+
+    Rows without an event id are duplicates only where every column agrees."""
+    key = F.coalesce(F.col("event_id"), F.concat(F.lit("\u0000#"), F.sha2(F.to_json(F.struct(*df.columns)), 256)))
+    return df.withWatermark("event_ts", watermark).withColumn("_k", key) \
+        .dropDuplicatesWithinWatermark(["_k"]).drop("_k")

@@ -38,7 +38,7 @@ def sliding_metrics(clean: DataFrame, window: str = WINDOW, slide: str | None =
     """Per (window, camera, location) metrics; tumbling when slide is None
     or equal to the window (T3).  Streaming input gets the watermark (T1)."""
     df = clean
-    if df.isStreaming:
+    if df.isStreaming and "spark.watermarkDelayMs" not in df.schema["event_ts"].metadata:
         df = df.withWatermark("event_ts", watermark)
     w = F.window("event_ts", window, slide) if slide and slide != window else F.window("event_ts", window)
     out = (df.groupBy(w.alias("window"), F.col("camera_id"), F.col("location"))

@@ -15,7 +15,7 @@ DETECT_COLS = ["event_id", "kafka_offset", "camera_id", "event_ts", "accident_de
 
 
 def recent_window(clean: DataFrame, as_of=None, window_hours: float | None = 48) -> DataFrame:
-    """Rows of the last ``window_hours`` before as_of.
+    """Rows of the last ``window_hours`` before as_of (up to now without it).
 
     The implied ``event_date >=`` predicate lets a partitioned clean zone prune
     whole day directories; the ``event_ts`` predicate is pushed to Parquet.
@@ -25,8 +25,10 @@ def recent_window(clean: DataFrame, as_of=None, window_hours: float | None = 48)
     now = X.ts_value(as_of)
     cutoff = now - F.expr(f"INTERVAL {int(window_hours * 3600)} SECONDS")
     out = clean.filter(F.col("event_ts") >= cutoff)
+    if as_of is not None:
+        out = out.filter(F.col("event_ts") < now)       # a past run doesn't see later events
     if "event_date" in clean.columns:
-        # lower bound only (as the scan has no upper bound): prune older days/hours
+        # lower bound: prune older days/hours
         d = F.col("event_date")
         pred = d >= F.to_date(cutoff)
         if "event_hour" in clean.columns:

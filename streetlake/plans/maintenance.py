@@ -31,7 +31,8 @@ def compact_frame(df: DataFrame, partition_cols=("event_date",), sort_cols=("cam
     keys = list(partition_cols)
     slots = (df.groupBy(*keys).count()
              .select(*keys, F.greatest(F.lit(1), F.ceil(F.col("count") / rows_per_file)).cast("int").alias("_slots")))
-    keyed = attach_small(df, slots, keys, "inner")
+    # a null partition value joins nothing: its rows get one slot
+    keyed = attach_small(df, slots, keys, "left").withColumn("_slots", F.coalesce("_slots", F.lit(1)))
     n_slots = slots.agg(F.sum("_slots")).first()[0] or 1
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_slots"))
     return (keyed.repartition(max(int(n_slots), 1), *[F.col(c) for c in keys], salt)

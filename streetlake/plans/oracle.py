@@ -31,7 +31,7 @@ def pop_std(c: str, integral: bool) -> str:
         s, q = f"cast(sum({c}) as double)", f"cast(sum(cast({c} as bigint) * cast({c} as bigint)) as double)"
     else:
         s = f"cast(sum(cast({c} as decimal(18,6))) as double)"
-        q = f"cast(sum(cast({c} as decimal(12,4)) * cast({c} as decimal(12,4))) as double)"
+        q = f"cast(sum(cast({c} as decimal(18,6)) * cast({c} as decimal(18,6))) as double)"
     m = f"({s} / count({c}))"
     return f"sqrt(greatest({q} / count({c}) - {m} * {m}, 0.0))"
 

@@ -38,7 +38,7 @@ def write_replay(raw: DataFrame, path: str, slice_days: int = SLICE_DAYS) -> int
         # file per micro-batch, so file order must follow event time (several
         # files of one slice, finished in any order, would arrive behind the
         # watermark).  A replay tool: slices are sized by ``slice_days``.
-        (keyed.filter(F.col("_slice") == s).select("value").coalesce(1)
+        (keyed.filter(F.col("_slice").eqNullSafe(F.lit(s))).select("value").coalesce(1)
          .write.mode("overwrite").text(f"{path}/slice={i:04d}"))
     return len(slices)
 

@@ -68,13 +68,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The folder named by ``spark.checkpoint.dir`` is used as is.  Only when it
-    is unset (local tests) a private scratch folder is created and registered.
+    is unset a private scratch folder is created and registered, on a local
+    master only: executors elsewhere would not see it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="streetlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)

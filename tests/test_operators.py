@@ -308,3 +308,39 @@ def test_dq_stats_approximate_mode_close_to_exact(spark):
     approx = {r.event_date: r.dup_rate for r in Q.dq_stats(raw, exact=False).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(exact[k] - approx[k]) <= 0.05 for k in exact)
+
+
+def test_means_keep_small_decimals(spark):
+    from pyspark.sql import functions as F
+    from streetlake.functions import exprs as X
+    df = spark.createDataFrame([(0.004,), (0.004,), (-33.333,), (33.334,)], "x double")
+    r = df.groupBy((F.abs("x") > 1).alias("k")).agg(X.mean_of("x").alias("m"), X.exact_sum_sq("x").alias("q")).collect()
+    got = {x.k: (x.m, float(x.q)) for x in r}
+    assert got[False] == (0.004, 3.2e-05)
+    assert abs(got[True][0] - 0.0005) < 1e-12
+
+
+def test_rows_without_event_id_are_not_merged(spark):
+    from streetlake.operators import quality as Q
+    cols = "event_id string, kafka_partition int, kafka_offset long, kafka_ingest_ts timestamp, camera_id string"
+    rows = [(None, None, None, None, f"c{i}") for i in range(10)] + [("a", 0, 1, None, "x"), ("a", 0, 2, None, "x")]
+    assert Q.dedup_events(spark.createDataFrame(rows, cols)).count() == 11
+
+
+def test_compaction_keeps_null_partitions(spark):
+    from streetlake.plans.maintenance import compact_frame
+    rows = [(None if i % 2 else "2024-01-01", f"c{i}", i) for i in range(10)]
+    df = spark.createDataFrame(rows, "event_date string, camera_id string, event_ts int")
+    assert compact_frame(df).count() == 10
+
+
+def test_streaming_dedup_before_windows_sets_one_watermark(spark, tmp_path):
+    from streetlake.streaming.pipeline import analytics_stream, clean_stream, raw_stream
+    from streetlake.sources.streams import file_source
+    (tmp_path / "in").mkdir()
+    src = file_source(spark, str(tmp_path / "in"))
+    q = analytics_stream(clean_stream(raw_stream(src), dedup=True)).writeStream.format("memory") \
+        .queryName("dedup_windows").trigger(availableNow=True) \
+        .option("checkpointLocation", str(tmp_path / "ck")).start()
+    q.awaitTermination(60)
+    assert q.exception() is None
