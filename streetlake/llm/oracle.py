@@ -2,6 +2,47 @@
 
 from __future__ import annotations
 
+from streetlake.llm.secrets import BASE, RULES
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
+"""
+
+
+def _secrets() -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    kinds = ", ".join(f"({quote(kind)}, {k}, {quote(pattern)}, {group}, {least})"
+                      for k, (kind, pattern, group, least) in enumerate(RULES))
+    spans = "string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, ord)"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+k(kind, ord, pat, grp, least) AS (VALUES {kinds}),
+p AS (
+  SELECT rid, kind, ord, pat, grp, least,
+         string_split(regexp_replace(t, pat, chr(1) || '\\0' || chr(1), 'g'), chr(1)) AS parts FROM d, k),
+u AS (SELECT * EXCLUDE parts, unnest(parts) AS part, generate_subscripts(parts, 1) AS i FROM p WHERE len(parts) > 1),
+s AS (SELECT *, CAST(sum(length(part)) OVER (PARTITION BY rid, ord ORDER BY i) AS BIGINT) AS e FROM u),
+f AS (
+  SELECT rid, kind, ord, e - length(part) AS b, e FROM s
+  WHERE i % 2 = 0 AND length(CASE WHEN grp = 2 THEN regexp_extract(part, pat, 2) ELSE part END) >= least),
+a AS (
+  SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex, {spans} FILTER (ord < {len(BASE)}) AS base, {spans} AS spans
+  FROM f GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (rid)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_secret_scan": _secrets(), "op4_exact_top_k": TOP_K}
