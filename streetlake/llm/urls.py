@@ -6,7 +6,8 @@ binned lexical features by Newton boosting: one grouped sum of gradients per
 splits.  The model becomes a SQL expression, so scoring is part of the scan.
 
 The training rows are a sample of the labelled URLs of about ``TRAIN_ROWS``
-rows at most, taken by a hash of the URL; suffix statistics come from it, so
+rows at most, taken by a hash of URL and id, so that one URL on a third of all
+rows adds a share of them only; suffix statistics come from the sample, so
 their table is bounded by it too.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
@@ -132,7 +133,7 @@ def train(labelled: DataFrame) -> tuple[DataFrame | None, list[Column], Column]:
     if not n:
         return None, [], F.lit(-1.0)
     share = min(1.0, TRAIN_ROWS / n)
-    sample = stage(labelled.where(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < share * 1_000_000), "url-train")
+    sample = stage(labelled.where(F.pmod(F.xxhash64("url", "page_id"), F.lit(1_000_000)) < share * 1_000_000), "url-train")
     total = sample.agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("y")).first()
     if not total["n"]:
         return None, [], F.lit(-1.0)
