@@ -5,6 +5,7 @@ detect       score the clean zone and append alerts (window, threshold, retrain,
 daily-close  DQ gate -> daily summary -> refit -> compaction -> report (JSON)
 compact      rewrite closed partitions of a zone into a new generation
 vacuum       drop old, non-current zone generations
+ack          acknowledge stored alerts by id
 endpoint     the operational API's queries over stored zones (live, summary, ...)
 query        run a registered query over a scale-factor folder and print rows
 """
@@ -32,7 +33,8 @@ def cmd_stream(spark, a):
     else:
         src = lambda: file_source(spark, a.path, a.max_files)
     runner = run_chained if a.chained else run_pipeline
-    queries = runner(spark, src, a.base, available_now=a.available_now, dedup=a.dedup)
+    queries = runner(spark, src, a.base, available_now=a.available_now, dedup=a.dedup,
+                     quarantine=a.quarantine)
     if a.available_now:
         await_all(queries)
     else:
@@ -121,6 +123,14 @@ def cmd_endpoint(spark, a):
     return 0
 
 
+def cmd_ack(spark, a):
+    """Acknowledge stored alerts; ids that name none are reported (exit code 4)."""
+    from .operators.alerts import store_acks
+    unknown = store_acks(spark, a.alerts, a.acks, a.id, a.at)
+    print(json.dumps({"acknowledged": len(set(a.id)) - len(unknown), "unknown": unknown}))
+    return 4 if unknown else 0
+
+
 def cmd_query(spark, a):
     from .plans.catalog import queries
     df = queries()[a.name](spark, a.sf_dir)
@@ -148,6 +158,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--chained", action="store_true", help="read the broker once (raw -> clean -> analytics)")
     s.add_argument("--dedup", action="store_true")
+    s.add_argument("--quarantine", action="store_true", help="keep rows that break the contract, count rejects")
 
     d = sub.add_parser("detect")
     d.add_argument("--clean", required=True)
@@ -161,6 +172,12 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--norm", choices=["batch", "model"], default="batch")
     d.add_argument("--publish", help="Kafka servers: also send new alerts to the alert topics")
 
+    k = sub.add_parser("ack")
+    k.add_argument("--alerts", required=True)
+    k.add_argument("--acks", required=True, help="ack log folder")
+    k.add_argument("--id", nargs="+", required=True)
+    k.add_argument("--at", help="time of the acknowledgement (default: now)")
+
     c = sub.add_parser("daily-close")
     c.add_argument("--clean", required=True)
     c.add_argument("--date", required=True)
@@ -204,7 +221,7 @@ def parser() -> argparse.ArgumentParser:
 
 
 COMMANDS = {"stream": cmd_stream, "detect": cmd_detect, "daily-close": cmd_daily_close,
-            "compact": cmd_compact, "vacuum": cmd_vacuum, "endpoint": cmd_endpoint, "query": cmd_query}
+            "compact": cmd_compact, "vacuum": cmd_vacuum, "ack": cmd_ack, "endpoint": cmd_endpoint, "query": cmd_query}
 
 
 def main(argv=None, spark=None) -> int:

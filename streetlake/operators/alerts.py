@@ -181,6 +181,23 @@ def acknowledge(acks: DataFrame, alert_ids, at) -> DataFrame:
     return acks.unionByName(rows.withColumn("acked_at", X.ts_value(at)))
 
 
+def store_acks(spark, alerts_path: str, acks_path: str, alert_ids, at=None) -> list[str]:
+    """Append acknowledgements of stored alerts to the ack log and return
+    the ids that name no alert (the 404 case; nothing is stored for them).
+
+    An id holds its alert's second, so only those days of the table are read.
+    """
+    asked = spark.createDataFrame([(a,) for a in sorted(set(alert_ids))], "alert_id string")
+    second = F.regexp_extract("alert_id", r"_(\d+)_[A-Z_]+_", 1).try_cast("long")
+    days = [r[0] for r in asked.select(F.to_date(F.timestamp_seconds(second))).distinct().collect() if r[0]]
+    known = {r[0] for r in spark.read.parquet(alerts_path).filter(F.col("created_date").isin(days))
+             .join(F.broadcast(asked), "alert_id", "left_semi").select("alert_id").collect()}    # <= the ids asked for
+    found = asked.filter(F.col("alert_id").isin(sorted(known))).withColumn("acked_at", X.ts_value(at))
+    if known:
+        found.coalesce(1).write.mode("append").parquet(acks_path)
+    return sorted(set(alert_ids) - known)
+
+
 def alerts_to_kafka(alerts: DataFrame, topics=ALERT_TOPICS) -> DataFrame:
     """K5: one Kafka record per (alert, topic): key = camera_id, value = JSON."""
     fields = []

@@ -3,17 +3,19 @@
 Fit
   1. one aggregation gives n and the exact feature sums (scaler, A7);
   2. a hash threshold keeps a pool of about ``pool_factor * trees * psi`` rows,
-     so the remaining cost does not grow with n;
+     so the remaining cost does not grow with n; identical rows become one row
+     with a count, so that a row repeated any number of times is never gathered;
   3. tree ids are exploded over the pool and a second hash keeps ~2*psi rows
-     per tree (checked; widened if a tree falls short);
+     per tree (checked; widened until every tree has psi rows);
   4. ``groupBy("tree").applyInPandas`` builds one tree per group from the psi
      rows with the smallest hash, RNG seeded by (seed, tree).
-  Every step is deterministic under any partitioning.
+  Every step is deterministic under any partitioning.  Hashes cover the ids and
+  all features: rows without an event id are sampled like others.
 
 Score
   The node table is bounded by ``trees * (2 psi - 1)`` rows, independent of the
-  data, and is broadcast; ``mapInPandas`` walks all trees for an Arrow batch at
-  once with NumPy.  s = -2^(-E[h]/c(psi)); anomaly_score flips a min-max scaling
+  data, and is broadcast; ``mapInArrow`` walks all trees for an Arrow batch at
+  once with NumPy (other columns pass through untouched).  s = -2^(-E[h]/c(psi)); anomaly_score flips a min-max scaling
   whose min/max come from the scored batch (``norm="batch"``) or from the fit
   (``norm="model"``, needed for streaming).
 """
@@ -25,14 +27,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import exprs as X
 from ..schema import FEATURE_COLS, INTEGRAL_FEATURES
-from ..session import cut_lineage
+from ..session import cut_lineage, stored
 from .joins import spread
 
 N_TREES = 200
@@ -41,6 +44,8 @@ SEED = 42
 POOL_FACTOR = 8
 OVERSAMPLE = 2.0
 EULER_GAMMA = 0.5772156649015329
+# what tells rows apart, besides their features
+ID_COLS = ["event_id", "kafka_partition", "kafka_offset", "camera_id", "event_ts"]
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()),
@@ -129,8 +134,10 @@ class ForestModel:
             info = spark.read.parquet(path + "/info").first()
             nodes = spark.read.parquet(path + "/nodes").toPandas()
             sc = {r.feature: (r.mean, r.std) for r in spark.read.parquet(path + "/scaler").collect()}
-        except Exception:  # noqa: BLE001  (missing or partial model -> retrain)
-            return None
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None                   # no model saved yet -> fit one
         feats = info.features.split(",")
         return cls(nodes=nodes, features=feats, scaler=sc, psi=info.psi, n_trees=info.n_trees,
                    seed=info.seed, score_min=info.score_min, score_max=info.score_max)
@@ -205,7 +212,8 @@ def _builder(features, psi, seed):
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        pdf = pdf.sort_values(["h", "event_id", "kafka_offset"], kind="mergesort").head(psi)
+        pdf = pdf.sort_values(["h", *zcols], kind="mergesort")
+        pdf = pdf.loc[pdf.index.repeat(pdf["copies"])].head(psi)
         rows = _build_tree(tree, pdf[zcols].to_numpy(dtype=float), psi, seed)
         out = pd.DataFrame(rows, columns=[f.name for f in NODE_SCHEMA.fields])
         return out.astype({"tree": "int32", "node": "int32", "feature": "int32", "threshold": "float64",
@@ -216,9 +224,9 @@ def _builder(features, psi, seed):
 def fit_forest(df: DataFrame, n_trees: int = N_TREES, psi: int = PSI, seed: int = SEED,
                features=FEATURE_COLS, pool_factor: int = POOL_FACTOR,
                calibrate: bool = False) -> ForestModel | None:
-    """Fit on feature-complete rows of ``df`` (needs event_id, kafka_offset).
+    """Fit on feature-complete rows of ``df`` (None without such rows).
 
-    ``calibrate`` also scores the pool once to store the min/max that
+    ``calibrate`` also scores all training rows once to store the min/max that
     ``norm="model"`` (streaming) scales by; batch scoring does not need it.
     """
     data = df.dropna(subset=list(features))
@@ -229,29 +237,31 @@ def fit_forest(df: DataFrame, n_trees: int = N_TREES, psi: int = PSI, seed: int
     scaler = {r["feature"]: (float(r["mean"]), float(r["std"])) for r in stats_rows}
     psi_eff = min(psi, n)
     pool_frac = min(1.0, pool_factor * n_trees * psi / n)
-    key = [F.col("event_id").cast("string"), F.lit(seed)]
-    pool = data if pool_frac >= 1.0 else data.filter(_unit_hash(*key) < pool_frac)
-    # the pool is bounded by pool_factor * trees * psi rows at any n, so a
-    # round-robin split for parallel hashing/building is always cheap
-    pool = scale(pool.select("event_id", "kafka_offset", *features), scaler, features) \
-        .repartition(df.sparkSession.sparkContext.defaultParallelism)
+    ids = [c for c in ID_COLS if c in data.columns]
+    keyed = data.select(*features, F.xxhash64(*ids, *features, F.lit(seed)).alias("key"))
+    pool = keyed if pool_frac >= 1.0 else keyed.filter(_unit_hash("key", F.lit(seed)) < pool_frac)
+    # about pool_factor * trees * psi rows at any n; a tree takes at most psi
+    # copies of a row, so more need not be counted
+    pool = pool.groupBy("key", *features).agg(
+        F.least(F.count(F.lit(1)), F.lit(psi_eff)).cast("int").alias("copies"))
+    spark = df.sparkSession
+    pool = cut_lineage(scale(pool, scaler, features).repartition(spark.sparkContext.defaultParallelism))
     m = max(1.0, n * pool_frac)
     q = min(1.0, OVERSAMPLE * psi_eff / m)
     zcols = ["z_" + f for f in features]
-    spark = df.sparkSession
     trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    pairs = pool.select("event_id", "kafka_offset", *zcols, F.explode(trees).alias("tree"))
-    pairs = pairs.withColumn("h", _unit_hash(F.col("event_id").cast("string"), F.col("tree"), F.lit(seed)))
-    for _ in range(6):
+    pairs = pool.select("copies", *zcols, "key", F.explode(trees).alias("tree"))
+    pairs = pairs.withColumn("h", _unit_hash("key", F.col("tree"), F.lit(seed))).drop("key")
+    while True:
         # bounded (~2 psi rows per tree): checkpointed so the size check and
         # the tree build neither recompute nor depend on the scan behind it
         sample = cut_lineage(pairs.filter(F.col("h") < q) if q < 1.0 else pairs)
-        if q >= 1.0:
-            break
         # every tree must see at least psi rows; otherwise widen the sample
-        full = sample.groupBy("tree").count().filter(F.col("count") >= psi_eff).count()
+        full = sample.groupBy("tree").agg(F.sum("copies").alias("n")).filter(F.col("n") >= psi_eff).count()
         if full == n_trees:
             break
+        if q >= 1.0:
+            raise ValueError(f"the pool holds fewer than {psi_eff} rows; fit with a larger pool_factor")
         q = min(1.0, q * 2)
     nodes = (sample.groupBy("tree")
              .applyInPandas(_builder(features, psi_eff, seed), NODE_SCHEMA)
@@ -259,13 +269,16 @@ def fit_forest(df: DataFrame, n_trees: int = N_TREES, psi: int = PSI, seed: int
     model = ForestModel(nodes=nodes, features=list(features), scaler=scaler, psi=psi_eff,
                         n_trees=n_trees, seed=seed)
     if calibrate:
-        calibrate_model(model, pool.select("event_id", "kafka_offset", *features))
+        calibrate_model(model, spread(data.select(*features)))
     return model
 
 
 def calibrate_model(model: ForestModel, df: DataFrame) -> ForestModel:
-    """Store min/max of ``df``'s raw scores in the model (for norm="model")."""
-    mm = score_raw(df, model).agg(F.min("anomaly_raw").alias("lo"), F.max("anomaly_raw").alias("hi")).first()
+    """Store min/max of ``df``'s raw scores in the model (for norm="model").
+
+    ``df`` holds the training rows, scored already or not."""
+    raw = df if "anomaly_raw" in df.columns else score_raw(df, model)
+    mm = raw.agg(F.min("anomaly_raw").alias("lo"), F.max("anomaly_raw").alias("hi")).first()
     model.score_min, model.score_max = float(mm["lo"]), float(mm["hi"])
     return model
 
@@ -279,53 +292,64 @@ def _scorer(bc, features, zmeans, zstds):
         n_trees, n_int, n_leaf = a["n_trees"], a["n_int"], a["n_leaf"]
         int_off = (np.arange(n_trees) * n_int)[None, :]
         leaf_off = (np.arange(n_trees) * n_leaf)[None, :]
-        for pdf in batches:
-            if len(pdf) == 0:
-                yield pdf.assign(anomaly_raw=pd.Series([], dtype=float))
+        for b in batches:
+            if not b.num_rows:
                 continue
-            x = (pdf[features].to_numpy(dtype=float) - zmeans) / zstds
+            x = np.column_stack([b.column(f).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in features])
+            x = (x - zmeans) / zstds
             rows = np.arange(x.shape[0])[:, None]
             idx = np.zeros((x.shape[0], n_trees), dtype=np.int64)
             for _ in range(a["depth"]):
                 flat = idx + int_off
                 idx = 2 * idx + 1 + (x[rows, feat[flat]] > thr[flat])
             eh = leaf[idx - n_int + leaf_off].mean(axis=1)
-            yield pdf.assign(anomaly_raw=-np.power(2.0, -eh / a["c"]))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(-np.power(2.0, -eh / a["c"]))],
+                                             names=[*b.schema.names, "anomaly_raw"])
     return score
 
 
-def score_raw(df: DataFrame, model: ForestModel, spark: SparkSession | None = None) -> DataFrame:
+def share_model(spark: SparkSession, model: ForestModel):
+    """The model's arrays as a broadcast (``trees * 2 psi`` entries), for
+    callers that score many frames with one model."""
+    return spark.sparkContext.broadcast(model.arrays())
+
+
+def score_raw(df: DataFrame, model: ForestModel, spark: SparkSession | None = None, shared=None) -> DataFrame:
     """Add ``anomaly_raw`` (sklearn's score_samples convention, <= 0)."""
-    spark = spark or df.sparkSession
-    bc = spark.sparkContext.broadcast(model.arrays())
+    bc = shared or share_model(spark or df.sparkSession, model)
     feats = model.features
     zm = np.array([model.scaler[f][0] for f in feats])
     zs = np.array([model.scaler[f][1] for f in feats])
     schema = T.StructType(df.schema.fields + [T.StructField("anomaly_raw", T.DoubleType())])
-    return df.mapInPandas(_scorer(bc, feats, zm, zs), schema)
+    return df.mapInArrow(_scorer(bc, feats, zm, zs), schema)
 
 
-def score_events(df: DataFrame, model: ForestModel, norm: str = "batch") -> DataFrame:
+def score_events(df: DataFrame, model: ForestModel, norm: str = "batch", shared=None) -> DataFrame:
     """``anomaly_raw`` and ``anomaly_score`` in [0, 1] (1 = most anomalous).
 
-    ``norm="batch"`` scales by the min/max of this frame's scores (two scalars
-    from one aggregate over the persisted scores); ``norm="model"`` uses the
-    min/max stored at fit and needs no extra pass (works on streams).
+    ``norm="batch"`` writes the scores to the shared checkpoint folder and
+    scales by the min/max of this frame's scores (one aggregate over the stored
+    column); ``norm="model"`` uses the min/max stored at fit and needs no extra
+    pass (works on streams).  ``shared`` is a ``share_model`` broadcast.
     """
     data = spread(df.dropna(subset=model.features))
-    raw = score_raw(data, model)
+    raw = score_raw(data, model, shared=shared)
     if norm == "model":
         if model.score_min is None or model.score_max is None:
             raise ValueError("norm='model' needs a calibrated model (fit_forest(calibrate=True))")
         lo, hi = model.score_min, model.score_max
     else:
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+        raw = stored(raw, "scores")
         mm = raw.agg(F.min("anomaly_raw").alias("lo"), F.max("anomaly_raw").alias("hi")).first()
         if mm["lo"] is None:
             return raw.withColumn("anomaly_score", F.lit(None).cast("double"))
         lo, hi = float(mm["lo"]), float(mm["hi"])
-    normed = (F.col("anomaly_raw") - F.lit(lo)) / F.lit(hi - lo + 1e-9)
-    return raw.withColumn("anomaly_score", F.lit(1.0) - normed)
+    return raw.withColumn("anomaly_score", min_max_score(F.lit(lo), F.lit(hi)))
+
+
+def min_max_score(lo, hi):
+    """The flipped min-max scaling of ``anomaly_raw``."""
+    return F.lit(1.0) - (F.col("anomaly_raw") - lo) / (hi - lo + F.lit(1e-9))
 
 
 def brute_force_scores(model: ForestModel, x: np.ndarray) -> np.ndarray:

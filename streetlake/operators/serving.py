@@ -265,6 +265,11 @@ def active_anomalies(alerts: DataFrame, as_of=None, windows=(15, 30, 60)) -> Dat
     now = X.ts_value(as_of)
     age = F.col("created_at")
     win = F.col("window_minutes")
+    first = now - F.make_interval(mins=F.lit(max(int(w) for w in windows)))
+    # the widest window first: older alerts aren't exploded, nor their days read
+    alerts = alerts.filter((age >= first) & (age <= now))
+    if "created_date" in alerts.columns:
+        alerts = alerts.filter(F.col("created_date").between(F.to_date(first), F.to_date(now)))
     return (alerts.select("severity", "alert_type", "acknowledged_at", "created_at",
                           F.explode(F.array(*[F.lit(int(w)) for w in windows])).alias("window_minutes"))
             .filter((age >= now - F.make_interval(mins=win)) & (age <= now))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import alerts as A
-from ..operators.iforest import ForestModel, fit_forest, score_events
+from ..operators.iforest import ForestModel, calibrate_model, fit_forest, score_events
 from ..schema import FEATURE_COLS
 
 
@@ -69,7 +69,8 @@ def read_clean_day(spark: SparkSession, path: str, date, fmt: str | None = None,
 def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
            window_hours: float | None = 48, threshold: float = 0.85, retrain: bool = False,
            dry_run: bool = False, as_of=None, norm: str = "batch",
-           alerts_path: str | None = None, publish_servers: str | None = None) -> DataFrame | None:
+           alerts_path: str | None = None, publish_servers: str | None = None,
+           spike_pct: float = A.SPIKE_PCT, min_speed: float = A.MIN_SPEED_ALERT) -> DataFrame | None:
     """Scan -> (load | fit) model -> score -> classify -> (append alerts).
 
     Returns the alert records, or None when the window holds no rows.  With
@@ -77,23 +78,28 @@ def detect(spark: SparkSession, clean: DataFrame, model_path: str | None = None,
     ``publish_servers`` new alerts also go to the two Kafka alert topics.
     """
     # only what fitting, scoring and alert records need: the Parquet scan
-    # prunes the rest, and the persisted scores stay narrow
+    # prunes the rest, and the stored scores stay narrow
     scan = (recent_window(clean, as_of, window_hours).dropna(subset=FEATURE_COLS)
             .select(*[c for c in DETECT_COLS if c in clean.columns]))
     model = None if retrain else ForestModel.load(spark, model_path)
-    if model is None:
-        # a saved model is calibrated so streams can score with norm="model"
-        model = fit_forest(scan, calibrate=(norm == "model" or bool(model_path)))
+    fitted = model is None
+    if fitted:
+        model = fit_forest(scan, calibrate=(norm == "model"))
         if model is None:                   # no rows in the window
             return None
-        if model_path and not dry_run:
-            model.save(spark, model_path)
-    scored = score_events(scan, model, norm=norm)     # persisted when norm="batch"
+    scored = score_events(scan, model, norm=norm)     # stored when norm="batch"
+    if fitted and model_path and not dry_run:
+        if model.score_min is None:
+            # the scored rows are the training rows: streams can then score
+            # with norm="model"
+            calibrate_model(model, scored)
+        model.save(spark, model_path)
     if norm != "model" and scored.isEmpty():
-        return None                         # loaded model, empty window (reads the cache)
+        return None                         # loaded model, empty window (reads the stored scores)
     # baselines from the scored rows (feature-complete by construction): with
-    # batch normalisation these are read from the persisted scores, not re-scanned
-    alerts = A.build_alerts(scored, A.baselines(scored), threshold=threshold)
+    # batch normalisation these are read from the stored scores, not re-scanned
+    alerts = A.build_alerts(scored, A.baselines(scored), threshold=threshold,
+                            spike_pct=spike_pct, min_speed=min_speed)
     if alerts_path and not dry_run:
         A.append_alerts_table(spark, alerts, alerts_path, publish_servers=publish_servers)
     return alerts

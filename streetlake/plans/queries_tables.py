@@ -74,6 +74,18 @@ def q_acknowledged_alerts(spark, sf_dir):
     return TB.alerts_table(spark, sf_dir)
 
 
+@register("unknown_acks", O.with_adapter(*ALERTS_SQL, body=(
+    "SELECT alert_id || '_x' AS alert_id, created_at + INTERVAL 2 HOUR AS acked_at FROM alerts_tbl "
+    "WHERE cast(event_id as bigint) % 7 = 0")))
+def q_unknown_acks(spark, sf_dir):
+    """Acknowledgements that name no stored alert."""
+    alerts = TB.alerts_table(spark, sf_dir)
+    wrong = alerts.filter(F.col("event_id").cast("long") % 7 == 0).select(
+        F.concat("alert_id", F.lit("_x")).alias("alert_id"),
+        (F.col("created_at") + F.expr("INTERVAL 2 HOURS")).alias("acked_at"))
+    return A.unknown_acks(alerts, TB.standin_acks(alerts).unionByName(wrong))
+
+
 @register("recent_alerts", O.with_adapter(*ALERTS_SQL, body=(
     "SELECT * FROM alerts_tbl ORDER BY created_at DESC, alert_id LIMIT 50")))
 def q_recent_alerts(spark, sf_dir):
@@ -156,6 +168,46 @@ def q_scaler_stats(spark, sf_dir):
     return fit_scaler(TB.clean(spark, sf_dir).dropna(subset=FEATURE_COLS))
 
 
+SCAN_COLS = ["event_id", "kafka_offset", "camera_id", "event_ts", "vehicle_count", "average_speed"]
+
+
+@register("clean_window_scan", O.with_adapter(NOW_CTE, body=(
+    f"SELECT {', '.join('c.' + x for x in SCAN_COLS)} FROM clean c, nowt "
+    "WHERE c.event_ts >= nowt.now - INTERVAL 48 HOUR AND c.event_ts < nowt.now")))
+def q_clean_window_scan(spark, sf_dir):
+    """The 48 hours before the newest event (exclusive) of the clean rows."""
+    from .detect import recent_window
+    c, now = TB.clean_and_now(spark, sf_dir)
+    return recent_window(c, as_of=now, window_hours=48).select(*SCAN_COLS)
+
+
+@register("clean_day_scan", O.with_adapter(NOW_CTE, body=(
+    f"SELECT {', '.join('c.' + x for x in SCAN_COLS)} FROM clean c, nowt "
+    "WHERE c.event_date = cast(nowt.now as date)")))
+def q_clean_day_scan(spark, sf_dir):
+    """The clean rows of the newest event's day."""
+    from .detect import clean_day
+    c, now = TB.clean_and_now(spark, sf_dir)
+    return clean_day(c, now.date()).select(*SCAN_COLS)
+
+
+@register("forest_min_max", O.with_adapter(ALERTS_SQL[0], body=(
+    "SELECT event_id, kafka_offset, camera_id, anomaly_raw, "
+    "1.0::double - (anomaly_raw - lo) / (hi - lo + 1e-9::double) AS anomaly_score FROM ("
+    "SELECT *, min(anomaly_raw) OVER () AS lo, max(anomaly_raw) OVER () AS hi FROM ("
+    "SELECT event_id, kafka_offset, camera_id, "
+    "-cast((cast(event_id as bigint) * 7919) % 1000 as double) / 1000 AS anomaly_raw FROM feat)) "
+    "WHERE 1.0::double - (anomaly_raw - lo) / (hi - lo + 1e-9::double) >= 0.85")))
+def q_forest_min_max(spark, sf_dir):
+    """Stand-in raw scores scaled by the batch's min and max, at the threshold or over."""
+    from ..operators.iforest import min_max_score
+    raw = TB.standin_scored(TB.clean(spark, sf_dir)).select(
+        "event_id", "kafka_offset", "camera_id", (-F.col("anomaly_score")).alias("anomaly_raw"))
+    lo, hi = raw.agg(F.min("anomaly_raw"), F.max("anomaly_raw")).first()
+    return raw.withColumn("anomaly_score", min_max_score(F.lit(lo), F.lit(hi))) \
+        .filter(F.col("anomaly_score") >= 0.85)
+
+
 @register("forest_scores", None)
 def q_forest_scores(spark, sf_dir):
     """Isolation-forest scores of every clean row (batch min-max)."""

@@ -1,9 +1,9 @@
 """Replay a table as a stream: the stream == batch check as a job.
 
-The raw events of a scale-factor folder are written as JSON-lines files, one
-file per event-time slice, in time order (so later files carry later
-modification times), under the session's shared checkpoint folder.  The
-streaming pipeline then consumes them one slice per micro-batch with
+The raw events of a scale-factor folder are written as JSON-lines files, the
+same number of files for every slice of ingest time, in time order (so later
+slices carry later modification times), under the session's shared checkpoint
+folder.  The streaming pipeline then consumes them one slice per micro-batch with
 ``availableNow``; the analytics zone it leaves behind must equal the batch
 window metrics up to the final watermark.
 """
@@ -15,36 +15,47 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import spread
 from ..session import scratch_path
 from ..sources.fixtures import to_wire
 from ..sources.streams import file_source
 from ..streaming.pipeline import analytics_stream, clean_stream, raw_stream, write_zone
 
 SLICE_DAYS = 5
+FILES_PER_SLICE = 4
 
 
-def write_replay(raw: DataFrame, path: str, slice_days: int = SLICE_DAYS) -> int:
+def write_replay(raw: DataFrame, path: str, slice_days: int = SLICE_DAYS,
+                 files: int = FILES_PER_SLICE) -> int:
     """Write ``raw`` as JSON lines, one sub-folder per ``slice_days`` of ingest
-    time, oldest first.  Returns the number of slices."""
-    from ..operators.joins import spread
-    from ..session import cut_lineage
+    time, oldest first (rows without an ingest time before all others).
+
+    Returns the number of files per slice, the same for all: that many files
+    are a micro-batch.  It is ``files``, written by as many tasks, or 1 where
+    some slice has too few rows for that.
+    """
+    spark = raw.sparkSession
     secs = slice_days * 86400
-    # render the JSON once (checkpointed), then cut it into time slices
-    keyed = cut_lineage(to_wire(spread(raw)).select(
-        "value", F.floor(F.unix_seconds("timestamp") / secs).alias("_slice")))
-    slices = [r[0] for r in keyed.select("_slice").distinct().orderBy("_slice").collect()]
-    for i, s in enumerate(slices):
-        # exactly one file per slice, written oldest first: the stream takes one
-        # file per micro-batch, so file order must follow event time (several
-        # files of one slice, finished in any order, would arrive behind the
-        # watermark).  A replay tool: slices are sized by ``slice_days``.
-        (keyed.filter(F.col("_slice").eqNullSafe(F.lit(s))).select("value").coalesce(1)
-         .write.mode("overwrite").text(f"{path}/slice={i:04d}"))
-    return len(slices)
+    # render the JSON once, laid out by slice: each slice then reads its own part
+    staged = scratch_path(spark, f"replay-lines-{uuid.uuid4().hex}")
+    to_wire(spread(raw)).select(
+        "value", F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int").alias("part"),
+        F.floor(F.unix_seconds("timestamp") / secs).alias("slice")) \
+        .write.partitionBy("slice").parquet(staged)
+    lines = spark.read.schema("value string, part int, slice long").parquet(staged)
+    held = lines.groupBy("slice").agg(F.count_distinct("part").alias("parts")) \
+        .orderBy("slice").collect()                         # one row per slice of time
+    k = files if all(r["parts"] == files for r in held) else 1
+    for i, r in enumerate(held):
+        (lines.filter(F.col("slice").eqNullSafe(F.lit(r["slice"])))
+         .select("value", F.pmod("part", F.lit(k)).alias("part"))
+         .repartition(k, "part").write.partitionBy("part").text(f"{path}/slice={i:04d}"))
+    return k
 
 
 def replay_sliding_metrics(spark: SparkSession, raw: DataFrame, base: str | None = None,
-                           fmt: str = "parquet", state_partitions: int | None = None) -> DataFrame:
+                           fmt: str = "parquet", state_partitions: int | None = None,
+                           files: int = FILES_PER_SLICE) -> DataFrame:
     """Run the analytics query over a file replay of ``raw`` and return the
     analytics zone (processing-time columns dropped).
 
@@ -54,8 +65,8 @@ def replay_sliding_metrics(spark: SparkSession, raw: DataFrame, base: str | None
     """
     base = base or scratch_path(spark, f"replay-{uuid.uuid4().hex}")
     src = f"{base}/source"
-    write_replay(raw, src)
-    stream = analytics_stream(clean_stream(raw_stream(file_source(spark, src, max_files=1))))
+    k = write_replay(raw, src, files=files)
+    stream = analytics_stream(clean_stream(raw_stream(file_source(spark, src, max_files=k))))
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))
@@ -71,15 +82,16 @@ def replay_sliding_metrics(spark: SparkSession, raw: DataFrame, base: str | None
 
 
 def replay_clean_dedup(spark: SparkSession, raw: DataFrame, base: str | None = None,
-                       fmt: str = "parquet", state_partitions: int | None = None) -> DataFrame:
+                       fmt: str = "parquet", state_partitions: int | None = None,
+                       files: int = FILES_PER_SLICE) -> DataFrame:
     """T6 over a file replay: the clean stream de-duplicated by event id within
     the watermark, read back from its sink (broker and processing-time
     columns dropped: a replay carries no offsets)."""
     from ..schema import EVENT_FIELDS
     base = base or scratch_path(spark, f"replay-dedup-{uuid.uuid4().hex}")
     src = f"{base}/source"
-    write_replay(raw, src)
-    stream = clean_stream(raw_stream(file_source(spark, src, max_files=1)), dedup=True)
+    k = write_replay(raw, src, files=files)
+    stream = clean_stream(raw_stream(file_source(spark, src, max_files=k)), dedup=True)
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
     spark.conf.set(key, str(state_partitions or spark.sparkContext.defaultParallelism))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -99,6 +100,16 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, name: str):
+    """Write an intermediate of any size to the shared checkpoint folder and
+    read it back: later reads prune its columns, and a lost executor costs one
+    re-read.  Removal is left to the retention of that folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``streetlake`` importable in every Python worker (once per context).
 

@@ -16,8 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import alerts as A
 from ..operators.enrich import enrich
-from ..operators.iforest import ForestModel, score_events
-from ..operators.quality import dedup_stream, validate
+from ..operators.iforest import ForestModel, score_events, share_model
+from ..operators.quality import dedup_stream, observe_rejects, split_quarantine, validate
 from ..operators.windows import WATERMARK, sliding_metrics
 from ..sources.decode import decode_events
 from ..sources.streams import zone_format
@@ -41,6 +41,10 @@ class ZonePaths:
     def clean(self):
         return f"{self.base}/clean"
 
+    @property
+    def quarantine(self):
+        return f"{self.base}/quarantine"
+
     @property
     def analytics(self):
         return f"{self.base}/analytics"
@@ -95,9 +99,21 @@ def raw_stream(records: DataFrame) -> DataFrame:
     return decode_events(records, keep_value=True)
 
 
-def clean_stream(raw: DataFrame, dedup: bool = False, watermark: str = WATERMARK) -> DataFrame:
-    """Clean zone content: validated and enriched (optionally de-duplicated, T6)."""
-    c = enrich(validate(raw.drop("value", "ingest_date")))
+def write_quarantine(df: DataFrame, path: str, checkpoint: str, trigger: str | None = CLEAN_TRIGGER,
+                     **kw) -> StreamingQuery:
+    """Q3: append the rows that break the contract, with their violations,
+    partitioned by ingest date."""
+    return write_raw(split_quarantine(df)[1], path, checkpoint, trigger, **kw)
+
+
+def clean_stream(raw: DataFrame, dedup: bool = False, watermark: str = WATERMARK,
+                 count_rejects: bool = False) -> DataFrame:
+    """Clean zone content: validated and enriched (optionally de-duplicated, T6).
+
+    ``count_rejects`` attaches the contract's reject counts to every
+    micro-batch's progress (Q3)."""
+    raw = raw.drop("value", "ingest_date")
+    c = enrich(validate(observe_rejects(raw) if count_rejects else raw))
     return dedup_stream(c, watermark) if dedup else c
 
 
@@ -110,7 +126,7 @@ def analytics_stream(clean: DataFrame, watermark: str = WATERMARK) -> DataFrame:
 def run_pipeline(spark: SparkSession, source: Callable[[], DataFrame], base: str,
                  available_now: bool = False, dedup: bool = False, fmt: str | None = None,
                  triggers=(RAW_TRIGGER, CLEAN_TRIGGER, ANALYTICS_TRIGGER),
-                 state_store: str | None = None) -> list[StreamingQuery]:
+                 state_store: str | None = None, quarantine: bool = False) -> list[StreamingQuery]:
     """T4: start the raw, clean and analytics queries; each reads the source.
 
     ``source`` is a zero-argument function returning the Kafka-shaped stream
@@ -118,7 +134,8 @@ def run_pipeline(spark: SparkSession, source: Callable[[], DataFrame], base: str
     window and de-duplication state in RocksDB (off-heap, spills to local
     disk, checkpointed incrementally) instead of executor heap, for large
     numbers of open windows.  It must be chosen before a checkpoint's first
-    run.
+    run.  ``quarantine`` adds a fourth query that keeps the rows breaking the
+    contract, and reject counts in the clean query's progress.
     """
     if state_store == "rocksdb":
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
@@ -126,18 +143,23 @@ def run_pipeline(spark: SparkSession, source: Callable[[], DataFrame], base: str
     fmt = fmt or zone_format(spark)
     q_raw = write_raw(raw_stream(source()), z.raw, z.checkpoint("raw"), triggers[0],
                       fmt=fmt, available_now=available_now)
-    clean = clean_stream(raw_stream(source()), dedup=dedup)
+    clean = clean_stream(raw_stream(source()), dedup=dedup, count_rejects=quarantine)
     q_clean = write_clean(clean, z.clean, z.checkpoint("clean"), triggers[1],
                           fmt=fmt, available_now=available_now)
     analytics = analytics_stream(clean_stream(raw_stream(source()), dedup=dedup))
     q_agg = write_analytics(analytics, z.analytics, z.checkpoint("analytics"), triggers[2],
                             fmt=fmt, available_now=available_now)
-    return [q_raw, q_clean, q_agg]
+    started = [q_raw, q_clean, q_agg]
+    if quarantine:
+        started.append(write_quarantine(raw_stream(source()), z.quarantine, z.checkpoint("quarantine"),
+                                        triggers[1], fmt=fmt, available_now=available_now))
+    return started
 
 
 def run_chained(spark: SparkSession, source: Callable[[], DataFrame], base: str,
                 available_now: bool = False, dedup: bool = False, fmt: str | None = None,
-                triggers=(RAW_TRIGGER, CLEAN_TRIGGER, ANALYTICS_TRIGGER)) -> list[StreamingQuery]:
+                triggers=(RAW_TRIGGER, CLEAN_TRIGGER, ANALYTICS_TRIGGER),
+                quarantine: bool = False) -> list[StreamingQuery]:
     """T4, zone-chained: the broker is read once.
 
     raw <- source;  clean <- stream of the raw zone;  analytics <- stream of
@@ -160,7 +182,10 @@ def run_chained(spark: SparkSession, source: Callable[[], DataFrame], base: str,
     start(write_raw(raw_stream(source()), z.raw, z.checkpoint("raw"), triggers[0],
                     fmt=fmt, available_now=available_now))
     raw_schema = spark.read.format(fmt).load(z.raw).schema
-    clean = clean_stream(read_zone_stream(spark, z.raw, raw_schema, fmt), dedup=dedup)
+    if quarantine:
+        start(write_quarantine(read_zone_stream(spark, z.raw, raw_schema, fmt), z.quarantine,
+                               z.checkpoint("quarantine"), triggers[1], fmt=fmt, available_now=available_now))
+    clean = clean_stream(read_zone_stream(spark, z.raw, raw_schema, fmt), dedup=dedup, count_rejects=quarantine)
     start(write_zone(clean, z.clean, z.checkpoint("clean"), triggers[1],
                      partition_by=["event_date", "event_hour"], fmt=fmt, available_now=available_now))
     clean_schema = spark.read.format(fmt).load(z.clean).schema
@@ -189,9 +214,10 @@ def score_stream(clean: DataFrame, model: ForestModel, alerts_path: str, checkpo
     from ..session import cut_lineage
     base = cut_lineage(baselines)
     checked = base.count() <= MAX_BROADCAST_ROWS
+    shared = share_model(spark, model)      # once per stream, not per micro-batch
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        scored = score_events(batch, model, norm="model")
+        scored = score_events(batch, model, norm="model", shared=shared)
         alerts = A.build_alerts(scored, base, threshold=threshold, base_checked=checked)
         A.append_alerts_table(spark, alerts, alerts_path, publish_servers=publish_servers)
 

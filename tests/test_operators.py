@@ -193,6 +193,39 @@ def test_forest_ranks_injected_spike_highest(spark, forest):
     assert abs(lo) < 1e-6 and abs(hi - 1.0) < 1e-6
 
 
+@pytest.mark.parametrize("pool_factor", [2, 1000])
+def test_forest_on_both_sides_of_the_pool(spark, pool_factor):
+    clean = TB.clean(spark, SF001).withColumn("event_id", F.lit(None).cast("string")) \
+        .withColumn("kafka_offset", F.lit(None).cast("long"))
+    model = fit_forest(clean, n_trees=10, psi=16, pool_factor=pool_factor, calibrate=True)
+    roots = model.nodes[model.nodes.node == 0]
+    assert len(roots) == 10 and (roots["size"] == 16).all()
+    lo, hi = score_events(clean, model, norm="model").agg(F.min("anomaly_score"), F.max("anomaly_score")).first()
+    assert 0.0 <= lo and hi <= 1.0
+
+
+def test_forest_of_repeated_rows_and_short_pool(spark):
+    one = TB.clean(spark, SF001).dropna(subset=FEATURE_COLS).limit(1)
+    same = one.crossJoin(spark.range(40)).drop("id")
+    model = fit_forest(same, n_trees=3, psi=16)
+    assert list(model.nodes["size"]) == [16, 16, 16]         # nothing to split on
+    with pytest.raises(ValueError, match="pool_factor"):
+        fit_forest(TB.clean(spark, SF001), n_trees=1, psi=64, pool_factor=0.2)
+    assert fit_forest(same.limit(0), n_trees=3) is None
+
+
+def test_stored_acknowledgements(spark, tmp_path):
+    from streetlake.operators.alerts import alerts_with_ack, store_acks, write_alerts
+    alerts, acks = str(tmp_path / "alerts"), str(tmp_path / "acks")
+    write_alerts(TB.alerts_table(spark, SF001).drop("acknowledged", "acknowledged_at"), alerts)
+    ids = [r[0] for r in spark.read.parquet(alerts).orderBy("alert_id").limit(2).collect()]
+    assert store_acks(spark, alerts, acks, [*ids, "CAM_01_1_LOW_SPEED_none", "junk"], "2024-02-01 00:00:00") \
+        == ["CAM_01_1_LOW_SPEED_none", "junk"]
+    assert store_acks(spark, alerts, acks, ["junk"]) == ["junk"]
+    t = alerts_with_ack(spark.read.parquet(alerts), spark.read.parquet(acks)).filter("acknowledged")
+    assert sorted(r[0] for r in t.select("alert_id").collect()) == ids
+
+
 def test_detect_dry_run_and_model_reuse(spark, tmp_path):
     clean = TB.clean(spark, SF001)
     mp = str(tmp_path / "model")

@@ -257,3 +257,35 @@ def test_compact_every_zone_of_a_pipeline(spark, lines, tmp_path):
         after = spark.read.parquet(compact_zone(spark, f"{base}/{zone}", str(tmp_path / f"{zone}_gen1")))
         after = after.select(*before.columns)
         assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0, zone
+
+
+def test_replay_with_several_files_a_slice(spark):
+    from streetlake.plans.replay import replay_sliding_metrics
+    raw = TB.raw(spark, SF001)
+    assert _same(replay_sliding_metrics(spark, raw, files=1), replay_sliding_metrics(spark, raw, files=4))
+
+
+def test_replay_keeps_rows_without_ingest_time(spark, tmp_path):
+    from streetlake.plans.replay import write_replay
+    raw = TB.raw(spark, SF001)
+    raw = raw.withColumn("kafka_ingest_ts", F.when(F.col("kafka_offset") % 2 == 0, F.col("kafka_ingest_ts")))
+    write_replay(raw, str(tmp_path / "src"))
+    assert file_batch(spark, str(tmp_path / "src")).count() == raw.count()
+
+
+@pytest.mark.parametrize("chained", [False, True])
+def test_quarantine_keeps_rejected_rows(spark, lines, tmp_path, chained):
+    from streetlake.operators.quality import split_quarantine
+    from streetlake.streaming.pipeline import run_chained
+    src, base = str(tmp_path / "src"), str(tmp_path / "zones")
+    _write(src, 0, lines)
+    qs = (run_chained if chained else run_pipeline)(
+        spark, lambda: file_source(spark, src, max_files=1), base, available_now=True, fmt="parquet", quarantine=True)
+    await_all(qs)
+    want = split_quarantine(decode_events(file_batch(spark, src), keep_value=False))[1]
+    got = spark.read.parquet(base + "/quarantine")
+    assert got.count() == want.count() > 0
+    assert got.filter(F.size("violations") == 0).count() == 0
+    seen = [p["observedMetrics"]["contract_rejects"] for q in qs for p in q.recentProgress
+            if "contract_rejects" in (p["observedMetrics"] or {})]
+    assert sum(m["any"] for m in seen) == want.count()
