@@ -37,6 +37,9 @@ def cmd_stream(spark, a):
                      quarantine=a.quarantine)
     if a.available_now:
         await_all(queries)
+        if a.health:
+            from .streaming.health import write_health
+            write_health(spark, queries, a.health)
     else:
         spark.streams.awaitAnyTermination()
     return 0
@@ -158,6 +161,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--chained", action="store_true", help="read the broker once (raw -> clean -> analytics)")
     s.add_argument("--dedup", action="store_true")
+    s.add_argument("--health", help="health-log table: one row per query after an --available-now run")
     s.add_argument("--quarantine", action="store_true", help="keep rows that break the contract, count rejects")
 
     d = sub.add_parser("detect")

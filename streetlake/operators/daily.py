@@ -49,11 +49,18 @@ def daily_report(summary: DataFrame, date=None) -> DataFrame:
                       X.nonzero_round(F.col("_cong"), 1).alias("avg_congestion"))
 
 
-def replace_day(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def replace_day(df: DataFrame, path: str, fmt: str = "parquet", date=None) -> None:
     """K6: replace the summary partitions present in ``df`` (others kept).
 
     Dynamic partition overwrite makes a re-run of the same day idempotent.
+    With ``date``, that day alone is replaced, also by no rows.
     """
+    if date is not None:
+        df = df.filter(F.col("summary_date") == F.lit(str(date)).cast("date"))
+        if df.isEmpty():
+            from ..plans.maintenance import drop_partition
+            drop_partition(df.sparkSession, path, "summary_date", date)
+            return
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy("summary_date")

@@ -200,13 +200,13 @@ def zscore_outliers(df: DataFrame, k: float = 3.0, max_share: float = 0.05,
     aggs = []
     for c, integral, p in specs:
         aggs += [F.count(c).alias(f"{p}_n"), X.exact_sum(c, integral).alias(f"{p}_s"),
-                 X.exact_sum_sq(c, integral).alias(f"{p}_q")]
+                 X.exact_sum_sq(c, integral).alias(f"{p}_q"), (F.min(c) == F.max(c)).alias(f"{p}_same")]
     stats = df.groupBy(key).agg(*aggs)
     sel = [key]
     for _, _, p in specs:
         n, s, q = F.col(f"{p}_n"), F.col(f"{p}_s"), F.col(f"{p}_q")
         sel += [F.try_divide(s.cast("double"), n).alias(f"{p}_mean"),
-                X.pop_std_from(n, s, q).alias(f"{p}_std")]
+                F.when(F.col(f"{p}_same"), F.lit(0.0)).otherwise(X.pop_std_from(n, s, q)).alias(f"{p}_std")]
     stats = stats.select(*sel)
     joined = attach_small(df.select(key, *[c for c, _, _ in specs]), stats, key)
 

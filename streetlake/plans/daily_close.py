@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.daily import daily_report, daily_summary, replace_day
 from ..operators.quality import dq_gate, dq_stats
@@ -42,7 +43,7 @@ def daily_close(spark: SparkSession, clean: DataFrame, date, summary_path: str,
     stats = gate.asDict()
     if stats["decision"] != "quality_pass":
         raise QualityGateFailed(stats)
-    replace_day(daily_summary(day), summary_path)
+    replace_day(daily_summary(day).withColumn("created_at", F.current_timestamp()), summary_path)
     if refit:
         end = dt.datetime.combine(dt.date.fromisoformat(str(date)), dt.time()) + dt.timedelta(days=1)
         detect(spark, clean, model_path=model_path, window_hours=48, retrain=True,

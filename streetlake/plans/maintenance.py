@@ -14,7 +14,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.streams import has_delta
+from ..sources.streams import has_delta, read_zone
 
 
 def compact_frame(df: DataFrame, partition_cols=("event_date",), sort_cols=("camera_id", "event_ts"),
@@ -27,12 +27,14 @@ def compact_frame(df: DataFrame, partition_cols=("event_date",), sort_cols=("cam
     being funnelled into one.  Rows are sorted by camera/time inside each file
     so Parquet min/max statistics skip row groups.
     """
-    from ..operators.joins import attach_small
+    from ..operators.joins import join_counted
+    from ..session import cut_lineage
     keys = list(partition_cols)
-    slots = (df.groupBy(*keys).count()
+    # cut once: the join and the slot total below don't scan the zone again
+    slots = cut_lineage(df.groupBy(*keys).count()
              .select(*keys, F.greatest(F.lit(1), F.ceil(F.col("count") / rows_per_file)).cast("int").alias("_slots")))
     # a null partition value joins nothing: its rows get one slot
-    keyed = attach_small(df, slots, keys, "left").withColumn("_slots", F.coalesce("_slots", F.lit(1)))
+    keyed = join_counted(df, slots, keys, "left").withColumn("_slots", F.coalesce("_slots", F.lit(1)))
     n_slots = slots.agg(F.sum("_slots")).first()[0] or 1
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_slots"))
     return (keyed.repartition(max(int(n_slots), 1), *[F.col(c) for c in keys], salt)
@@ -71,6 +73,24 @@ def compact_zone(spark: SparkSession, src: str, dst: str, partition_cols=None,
     return dst
 
 
+def read_compacted(spark: SparkSession, live: str, generation: str, closed_before,
+                   fmt: str | None = None) -> DataFrame:
+    """The zone as a whole: closed days from their compacted ``generation``,
+    open days (and rows without a date, which compaction leaves alone) from the
+    ``live`` zone.  Columns that only one side has are null on the other."""
+    current = read_zone(spark, live, fmt)
+    date = next(c for c in ZONE_DATE_COLUMNS if c in current.columns)
+    still_open = F.col(date).isNull() | (F.col(date) >= F.lit(str(closed_before)).cast("date"))
+    return spark.read.parquet(generation).unionByName(current.filter(still_open), allowMissingColumns=True)
+
+
+def drop_partition(spark: SparkSession, path: str, column: str, value) -> None:
+    """Remove one partition folder of a Parquet table, if it is there."""
+    fs, p = _fs(spark, f"{path}/{column}={value}")
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

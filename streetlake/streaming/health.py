@@ -61,3 +61,12 @@ def progress_rows(queries: list[StreamingQuery]) -> list[tuple]:
         rows.append((q.name or str(q.id), status, float(dur) if dur is not None else None,
                      f"batch {p.get('batchId')}, {p.get('numInputRows', 0)} rows"))
     return rows
+
+
+HEALTH_SCHEMA = "component string, status string, latency_ms double, details string"
+
+
+def write_health(spark, queries: list[StreamingQuery], path: str, at=None) -> None:
+    """Append one health-log row per query to the table at ``path``."""
+    rows = spark.createDataFrame(progress_rows(queries), HEALTH_SCHEMA)
+    rows.withColumn("logged_at", X.ts_value(at)).coalesce(1).write.mode("append").parquet(path)

@@ -226,6 +226,34 @@ def test_stored_acknowledgements(spark, tmp_path):
     assert sorted(r[0] for r in t.select("alert_id").collect()) == ids
 
 
+def test_constant_columns_have_no_spread(spark):
+    from streetlake.operators.iforest import fit_scaler
+    df = spark.range(997).select(F.lit("CAM_01").alias("camera_id"), F.lit(5).alias("vehicle_count"),
+                                 F.lit(44.44).alias("average_speed"))
+    got = {r["feature"]: (r["mean"], r["std"]) for r in fit_scaler(df, ["vehicle_count", "average_speed"]).collect()}
+    assert got == {"vehicle_count": (5.0, 1.0), "average_speed": (44.44, 1.0)}
+    assert Q.zscore_outliers(df).first()["outlier_rows"] == 0
+
+
+def test_replace_day_by_no_rows(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    s = D.daily_summary(TB.clean(spark, SF001))
+    D.replace_day(s, path)
+    D.replace_day(s.limit(0), path, date="2024-01-15")
+    days = {str(r[0]) for r in spark.read.parquet(path).select("summary_date").distinct().collect()}
+    assert "2024-01-15" not in days and len(days) > 1
+
+
+def test_compacted_and_live_days_together(spark, tmp_path):
+    from streetlake.plans.maintenance import read_compacted
+    clean = TB.clean(spark, SF001)
+    live, gen = str(tmp_path / "live"), str(tmp_path / "gen=1")
+    clean.write.partitionBy("event_date", "event_hour").parquet(live)
+    compact_zone(spark, live, gen, closed_before="2024-01-15")
+    whole = read_compacted(spark, live, gen, "2024-01-15").select(*clean.columns)
+    assert whole.count() == clean.count() and whole.exceptAll(clean).count() == 0
+
+
 def test_detect_dry_run_and_model_reuse(spark, tmp_path):
     clean = TB.clean(spark, SF001)
     mp = str(tmp_path / "model")
