@@ -4,8 +4,8 @@ Vectors are cut into blocks; a cell is one block of queries against one block
 of candidates.  In a cell every dimension has a list sorted by its component.
 For a query the lists are read from their better end, a band of entries at a
 time; every vector met is scored in full, and reading stops once the sum of
-the components last read, times the query's, is under the k-th score: nothing
-unread can reach it then.  The cells' results are merged by a ranking window.
+the components last read, times the query's, is under the k-th score, as nothing
+unread can reach it then, or once every vector has been met.  The cells' results are merged by a ranking window.
 
 Defined results: vectors that are null, or hold a null or non-finite
 component, take no part (neither do rows without an id, or of another length
@@ -55,7 +55,7 @@ def threshold_top(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, order
         scores[rows] = vectors[rows] @ query
         scores[rows[ids[rows] == own]] = np.iinfo(np.int64).min
         depth, band = end, band * 2
-        done = depth >= n
+        done = depth >= n or bool(seen.all())       # every row met: nothing is left to read
         if not done:
             have = scores[seen & (ids != own)]
             if len(have) >= k:
