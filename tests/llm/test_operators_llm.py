@@ -218,6 +218,26 @@ def test_op6_threads(spark):
     assert quotes.link_quotes(df.limit(0)).count() == 0
 
 
+def test_op6_nested_and_rewrapped(spark):
+    rows = [(1, 0, "user", "first line\nsecond line\nthird line"), (1, 1, "assistant", "> first line\nan answer to that"),
+            # two lines of turn 0 stand inside the quote of turn 1
+            (1, 2, "user", ">> first line\n>> second line\n> an answer to that\nmore"),
+            (2, 0, "user", "one long paragraph that goes on and on"), (2, 1, "assistant", "short"),
+            (2, 2, "user", "> one long paragraph that\n> goes on and on\n\nyes"),       # wrapped anew
+            (3, 0, "user", "a\u0001b"), (3, 1, "user", "> a b"),
+            (4, 0, "user", "> only a quote"), (4, 1, "user", "only a quote"),           # later: no source
+            (5, 0, "user", "x"), (5, 1, "user", "x y"), (5, 2, "user", "> x\n> y")]     # a line and a run: the later
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.clean_text, r.reply_to, r.root_turn, r.depth, r.quote_levels)
+           for r in quotes.link_quotes(df).collect()}
+    assert got[1, 1] == ("an answer to that", 0, 0, 1, 1)
+    assert got[1, 2] == ("more", 1, 0, 2, 2)
+    assert got[2, 2] == ("yes", 0, 0, 1, 1)
+    assert got[3, 1] == ("", 0, 0, 1, 1)
+    assert got[4, 0][1] is None and got[4, 1][1] is None
+    assert got[5, 2][1:4] == (1, 1, 1)
+
+
 def test_op7_places(docs, empty):
     want = []
     for i, t in pairs(docs):
