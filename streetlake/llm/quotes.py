@@ -43,7 +43,7 @@ def quote_level(line: Column) -> Column:
 
 
 def passages(levels: Column, normal: Column) -> Column:
-    """Distinct (level, hash) of a message's lines and runs of lines.
+    """Distinct hashes, each with its level at the end, of a message's lines and runs of lines.
 
     Both arrays go line by line; runs are put together as one string, in
     which a mark and the level stand before each, so work is linear in the text.
@@ -56,8 +56,9 @@ def passages(levels: Column, normal: Column) -> Column:
     alone = F.zip_with(levels, normal, lambda lv, x: F.struct(lv.alias("level"), x.alias("text")))
     together = F.transform(F.filter(runs, lambda x: x != ""), lambda x: F.struct(
         F.substring_index(x, _LEVEL, 1).cast("int").alias("level"), F.substring_index(x, _LEVEL, -1).alias("text")))
-    return F.array_distinct(F.transform(F.filter(F.concat(alone, together), lambda p: p["text"] != ""), lambda p: F.struct(
-        p["level"].alias("level"), F.sha2(p["text"].cast("binary"), 256).alias("h"))))
+    # level and hash as one string: distinct strings are hashed, distinct structs are compared pair by pair
+    return F.array_distinct(F.transform(F.filter(F.concat(alone, together), lambda p: p["text"] != ""), lambda p: F.concat(
+        F.sha2(p["text"].cast("binary"), 256), p["level"].cast("string"))))
 
 
 def _thread(links: DataFrame) -> DataFrame:
@@ -87,9 +88,10 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
     keyed = m.where("conv_id is not null and turn is not null") \
         .withColumn("levels", F.transform("lines", quote_level)).withColumn("normal", F.transform("lines", _normal)) \
         .withColumn("p", passages(F.col("levels"), F.col("normal")))
-    part = lambda d, keep: d.select("conv_id", "turn", F.explode(F.filter("p", keep)).alias("p")) \
-        .select("conv_id", "turn", "p.level", "p.h")
-    quoted = stage(part(keyed.where("n_quoted > 0"), lambda p: p["level"] > 0), "quoted")
+    # explode_outer: a filter inferred from explode would work out the arrays once more
+    part = lambda d: d.select("conv_id", "turn", F.explode_outer("p").alias("p")).where("p is not null") \
+        .select("conv_id", "turn", F.substring("p", 1, 64).alias("h"), F.substring("p", 65, 10).cast("int").alias("level"))
+    quoted = stage(part(keyed.where("n_quoted > 0")).where("level > 0"), "quoted")
     base = m.select("conv_id", "turn", "role", clean.alias("clean_text"), "n_quoted",
                     F.coalesce(F.aggregate(F.col("quoted"), F.lit(0), lambda a, x: F.greatest(a, quote_level(x))),
                                F.lit(0)).alias("quote_levels"))
@@ -97,7 +99,7 @@ def link_quotes(conversations: DataFrame) -> DataFrame:
                               F.col("turn").alias("root_turn"), F.lit(0).alias("depth"))
     if not quoted.limit(1).count():
         return lone(base)
-    first = part(keyed, lambda p: p["level"] == 0).groupBy("conv_id", "h").agg(F.min("turn").alias("source"))
+    first = part(keyed).where("level = 0").groupBy("conv_id", "h").agg(F.min("turn").alias("source"))
     votes = quoted.join(first, ["conv_id", "h"]).where("source < turn") \
         .groupBy("conv_id", "turn", "level", "source").agg(F.count(F.lit(1)).alias("n"))
     best = F.max(F.struct((-F.col("level")).alias("outer"), "n", "source"))
