@@ -167,12 +167,35 @@ def q_recent_events(spark, sf_dir):
     return S.recent_events(c, as_of=now, hours=48, n=500_000)
 
 
+def _zones(spark, sf_dir):
+    from ..operators.windows import sliding_metrics
+    clean = TB.clean(spark, sf_dir, processing_time=True)
+    analytics = sliding_metrics(clean).withColumnRenamed("window_end", "event_ts")
+    return {"raw": TB.raw(spark, sf_dir), "clean": clean, "analytics": analytics}
+
+
 @register("zone_freshness", None)
 def q_zone_freshness(spark, sf_dir):
     """Freshness / lag / status of the raw, clean and analytics zones."""
-    from ..operators.windows import sliding_metrics
     from ..streaming.health import zone_freshness
-    raw = TB.raw(spark, sf_dir)
-    clean = TB.clean(spark, sf_dir, processing_time=True)
-    analytics = sliding_metrics(clean).withColumnRenamed("window_end", "event_ts")
-    return zone_freshness({"raw": raw, "clean": clean, "analytics": analytics}, as_of=TB.as_of(clean))
+    zones = _zones(spark, sf_dir)
+    return zone_freshness(zones, as_of=TB.as_of(zones["clean"]))
+
+
+@register("zone_lag", O.with_adapter(
+    NOW_CTE,
+    "aw AS (SELECT DISTINCT camera_id, location, time_bucket(INTERVAL '1 minute', event_ts) "
+    "- (k.k * INTERVAL '1 minute') AS window_start FROM clean CROSS JOIN range(5) AS k(k))",
+    "z AS (SELECT 'raw' AS component, count(*) AS rows, max(event_ts) AS max_event_ts FROM traffic_raw "
+    "UNION ALL SELECT 'clean', count(*), max(event_ts) FROM clean "
+    "UNION ALL SELECT 'analytics', count(*), max(window_start) + INTERVAL 5 MINUTE FROM aw)",
+    "l AS (SELECT z.*, cast(epoch_us(now) - epoch_us(max_event_ts) as double) / cast(1000000.0 as double) "
+    "AS lag_seconds FROM z, nowt)",
+    body=("SELECT component, CASE WHEN max_event_ts IS NULL OR lag_seconds > 600 THEN 'down' "
+          "WHEN lag_seconds > 60 THEN 'degraded' ELSE 'running' END AS status, rows, max_event_ts, lag_seconds FROM l")))
+def q_zone_lag(spark, sf_dir):
+    """The columns of zone freshness that do not depend on the processing time."""
+    from ..streaming.health import zone_freshness
+    zones = _zones(spark, sf_dir)
+    return zone_freshness(zones, as_of=TB.as_of(zones["clean"])) \
+        .select("component", "status", "rows", "max_event_ts", "lag_seconds")
