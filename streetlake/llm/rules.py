@@ -21,15 +21,17 @@ from streetlake.llm.common import stage
 
 # Common words per language (fixed values).
 COMMON = {
-    "en": ["the", "of", "and", "to", "in", "a", "is", "that", "for", "on"],
-    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "im"],
-    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "une", "que"],
-    "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del"],
+    "en": ["the", "of", "and", "to", "in", "a", "is", "that", "for", "on", "with", "as", "by", "at", "are", "this"],
+    "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "des", "auf", "für", "ist", "im", "ein"],
+    "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "est", "pour", "qui", "dans", "par"],
+    "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "no", "una"],
 }
-N_COMMON = 10
+N_COMMON = 16
 MIN_WORDS, CLASS_LIMIT = 50, 0.30       # character classes: least words, largest Jensen-Shannon distance
 MIN_SAMPLE, WORD_LIMIT = 200, 0.24      # common words: the same; short texts scatter more
 WHITE = "\t\n\x0b\f\r"
+EDGE = ".,;:!?()\"'¿¡«»„“”‘’…"          # cut off both ends of a word before it is looked up
+MARKS = r"[\p{P}&&[^#*%&]]"             # punctuation that is no symbol of the base counts
 
 
 def word_list(text: Column) -> Column:
@@ -79,7 +81,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
     common = F.create_map(*[x for k, v in COMMON.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     d = d.withColumn("ls", lines).withColumn("list", common[F.col("lang")])
     d = d.withColumn("c", F.when(F.col("list").isNotNull(), F.filter(
-        F.transform(F.col("w"), lambda w: F.array_position(F.col("list"), w)),
+        F.transform(F.col("w"), lambda w: F.array_position(F.col("list"), F.btrim(F.lower(w), F.lit(EDGE)))),
         lambda k: k > 0)))
     n_chars = F.length("t")
     d = d.select(
@@ -90,12 +92,13 @@ def base_counts(docs: DataFrame) -> DataFrame:
         covered.alias("n_repeat_words"),
         n_chars.cast("long").alias("n_chars"),
         F.regexp_count("t", F.lit("[0-9]")).cast("long").alias("n_digits"),
-        F.regexp_count("t", F.lit("[A-ZÀ-ÖØ-Þ]")).cast("long").alias("n_upper"),
+        F.regexp_count("t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
+        F.regexp_count("t", F.lit(MARKS)).cast("long").alias("n_marks"),
         *[_times("c", k).alias(f"c{k}") for k in range(1, N_COMMON + 1)])
     return d.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
 
 
-CLASS_COLUMNS = ["k_space", "k_symbol", "k_digit", "k_upper", "k_other"]
+CLASS_COLUMNS = ["k_space", "k_symbol", "k_digit", "k_upper", "k_mark", "k_other"]
 WORD_COLUMNS = [f"c{k}" for k in range(1, N_COMMON + 1)] + ["c_other"]
 
 
@@ -104,8 +107,8 @@ def _histograms(counts: DataFrame) -> DataFrame:
     used = sum((F.col(f"c{k}") for k in range(1, N_COMMON + 1)), F.lit(0))
     return counts.withColumns({
         "k_space": F.col("n_chars") - F.col("word_chars"), "k_symbol": F.col("n_symbols"),
-        "k_digit": F.col("n_digits"), "k_upper": F.col("n_upper"),
-        "k_other": F.col("word_chars") - F.col("n_symbols") - F.col("n_digits") - F.col("n_upper"),
+        "k_digit": F.col("n_digits"), "k_upper": F.col("n_upper"), "k_mark": F.col("n_marks"),
+        "k_other": F.col("word_chars") - F.col("n_symbols") - F.col("n_digits") - F.col("n_upper") - F.col("n_marks"),
         "c_other": F.col("n_words") - used,
     })
 

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -339,3 +340,17 @@ def test_pipeline_stages(spark, tmp_path, docs):
         d = step(spark, d, str(tmp_path))
         assert d.columns == ["doc_id", "text", "lang", "source", "n_chars"] and d.count() <= before, name
     assert corpus_pipeline.run(spark, str(tmp_path)).where("length > 2048").count() == 0
+
+
+def test_op10_histogram_classes(spark):
+    text = "The the, AND «x» Ωmega Écrit. with (by) !!! ;:'\" a$b #1 *** ¿qué?"
+    rows = [(1, text, "en"), (2, "DES, des du. Qui! dans Ÿ", "fr"), (3, "¿Una? con, por; NO. las", "es"),
+            (4, "Sich auf, FÜR ist. des Ein!", "de"), (5, text, "xx")]
+    got = {r.doc_id: r.asDict() for r in rules.base_counts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    marks = sum(unicodedata.category(c)[0] == "P" and c not in "#*%&" for c in text)
+    assert got[1]["n_marks"] == marks and got[1]["n_upper"] == sum(unicodedata.category(c) == "Lu" for c in text)
+    for i, t, lang in rows[:4]:
+        words = [w.lower().strip(rules.EDGE) for w in t.split()]
+        assert [got[i][f"c{k + 1}"] for k in range(16)] == [words.count(w) for w in rules.COMMON[lang]]
+        assert sum(w in rules.COMMON[lang] for w in words) >= 5
+    assert "k_mark" in rules.CLASS_COLUMNS
