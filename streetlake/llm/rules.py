@@ -4,7 +4,8 @@ Every text gives counts of its character classes and of the common words of
 its language.  Summed per language over all documents that pass the base
 rules, they are the language's reference histograms; a document is rejected if
 the Jensen-Shannon distance of one of its histograms to the reference of its
-language is over a limit, unless it is too short for that comparison.
+language is over a limit.  Short texts scatter more, by 1 / sqrt(n_words), so
+under a number of words the limit widens by it.
 
 Defined results: null or empty text has no words and fails the base rule;
 documents without a language, or in one without a word list, are judged by
@@ -27,8 +28,8 @@ COMMON = {
     "es": ["de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un", "por", "con", "no", "una"],
 }
 N_COMMON = 16
-MIN_WORDS, CLASS_LIMIT = 50, 0.30       # character classes: least words, largest Jensen-Shannon distance
-MIN_SAMPLE, WORD_LIMIT = 200, 0.24      # common words: the same; short texts scatter more
+MIN_WORDS, CLASS_LIMIT = 50, 0.30       # character classes: largest Jensen-Shannon distance from so many words on
+MIN_SAMPLE, WORD_LIMIT = 100, 0.24      # common words: the same; under it limits widen with 1 / sqrt(n_words)
 WHITE = "\t\n\x0b\f\r"
 EDGE = ".,;:!?()\"'¿¡«»„“”‘’…"          # cut off both ends of a word before it is looked up
 MARKS = r"[\p{P}&&[^#*%&]]"             # punctuation that is no symbol of the base counts
@@ -118,7 +119,7 @@ def js_distance(p: Column, q: Column) -> Column:
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
     terms = F.zip_with(p, q, lambda x, y: part(x, (x + y) / 2) + part(y, (x + y) / 2))
     total = F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)
-    return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
+    return F.sqrt(F.abs(total) / 2)     # rounding may leave a sum just under 0
 
 
 def _shares(columns: list[str], prefix: str = "") -> Column:
@@ -136,11 +137,13 @@ def judge(counts: DataFrame, min_words: int = MIN_WORDS, class_limit: float = CL
         .agg(*[F.sum(c).alias(f"r_{c}") for c in CLASS_COLUMNS + WORD_COLUMNS]) \
         .select("lang", _shares(CLASS_COLUMNS, "r_").alias("ref_classes"), _shares(WORD_COLUMNS, "r_").alias("ref_words"))
     j = h.join(F.broadcast(ref), "lang", "left")
-    for name, columns, least in (("class", CLASS_COLUMNS, min_words), ("word", WORD_COLUMNS, min_sample)):
+    odd = F.lit(False)
+    for name, columns, limit, least in (("class", CLASS_COLUMNS, class_limit, min_words),
+                                        ("word", WORD_COLUMNS, word_limit, min_sample)):
         far = js_distance(_shares(columns), F.col("ref_classes" if name == "class" else "ref_words"))
-        j = j.withColumn(f"{name}_distance", F.when(F.col("n_words") >= least, far))
-    odd = (F.coalesce(F.col("class_distance") > class_limit, F.lit(False))
-           | F.coalesce(F.col("word_distance") > word_limit, F.lit(False)))
+        j = j.withColumn(f"{name}_distance", far)
+        wider = F.sqrt(F.greatest(F.lit(1.0), least / F.greatest("n_words", F.lit(1))))
+        odd = odd | F.coalesce(F.col(f"{name}_distance") > limit * wider, F.lit(False))
     return j.withColumn("kept", ~F.col("base_failed") & ~odd)
 
 

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
 import unicodedata
@@ -354,3 +355,89 @@ def test_op10_histogram_classes(spark):
         assert [got[i][f"c{k + 1}"] for k in range(16)] == [words.count(w) for w in rules.COMMON[lang]]
         assert sum(w in rules.COMMON[lang] for w in words) >= 5
     assert "k_mark" in rules.CLASS_COLUMNS
+
+
+def divergence(p, q):
+    """Jensen-Shannon distance of two lists of counts."""
+    if not sum(p) or not sum(q):
+        return None
+    p, q = np.array(p) / sum(p), np.array(q) / sum(q)
+    m = (p + q) / 2
+    part = lambda x: sum(a * math.log2(a / b) for a, b in zip(x, m) if a > 0)
+    return math.sqrt(max((part(p) + part(q)) / 2, 0))
+
+
+def histograms_of(t, lang):
+    """(number of words, base failed, counts of classes, of common words or None)."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    win = collections.Counter(tuple(w[k:k + 5]) for k in range(len(w) - 4))
+    cover = {k + j for k in range(len(w) - 4) if win[tuple(w[k:k + 5])] > 1 for j in range(5)}
+    n = [sum(c in "#*$%&|<>" for c in t), sum("0" <= c <= "9" for c in t),
+         sum(unicodedata.category(c) == "Lu" for c in t),
+         sum(unicodedata.category(c)[0] == "P" and c not in "#*%&" for c in t)]
+    chars = sum(map(len, w))
+    common = rules.COMMON.get(lang)
+    looked = collections.Counter(x.lower().strip(rules.EDGE) for x in w)
+    words = common and [looked[x] for x in common]
+    return (len(w), len(w) < 10 or 100 * len(cover) > 20 * len(w), [len(t) - chars, *n, chars - sum(n)],
+            words and words + [len(w) - sum(words)])
+
+
+def rule_verdicts(rows):
+    """id -> (class distance, word distance, kept) of (id, text, lang) by brute force."""
+    hist = [(i, lang, *histograms_of(t or "", lang)) for i, t, lang in rows]
+    total = collections.defaultdict(lambda: np.zeros(6, int)), collections.defaultdict(lambda: np.zeros(17, int))
+    for _, lang, _, failed, classes, words in hist:
+        if not failed and words:
+            total[0][lang] += classes
+            total[1][lang] += words
+    out = {}
+    for i, lang, n, failed, classes, words in hist:
+        far = [divergence(h, list(ref[lang])) if words and lang in ref else None
+               for h, ref in ((classes, total[0]), (words, total[1]))]
+        over = [d is not None and d > limit * math.sqrt(max(1, least / max(n, 1)))
+                for d, limit, least in ((far[0], 0.30, 50), (far[1], 0.24, 100))]
+        out[i] = (*far, not failed and not any(over))
+    return out
+
+
+def prose(rnd, lang, n):
+    """Invented words, three in ten of them common ones of the language."""
+    out = [rnd.choice(rules.COMMON[lang]) if rnd.random() < 0.3 else
+           "".join(rnd.choice("aeiou") + rnd.choice("bdlmnrst") for _ in range(rnd.randint(1, 3))) for _ in range(n)]
+    out = [w.capitalize() if k % 9 == 0 else w + "." if k % 9 == 8 else w for k, w in enumerate(out)]
+    return " ".join(out)
+
+
+def gibberish(rnd, n):
+    """Words of consonants only."""
+    return " ".join("".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(rnd.randint(3, 7))) for _ in range(n))
+
+
+def marks_only(rnd, n):
+    return " ".join("".join(rnd.choice(".,;:!?-()") for _ in range(rnd.randint(2, 6))) for _ in range(n))
+
+
+def same_verdicts(rows, got):
+    want = rule_verdicts(rows)
+    assert sorted(got) == sorted(want)
+    for i, (far_class, far_word, kept) in want.items():
+        assert got[i].kept == kept, i
+        for a, b in ((got[i].class_distance, far_class), (got[i].word_distance, far_word)):
+            assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-6), i
+
+
+def test_op10_short_texts(spark):
+    rnd = random.Random(6)
+    rows = [(k, prose(rnd, lang, 150), lang) for k, lang in enumerate(["en", "de", "fr", "es"] * 30)]
+    clean = range(200, 260)
+    rows += [(i, prose(rnd, "en", rnd.randint(10, 199)), "en") for i in clean]
+    junk = range(300, 340)
+    rows += [(i, gibberish(rnd, rnd.randint(60, 199)), "en") for i in junk]
+    rows += [(400 + i, marks_only(rnd, n), "de") for i, n in enumerate((12, 20, 45, 120))]
+    rows += [(500, None, "en"), (501, " ", "en"), (502, "a b", "fr"), (503, prose(rnd, "en", 60), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r for r in rules.quality_rules(df).collect()}
+    same_verdicts(rows, got)
+    assert not any(got[i].kept for i in [*junk, 400, 401, 402, 403])
+    assert sum(got[i].kept for i in clean) >= 58
