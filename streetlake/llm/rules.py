@@ -4,12 +4,15 @@ Every text gives counts of its character classes and of the common words of
 its language.  Summed per language over all documents that pass the base
 rules, they are the language's reference histograms; a document is rejected if
 the Jensen-Shannon distance of one of its histograms to the reference of its
-language is over a limit.  Short texts scatter more, by 1 / sqrt(n_words), so
+language is over a limit.  Classes have a reference for every value of lang
+that enough documents have, and one over all documents for the others; common
+words have one for each word list, found by the primary tag (EN and en-US have
+the words of en).  Short texts scatter more, by 1 / sqrt(n_words), so
 under a number of words the limit widens by it.
 
 Defined results: null or empty text has no words and fails the base rule;
 documents without a language, or in one without a word list, are judged by
-the base rules alone; a null id stays null; repeated rows are judged each; an
+their base counts and character classes; a null id stays null; repeated rows are judged each; an
 empty table gives no rows; other columns are not read.
 """
 
@@ -30,6 +33,7 @@ COMMON = {
 N_COMMON = 16
 MIN_WORDS, CLASS_LIMIT = 50, 0.30       # character classes: largest Jensen-Shannon distance from so many words on
 MIN_SAMPLE, WORD_LIMIT = 100, 0.24      # common words: the same; under it limits widen with 1 / sqrt(n_words)
+LEAST_DOCS, MOST_REFERENCES = 20, 10_000    # a language's own classes need so many documents, and one in so many of all
 WHITE = "\t\n\x0b\f\r"
 EDGE = ".,;:!?()\"'¿¡«»„“”‘’…"          # cut off both ends of a word before it is looked up
 MARKS = r"[\p{P}&&[^#*%&]]"             # punctuation that is no symbol of the base counts
@@ -40,6 +44,11 @@ def word_list(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(text, WHITE, " " * len(WHITE)), " ", -1), "")
 
 
+def primary_tag(lang: Column) -> Column:
+    """``en`` of EN, en-US and en_GB."""
+    return F.lower(F.substring_index(F.translate(F.trim(lang), "_", "-"), "-", 1))
+
+
 def _times(array: str, k: int) -> Column:
     """How often ``k`` stands in an array."""
     return F.size(F.filter(array, lambda x: x == k)).cast("long")
@@ -80,7 +89,7 @@ def base_counts(docs: DataFrame) -> DataFrame:
                               (i + 5).alias("end")), lambda acc: acc["n"])
     lines = F.filter(F.split(F.col("t"), "\n", -1), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
     common = F.create_map(*[x for k, v in COMMON.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    d = d.withColumn("ls", lines).withColumn("list", common[F.col("lang")])
+    d = d.withColumn("ls", lines).withColumn("list", common[primary_tag(F.col("lang"))])
     d = d.withColumn("c", F.when(F.col("list").isNotNull(), F.filter(
         F.transform(F.col("w"), lambda w: F.array_position(F.col("list"), F.btrim(F.lower(w), F.lit(EDGE)))),
         lambda k: k > 0)))
@@ -132,11 +141,21 @@ def judge(counts: DataFrame, min_words: int = MIN_WORDS, class_limit: float = CL
           min_sample: int = MIN_SAMPLE, word_limit: float = WORD_LIMIT) -> DataFrame:
     """``counts`` (staged) with both distances and ``kept``."""
     h = _histograms(counts)
-    # one row per listed language: the lists bound its size
-    ref = h.where(~F.col("base_failed") & F.col("lang").isin(*COMMON)).groupBy("lang") \
-        .agg(*[F.sum(c).alias(f"r_{c}") for c in CLASS_COLUMNS + WORD_COLUMNS]) \
-        .select("lang", _shares(CLASS_COLUMNS, "r_").alias("ref_classes"), _shares(WORD_COLUMNS, "r_").alias("ref_words"))
-    j = h.join(F.broadcast(ref), "lang", "left")
+    sums = h.where(~F.col("base_failed")).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"r_{c}") for c in CLASS_COLUMNS + WORD_COLUMNS])
+    sums = stage(sums, "rule-references")
+    whole = sums.agg(F.sum("n").alias("n"), *[F.sum(f"r_{c}").alias(c) for c in CLASS_COLUMNS]).first()
+    least_docs = max(LEAST_DOCS, -(-(whole["n"] or 0) // MOST_REFERENCES))
+    # at most MOST_REFERENCES values have their share of the documents, and the lists bound the words
+    classes = sums.where(F.col("lang").isNotNull() & (F.col("n") >= least_docs)) \
+        .select("lang", _shares(CLASS_COLUMNS, "r_").alias("own_classes"))
+    words = sums.withColumn("tag", primary_tag(F.col("lang"))).where(F.col("tag").isin(*COMMON)).groupBy("tag") \
+        .agg(*[F.sum(f"r_{c}").alias(f"r_{c}") for c in WORD_COLUMNS]) \
+        .select("tag", _shares(WORD_COLUMNS, "r_").alias("ref_words"))
+    chars = sum(whole[c] or 0 for c in CLASS_COLUMNS)
+    all_classes = F.array(*[F.lit(whole[c] / chars) for c in CLASS_COLUMNS]) if chars else F.lit(None).cast("array<double>")
+    j = h.withColumn("tag", primary_tag(F.col("lang"))).join(F.broadcast(classes), "lang", "left") \
+        .join(F.broadcast(words), "tag", "left").withColumn("ref_classes", F.coalesce("own_classes", all_classes))
     odd = F.lit(False)
     for name, columns, limit, least in (("class", CLASS_COLUMNS, class_limit, min_words),
                                         ("word", WORD_COLUMNS, word_limit, min_sample)):

@@ -385,16 +385,21 @@ def histograms_of(t, lang):
 
 def rule_verdicts(rows):
     """id -> (class distance, word distance, kept) of (id, text, lang) by brute force."""
-    hist = [(i, lang, *histograms_of(t or "", lang)) for i, t, lang in rows]
-    total = collections.defaultdict(lambda: np.zeros(6, int)), collections.defaultdict(lambda: np.zeros(17, int))
+    tag = lambda lang: (lang or "").strip().replace("_", "-").split("-")[0].lower()
+    hist = [(i, lang, *histograms_of(t or "", tag(lang))) for i, t, lang in rows]
+    by_lang, by_tag = (collections.defaultdict(lambda n=n: np.zeros(n, int)) for n in (6, 17))
+    docs = collections.Counter()
     for _, lang, _, failed, classes, words in hist:
-        if not failed and words:
-            total[0][lang] += classes
-            total[1][lang] += words
+        if not failed:
+            for key in {lang, "all"}:
+                by_lang[key] += classes
+                docs[key] += 1
+            if words:
+                by_tag[tag(lang)] += words
     out = {}
     for i, lang, n, failed, classes, words in hist:
-        far = [divergence(h, list(ref[lang])) if words and lang in ref else None
-               for h, ref in ((classes, total[0]), (words, total[1]))]
+        own = lang if lang and docs[lang] >= 20 else "all"
+        far = [divergence(classes, list(by_lang[own])), words and divergence(words, list(by_tag[tag(lang)]))]
         over = [d is not None and d > limit * math.sqrt(max(1, least / max(n, 1)))
                 for d, limit, least in ((far[0], 0.30, 50), (far[1], 0.24, 100))]
         out[i] = (*far, not failed and not any(over))
@@ -441,3 +446,16 @@ def test_op10_short_texts(spark):
     same_verdicts(rows, got)
     assert not any(got[i].kept for i in [*junk, 400, 401, 402, 403])
     assert sum(got[i].kept for i in clean) >= 58
+
+
+def test_op10_other_languages(spark):
+    rnd = random.Random(7)
+    rows = [(k, prose(rnd, "en", 150), "en") for k in range(40)] + [(50 + k, prose(rnd, "es", 150), "it") for k in range(25)]
+    rows += [(100 + k, prose(rnd, "en", 150), lang) for k, lang in enumerate(["EN", "en-US", "en_GB", "xx", None])]
+    rows += [(200 + k, marks_only(rnd, 120), lang) for k, lang in enumerate(["it", "xx", "EN", "", None])]
+    rows += [(300 + k, gibberish(rnd, 120), lang) for k, lang in enumerate(["EN", "en-US", " en_GB"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = {r.doc_id: r for r in rules.quality_rules(df).collect()}
+    same_verdicts(rows, got)
+    assert sorted(i for i in got if not got[i].kept) == [200, 201, 202, 203, 204, 300, 301, 302]
+    assert got[50].word_distance is None and got[50].class_distance is not None
