@@ -8,8 +8,8 @@ the components last read, times the query's, is under the k-th score, as nothing
 unread can reach it then, or once every vector has been met.  The cells' results are merged by a ranking window.
 
 Defined results: vectors that are null, or hold a null or non-finite
-component, take no part (neither do rows without an id, or of another length
-than the longest); a vector isn't found by a query of its own id; ties go to
+component, take no part (neither do rows without an id); vectors are compared
+with those of their own length only; a vector isn't found by a query of its own id; ties go to
 the smaller id; repeated rows are candidates each; an empty table gives no
 rows; other columns are ignored.
 """
@@ -89,15 +89,15 @@ def exact_top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame
     ship_package(embeddings.sparkSession)
     v = stage(quantised(embeddings), "vectors")
     isq = F.col("vec_id") % every == 0
-    size = v.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(isq, 1)).alias("q"), F.max(F.size("v")).alias("d")).first()
-    v = v.where(F.size("v") == (size["d"] or 0))
+    size = v.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(isq, 1)).alias("q")).first()
     blocks = max(1, -(-size["n"] // CANDIDATES))
     groups = max(1, -(-size["q"] // QUERIES))
     place = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
     every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    cands = v.select("vec_id", "v", place(blocks, "c").alias("c"), every_of(groups).alias("q"))
+    v = v.withColumn("d", F.size("v"))
+    cands = v.select("vec_id", "v", "d", place(blocks, "c").alias("c"), every_of(groups).alias("q"))
     queries = v.where(isq).dropDuplicates(["vec_id", "v"]).select(
-        "vec_id", "v", every_of(blocks).alias("c"), place(groups, "q").alias("q"))
+        "vec_id", "v", "d", every_of(blocks).alias("c"), place(groups, "q").alias("q"))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         qid, qv = _array(left)
@@ -111,7 +111,7 @@ def exact_top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame
         a, b, s = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
         return pa.table({"query_id": a, "vec_id": b, "score": s})
 
-    found = queries.groupBy("c", "q").cogroup(cands.groupBy("c", "q")) \
+    found = queries.groupBy("c", "q", "d").cogroup(cands.groupBy("c", "q", "d")) \
         .applyInArrow(cell, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \

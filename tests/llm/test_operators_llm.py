@@ -459,3 +459,17 @@ def test_op10_other_languages(spark):
     same_verdicts(rows, got)
     assert sorted(i for i in got if not got[i].kept) == [200, 201, 202, 203, 204, 300, 301, 302]
     assert got[50].word_distance is None and got[50].class_distance is not None
+
+
+def test_op4_mixed_lengths(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(v) for v in rng.normal(size=8)]) for i in range(120)]
+    rows += [(i, [float(v) for v in rng.normal(size=3)]) for i in range(150, 171)] + [(200, [1.0] * 9), (201, [2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    q = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows]
+    want = []
+    for i, a in q:
+        best = sorted((-int(a @ b), j) for j, b in q if j != i and len(a) == len(b))[:5] if i % 50 == 0 else []
+        want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    assert {w[0] for w in want} == {0, 50, 100, 150}
+    same([tuple(r) for r in topk.exact_top_k(df).select("query_id", "rank", "vec_id", "score").collect()], want)
