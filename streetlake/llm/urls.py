@@ -7,8 +7,9 @@ splits.  The model becomes a SQL expression, so scoring is part of the scan.
 
 The training rows are a sample of the labelled URLs of about ``TRAIN_ROWS``
 rows at most, taken by a hash of URL and id, so that one URL on a third of all
-rows adds a share of them only; suffix statistics come from the sample, so
-their table is bounded by it too.
+rows adds a share of them only.  The sample grows the trees; suffix statistics
+come from all rows: a suffix's share of all pages, and the block rate of its
+labelled ones.
 
 Defined results: a null URL, or one without ``://``, has an empty host and
 path, fits no rule and is judged by the model on its (empty) features; without
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streetlake.llm.common import stage
+from streetlake.operators.joins import MAX_BROADCAST_ROWS
 
 # (verdict, host, path) in the order stated (fixed values).
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
@@ -127,21 +129,31 @@ def _level(rows: DataFrame, score: Column, node: Column) -> dict[int, dict]:
     return out
 
 
-def train(labelled: DataFrame) -> tuple[DataFrame | None, list[Column], Column]:
-    """(suffix statistics, bins, score expression) from rows with y and lexical features."""
-    n = labelled.count()
+def suffix_statistics(pages: DataFrame) -> tuple[DataFrame, int, float | None]:
+    """(suffix, suffix_rate and suffix_share of all pages; number and block rate of the labelled ones)."""
+    counts = stage(pages.groupBy("suffix").agg(
+        F.count(F.lit(1)).alias("n"), F.count("y").alias("labelled"), F.sum("y").alias("blocked")), "url-suffixes")
+    total = counts.agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]).first()
+    if not total["labelled"]:
+        return counts, 0, None
+    prior = total["blocked"] / total["labelled"]
+    return counts.select(
+        "suffix", ((F.coalesce("blocked", F.lit(0.0)) + 5 * prior) / (F.col("labelled") + 5)).alias("suffix_rate"),
+        (F.col("n") / total["n"]).alias("suffix_share")), total["labelled"], prior
+
+
+def train(pages: DataFrame) -> tuple[DataFrame | None, list[Column], Column]:
+    """(suffix statistics, bins, score expression) from rows with lexical features and y, null where no rule fits."""
+    suffixes, n, prior = suffix_statistics(pages)
     if not n:
         return None, [], F.lit(-1.0)
     share = min(1.0, TRAIN_ROWS / n)
-    sample = stage(labelled.where(F.pmod(F.xxhash64("url", "page_id"), F.lit(1_000_000)) < share * 1_000_000), "url-train")
+    sample = stage(pages.where(F.col("y").isNotNull() & (
+        F.pmod(F.xxhash64("url", "page_id"), F.lit(1_000_000)) < share * 1_000_000)), "url-train")
     total = sample.agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("y")).first()
     if not total["n"]:
         return None, [], F.lit(-1.0)
-    suffixes = sample.groupBy("suffix").agg(
-        ((F.sum("y") + 5 * total["y"]) / (F.count(F.lit(1)) + 5)).alias("suffix_rate"),
-        (F.count(F.lit(1)) / total["n"]).alias("suffix_share"))
-    suffixes = stage(suffixes, "url-suffixes")
-    rows = _with_suffix(sample, suffixes, total["y"])
+    rows = _with_suffix(sample, suffixes)
     at = [k / BINS for k in range(1, BINS)]
     cuts = rows.agg(*[F.percentile_approx(f, at, 1000).alias(f) for f in FEATURES]).first()
     bins = [_bin(f, sorted(set(cuts[f]))).alias("b_" + f) for f in FEATURES]
@@ -161,25 +173,28 @@ def train(labelled: DataFrame) -> tuple[DataFrame | None, list[Column], Column]:
             tree[side] = _value(sums) if split is None or split[0] <= 1e-9 else {
                 "feature": split[1], "bin": split[2], "left": _value(split[3]), "right": _value(split[4])}
         score = score + _leaf(tree)
-    return suffixes.withColumn("prior", F.lit(total["y"])), bins, score
+    return suffixes, bins, score
 
 
-def _with_suffix(rows: DataFrame, suffixes: DataFrame, prior: float) -> DataFrame:
-    """Suffix statistics; at most one row per training row, so they are broadcast."""
-    s = suffixes.select(F.col("suffix").alias("__s"), "suffix_rate", "suffix_share")
-    return rows.join(F.broadcast(s), F.col("suffix") == F.col("__s"), "left").drop("__s") \
-        .withColumn("suffix_rate", F.coalesce("suffix_rate", F.lit(prior))) \
-        .withColumn("suffix_share", F.coalesce("suffix_share", F.lit(0.0)))
+def _with_suffix(rows: DataFrame, suffixes: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Suffix statistics, broadcast if they are ``most`` rows at most.  Of more, those
+    with a share over 1 / ``most`` are broadcast and the others, none of them hot, shuffled."""
+    s = suffixes.withColumnRenamed("suffix", "__s")
+    fits = F.col("suffix") == F.col("__s")
+    if s.count() <= most:
+        return rows.join(F.broadcast(s), fits, "left").drop("__s")
+    hot = F.broadcast(s.where(F.col("suffix_share") * most >= 1))
+    rare = s.where(F.col("suffix_share") * most < 1).hint("merge")
+    return rows.join(hot, fits).unionByName(rows.join(hot, fits, "left_anti").join(rare, fits, "left")).drop("__s")
 
 
 def judge_urls(pages: DataFrame) -> DataFrame:
     """page_id, host, path, rule, verdict and the model's block probability."""
     p = lexical(with_rule(pages))
-    labelled = p.where("rule is not null").withColumn("y", (F.col("rule_verdict") == "block").cast("double"))
-    suffixes, bins, score = train(labelled)
+    p = p.withColumn("y", (F.col("rule_verdict") == "block").cast("double"))
+    suffixes, bins, score = train(p)
     if suffixes is not None:
-        prior = suffixes.select("prior").first()[0]
-        p = _with_suffix(p, suffixes, prior).select("*", *bins)
+        p = _with_suffix(p, suffixes).select("*", *bins)
     p = p.withColumn("block_probability", 1 / (1 + F.exp(-score)))
     return p.select("page_id", "host", "path", "rule", F.coalesce(
         "rule_verdict", F.when(F.col("block_probability") > 0.5, "block").otherwise("allow")).alias("verdict"),

@@ -473,3 +473,25 @@ def test_op4_mixed_lengths(spark):
         want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
     assert {w[0] for w in want} == {0, 50, 100, 150}
     same([tuple(r) for r in topk.exact_top_k(df).select("query_id", "rank", "vec_id", "score").collect()], want)
+
+
+def test_op9_suffixes_of_all_pages(spark, monkeypatch):
+    monkeypatch.setattr(urls, "TRAIN_ROWS", 20)
+    rows = [f"https://s{i}.net/{i}" for i in range(90)] + [f"https://s{i}.org/fr/{i}" for i in range(60)]
+    rows += [f"https://s{i}.org/{i}" for i in range(50)] + [f"https://s{i}.hot/{i}" for i in range(150)]
+    rows += [f"https://s.r{i}/" for i in range(40)] + [None, "x"]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string").repartition(3)
+    p = urls.lexical(urls.with_rule(df)).withColumn("y", (urls.F.col("rule_verdict") == "block").cast("double"))
+    stats, n, prior = urls.suffix_statistics(p)
+    assert (n, prior) == (150, 90 / 150)
+    want = {"net": (90, 90, 90), "org": (110, 60, 0), "hot": (150, 0, 0), "": (2, 0, 0)} | {f"r{i}": (1, 0, 0) for i in range(40)}
+    got = {r.suffix: (r.suffix_rate, r.suffix_share) for r in stats.collect()}
+    assert got == {s: (pytest.approx((b + 5 * prior) / (k + 5)), pytest.approx(m / len(rows))) for s, (m, k, b) in want.items()}
+    few, many = ({r.page_id: (r.suffix_rate, r.suffix_share) for r in urls._with_suffix(p, stats, most).collect()}
+                 for most in (1000, 10))
+    assert few == many and len(few) == len(rows)
+    seen = []
+    train = urls._with_suffix
+    monkeypatch.setattr(urls, "_with_suffix", lambda rows, s, *a: seen.append(s) or train(rows, s, *a))
+    assert urls.judge_urls(df).count() == len(rows)
+    assert all({r.suffix: r.suffix_share for r in s.collect()}["hot"] == 150 / len(rows) for s in seen) and seen
