@@ -16,7 +16,8 @@ rows and adds nothing to the ledger; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,6 +86,24 @@ def find_spans(texts: DataFrame, text: str = "text") -> DataFrame:
         .drop("__t", *[f"__p{k}" for k in range(len(RULES))])
 
 
+def read_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The stored ledger, one row per (blob, rule version); empty where nothing is stored yet."""
+    try:
+        stored = spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
+    return stored.dropDuplicates(["blob", "rule_version"])      # runs at the same time may add a pair twice
+
+
+def scan_stored(docs: DataFrame, path: str, rule_version: str = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
+    """``scan`` against the ledger stored at ``path``, to which its new rows are appended."""
+    found, new = scan(docs, read_ledger(docs.sparkSession, path), rule_version)
+    new.write.mode("append").parquet(path)
+    return found, new
+
+
 def scan(docs: DataFrame, ledger: DataFrame | None = None, rule_version: str = RULE_VERSION) \
         -> tuple[DataFrame, DataFrame]:
     """(doc_id, blob and found of every row; the rows to append to the ledger)."""
@@ -120,13 +139,14 @@ def count_kind(found: Column, kind: str) -> Column:
     return F.size(F.filter(found, lambda s: s["kind"] == kind)).cast("long")
 
 
-def redact(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+def redact(docs: DataFrame, ledger: DataFrame | None = None, ledger_path: str | None = None) -> DataFrame:
     """``docs`` with every span overwritten by as many asterisks.
 
     A text whose blob has no finding passes as it is.  Findings come back by
-    blob; only texts with findings are cut up.
+    blob; only texts with findings are cut up.  With ``ledger_path`` the stored
+    ledger is read and added to.
     """
-    found, _ = scan(docs, ledger)
+    found, _ = scan(docs, ledger) if ledger_path is None else scan_stored(docs, ledger_path)
     hits = found.where(F.size("found") > 0).select(F.col("blob").alias("__blob"), F.col("found").alias("__found")) \
         .dropDuplicates(["__blob"])
     names = docs.columns

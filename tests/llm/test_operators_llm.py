@@ -162,6 +162,24 @@ def test_op3_spans_ledger_and_redaction(spark, docs, empty):
             assert t == "".join(masked)
 
 
+def test_op3_stored_ledger(docs, tmp_path):
+    path = str(tmp_path / "ledger")
+    some = docs.where("doc_id < 20")
+    first, new = secrets.scan_stored(some, path)
+    blobs = {hashlib.sha256(t.encode()).hexdigest() for _, t in pairs(docs)}
+    assert new.count() == len({hashlib.sha256(t.encode()).hexdigest() for _, t in pairs(some)})
+    found, more = secrets.scan_stored(docs, path)
+    assert new.count() + more.count() == len(blobs)
+    same([(r.doc_id, tuple(tuple(s) for s in r.found)) for r in found.collect()], [(i, tuple(spans_of(t))) for i, t in pairs(docs)])
+    new.write.mode("append").parquet(path)          # the same pairs by a run at the same time
+    assert first.count() == some.count()
+    again, none = secrets.scan_stored(docs, path)
+    assert none.count() == 0 and again.count() == docs.count()
+    same(pairs(secrets.redact(docs, ledger_path=path)), pairs(secrets.redact(docs)))
+    assert secrets.read_ledger(docs.sparkSession, path).count() == len(blobs)
+    assert secrets.scan_stored(some, path, "2")[1].count() == new.count()
+
+
 def test_op4_against_brute_force(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(400, 8))
