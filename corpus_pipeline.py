@@ -49,7 +49,7 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-# Training, MinHash and BPE ids have no SQL form; tests/llm holds brute-force versions.
+# Training, MinHash and BPE ids have no SQL form; tests/llm holds the stages in plain Python.
 ORACLE_SQL = None
 
 

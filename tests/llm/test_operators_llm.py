@@ -513,3 +513,55 @@ def test_op9_suffixes_of_all_pages(spark, monkeypatch):
     monkeypatch.setattr(urls, "_with_suffix", lambda rows, s, *a: seen.append(s) or train(rows, s, *a))
     assert urls.judge_urls(df).count() == len(rows)
     assert all({r.suffix: r.suffix_share for r in s.collect()}["hot"] == 150 / len(rows) for s in seen) and seen
+
+
+def test_pipeline_against_plain_python(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+    rnd = random.Random(11)
+    good = {i: prose(rnd, ["en", "de"][i % 2], rnd.randint(120, 300)) for i in range(120)}
+    for i in range(0, 30, 3):
+        good[i] += " password=hunter22x AKIA" + "Z9" * 9
+    spam = ["click", "buy", "cheap", "casino", "winner", "bonus", "free"]
+    bad = {200 + i: " ".join(w if rnd.random() < 0.6 else rnd.choice(spam) for w in prose(rnd, "en", 200).split())
+           for i in range(90)}
+    junk = {400 + i: gibberish(rnd, rnd.randint(60, 250)) for i in range(8)} | {410: "too short", 411: None, 412: "a b c d e " * 30}
+    copies = {500 + i: good[i] for i in range(10)} | {520 + i: good[40 + i] + " zuletzt" for i in range(10)}
+    texts = good | bad | junk | copies
+    lang = {i: ["en", "de"][i % 2] if i < 200 else "de" if (500 <= i and i % 2) else "en" for i in texts}
+    spark.createDataFrame([(i, t, lang[i], "s", 0) for i, t in texts.items()],
+                          "doc_id long, text string, lang string, source string, n_chars long") \
+        .repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, int(i not in bad)) for i in [*good, *bad]], "doc_id long, quality int") \
+        .write.parquet(str(tmp_path / "labels.parquet"))
+    # plain stages: rules, labels learnt, one (the first) of near copies, masks
+    verdict = rule_verdicts([(i, t, lang[i]) for i, t in texts.items()])
+    want = [{i for i in texts if verdict[i][2]}]
+    assert want[0].isdisjoint(junk) and len(want[0] & set(bad)) > 60
+    want.append(want[0] - set(bad))
+    grams = {i: {tuple(w[k:k + 5]) for k in range(len(w) - 4)} for i in want[1] for w in [lower(texts[i]).split()]}
+    near = lambda a, b: 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b])
+    want.append({i for i in want[1] if not any(j < i and near(i, j) for j in want[1])})
+    assert want[2].isdisjoint(copies)
+    masked = {}
+    for i in want[2]:
+        chars = list(texts[i])
+        for a, _, b, _ in spans_of(texts[i]):
+            chars[a:b] = "*" * (b - a)
+        masked[i] = "".join(chars)
+    assert any(masked[i] != texts[i] for i in masked)
+    want.append(want[2])
+    d = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for (name, step), ids in zip(corpus_pipeline.STAGES[:-1], want):
+        d = corpus_pipeline.stage(step(spark, d, str(tmp_path)), name)
+        assert sorted(r.doc_id for r in d.collect()) == sorted(ids), name
+    assert {r.doc_id: r.text for r in d.collect()} == masked
+    tok = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    pieces = []
+    for i, t in masked.items():
+        ids = np.array(tok.encode(t, add_special_tokens=False).ids + [0], "<u4")
+        first = len(ids) % 2048 or min(2048, len(ids))
+        for k, (a, b) in enumerate(zip([0, *range(first, len(ids), 2048)], range(first, len(ids) + 1, 2048))):
+            pieces.append((i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    same([(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows], pieces)
