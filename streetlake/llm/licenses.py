@@ -2,7 +2,8 @@
 
 Templates (short phrases and longer notices) are posted as word -> (template,
 position).  A first pass counts in how many documents each licence word stands;
-the rarest words of a file are then looked up, their postings give relative
+in a file that has all words of a notice's key phrases, the rarest of the
+notice's words that stand in the file are looked up, their postings give relative
 positions (place in the file minus place in the template), and a template is
 taken where its rare words agree on one relative position and its mandatory
 key phrases stand word for word.  For a phrase every word is mandatory, so
@@ -53,9 +54,10 @@ NOTICES = [
      ["free and unencumbered software"]),
 ]
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")    # the contract's word class on lower-cased UTF-8 bytes
-RARE = 8          # rarest words of a notice that vote for a relative position
+RARE = 8          # rarest words of a notice, of those in the file, that vote for a relative position
 SHIFT = 3         # words that an edit may move later words by
 AGREE = 0.7       # share of the voting words that must agree
+IN_PLACE = 0.5    # share of a notice's words that must be in place where fewer words than AGREE * RARE agree
 
 SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
@@ -82,14 +84,14 @@ class LicenseIndex:
         for i, (ws, _) in enumerate(self.phrases):
             rarest = max(range(len(ws)), key=lambda k: (rarity(ws[k]), -k))
             self.postings[ws[rarest]].append((i, rarest))
-        self.votes: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.needed = []
-        for i, (ws, _, _) in enumerate(self.notices):
-            rarest = sorted(set(ws), key=lambda w: (-rarity(w), w))[:RARE]
-            self.needed.append(max(2, math.ceil(AGREE * len(rarest))))
-            for w in rarest:
-                self.votes[w] += [(i, k) for k, x in enumerate(ws) if x == w]
-        self.words = frozenset(self.postings) | frozenset(self.votes)
+        # a notice's places by word, rarest word first, and the words of its key phrases
+        self.votes: list[dict[bytes, list[int]]] = []
+        self.keys = []
+        for ws, _, keys in self.notices:
+            self.votes.append({w: [k for k, x in enumerate(ws) if x == w]
+                               for w in sorted(set(ws), key=lambda w: (-rarity(w), w))})
+            self.keys.append(frozenset(w for key in keys for w in key))
+        self.words = frozenset(self.postings).union(*self.votes)
 
     def places(self, words: list[bytes], at: dict[bytes, list[int]]) -> list[tuple[int, int]]:
         """(start, phrase) of every place where a phrase stands."""
@@ -102,23 +104,27 @@ class LicenseIndex:
 
     def notices_in(self, words: list[bytes], at: dict[bytes, list[int]]) -> list[tuple[str, float]]:
         """(label, share of its words in place) of every notice found."""
-        starts: dict[int, dict[int, set[bytes]]] = defaultdict(lambda: defaultdict(set))
-        for w in at:
-            for i, k in self.votes.get(w, ()):
-                for p in at[w]:
-                    starts[i][p - k].add(w)
         found = []
-        for i, by_start in starts.items():
-            ws, label, keys = self.notices[i]
+        for i, (ws, label, keys) in enumerate(self.notices):
+            if not self.keys[i].issubset(at):
+                continue
+            rarest = [w for w in self.votes[i] if w in at][:RARE]
+            needed = max(2, math.ceil(AGREE * len(rarest)))
+            by_start: dict[int, set[bytes]] = defaultdict(set)
+            for w in rarest:
+                for k in self.votes[i][w]:
+                    for p in at[w]:
+                        by_start[p - k].add(w)
             best = 0.0
             for s in by_start:
                 near = set().union(*(by_start.get(s + d, ()) for d in range(-SHIFT, SHIFT + 1)))
-                if len(near) < self.needed[i]:
+                if len(near) < needed:
                     continue
                 window = words[max(0, s - SHIFT):s + len(ws) + SHIFT]
                 if all(any(window[j:j + len(key)] == key for j in range(len(window))) for key in keys):
-                    have = Counter(window)
-                    best = max(best, sum((Counter(ws) & have).values()) / len(ws))
+                    share = sum((Counter(ws) & Counter(window)).values()) / len(ws)
+                    if share >= IN_PLACE or len(near) >= AGREE * RARE:
+                        best = max(best, share)
             if best:
                 found.append((label, best))
         return found

@@ -565,3 +565,26 @@ def test_pipeline_against_plain_python(spark, tmp_path):
             pieces.append((i, k, a, b - a, zlib.crc32(ids[a:b].tobytes())))
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     same([(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows], pieces)
+
+
+def test_op7_edited_notices(spark):
+    idf = {w: 1.0 for t in [n[0] for n in licenses.NOTICES] for w in t.encode().split()}
+    index, rows, want = licenses.LicenseIndex(idf), [], {}
+    for n, (text, label, keys) in enumerate(licenses.NOTICES):
+        ws = text.split()
+        fixed = {w for key in keys for w in key.split()}
+        voting = [w.decode() for w in list(index.votes[n])[:licenses.RARE]]
+        edited = [w for w in voting if w not in fixed][:3]         # three of its rarest words
+        rows += [(3 * n, "intro words " + " ".join("qq" if w in edited else w for w in ws) + " tail")]
+        rows += [(3 * n + 1, " ".join(ws[::-1]))]                  # the words, not in place
+        rows += [(3 * n + 2, " ".join(w if w not in fixed else "qq" for w in ws))]    # without its key phrases
+        rows += [(1001 + 3 * n, keys[0])]                          # a key phrase alone
+        if len(edited) == 3:
+            want[3 * n] = label
+    got = {r.doc_id: r for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(want) >= 4
+    for i, label in want.items():
+        assert label in got[i].labels.split(","), i
+    for i, r in got.items():
+        if i % 3:
+            assert set(r.labels.split(",")) == set(r.base_labels.split(",")), i
