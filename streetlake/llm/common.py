@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from streetlake.session import scratch_path, ship_package
 
-__all__ = ["read_table", "stage", "ship_package", "text_bytes", "fold_of", "rows_of"]
+__all__ = ["read_table", "stage", "ship_package", "text_bytes", "fold_of", "rows_of", "attach_groups"]
+
+MAX_BROADCAST_ROWS = 200_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,3 +45,22 @@ def rows_of(batch, step: int = 256):
     holds few texts at a time."""
     for at in range(0, batch.num_rows, step):
         yield batch.slice(at, step)
+
+
+def attach_groups(rows: DataFrame, groups: DataFrame, key: str, weight: str,
+                  max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``rows`` left joined with ``groups`` (staged; one short row per key,
+    ``weight`` tells how many of ``rows`` have it).
+
+    Up to ``max_rows`` groups are counted and broadcast.  Of more, those with
+    at least a thousandth of the summed weight, a thousand at most, are
+    broadcast and the others joined by a shuffle: no key left there is hot.
+    """
+    found = groups.agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("total")).first()
+    if found["n"] <= max_rows:
+        return rows.join(F.broadcast(groups), key, "left")
+    hot = F.col(weight) * 1000 >= found["total"]
+    first = rows.where(F.col(key).isNotNull()).join(F.broadcast(groups.where(hot)), key, "left")
+    rest = first.where(F.col(weight).isNull()).select(*rows.columns).join(groups.where(~hot), key, "left")
+    alone = rows.where(F.col(key).isNull()).join(groups.where("false"), key, "left")
+    return first.where(F.col(weight).isNotNull()).unionByName(rest).unionByName(alone)

@@ -79,6 +79,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op13_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back."""
+    import uuid
+
+    from streetlake.llm.warc import read_warc, write_warc
+    from streetlake.session import scratch_path
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    write_warc(read_table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -87,7 +99,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_best_fit_packing, op2_quality_classifier, op3_secret_scan, op4_exact_top_k, op5_bpe_round_trip,
-             op6_quotation_linking, op7_license_scan, op8_minhash_near_dedup, op9_url_filter, op10_quality_rules]
+             op6_quotation_linking, op7_license_scan, op8_minhash_near_dedup, op9_url_filter, op10_quality_rules,
+             op13_warc_round_trip]
     return {f.__name__: f for f in found} | {"pipeline": pipeline}
 
 
