@@ -17,6 +17,37 @@ SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """
 
 
+DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN (SELECT lang, term FROM k) USING (lang, term) GROUP BY ALL),
+s AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.n + v.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 1)) // (v.n + v.v) AS q
+  FROM s JOIN v ON s.lang = v.lang JOIN k ON s.lang = k.lang
+  LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+x AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS n FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(n AS INTEGER) AS rank
+FROM o WHERE part = 'pair' OR n <= 200
+"""
+
+
 def _secrets() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     kinds = ", ".join(f"({quote(kind)}, {k}, {quote(pattern)}, {group}, {least})"
@@ -45,4 +76,5 @@ FROM d LEFT JOIN a USING (rid)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secret_scan": _secrets(), "op4_exact_top_k": TOP_K}
+    return {"op3_secret_scan": _secrets(), "op4_exact_top_k": TOP_K,
+            "op12_source_divergence": DIVERGENCE}
