@@ -43,6 +43,8 @@ TOP_TERMS = 200
 SCALE_STEPS = 3             # prices are shares of 1000 ** 3
 ROWS = 32                   # expected groups of a tile
 COLUMNS = 1024              # expected kept terms of a block
+CELLS_PER_TASK = 8
+MAX_TASKS = 20_000
 HELD = 400_000              # (group, term) counts a task holds before it hands them on
 PIECE = 1 << 20             # bytes of text counted at once
 
@@ -175,7 +177,8 @@ class K2Tree:
 
 def joint_leaves(one: K2Tree, other: K2Tree, n_one: int, n_other: int, n_cols: int, height: int) \
         -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Both trees descended together, for all pairs of their rows at once.
+    """Both trees descended together, for all pairs of their rows at once (of
+    a tree with itself: for pairs of an earlier and a later row).
 
     Returns row and leaf of the first, row and leaf of the second for every
     pair of rows and column with a count on either side (leaf -1: no count),
@@ -205,6 +208,8 @@ def joint_leaves(one: K2Tree, other: K2Tree, n_one: int, n_other: int, n_cols: i
                 for db in (0, 1):
                     bb, child_b = 2 * b + db, other.child(level, kb, 2 * db + dc)
                     inside = (cc * size < n_cols) & (aa * size < n_one) & (bb * size < n_other)
+                    if one is other:
+                        inside &= aa < bb if size == 1 else aa <= bb
                     nothing = inside & (child_a < 0) & (child_b < 0)
                     if nothing.any():
                         skip(aa[nothing], bb[nothing], cc[nothing], size)
@@ -217,10 +222,12 @@ def joint_leaves(one: K2Tree, other: K2Tree, n_one: int, n_other: int, n_cols: i
 def cell_values(one: tuple, other: tuple, n_cols: int) -> tuple[np.ndarray, np.ndarray]:
     """Summed differences in a cell, first to second and second to first.
 
-    A side is (total of each row, row, column and count of its nonzero cells).
+    A side is (total of each row, row, column and count of its nonzero cells);
+    of a side with itself only pairs of an earlier and a later row are summed.
     """
     height = max(int(max(n_cols, len(one[0]), len(other[0]), 2) - 1).bit_length(), 1)
-    trees = [K2Tree(rows, cols, height) for _, rows, cols, _ in (one, other)]
+    trees = [K2Tree(one[1], one[2], height)]
+    trees.append(trees[0] if other is one else K2Tree(other[1], other[2], height))
     a, ka, b, kb, empty = joint_leaves(*trees, len(one[0]), len(other[0]), n_cols, height)
     prices = []
     for (totals, rows, _, counts), tree, row, leaf in ((one, trees[0], a, ka), (other, trees[1], b, kb)):
@@ -250,6 +257,9 @@ def _cell(key: tuple, entries: pa.Table, about: pa.Table) -> pa.Table:
         counts = entries.column("n").to_numpy()
         sides, names = [], []
         for t, members in ((i, info["rows_i"]), (j, info["rows_j"])):
+            if sides and i == j:
+                sides, names = sides * 2, names * 2
+                break
             names.append([m["source"] for m in members])
             number = {s: k for k, s in enumerate(names[-1])}
             mine = np.flatnonzero(tile == t)
@@ -259,10 +269,8 @@ def _cell(key: tuple, entries: pa.Table, about: pa.Table) -> pa.Table:
         there, back = cell_values(*sides, info["n_cols"])
         for x, s in enumerate(names[0]):
             for y, o in enumerate(names[1]):
-                if i != j:
+                if i != j or x < y:
                     out += [(lang, s, o, int(there[x, y])), (lang, o, s, int(back[x, y]))]
-                elif x != y:
-                    out.append((lang, s, o, int(there[x, y])))
     columns = list(zip(*out)) or [(), (), (), ()]
     return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64()))],
                     names=["lang", "source", "item", "value"])
@@ -289,7 +297,10 @@ def pair_values(counts: DataFrame, groups: DataFrame, langs: DataFrame) -> DataF
         "lang", "block", F.least("tile", "with").alias("i"), F.greatest("tile", "with").alias("j"),
         "tile", "source", "term", "n")
     key = ["lang", "block", "i", "j"]
-    part = cells.groupBy(*key).cogroup(about.groupBy(*key)) \
+    # cells hold few bytes and much work: their number, not their size, sets the number of tasks
+    n_cells = langs.agg(F.expr("sum(n_blocks * (n_tiles * (n_tiles + 1L) div 2))")).first()[0] or 0
+    tasks = min(max(-(-n_cells // CELLS_PER_TASK), 1), MAX_TASKS)
+    part = cells.repartition(tasks, *key).groupBy(*key).cogroup(about.repartition(tasks, *key).groupBy(*key)) \
         .applyInArrow(_cell, "lang string, source string, item string, value long")
     return part.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
 

@@ -106,3 +106,8 @@ def test_tree_leaves_and_empty_quadrants(seed):
     assert (np.bincount(a * n_other + b, minlength=n_one * n_other).reshape(n_one, n_other) == either.sum(2)).all()
     assert (ka >= 0).sum() == sum(one[x].sum() for x in range(n_one)) * n_other
     assert (kb >= 0).sum() == other.sum() * n_one
+    a, _, b, _, empty = divergence.joint_leaves(trees[0], trees[0], n_one, n_one, n_cols, height)
+    either = one[:, None, :] | one[None, :, :]
+    later = np.triu(np.ones((n_one, n_one), bool), 1)
+    assert (empty[later] == (~either).sum(2)[later]).all()
+    assert (np.bincount(a * n_one + b, minlength=n_one ** 2).reshape(n_one, n_one) == either.sum(2) * later).all()
