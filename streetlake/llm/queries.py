@@ -79,6 +79,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every damaged conversation."""
+    from streetlake.llm.repair import repair
+    return repair(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Differences of term prices between sources, and between a source and its language."""
     from streetlake.llm.divergence import audit
@@ -106,7 +112,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_best_fit_packing, op2_quality_classifier, op3_secret_scan, op4_exact_top_k, op5_bpe_round_trip,
              op6_quotation_linking, op7_license_scan, op8_minhash_near_dedup, op9_url_filter, op10_quality_rules,
-             op12_source_divergence, op13_warc_round_trip]
+             op11_conversation_repair, op12_source_divergence, op13_warc_round_trip]
     return {f.__name__: f for f in found} | {"pipeline": pipeline}
 
 
