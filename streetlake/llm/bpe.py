@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from streetlake.llm.common import rows_of, ship_package, text_bytes
 from streetlake.llm.tokens import WHITE, PieceCache, byte_characters
 
-END = ""           # stands for the end-of-word suffix; no byte-level alphabet has it
+END = "\ue000"           # stands for the end-of-word suffix; no byte-level alphabet has it
 CHUNK = re.compile(f"[^{WHITE}]+")
 _NOT_WHITE = re.compile("[\x1c-\x1f]")    # white space for str.split, not for the vocabulary
 

@@ -68,7 +68,12 @@ def pieces(text: bytes) -> Iterator[list[bytes]]:
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n occurrences, df documents); a null term stands for the group itself."""
+    """(lang, source, term, n occurrences, df documents); a null term stands for the group itself.
+
+    Tasks count before they hand on, so a term comes at most once per source
+    and hand-over; one shuffle by (lang, term) then serves the sums and the
+    window over a term's sources.
+    """
     ship_package(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +115,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     return docs.select(text("lang").alias("lang"), text("source").alias("source"), text_bytes("text").alias("text")) \
         .mapInArrow(run, "lang string, source string, term string, n long, df long") \
-        .groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
+        .repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
 def kept_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

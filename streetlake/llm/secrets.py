@@ -60,6 +60,22 @@ def _marked(text: Column, kind: str, pattern: str) -> Column:
     return F.when(F.contains(text, F.lit(NEEDS[kind])), found).otherwise(text) if kind in NEEDS else found
 
 
+def _runs(items: Column) -> Column:
+    """An array cut into runs of an even length near the root of its size, so that
+    folds that append to an array copy a run at a time, not all that came before."""
+    size = F.size(items)
+    step = 2 * F.ceil(F.sqrt(F.greatest(size, F.lit(1))) / 2).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(size / step).cast("int") - 1, F.lit(0))),
+                       lambda k: F.slice(items, k * step + 1, step))
+
+
+def _before(values: Column, join) -> Column:
+    """What ``join`` makes of all numbers before each one."""
+    start = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(values, start, lambda acc, v: F.struct(
+        join(acc["sum"], v).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out")), lambda acc: acc["out"])
+
+
 def _spans(parts: Column, order: int, kind: str, pattern: str, group: int, least: int) -> Column:
     """Spans of every second part that is long enough."""
     def step(acc, x):
@@ -73,7 +89,18 @@ def _spans(parts: Column, order: int, kind: str, pattern: str, group: int, least
 
     none = F.array().cast(f"array<{_SPAN}>")
     start = F.struct(F.lit(0).alias("pos"), F.lit(False).alias("odd"), none.alias("out"))
-    return F.when(F.size(parts) > 1, F.aggregate(parts, start, step, lambda acc: acc["out"])).otherwise(none)
+    # a run has an even number of parts, so marks keep their place in it
+    folded = F.transform(_runs(parts), lambda run: F.aggregate(run, start, step))
+
+    def moved(run, by):
+        return F.transform(run["out"], lambda s: F.struct(
+            (s["start"] + by).alias("start"), s["ord"].alias("ord"), (s["end"] + by).alias("end"),
+            s["kind"].alias("kind")))
+
+    # the runs are made once and named by an array of one
+    placed = F.transform(F.array(folded), lambda runs: F.flatten(F.zip_with(
+        runs, _before(F.transform(runs, lambda r: r["pos"]), lambda a, v: a + v), moved)))
+    return F.when(F.size(parts) > 1, placed[0]).otherwise(none)
 
 
 def find_spans(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -151,14 +178,40 @@ def redact(docs: DataFrame, ledger: DataFrame | None = None, ledger_path: str |
         .dropDuplicates(["__blob"])
     names = docs.columns
     d = docs.join(hits, blob_of(whole_text()) == F.col("__blob"), "left")
+    return d.withColumn("text", F.when(F.col("__found").isNotNull(), starred(F.col("text"), F.col("__found")))
+                        .otherwise(F.col("text"))).select(*names)
 
-    def step(acc, s):
-        start = F.greatest(s["start"], acc["pos"])
-        size = F.greatest(s["end"] - start, F.lit(0))
-        gap = F.substring(F.col("text"), acc["pos"] + 1, start - acc["pos"])
-        return F.struct(F.greatest(s["end"], acc["pos"]).alias("pos"),
-                        F.concat(acc["out"], gap, F.repeat(F.lit("*"), size)).alias("out"))
 
-    clean = F.aggregate("__found", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")), step,
-                        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["pos"] + 1, F.lit(2**31 - 1))))
-    return d.withColumn("text", F.when(F.col("__found").isNotNull(), clean).otherwise(F.col("text"))).select(*names)
+def starred(text: Column, found: Column) -> Column:
+    """``text`` with spans (by start, may overlap) overwritten.
+
+    Spans are taken in runs; a run works on its own region of the text, from
+    its first span to that of the next run, so no step copies the whole text.
+    """
+    def region(run, g, runs, reached):
+        first = F.when(g == 0, F.lit(0)).otherwise(run[0]["start"])
+        stop = F.when(g < F.size(runs) - 1, F.try_element_at(runs, g + 2)[0]["start"]).otherwise(F.length(text))
+        covered = F.least(F.greatest(reached, first), stop)       # by spans of the runs before
+
+        def cut(body):
+            def step(acc, s):
+                start = F.greatest(s["start"], acc["pos"])
+                end = F.greatest(F.least(s["end"], stop), acc["pos"])
+                gap = F.substring(body, acc["pos"] - first + 1, F.greatest(start - acc["pos"], F.lit(0)))
+                return F.struct(end.alias("pos"), F.concat(
+                    acc["out"], gap, F.repeat(F.lit("*"), F.greatest(end - start, F.lit(0)))).alias("out"))
+
+            begin = F.struct(covered.alias("pos"), F.repeat(F.lit("*"), covered - first).alias("out"))
+            return F.aggregate(run, begin, step, lambda acc: F.concat(
+                acc["out"], F.substring(body, acc["pos"] - first + 1, stop - acc["pos"])))
+
+        return F.transform(F.array(F.substring(text, first + 1, stop - first)), cut)[0]
+
+    def whole(runs):
+        reached = _before(F.transform(runs, lambda run: F.array_max(F.transform(run, lambda s: s["end"]))), F.greatest)
+        at = F.sequence(F.lit(0), F.size(runs) - 1)
+        pairs = F.transform(F.array(reached), lambda ends: F.zip_with(
+            runs, at, lambda run, g: region(run, g, runs, F.element_at(ends, g + 1))))
+        return F.array_join(pairs[0], "")
+
+    return F.transform(F.array(_runs(found)), whole)[0]

@@ -1,32 +1,16 @@
 """Piecewise use of a public byte-level BPE vocabulary.
 
 White space ends every pre-token of these vocabularies, so a text falls into
-independent pieces.  Texts of a corpus repeat most pieces; each distinct piece
-is encoded once per Python worker and kept in a bounded cache.
+independent pieces.  Texts of a corpus repeat most pieces; a distinct piece is
+encoded once per Python worker while it stays in a bounded cache.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 # White space as Unicode defines it (fixed value; Python's \s has more).
-WHITE = "\t-\r \x85\xa0  -     　"
-# A word with at most one space before it, or a run of white space that leaves
-# its last character to the next word unless the text ends there.
-PIECE = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-
-# Any white space but the space and the line feed.
-ODD_WHITE = re.compile(f"[{WHITE.replace(' ', '').replace(WHITE[0:3], chr(9) + chr(11) + '-' + chr(13))}]")
-
-
-def spaced_words(text: str) -> list[str] | None:
-    """The parts of a text between single spaces, if every part starts and ends
-    with other characters than white space (each part, with the space before
-    it, then encodes by itself); else None."""
-    if "  " in text or " \n" in text or "\n " in text or text[-1:] in " \n" or ODD_WHITE.search(text):
-        return None
-    return text.split(" ")
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def byte_characters() -> list[str]:
@@ -44,19 +28,24 @@ def byte_characters() -> list[str]:
 
 
 class PieceCache:
-    """piece -> packed ids; emptied when ``limit`` pieces are kept."""
+    """piece -> packed ids, in two halves: when the young one holds ``limit``
+    pieces it becomes the old one, from which pieces still in use come back."""
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 400_000):
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], limit: int = 200_000):
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.encode_many, self.limit = encode_many, limit
 
     def packed(self, pieces: list[str]) -> bytes:
         """Ids of pieces in a row."""
         distinct = set(pieces)
-        new = list(distinct.difference(self.known))
+        new = distinct.difference(self.known)
         if len(self.known) + len(new) > self.limit:
-            self.known.clear()
-            new = list(distinct)
+            self.old, self.known, new = self.known, {}, distinct
+        back = new.intersection(self.old) if self.old else ()
+        for p in back:
+            self.known[p] = self.old[p]
+        new = list(new.difference(back)) if back else list(new)
         if new:
             self.known.update(zip(new, self.encode_many(new)))
         return b"".join(map(self.known.__getitem__, pieces))
