@@ -21,7 +21,9 @@ checked.
 Defined results: null or empty text has no shingles, links with nothing and is
 its own component; a text with fewer words than a shingle is one shingle; a
 row without a doc_id has no component and is kept; repeated rows fall into one
-class; an empty table gives no rows; other columns are ignored.
+class; rows with one doc_id and different texts are compared each, and the
+component of each is the smallest doc_id that its own text reaches; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streetlake.llm.common import rows_of, ship_package, stage, text_bytes
+from streetlake.llm.common import attach_groups, rows_of, ship_package, stage, text_bytes
 
 ROWS = 4                # MinHash samples of a band
 SAMPLES = 128           # samples of the odd sketch, at least
@@ -185,12 +187,12 @@ def can_link(a: str, b: str, similarity: float) -> Column:
 
 
 def fetch_texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, text) of the classes' representatives, staged."""
-    wanted = classes.select("node", "text_hash").join(nodes, "node", "left_semi")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), text_bytes("text").alias("text")) \
-        .withColumn("text_hash", F.xxhash64("text")).join(wanted, ["node", "text_hash"], "left_semi") \
-        .select("node", "text")
-    return stage(texts, "neardup-texts")
+    """(node, text) of the classes' representatives, staged; rows that repeat one are one text."""
+    wanted = classes.select("node", "doc_id", "text_hash").join(nodes, "node", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes("text").alias("text")) \
+        .withColumn("text_hash", F.xxhash64("text")).join(wanted, ["doc_id", "text_hash"]) \
+        .dropDuplicates(["doc_id", "text_hash"])
+    return stage(texts.select("node", "text"), "neardup-texts")
 
 
 def check_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -225,36 +227,70 @@ def check_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: in
                         names=["a", "b", "shared", "total"])
 
     checked = both.mapInArrow(run, "a long, b long, shared long, total long")
-    return stage(checked.dropDuplicates(["a", "b"]), "neardup-checked")
+    return stage(checked, "neardup-checked")
+
+
+def in_cells(met: DataFrame) -> DataFrame:
+    """Members of hubs dealt to cells (hub, r, c) of BLOCK by BLOCK, so that no
+    task holds a large group: members outside the hub's component (``asks``)
+    meet all members."""
+    met = stage(met, "met")
+    sizes = met.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("outer"), 1)).alias("n_outer")) \
+        .where("n > 1 and n_outer > 0").select(
+            "hub", F.ceil(F.col("n") / BLOCK).cast("int").alias("cols"),
+            F.ceil(F.col("n_outer") / BLOCK).cast("int").alias("rows"), F.col("n").alias("members"))
+    met = stage(attach_groups(met, stage(sizes, "met-sizes"), "hub", "members").where("members is not null"), "met")
+    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["hub", "node", "component", "outer"]
+    one = met.where("outer").select(*columns, F.lit(True).alias("asks"), place("rows").alias("r"),
+                                    every("cols").alias("c"))
+    return one.unionByName(met.select(*columns, F.lit(False).alias("asks"), every("rows").alias("r"),
+                                      place("cols").alias("c")))
+
+
+def may_link(cells: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """(hub, node) of members whose size and sketch allow a link in some cell to another component."""
+    limit = sketch_limit(similarity)
+
+    def cell(t: pa.Table) -> pa.Table:
+        asks = t.column("asks").to_numpy(zero_copy_only=False)
+        ask, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+        kept = np.zeros(t.num_rows, bool)
+        if len(ask) and len(other):
+            comps, n = t.column("component").to_numpy(), t.column("n").to_numpy()
+            sketch = np.stack([t.column(c).to_numpy() for c in LONGS], 1).view(_U)
+            for i in ask:
+                rest = other[comps[other] != comps[i]]
+                rest = rest[np.minimum(n[rest], n[i]) >= similarity * np.maximum(n[rest], n[i]) * (1 - 1e-12)]
+                odd = np.bitwise_count(sketch[rest] ^ sketch[i]).sum(1, dtype=np.int64)
+                rest = rest[odd <= limit]
+                kept[rest] = True
+                kept[i] |= len(rest) > 0
+        at = np.flatnonzero(kept)
+        return t.select(["hub", "node"]).take(pa.array(at))
+
+    rows = cells.select("hub", "r", "c", "node", "component", "asks").join(classes.select("node", "n", *LONGS), "node")
+    return stage(rows.groupBy("hub", "r", "c").applyInArrow(cell, "hub long, node long").distinct(), "may-link")
 
 
 def cross_links(spokes: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                 percent: int) -> DataFrame:
     """Links between members of one hub that lie in different components: (a, b).
 
-    Members outside the hub's component meet all members, in cells of BLOCK by
-    BLOCK, so that no task holds a large group.  A cell numbers the shingles
-    it holds; one pass over them then gives the exact intersections of a set
-    with all others.  Per set and component one link is enough.
+    Sizes and sketches are compared first; only members that may link to
+    another component meet again with their texts.  A cell then numbers the
+    shingles it holds; one pass over them gives the exact intersections of a
+    set with all others.  Per set and component one link is enough.
     """
     hub_component = found.select(F.col("node").alias("hub"), F.col("component").alias("of_hub"))
     met = stage(spokes.where("node != hub").join(found, "node", "left"), "met").join(hub_component, "hub", "left") \
         .select("hub", "node", F.coalesce("component", "node").alias("component"),
                 (F.coalesce("component", "node") != F.coalesce("of_hub", "hub")).alias("outer"))
     met = stage(met, "met")
-    sizes = met.groupBy("hub").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("outer"), 1)).alias("n_outer")) \
-        .where("n > 1 and n_outer > 0").select(
-            "hub", F.ceil(F.col("n") / BLOCK).cast("int").alias("cols"),
-            F.ceil(F.col("n_outer") / BLOCK).cast("int").alias("rows"))
-    met = stage(met.join(stage(sizes, "met-sizes"), "hub"), "met")
-    texts = fetch_texts(met.select("node").distinct(), classes, docs)
-    met = met.join(texts, "node")
-    place = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    one = met.where("outer").select("hub", "node", "component", "text", F.lit(True).alias("asks"),
-                                    place("rows").alias("r"), every("cols").alias("c"))
-    all_of = met.select("hub", "node", "component", "text", F.lit(False).alias("asks"),
-                        every("rows").alias("r"), place("cols").alias("c"))
+    likely = may_link(in_cells(met), classes, percent / 100)
+    again = in_cells(met.join(likely, ["hub", "node"]))
+    cells = again.join(fetch_texts(likely.select("node").distinct(), classes, docs), "node")
 
     def cell(t: pa.Table) -> pa.Table:
         shingler, out = Shingler(width), []
@@ -280,8 +316,7 @@ def cross_links(spokes: DataFrame, found: DataFrame, classes: DataFrame, docs: D
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return stage(one.unionByName(all_of).groupBy("hub", "r", "c").applyInArrow(cell, "a long, b long").distinct(),
-                 "cross-links")
+    return stage(cells.groupBy("hub", "r", "c").applyInArrow(cell, "a long, b long").distinct(), "cross-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -316,9 +351,12 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     rows = stage(sketch_rows(docs, width, t), "sketches")
     classes = rows.where("n > 0 and doc_id is not null").groupBy("k1", "k2").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("m"), F.first("n").alias("n"),
-        F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in LONGS])
-    classes = stage(classes.select(F.col("m.doc_id").alias("node"), F.col("m.text_hash").alias("text_hash"),
-                                   "k1", "k2", "n", "bands", *LONGS), "classes")
+        F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"), *[F.first(c).alias(c) for c in LONGS])
+    # classes are numbered: ids of documents may repeat with other texts
+    classes = stage(classes.select(
+        F.monotonically_increasing_id().alias("node"), F.col("m.doc_id").alias("doc_id"),
+        F.col("m.text_hash").alias("text_hash"), F.struct("k1", "k2").alias("key"), "copies", "n", "bands", *LONGS),
+        "classes")
     sketches = classes.select("node", "n", *LONGS)
     banded = classes.select("node", F.explode("bands").alias("band"))
     groups = stage(banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "bands")
@@ -343,12 +381,15 @@ def near_duplicates(docs: DataFrame, width: int = 3, percent: int = 85) -> DataF
     if more.limit(1).count():
         found = components(links.union(more))
 
-    by_class = classes.select("k1", "k2", "node").join(found, "node", "left") \
-        .select("k1", "k2", F.coalesce("component", "node").alias("component"))
-    out = rows.select("doc_id", "text_hash", "n", "k1", "k2").join(by_class, ["k1", "k2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce(
-        F.when(F.col("n") > 0, F.col("component")), F.col("doc_id")))
-    return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), component.alias("component_id")) \
+    member = stage(classes.select("node", "doc_id", "key", "copies").join(found, "node", "left").select(
+        "doc_id", "key", "copies", F.coalesce("component", "node").alias("component")), "neardup-members")
+    labels = member.groupBy("component").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
+    named = attach_groups(member, stage(labels, "neardup-labels"), "component", "size").select("key", "copies", "least")
+    ids = rows.select("doc_id", "text_hash", F.col("n").alias("n_shingles"),
+                      F.when(F.col("n") > 0, F.struct("k1", "k2")).alias("key"))
+    out = attach_groups(ids, stage(named, "neardup-named"), "key", "copies")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id")) \
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -91,3 +91,54 @@ def test_op3_many_findings_in_one_text(spark):
         assert clean[i] == stars(text, got[i])
     assert len(got[len(texts) - 1]) >= 64_000
     assert scanned < 30 and redacted < 60, (scanned, redacted)      # 218 s when spans were appended one by one
+
+
+def classes_of(rows, width, percent):
+    """Component label of every row by brute force over rows."""
+    def shingles(text):
+        w = text.lower().split()
+        return frozenset(tuple(w[i:i + width]) for i in range(len(w) - width + 1)) if len(w) >= width else \
+            frozenset([tuple(w)] if w else [])
+    sets, label = [shingles(t) for _, t in rows], [i for i, _ in rows]
+    links = [(a, b) for a in range(len(rows)) for b in range(a) if sets[a] and sets[b]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    moved = True
+    while moved:
+        moved = False
+        for a, b in links:
+            least = min(label[a], label[b])
+            moved |= label[a] != least or label[b] != least
+            label[a] = label[b] = least
+    return sorted((i, len(s), c) for (i, _), s, c in zip(rows, sets, label))
+
+
+def test_op8_one_id_with_several_texts(spark):
+    rnd = random.Random(8)
+    word = lambda: f"w{rnd.randint(0, 10 ** 6)}"
+    rows = []
+    for k in range(30):
+        for least in (k, 500 + k):              # id 1000 + k stands twice, each time near another document
+            text = [word() for _ in range(200)]
+            rows += [(1000 + k, " ".join(text)), (least, " ".join(text[:195] + [word() for _ in range(5)]))]
+    rows += [(3000, rows[0][1]), (3000, rows[0][1]), (7, rows[2][1]), (3001, ""), (3001, "some words here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = neardup.near_duplicates(docs, 3, 85).select("doc_id", "n_shingles", "component_id").collect()
+    want = classes_of(rows, 3, 85)
+    assert sum(c < i for i, _, c in want) >= 60
+    assert sorted(map(tuple, got)) == want
+
+
+def test_op8_sketches_first_then_texts(spark, monkeypatch):
+    """Chains whose ends only meet over a hub: links between its other members are found in cells."""
+    monkeypatch.setattr(neardup, "BLOCK", 5)
+    rnd = random.Random(2)
+    core = [f"c{k}" for k in range(300)]
+    rows = []
+    for family in range(12):
+        mine = core[:240] + [f"f{family}_{k}" for k in range(60)]
+        for member in range(4):
+            rows.append((100 * family + member, " ".join(mine[:295] + [f"{rnd.random()}" for _ in range(5)])))
+    rows.append((5000, " ".join(core)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = neardup.near_duplicates(docs, 3, 85).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == classes_of(rows, 3, 85)
