@@ -3,7 +3,7 @@
 stream       run the raw / clean / analytics streaming queries
 detect       score the clean zone and append alerts (window, threshold, retrain, dry run)
 daily-close  DQ gate -> daily summary -> refit -> compaction -> report (JSON)
-compact      rewrite closed partitions of a zone into a new generation
+compact      pack small files of closed partitions of a zone into a new generation
 vacuum       drop old, non-current zone generations
 ack          acknowledge stored alerts by id
 endpoint     the operational API's queries over stored zones (live, summary, ...)
@@ -75,7 +75,10 @@ def cmd_daily_close(spark, a):
 
 def cmd_compact(spark, a):
     from .plans.maintenance import compact_zone
-    print(compact_zone(spark, a.src, a.dst, closed_before=a.closed_before, rows_per_file=a.rows_per_file))
+    from .plans.maintenance import compacted_files
+    dst = compact_zone(spark, a.src, a.dst, closed_before=a.closed_before, target_mb=a.target_mb,
+                       generations=a.generations or ())
+    print(json.dumps({"generation": dst, "files_replaced": compacted_files(spark, dst)}))
     return 0
 
 
@@ -197,7 +200,8 @@ def parser() -> argparse.ArgumentParser:
     k.add_argument("--src", required=True)
     k.add_argument("--dst", required=True)
     k.add_argument("--closed-before")
-    k.add_argument("--rows-per-file", type=int, default=1_000_000)
+    k.add_argument("--target-mb", type=float, default=128)
+    k.add_argument("--generations", nargs="*", help="generations made before, oldest first")
 
     v = sub.add_parser("vacuum")
     v.add_argument("--root", required=True)

@@ -82,12 +82,20 @@ def _message() -> Column:
                 F.lit(" (anomaly score "), score3, F.lit(")."))))
 
 
+def reading_key() -> Column:
+    """Name of an event without an id: the md5 of its own columns, none of which
+    depends on the batch it is scored in."""
+    own = [F.col("camera_id"), F.unix_micros("event_ts"), "vehicle_count", "average_speed", "congestion_score",
+           "pedestrian_count", "heavy_vehicle_pct", F.coalesce(F.col("accident_detected"), F.lit(False))]
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in own]
+    return F.concat(F.lit("x"), F.md5(F.concat_ws("|", *texts).cast("binary")))
+
+
 def alert_records(classified: DataFrame) -> DataFrame:
     """U4: the alert record.  ``alert_id`` is deterministic and re-run safe:
     camera _ epoch(event_ts) _ type _ event_id; ``created_at`` = event time.
-    An event without an id is named by a hash of its readings."""
-    eid = F.coalesce(F.col("event_id"), F.concat(F.lit("x"), F.hex(F.xxhash64(
-        "vehicle_count", "anomaly_score", "pct_above_baseline"))))
+    An event without an id is named by ``reading_key``."""
+    eid = F.coalesce(F.col("event_id"), reading_key())
     aid = F.concat_ws("_", F.col("camera_id"), F.unix_seconds("event_ts").cast("string"),
                       F.col("alert_type"), eid)
     return classified.select(

@@ -15,7 +15,7 @@ from ..functions import exprs as X
 from ..functions.registry import camera_registry
 from ..session import cut_lineage
 from .enrich import with_zone
-from .joins import join_counted
+from .joins import attach_small, join_counted
 
 LIVE_COLS = ["camera_id", "location", "vehicle_count", "average_speed", "congestion_score",
              "congestion_level", "accident_detected", "event_ts"]
@@ -77,7 +77,10 @@ def platform_summary(clean: DataFrame, alerts: DataFrame, registry: DataFrame |
               .agg(F.count(F.lit(1))).scalar())
     total_cams = reg.agg(F.count(F.lit(1))).scalar()
     known = reg.select("camera_id").distinct().withColumn("_known", F.lit(True))
-    today = clean.filter(F.col("event_date") == F.to_date(now)).join(F.broadcast(known), "camera_id", "left")
+    today = day_so_far(clean, now)
+    # the built-in registry is fixed in size; a caller's is counted before it is broadcast
+    today = today.join(F.broadcast(known), "camera_id", "left") if registry is None \
+        else attach_small(today, known, "camera_id", "left")
     minutes_so_far = F.hour(now) * 60 + F.minute(now) + 1
     return today.agg(
         F.count(F.lit(1)).alias("total_events_today"),
@@ -100,6 +103,11 @@ def platform_summary(clean: DataFrame, alerts: DataFrame, registry: DataFrame |
     )
 
 
+def day_so_far(clean: DataFrame, now: Column) -> DataFrame:
+    """Events of the day of ``now`` up to ``now``: later ones have not happened yet."""
+    return clean.filter((F.col("event_date") == F.to_date(now)) & (F.col("event_ts") <= now))
+
+
 def unacknowledged_at(now: Column) -> Column:
     """Alert not acknowledged as of ``now`` (acknowledged_at null or later)."""
     return F.col("acknowledged_at").isNull() | (F.col("acknowledged_at") > now)
@@ -151,7 +159,7 @@ def camera_detail(clean: DataFrame, registry: DataFrame | None = None, as_of=Non
         clean = clean.filter(F.col("camera_id") == camera_id)
     status = cameras_status(clean, reg, as_of, minutes)
     now = X.ts_value(as_of)
-    today = (clean.filter(F.col("event_date") == F.to_date(now))
+    today = (day_so_far(clean, now)
              .groupBy("camera_id").agg(
                  F.count(F.lit(1)).alias("events_today"),
                  X.mean_of("vehicle_count", integral=True).alias("avg_vehicle_count_today"),

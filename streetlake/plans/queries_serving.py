@@ -6,7 +6,7 @@ from ..operators import serving as S
 from . import oracle as O
 from . import tables as TB
 from .registry import register
-from .sqlviews import ALERTS_SQL, CATEGORY_SQL, LATEST_CTE, LOOKBACK_MIN, NOW_CTE, STATUS_SQL
+from .sqlviews import ALERTS_SQL, CATEGORY_SQL, LATEST_CTE, LOOKBACK_MIN, NOW_CTE, PAST, PAST_CTE, STATUS_SQL
 
 # ============================================================================
 # Serving queries (as_of = newest event time; 24 h look-back at this density)
@@ -21,7 +21,8 @@ def q_live_metrics(spark, sf_dir):
     return S.live_metrics(c, as_of=now, minutes=LOOKBACK_MIN)
 
 
-@register("platform_summary", O.with_adapter(NOW_CTE, *ALERTS_SQL, body=(
+_SUMMARY_BODY = (
+
     "SELECT count(*) AS total_events_today, count(DISTINCT camera_id) AS active_cameras, "
     "(SELECT count(*) FROM registry) AS total_cameras, "
     f"{O.rnd('coalesce(' + O.mean('average_speed') + ', cast(0.0 as double))', 1)} AS avg_speed_kmh, "
@@ -30,17 +31,27 @@ def q_live_metrics(spark, sf_dir):
     "AND a.created_at <= n.now AND (a.acknowledged_at IS NULL OR a.acknowledged_at > n.now)) AS active_anomalies, "
     + O.rnd("cast(100.0 as double) * (SELECT count(*) FROM (SELECT DISTINCT c.camera_id, "
             "date_trunc('minute', c.event_ts) FROM clean c JOIN registry r ON c.camera_id = r.camera_id, nowt n "
-            "WHERE c.event_date = cast(n.now as date))) / ((SELECT count(*) FROM registry) * "
+            "WHERE c.event_date = cast(n.now as date) AND c.event_ts <= n.now)) / ((SELECT count(*) FROM registry) * "
             "(hour(nowt.now) * 60 + minute(nowt.now) + 1))", 1) + " AS pipeline_sla_pct, "
     f"{O.rnd('cast(count_if(event_ts >= nowt.now - INTERVAL 1 SECOND) as double)', 1)} AS events_per_second, "
     "nowt.now AS last_updated "
-    "FROM clean, nowt WHERE event_date = cast(nowt.now as date) GROUP BY nowt.now")))
+    "FROM clean, nowt WHERE event_date = cast(nowt.now as date) AND event_ts <= nowt.now GROUP BY nowt.now")
+
+
+@register("platform_summary", O.with_adapter(NOW_CTE, *ALERTS_SQL, body=_SUMMARY_BODY))
 def q_platform_summary(spark, sf_dir):
     """V2: KPI row for the as_of day."""
     c, now = TB.clean_and_now(spark, sf_dir)
     return S.platform_summary(c, TB.alerts_table(spark, sf_dir), TB.registry(spark), as_of=now)
 
 
+@register("platform_summary_past", O.with_adapter(PAST_CTE, *ALERTS_SQL, body=_SUMMARY_BODY))
+def q_platform_summary_past(spark, sf_dir):
+    """V2: KPI row as of 36 hours before the newest event; later events don't count."""
+    c, now = TB.clean_and_now(spark, sf_dir)
+    return S.platform_summary(c, TB.alerts_table(spark, sf_dir), TB.registry(spark), as_of=now - PAST)
+
+
 @register("hourly_profile", O.with_adapter(body=(
     f"SELECT event_date, event_hour, {O.imean('vehicle_count')} AS avg_vehicle_count, "
     f"max(vehicle_count) AS max_vehicle_count, {O.mean('average_speed')} AS avg_speed, "
@@ -65,21 +76,32 @@ def q_cameras_status(spark, sf_dir):
     return S.cameras_status(c, TB.registry(spark), as_of=now, minutes=LOOKBACK_MIN)
 
 
-@register("camera_detail", O.with_adapter(
-    NOW_CTE, LATEST_CTE, f"cs AS ({_CAMS_BODY})",
-    "td AS (SELECT camera_id, count(*) AS events_today, "
-    f"{O.imean('vehicle_count')} AS avg_vehicle_count_today, max(vehicle_count) AS max_vehicle_count_today, "
-    f"{O.mean('average_speed')} AS avg_speed_today, {O.mean('congestion_score')} AS avg_congestion_today "
-    "FROM clean, nowt WHERE event_date = cast(nowt.now as date) GROUP BY camera_id)",
-    body=("SELECT cs.*, coalesce(td.events_today, 0) AS events_today, td.avg_vehicle_count_today, "
-          "td.max_vehicle_count_today, td.avg_speed_today, td.avg_congestion_today "
-          "FROM cs LEFT JOIN td ON cs.camera_id = td.camera_id")))
+def _detail_sql(now_cte: str) -> str:
+    return O.with_adapter(
+        now_cte, LATEST_CTE, f"cs AS ({_CAMS_BODY})",
+        "td AS (SELECT camera_id, count(*) AS events_today, "
+        f"{O.imean('vehicle_count')} AS avg_vehicle_count_today, max(vehicle_count) AS max_vehicle_count_today, "
+        f"{O.mean('average_speed')} AS avg_speed_today, {O.mean('congestion_score')} AS avg_congestion_today "
+        "FROM clean, nowt WHERE event_date = cast(nowt.now as date) AND event_ts <= nowt.now GROUP BY camera_id)",
+        body=("SELECT cs.*, coalesce(td.events_today, 0) AS events_today, td.avg_vehicle_count_today, "
+              "td.max_vehicle_count_today, td.avg_speed_today, td.avg_congestion_today "
+              "FROM cs LEFT JOIN td ON cs.camera_id = td.camera_id"))
+
+
+@register("camera_detail", _detail_sql(NOW_CTE))
 def q_camera_detail(spark, sf_dir):
     """V6: per-camera detail (registry + latest + today's aggregates)."""
     c, now = TB.clean_and_now(spark, sf_dir)
     return S.camera_detail(c, TB.registry(spark), as_of=now, minutes=LOOKBACK_MIN)
 
 
+@register("camera_detail_past", _detail_sql(PAST_CTE))
+def q_camera_detail_past(spark, sf_dir):
+    """V6 as of 36 hours before the newest event."""
+    c, now = TB.clean_and_now(spark, sf_dir)
+    return S.camera_detail(c, TB.registry(spark), as_of=now - PAST, minutes=LOOKBACK_MIN)
+
+
 _ZONE_CTE = ("z AS (SELECT r.zone, " + O.mean("c.congestion_score") + " AS avg_congestion_score, "
              "count(*) AS event_count, count(DISTINCT c.camera_id) AS cameras "
              "FROM clean c JOIN registry r ON c.camera_id = r.camera_id GROUP BY r.zone)")

@@ -12,7 +12,7 @@ from ..operators import serving as S
 from . import oracle as O
 from . import tables as TB
 from .registry import register
-from .sqlviews import ALERTS_SQL, CLEAN_OUT, DAILY_CTES, NOW_CTE, RAW_COLS
+from .sqlviews import ALERTS_SQL, CLEAN_OUT, DAILY_CTES, NOW_CTE, RAW_COLS, UNNAMED_KEY
 
 # ============================================================================
 # Daily close
@@ -117,6 +117,24 @@ def q_new_alerts_only(spark, sf_dir):
     return A.append_new_alerts(run, existing, time_bounded=True)
 
 
+@register("unnamed_event_alerts", O.with_adapter(*ALERTS_SQL[:6], body=(
+    "SELECT DISTINCT camera_id || '_' || cast(cast(floor(epoch(event_ts)) as bigint) as varchar) || '_' || alert_type "
+    f"|| '_' || CASE WHEN cast(event_id as bigint) % 3 = 0 THEN {UNNAMED_KEY} ELSE event_id END AS alert_id, "
+    "camera_id, alert_type, event_ts AS created_at, "
+    "CASE WHEN cast(event_id as bigint) % 3 <> 0 THEN event_id END AS event_id FROM typed")))
+def q_unnamed_event_alerts(spark, sf_dir):
+    """U4/K4: alerts of a batch in which every third event has no id; what a run with
+    other scores (so other batch-dependent columns) stored before is not stored again."""
+    c = TB.clean(spark, sf_dir)
+    unnamed = F.when(F.col("event_id").cast("long") % 3 != 0, F.col("event_id"))
+    scored = TB.standin_scored(c).filter("anomaly_score >= 0.85").withColumn("event_id", unnamed)
+    base = A.baselines(c)
+    early = A.build_alerts(scored.withColumn("anomaly_score", F.lit(0.99)).filter("event_hour < 12"), base)
+    stored = A.append_new_alerts(early, None)
+    columns = ["alert_id", "camera_id", "alert_type", "created_at", "event_id"]
+    return stored.unionByName(A.append_new_alerts(A.build_alerts(scored, base), stored)).select(*columns)
+
+
 @register("alert_topic_rows", O.with_adapter(*ALERTS_SQL[:7], body=(
     "SELECT t.topic, r.camera_id AS key, r.alert_id, to_json(struct_pack(alert_id := r.alert_id, "
     "camera_id := r.camera_id, alert_type := r.alert_type, severity := r.severity, "
@@ -249,16 +267,16 @@ def q_critical_alerts(spark, sf_dir):
     f"SELECT {RAW_COLS}, {O.speed_index()} AS speed_index, congestion_category, is_peak_hour, "
     "event_date, event_hour FROM clean")))
 def q_compacted_clean_zone(spark, sf_dir):
-    """K8: the clean zone written as small files, compacted into a new
-    generation and read back: the row multiset is unchanged."""
+    """K8: the clean zone written as small files, packed into a new generation
+    and read back with what was left in place: the row multiset is unchanged."""
     import uuid
     from ..session import scratch_path
-    from .maintenance import compact_zone
+    from .maintenance import compact_zone, read_compacted
     base = scratch_path(spark, f"compact-{uuid.uuid4().hex}")
     clean = TB.clean(spark, sf_dir).select(*CLEAN_OUT)
     clean.repartition(16).write.partitionBy("event_date").parquet(f"{base}/gen=0")
     gen1 = compact_zone(spark, f"{base}/gen=0", f"{base}/gen=1")
-    return spark.read.parquet(gen1).select(*CLEAN_OUT)
+    return read_compacted(spark, f"{base}/gen=0", gen1).select(*CLEAN_OUT)
 
 
 @register("daily_summary_table", O.with_adapter(*DAILY_CTES, body="SELECT * FROM daily"))

@@ -7,6 +7,8 @@ daily summary, window expansion and the contract rules on top.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from ..schema import RAW_FIELDS
 from . import oracle as O
 
@@ -49,6 +51,13 @@ def window_sql(bucket: str, n_slides: int, width: str) -> str:
 
 LOOKBACK_MIN = 1440
 NOW_CTE = "nowt AS (SELECT max(event_ts) AS now FROM clean)"
+PAST = dt.timedelta(hours=36)
+PAST_CTE = "nowt AS (SELECT max(event_ts) - INTERVAL 36 HOUR AS now FROM clean)"
+# an event without an id: the md5 of its readings (alerts.reading_key)
+UNNAMED_KEY = ("'x' || md5(concat_ws('|', camera_id, cast(epoch_us(event_ts) as varchar), "
+               "cast(vehicle_count as varchar), cast(average_speed as varchar), cast(congestion_score as varchar), "
+               "cast(pedestrian_count as varchar), cast(heavy_vehicle_pct as varchar), "
+               "cast(coalesce(accident_detected, false) as varchar)))")
 STATUS_SQL = ("CASE WHEN {s} >= 75 THEN 'critical' WHEN {s} >= 50 THEN 'high' "
               "WHEN {s} >= 25 THEN 'medium' ELSE 'normal' END")
 CATEGORY_SQL = ("CASE WHEN {s} >= 75 THEN 'CRITICAL' WHEN {s} >= 50 THEN 'HIGH' "

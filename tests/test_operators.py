@@ -18,6 +18,7 @@ from streetlake.operators.iforest import brute_force_scores, fit_forest, score_e
 from streetlake.plans import tables as TB
 from streetlake.plans.daily_close import QualityGateFailed, daily_close
 from streetlake.plans.detect import detect
+from streetlake.plans import maintenance as M
 from streetlake.plans.maintenance import compact_zone, vacuum_zone
 from streetlake.schema import FEATURE_COLS
 from tests.conftest import SF001
@@ -250,7 +251,7 @@ def test_compacted_and_live_days_together(spark, tmp_path):
     live, gen = str(tmp_path / "live"), str(tmp_path / "gen=1")
     clean.write.partitionBy("event_date", "event_hour").parquet(live)
     compact_zone(spark, live, gen, closed_before="2024-01-15")
-    whole = read_compacted(spark, live, gen, "2024-01-15").select(*clean.columns)
+    whole = read_compacted(spark, live, gen).select(*clean.columns)
     assert whole.count() == clean.count() and whole.exceptAll(clean).count() == 0
 
 
@@ -293,22 +294,43 @@ def test_compaction_preserves_rows_and_vacuum_keeps_current(spark, tmp_path):
     src = str(tmp_path / "clean")
     clean.repartition(16).write.partitionBy("event_date").parquet(src)
     root = tmp_path / "gens"
-    g1 = compact_zone(spark, src, str(root / "gen=1"))
     a = spark.read.parquet(src)
-    b = spark.read.parquet(g1).select(*a.columns)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    def whole(*gens):
+        z = M.read_compacted(spark, src, *gens).select(*a.columns)
+        assert a.exceptAll(z).count() == 0 and z.exceptAll(a).count() == 0
+        return len(M.zone_files(spark, src, gens))
+
+    g1 = compact_zone(spark, src, str(root / "gen=1"))
     n_days = a.select("event_date").distinct().count()
-    files = [f for f in spark.read.parquet(g1).inputFiles()]
-    assert len(files) == n_days                      # one file per (small) day
-    g3 = compact_zone(spark, src, str(root / "gen=3"), rows_per_file=10)
-    b3 = spark.read.parquet(g3).select(*a.columns)
-    assert a.exceptAll(b3).count() == 0 and b3.exceptAll(a).count() == 0
-    assert len(spark.read.parquet(g3).inputFiles()) > n_days   # big days split
+    n_files = len(a.inputFiles())
+    assert n_days <= whole(g1) < n_days * 2          # about one file per (small) day
+    assert M.compacted_files(spark, g1) == n_files
+    # an unchanged zone has nothing left to pack
+    again = compact_zone(spark, src, str(root / "gen=1b"), generations=[g1])
+    assert not os.path.exists(again) and whole(g1, again) == whole(g1)
+    # a late file of a closed day is read, and packed with its day alone
+    late = a.filter("event_date = '2024-01-05'").limit(3)
+    late.write.mode("append").partitionBy("event_date").parquet(src)
+    a = spark.read.parquet(src)
+    whole(g1)
+    g4 = compact_zone(spark, src, str(root / "gen=4"), generations=[g1])
+    n_late = M.compacted_files(spark, g4)
+    assert 2 <= n_late <= 5 and spark.read.parquet(g4).select("event_date").distinct().count() == 1
+    whole(g1, g4)
+    # a generation without its manifest is not part of the zone
+    unfinished = str(root / "gen=5")
+    a.write.partitionBy("event_date").parquet(unfinished)
+    whole(g1, g4, unfinished)
+    big = max(os.path.getsize(f.removeprefix("file://")) for f in a.inputFiles())
+    g3 = compact_zone(spark, src, str(root / "gen=3"), target_mb=big * 2.5 / 2 ** 20)
+    assert n_days < whole(g3) < n_files              # days of several bins
     g2 = compact_zone(spark, src, str(root / "gen=2"), closed_before="2024-01-10")
     assert spark.read.parquet(g2).agg(F.max("event_date")).first()[0] < dt.date(2024, 1, 10)
+    whole(g2)
     far_future = int((dt.datetime.now() + dt.timedelta(days=30)).timestamp() * 1000)
     gone = vacuum_zone(spark, str(root), retain_hours=168, keep=[g2], now_ms=far_future)
-    assert len(gone) == 2 and os.path.exists(g2)
+    assert len(gone) == 4 and os.path.exists(g2)
 
 
 def test_recent_events_top_n_matches_plain_sort(spark):
@@ -388,11 +410,24 @@ def test_rows_without_event_id_are_not_merged(spark):
     assert Q.dedup_events(spark.createDataFrame(rows, cols)).count() == 11
 
 
-def test_compaction_keeps_null_partitions(spark):
-    from streetlake.plans.maintenance import compact_frame
+def test_compaction_keeps_null_partitions(spark, tmp_path):
     rows = [(None if i % 2 else "2024-01-01", f"c{i}", i) for i in range(10)]
     df = spark.createDataFrame(rows, "event_date string, camera_id string, event_ts int")
-    assert compact_frame(df).count() == 10
+    src, gen = str(tmp_path / "z"), str(tmp_path / "gen=1")
+    df.repartition(4).write.partitionBy("event_date").parquet(src)
+    compact_zone(spark, src, gen)
+    got = M.read_compacted(spark, src, gen)
+    assert got.count() == 10 and got.filter("event_date IS NULL").count() == 5
+    assert M.compacted_files(spark, gen) == len(spark.read.parquet(src).inputFiles())
+
+
+def test_pack_small_files():
+    files = [("a", f"a{i}", s) for i, s in enumerate([10, 90, 60, 50, 40, 30, 74, 76])] + [("b", "b0", 10)]
+    bins = M.pack_small_files(files, 100)
+    assert all(sum(f[2] for f in b) <= 100 and len(b) > 1 and len({f[0] for f in b}) == 1 for b in bins)
+    packed = {f[1] for b in bins for f in b}
+    assert "a1" not in packed and "a7" not in packed and "b0" not in packed     # large ones and a lone one
+    assert M.pack_small_files([], 100) == []
 
 
 def test_streaming_dedup_before_windows_sets_one_watermark(spark, tmp_path):
