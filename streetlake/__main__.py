@@ -2,6 +2,7 @@
 
 stream       run the raw / clean / analytics streaming queries
 detect       score the clean zone and append alerts (window, threshold, retrain, dry run)
+score        score a clean zone's new rows as a stream
 daily-close  DQ gate -> daily summary -> refit -> compaction -> report (JSON)
 compact      pack small files of closed partitions of a zone into a new generation
 vacuum       drop old, non-current zone generations
@@ -32,6 +33,9 @@ def cmd_stream(spark, a):
         src = lambda: kafka_source(spark, a.servers, a.topic, a.starting, a.max_offsets)
     else:
         src = lambda: file_source(spark, a.path, a.max_files)
+    if a.health and not a.available_now:
+        from .streaming.health import HealthListener
+        spark.streams.addListener(HealthListener(spark, a.health))
     runner = run_chained if a.chained else run_pipeline
     queries = runner(spark, src, a.base, available_now=a.available_now, dedup=a.dedup,
                      quarantine=a.quarantine)
@@ -50,12 +54,31 @@ def cmd_detect(spark, a):
     from .sources.streams import read_zone
     alerts = detect(spark, read_zone(spark, a.clean), model_path=a.model, window_hours=a.window_hours,
                     threshold=a.threshold, retrain=a.retrain, dry_run=a.dry_run, as_of=a.as_of,
-                    norm=a.norm, alerts_path=a.alerts, publish_servers=a.publish)
+                    norm=a.norm, alerts_path=a.alerts, publish_servers=a.publish,
+                    spike_pct=a.spike_pct, min_speed=a.min_speed)
     n = 0 if alerts is None else alerts.count()
     print(json.dumps({"alerts": n, "dry_run": a.dry_run}))
     return 0
 
 
+def cmd_score(spark, a):
+    """Score the clean zone's new rows as they arrive."""
+    from .operators.alerts import baselines
+    from .operators.iforest import ForestModel
+    from .sources.streams import read_zone, read_zone_stream
+    from .streaming.pipeline import await_all, score_stream
+    model = ForestModel.load(spark, a.model)
+    if model is None:
+        print(json.dumps({"error": f"no model at {a.model}"}))
+        return 3
+    clean = read_zone(spark, a.clean)
+    query = score_stream(read_zone_stream(spark, a.clean, clean.schema), model, a.alerts, a.checkpoint, baselines(clean),
+                         threshold=a.threshold, available_now=a.available_now, publish_servers=a.publish,
+                         spike_pct=a.spike_pct, min_speed=a.min_speed)
+    await_all([query])
+    return 0
+
+
 def cmd_daily_close(spark, a):
     from .plans.daily_close import QualityGateFailed, daily_close
     from .sources.streams import read_zone
@@ -65,7 +88,7 @@ def cmd_daily_close(spark, a):
     try:
         report = daily_close(spark, read_zone(spark, a.clean), a.date, a.summary, model_path=a.model,
                              alerts_path=a.alerts, compact=compact, refit=not a.no_refit,
-                             vacuum=vacuum, retain_hours=a.retain_hours)
+                             vacuum=vacuum, retain_hours=a.retain_hours, steps_path=a.steps)
     except QualityGateFailed as e:
         print(json.dumps({"quality": "fail", "stats": e.stats}, default=str))
         return 2
@@ -115,7 +138,11 @@ def cmd_endpoint(spark, a):
     elif name == "camera":
         df = S.camera_detail(clean, as_of=a.as_of, camera_id=a.camera_id, minutes=a.minutes)
     elif name == "alerts":
-        df = S.recent_alerts(alerts(), severity=a.severity, limit=a.limit)
+        from .operators.alerts import newest_stored_alerts
+        newest = newest_stored_alerts(spark, a.alerts, severity=a.severity, limit=a.limit)
+        if a.acks:
+            newest = alerts_with_ack(newest, spark.read.parquet(a.acks))
+        df = S.recent_alerts(newest, limit=a.limit)
     elif name == "hourly":
         df = S.hourly_profile(clean, date=a.date, camera_id=a.camera_id)
     elif name == "health":
@@ -164,7 +191,8 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--available-now", action="store_true")
     s.add_argument("--chained", action="store_true", help="read the broker once (raw -> clean -> analytics)")
     s.add_argument("--dedup", action="store_true")
-    s.add_argument("--health", help="health-log table: one row per query after an --available-now run")
+    s.add_argument("--health", help="health-log table: a row per progress report of a running "
+                   "stream, one per query after an --available-now run")
     s.add_argument("--quarantine", action="store_true", help="keep rows that break the contract, count rejects")
 
     d = sub.add_parser("detect")
@@ -179,6 +207,18 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--norm", choices=["batch", "model"], default="batch")
     d.add_argument("--publish", help="Kafka servers: also send new alerts to the alert topics")
 
+    t = sub.add_parser("score", help="score a clean zone's new rows as a stream")
+    t.add_argument("--clean", required=True)
+    t.add_argument("--model", required=True)
+    t.add_argument("--alerts", required=True)
+    t.add_argument("--checkpoint", required=True)
+    t.add_argument("--threshold", type=float, default=0.85)
+    t.add_argument("--available-now", action="store_true")
+    t.add_argument("--publish", help="Kafka servers: also send new alerts to the alert topics")
+    for x in (d, t):
+        x.add_argument("--spike-pct", type=float, default=200.0)
+        x.add_argument("--min-speed", type=float, default=10.0)
+
     k = sub.add_parser("ack")
     k.add_argument("--alerts", required=True)
     k.add_argument("--acks", required=True, help="ack log folder")
@@ -195,6 +235,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--no-refit", action="store_true")
     c.add_argument("--vacuum", nargs="*", help="ROOT=KEEP1,KEEP2 generation roots to clean up")
     c.add_argument("--retain-hours", type=float, default=168)
+    c.add_argument("--steps", help="step log: a failed close resumes after its last finished step")
 
     k = sub.add_parser("compact")
     k.add_argument("--src", required=True)
@@ -228,7 +269,7 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-COMMANDS = {"stream": cmd_stream, "detect": cmd_detect, "daily-close": cmd_daily_close,
+COMMANDS = {"stream": cmd_stream, "detect": cmd_detect, "score": cmd_score, "daily-close": cmd_daily_close,
             "compact": cmd_compact, "vacuum": cmd_vacuum, "ack": cmd_ack, "endpoint": cmd_endpoint, "query": cmd_query}
 
 

@@ -148,13 +148,58 @@ def write_alerts(alerts: DataFrame, path: str) -> None:
      .write.mode("append").partitionBy("created_date").parquet(path))
 
 
+def alert_days(spark, path: str) -> list:
+    """Days (``created_date``) of the alerts table, newest first, from its file listing."""
+    from ..plans.maintenance import list_files
+    files = list_files(spark, path)
+    if files is None or "created_date" not in files.columns:
+        return []
+    days = [r[0] for r in files.select("created_date").distinct().collect()]      # one row per day
+    return sorted((d for d in days if d is not None), reverse=True) + [None] * (None in days)
+
+
+def newest_stored_alerts(spark, path: str, severity: str | None = None, limit: int = 50) -> DataFrame:
+    """V3/W2 over the stored table: its days are walked newest first, twice as
+    many at each step, until they hold ``limit`` matching alerts; only those
+    days are read.  Alerts without a time come last, as in the full sort."""
+    from .serving import recent_alerts
+    days, at, step, found = alert_days(spark, path), 0, 1, 0
+    table = spark.read.parquet(path)
+    match = F.lit(True) if severity is None else F.col("severity") == severity.upper()
+
+    def within(some):
+        known = F.col("created_date").isin([d for d in some if d is not None])
+        return known | F.col("created_date").isNull() if None in some else known
+
+    while at < len(days) and found < limit:
+        found += table.filter(within(days[at:at + step])).filter(match).limit(limit - found).count()
+        at, step = at + step, step * 2
+    return recent_alerts(table.filter(within(days[:at])), severity, limit).drop("created_date")
+
+
+OUTBOX = "outbox"
+
+
 def append_alerts_table(spark, alerts: DataFrame, path: str,
-                        publish_servers: str | None = None, topics=ALERT_TOPICS) -> DataFrame:
+                        publish_servers: str | None = None, topics=ALERT_TOPICS, send=None) -> DataFrame:
     """K4 (+K5): insert-if-absent into the alerts table at ``path`` (re-run
-    safe) and, with ``publish_servers``, send the same new alerts to the
-    Kafka topics.  The new alerts are checkpointed once so both sinks write
-    identical rows.  Returns them."""
+    safe) and, with ``publish_servers`` (or a ``send`` function), send the same
+    new alerts to the topics.  Returns the new alerts.
+
+    The table is its own outbox: a batch of new alerts is stored first, under
+    ``batch_id`` in the outbox beside the table; what is sent is what the outbox
+    holds, and a batch is marked sent after that.  A run that fails between the
+    two leaves an unmarked batch, which the next run sends before its own: no
+    alert is lost, and only a batch whose mark was not written is sent twice,
+    with the same ids.
+    """
+    import uuid
+
     from ..session import cut_lineage
+    wants_sending = publish_servers is not None or send is not None
+    send = send or (lambda frame: write_kafka(frame, publish_servers))
+    if wants_sending:
+        publish_outbox(spark, path, send, topics)
     try:
         existing = spark.read.parquet(path)
     except AnalysisException as e:
@@ -162,13 +207,62 @@ def append_alerts_table(spark, alerts: DataFrame, path: str,
             raise
         existing = None                   # first run: no table yet
     fresh = cut_lineage(append_new_alerts(cut_lineage(alerts), existing, time_bounded=True))
-    if publish_servers:
-        # before the append: a failed send is retried with the same rows
-        write_kafka(alerts_to_kafka(fresh, topics), publish_servers)
+    if wants_sending:
+        # recorded before the table is written: a batch the table lacks is stored by the resend
+        fresh.withColumn("batch_id", F.lit(uuid.uuid4().hex)).write.mode("append") \
+            .partitionBy("batch_id").parquet(_outbox(path))
     write_alerts(fresh, path)
+    if wants_sending:
+        publish_outbox(spark, path, send, topics)
     return fresh
 
 
+def _outbox(path: str) -> str:
+    return f"{path.rstrip('/')}_{OUTBOX}"
+
+
+def pending_batches(spark, path: str) -> list[str]:
+    """Batches of the outbox that are not marked as sent."""
+    from ..plans.maintenance import list_files
+    files = list_files(spark, _outbox(path))
+    if files is None or "batch_id" not in files.columns:
+        return []
+    batches = {r[0] for r in files.select(F.col("batch_id").cast("string")).distinct().collect()}   # one per run
+    try:
+        sent = {r[0] for r in spark.read.parquet(_outbox(path) + "_sent").select("batch_id").collect()}
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        sent = set()
+    return sorted(batches - sent)
+
+
+def publish_outbox(spark, path: str, send, topics=ALERT_TOPICS) -> int:
+    """Send every unmarked batch of the outbox and mark it; returns how many were sent.
+
+    Alerts of a batch that the table lacks (a run that stopped before its
+    table was written) are stored first, by the same insert-if-absent.
+    """
+    pending = pending_batches(spark, path)
+    schema = spark.read.parquet(_outbox(path)).drop("batch_id").schema if pending else None
+    for batch in pending:
+        rows = spark.read.schema(schema).parquet(f"{_outbox(path)}/batch_id={batch}")
+        try:
+            existing = spark.read.parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            existing = None
+        lacking = append_new_alerts(rows, existing, time_bounded=True)
+        if lacking.limit(1).count():
+            from ..session import cut_lineage
+            write_alerts(cut_lineage(lacking), path)
+        send(alerts_to_kafka(rows, topics))
+        spark.createDataFrame([(batch,)], "batch_id string").withColumn("sent_at", F.current_timestamp()) \
+            .coalesce(1).write.mode("append").parquet(_outbox(path) + "_sent")
+    return len(pending)
+
+
 def alerts_with_ack(alerts: DataFrame, acks: DataFrame) -> DataFrame:
     """Alerts with ``acknowledged`` / ``acknowledged_at`` from an ack log
     (alert_id, acked_at); the earliest ack of an id wins."""

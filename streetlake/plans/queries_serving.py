@@ -189,19 +189,44 @@ def q_recent_events(spark, sf_dir):
     return S.recent_events(c, as_of=now, hours=48, n=500_000)
 
 
-def _zones(spark, sf_dir):
+def _zones(spark, sf_dir, pipeline_ts=None):
+    from pyspark.sql import functions as F
+
     from ..operators.windows import sliding_metrics
-    clean = TB.clean(spark, sf_dir, processing_time=True)
+    clean = TB.clean(spark, sf_dir, processing_time=pipeline_ts is None)
+    if pipeline_ts is not None:
+        clean = clean.withColumn("pipeline_ts", F.lit(pipeline_ts).cast("timestamp"))
     analytics = sliding_metrics(clean).withColumnRenamed("window_end", "event_ts")
     return {"raw": TB.raw(spark, sf_dir), "clean": clean, "analytics": analytics}
 
 
-@register("zone_freshness", None)
+def _percentile_sql(p: float) -> str:
+    return (f"(SELECT cast(min(bucket) as double) FROM (SELECT bucket, sum(n) OVER (ORDER BY bucket) AS seen, "
+            f"sum(n) OVER () AS total FROM h) WHERE seen >= ceil(total * cast({p} as double)))")
+
+
+@register("zone_freshness", O.with_adapter(
+    NOW_CTE,
+    "aw AS (SELECT DISTINCT camera_id, location, time_bucket(INTERVAL '1 minute', event_ts) "
+    "- (k.k * INTERVAL '1 minute') AS window_start FROM clean CROSS JOIN range(5) AS k(k))",
+    "ms AS (SELECT (epoch_us(now) - epoch_us(event_ts)) // 1000 AS v FROM clean, nowt)",
+    "h AS (SELECT v - v % cast(pow(2, greatest(length(bin(v)) - 7, 0)) as bigint) AS bucket, count(*) AS n "
+    "FROM ms GROUP BY 1)",
+    "z AS (SELECT 'raw' AS component, count(*) AS rows, max(event_ts) AS max_event_ts, "
+    "cast(NULL as double) AS latency_ms, cast(NULL as double) AS p99_latency_ms FROM traffic_raw "
+    f"UNION ALL SELECT 'clean', count(*), max(event_ts), {_percentile_sql(0.5)}, {_percentile_sql(0.99)} FROM clean "
+    "UNION ALL SELECT 'analytics', count(*), max(window_start) + INTERVAL 5 MINUTE, NULL, NULL FROM aw)",
+    "l AS (SELECT z.*, cast(epoch_us(now) - epoch_us(max_event_ts) as double) / cast(1000000.0 as double) "
+    "AS lag_seconds, now AS logged_at FROM z, nowt)",
+    body=("SELECT component, CASE WHEN max_event_ts IS NULL OR lag_seconds > 600 THEN 'down' "
+          "WHEN lag_seconds > 60 THEN 'degraded' ELSE 'running' END AS status, latency_ms, p99_latency_ms, rows, "
+          "max_event_ts, lag_seconds, logged_at FROM l")))
 def q_zone_freshness(spark, sf_dir):
-    """Freshness / lag / status of the raw, clean and analytics zones."""
+    """Freshness, lag percentiles and status of the raw, clean and analytics
+    zones; clean rows are taken to be processed at the newest event's time."""
     from ..streaming.health import zone_freshness
-    zones = _zones(spark, sf_dir)
-    return zone_freshness(zones, as_of=TB.as_of(zones["clean"]))
+    now = TB.as_of(TB.clean(spark, sf_dir))
+    return zone_freshness(_zones(spark, sf_dir, now), as_of=now).drop("details")
 
 
 @register("zone_lag", O.with_adapter(

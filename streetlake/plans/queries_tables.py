@@ -235,6 +235,84 @@ def q_forest_scores(spark, sf_dir):
     return score_events(c, model).select("event_id", "kafka_offset", "camera_id", "anomaly_raw", "anomaly_score")
 
 
+# Stand-in forest, by rule (fixed values): complete trees of depth 4; the split of node n of tree t.
+STANDIN_TREES, STANDIN_DEPTH = 8, 4
+STANDIN_RANGE = {"vehicle_count": 500, "average_speed": 120, "congestion_score": 100, "pedestrian_count": 50,
+                 "heavy_vehicle_pct": 100, "event_hour": 24}
+
+
+def standin_forest():
+    """A stored model whose node table SQL can make as well."""
+    import pandas as pd
+
+    from ..operators.iforest import ForestModel
+    from ..schema import FEATURE_COLS
+    inner = (1 << STANDIN_DEPTH) - 1
+    rows = []
+    for t in range(STANDIN_TREES):
+        for n in range(2 * inner + 1):
+            f = (3 * t + n) % len(FEATURE_COLS) if n < inner else -1
+            threshold = float((37 * t + 53 * n) % STANDIN_RANGE[FEATURE_COLS[f]]) if f >= 0 else 0.0
+            rows.append((t, n, f, threshold, 2 * n + 1 if f >= 0 else -1, 2 * n + 2 if f >= 0 else -1,
+                         0.0 if f >= 0 else STANDIN_DEPTH + (5 * t + n) % 7 / 4, 1))
+    nodes = pd.DataFrame(rows, columns=["tree", "node", "feature", "threshold", "left", "right", "path", "size"])
+    return ForestModel(nodes=nodes, features=list(FEATURE_COLS), scaler={f: (0.0, 1.0) for f in FEATURE_COLS},
+                       psi=1 << STANDIN_DEPTH, n_trees=STANDIN_TREES)
+
+
+def _traversal_sql() -> str:
+    from ..operators.iforest import c_factor
+    from ..schema import FEATURE_COLS
+    inner = (1 << STANDIN_DEPTH) - 1
+    value = " ".join(f"WHEN {i} THEN cast(e.{f} as double)" for i, f in enumerate(FEATURE_COLS))
+    limit = " ".join(f"WHEN {i} THEN {STANDIN_RANGE[f]}" for i, f in enumerate(FEATURE_COLS))
+    return O.with_adapter(
+        ALERTS_SQL[0],
+        f"split AS (SELECT t, n, (3 * t + n) % {len(FEATURE_COLS)} AS f FROM range({STANDIN_TREES}) a(t), "
+        f"range({inner}) b(n))",
+        f"nodes AS (SELECT t, n, f, cast((37 * t + 53 * n) % CASE f {limit} END as double) AS threshold FROM split)",
+        "e AS (SELECT row_number() OVER () AS rid, * FROM feat)",
+        f"walk AS (SELECT rid, t, cast(0 as bigint) AS n, 0 AS depth FROM e, range({STANDIN_TREES}) a(t) "
+        "UNION ALL SELECT w.rid, w.t, 2 * w.n + CASE WHEN (CASE s.f " + value + " END) <= s.threshold THEN 1 ELSE 2 END, "
+        f"w.depth + 1 FROM walk w JOIN nodes s ON s.t = w.t AND s.n = w.n JOIN e ON e.rid = w.rid "
+        f"WHERE w.depth < {STANDIN_DEPTH})",
+        f"h AS (SELECT rid, sum({STANDIN_DEPTH} + cast((5 * t + n) % 7 as double) / 4) / {STANDIN_TREES} AS eh FROM walk "
+        f"WHERE depth = {STANDIN_DEPTH} GROUP BY rid)",
+        body=("SELECT e.event_id, e.kafka_offset, e.camera_id, "
+              + O.rnd(f"-pow(cast(2.0 as double), -h.eh / cast({float(c_factor(1 << STANDIN_DEPTH))!r} as double))", 10)
+              + " AS anomaly_raw FROM e JOIN h ON e.rid = h.rid")).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("forest_traversal", _traversal_sql())
+def q_forest_traversal(spark, sf_dir):
+    """Scores of every clean row by a stored model, saved and loaded again;
+    the SQL twin walks the same node table by a recursive query."""
+    import uuid
+
+    from ..operators.iforest import ForestModel, score_raw
+    from ..operators.joins import spread
+    from ..schema import FEATURE_COLS
+    from ..session import scratch_path
+    path = scratch_path(spark, f"forest-{uuid.uuid4().hex}")
+    standin_forest().save(spark, path)
+    scored = score_raw(spread(TB.clean(spark, sf_dir).dropna(subset=FEATURE_COLS).select(
+        "event_id", "kafka_offset", "camera_id", *FEATURE_COLS)), ForestModel.load(spark, path))
+    return scored.select("event_id", "kafka_offset", "camera_id", F.round("anomaly_raw", 10).alias("anomaly_raw"))
+
+
+@register("newest_stored_alerts", O.with_adapter(*ALERTS_SQL[:7], body=(
+    "SELECT * FROM (SELECT DISTINCT * FROM recs) WHERE severity = 'WARNING' "
+    "ORDER BY created_at DESC, alert_id LIMIT 120")))
+def q_newest_stored_alerts(spark, sf_dir):
+    """120 newest warnings of the stored alerts table, its days read newest first."""
+    import uuid
+
+    from ..session import scratch_path
+    path = scratch_path(spark, f"alerts-{uuid.uuid4().hex}")
+    A.append_alerts_table(spark, TB.standin_alerts(spark, sf_dir), path)
+    return A.newest_stored_alerts(spark, path, severity="warning", limit=120)
+
+
 @register("detect_alerts", None)
 def q_detect_alerts(spark, sf_dir):
     """The full detection run over the clean zone (dry run, no writes)."""

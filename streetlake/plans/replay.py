@@ -1,8 +1,8 @@
 """Replay a table as a stream: the stream == batch check as a job.
 
 The raw events of a scale-factor folder are written as JSON-lines files, the
-same number of files for every slice of ingest time, in time order (so later
-slices carry later modification times), under the session's shared checkpoint
+same number of files for every slice of ingest time (later slices carry later
+modification times), under the session's shared checkpoint
 folder.  The streaming pipeline then consumes them one slice per micro-batch with
 ``availableNow``; the analytics zone it leaves behind must equal the batch
 window metrics up to the final watermark.
@@ -10,52 +10,68 @@ window metrics up to the final watermark.
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import spread
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources.fixtures import to_wire
 from ..sources.streams import file_source
 from ..streaming.pipeline import analytics_stream, clean_stream, raw_stream, write_zone
 
 SLICE_DAYS = 5
-FILES_PER_SLICE = 4
+ROWS_PER_FILE = 4_000
 
 
-def write_replay(raw: DataFrame, path: str, slice_days: int = SLICE_DAYS,
-                 files: int = FILES_PER_SLICE) -> int:
+def write_replay(raw: DataFrame, path: str, slice_days: int = SLICE_DAYS, files: int | None = None) -> int:
     """Write ``raw`` as JSON lines, one sub-folder per ``slice_days`` of ingest
-    time, oldest first (rows without an ingest time before all others).
+    time (rows without an ingest time before all others), in one job.
 
-    Returns the number of files per slice, the same for all: that many files
-    are a micro-batch.  It is ``files``, written by as many tasks, or 1 where
-    some slice has too few rows for that.
+    Returns the number of files of a slice, which are a micro-batch: ``files``,
+    or as many as give the largest slice about ROWS_PER_FILE rows a file.
+    Every slice has exactly that many; a part without rows is a file with one
+    blank line, which carries no event, so a slice of few rows changes nothing
+    for the others.  File times, which order a replay, are set slice by slice.
     """
     spark = raw.sparkSession
     secs = slice_days * 86400
-    # render the JSON once, laid out by slice: each slice then reads its own part
-    staged = scratch_path(spark, f"replay-lines-{uuid.uuid4().hex}")
-    to_wire(spread(raw)).select(
-        "value", F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int").alias("part"),
-        F.floor(F.unix_seconds("timestamp") / secs).alias("slice")) \
-        .write.partitionBy("slice").parquet(staged)
-    lines = spark.read.schema("value string, part int, slice long").parquet(staged)
-    held = lines.groupBy("slice").agg(F.count_distinct("part").alias("parts")) \
-        .orderBy("slice").collect()                         # one row per slice of time
-    k = files if all(r["parts"] == files for r in held) else 1
-    for i, r in enumerate(held):
-        (lines.filter(F.col("slice").eqNullSafe(F.lit(r["slice"])))
-         .select("value", F.pmod("part", F.lit(k)).alias("part"))
-         .repartition(k, "part").write.partitionBy("part").text(f"{path}/slice={i:04d}"))
+    # render the JSON once, numbered within its task: parts are even without a count of each slice
+    lines = stored(to_wire(spread(raw)).select(
+        "value", F.floor(F.unix_seconds("timestamp") / secs).alias("slice"),
+        F.monotonically_increasing_id().alias("n")), "replay-lines")
+    held = [(r["slice"], r["count"]) for r in lines.groupBy("slice").count().orderBy("slice").collect()]
+    if not held:
+        raise ValueError("nothing to replay")
+    k = files or max(-(-max(n for _, n in held) // ROWS_PER_FILE), 1)
+    # one row per slice of time, so the numbering is a small table
+    number = spark.createDataFrame([(s, i) for i, (s, _) in enumerate(held)], "s long, slice_no int")
+    blank = spark.range(len(held) * k).select(
+        F.lit("").alias("value"), (F.col("id") / k).cast("int").alias("slice_no"), F.pmod("id", F.lit(k)).cast("int").alias("part"))
+    numbered = lines.join(F.broadcast(number), F.col("slice").eqNullSafe(F.col("s"))).select(
+        "value", "slice_no", F.pmod("n", F.lit(k)).cast("int").alias("part"))
+    numbered.unionByName(blank).repartition(len(held) * k, "slice_no", "part") \
+        .sortWithinPartitions("slice_no", "part").write.partitionBy("slice_no", "part").text(path)
+    set_file_times(spark, path, len(held), k)
     return k
 
 
+def set_file_times(spark: SparkSession, path: str, slices: int, parts: int) -> None:
+    """Give the files of later slices later modification times."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    start = int(time.time() * 1000) - (slices + 1) * 1000
+    for i in range(slices):
+        for j in range(parts):
+            for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(f"{path}/slice_no={i}/part={j}")):
+                fs.setTimes(st.getPath(), start + i * 1000, -1)
+
+
 def replay_sliding_metrics(spark: SparkSession, raw: DataFrame, base: str | None = None,
                            fmt: str = "parquet", state_partitions: int | None = None,
-                           files: int = FILES_PER_SLICE) -> DataFrame:
+                           files: int | None = None) -> DataFrame:
     """Run the analytics query over a file replay of ``raw`` and return the
     analytics zone (processing-time columns dropped).
 
@@ -83,7 +99,7 @@ def replay_sliding_metrics(spark: SparkSession, raw: DataFrame, base: str | None
 
 def replay_clean_dedup(spark: SparkSession, raw: DataFrame, base: str | None = None,
                        fmt: str = "parquet", state_partitions: int | None = None,
-                       files: int = FILES_PER_SLICE) -> DataFrame:
+                       files: int | None = None) -> DataFrame:
     """T6 over a file replay: the clean stream de-duplicated by event id within
     the watermark, read back from its sink (broker and processing-time
     columns dropped: a replay carries no offsets)."""

@@ -205,7 +205,8 @@ def await_all(queries: list[StreamingQuery], timeout: float | None = None) -> No
 
 def score_stream(clean: DataFrame, model: ForestModel, alerts_path: str, checkpoint: str,
                  baselines: DataFrame, threshold: float = 0.85, trigger: str | None = "30 seconds",
-                 available_now: bool = False, publish_servers: str | None = None) -> StreamingQuery:
+                 available_now: bool = False, publish_servers: str | None = None,
+                 spike_pct: float = A.SPIKE_PCT, min_speed: float = A.MIN_SPEED_ALERT) -> StreamingQuery:
     """Score each micro-batch (model-fixed normalisation) and append only
     alerts whose id is not in the table yet (re-run safe)."""
     spark = clean.sparkSession
@@ -218,7 +219,8 @@ def score_stream(clean: DataFrame, model: ForestModel, alerts_path: str, checkpo
 
     def each(batch: DataFrame, batch_id: int) -> None:
         scored = score_events(batch, model, norm="model", shared=shared)
-        alerts = A.build_alerts(scored, base, threshold=threshold, base_checked=checked)
+        alerts = A.build_alerts(scored, base, threshold=threshold, base_checked=checked,
+                                spike_pct=spike_pct, min_speed=min_speed)
         A.append_alerts_table(spark, alerts, alerts_path, publish_servers=publish_servers)
 
     w = clean.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
