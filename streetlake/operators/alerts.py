@@ -165,6 +165,8 @@ def newest_stored_alerts(spark, path: str, severity: str | None = None, limit: i
     from .serving import recent_alerts
     days, at, step, found = alert_days(spark, path), 0, 1, 0
     table = spark.read.parquet(path)
+    if "created_date" not in table.columns:             # not laid out by day
+        return recent_alerts(table, severity, limit)
     match = F.lit(True) if severity is None else F.col("severity") == severity.upper()
 
     def within(some):
