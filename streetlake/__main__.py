@@ -66,15 +66,17 @@ def cmd_score(spark, a):
     from .operators.alerts import baselines
     from .operators.iforest import ForestModel
     from .sources.streams import read_zone, read_zone_stream
-    from .streaming.pipeline import await_all, score_stream
+    from .streaming.pipeline import RunningBaselines, await_all, score_stream
     model = ForestModel.load(spark, a.model)
     if model is None:
         print(json.dumps({"error": f"no model at {a.model}"}))
         return 3
     clean = read_zone(spark, a.clean)
-    query = score_stream(read_zone_stream(spark, a.clean, clean.schema), model, a.alerts, a.checkpoint, baselines(clean),
-                         threshold=a.threshold, available_now=a.available_now, publish_servers=a.publish,
-                         spike_pct=a.spike_pct, min_speed=a.min_speed)
+    running = RunningBaselines(spark, a.running_baselines) if a.running_baselines else None
+    query = score_stream(read_zone_stream(spark, a.clean, clean.schema), model, a.alerts, a.checkpoint,
+                         None if running else baselines(clean), threshold=a.threshold,
+                         available_now=a.available_now, publish_servers=a.publish,
+                         spike_pct=a.spike_pct, min_speed=a.min_speed, running=running)
     await_all([query])
     return 0
 
@@ -212,6 +214,8 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--model", required=True)
     t.add_argument("--alerts", required=True)
     t.add_argument("--checkpoint", required=True)
+    t.add_argument("--running-baselines", metavar="PATH",
+                   help="keep running means per camera here, over all rows scored so far")
     t.add_argument("--threshold", type=float, default=0.85)
     t.add_argument("--available-now", action="store_true")
     t.add_argument("--publish", help="Kafka servers: also send new alerts to the alert topics")

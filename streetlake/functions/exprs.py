@@ -29,10 +29,13 @@ HEAVY_PCT_RANGE = (0, 100)
 SPEED_INDEX_DIVISOR = 120.0
 CRITICAL_MIN_SCORE = 75
 
-# Sums of sensor values are taken in integer millionths, whole units and the
-# rest apart: exact, independent of summation order and partitioning, codegen'd
-# long arithmetic per row, and neither part can overflow before about 9e12 rows.
-MICRO = 1_000_000
+# Sensor values are summed as integer counts of billionths, cut into a high and
+# a low limb of 20 bits: exact, independent of summation order and partitioning,
+# codegen'd long arithmetic per row.  For values up to 1,000 no sum can overflow
+# before about 8e12 rows a group (squares included).
+NANO = 1_000_000_000
+LIMB_BITS = 20
+LIMB = 1 << LIMB_BITS
 
 
 def col(c) -> Column:
@@ -50,18 +53,30 @@ def ts_value(as_of) -> Column:
     return F.lit(str(as_of)).cast("timestamp")
 
 
-def micros(c) -> Column:
-    """A value as an integer count of millionths (six decimals are kept)."""
-    return F.round(col(c) * F.lit(float(MICRO))).cast("long")
+def nanos(c) -> Column:
+    """A value as an integer count of billionths (nine decimals are kept)."""
+    return F.rint(col(c) * F.lit(float(NANO))).cast("long")
 
 
-def _exact(c) -> Column:
-    """The double of a group's exact sum."""
-    m = micros(c)
-    rest = F.pmod(m, F.lit(MICRO))
-    whole = F.sum(((m - rest) / F.lit(MICRO)).cast("long"))
-    units = whole.cast("decimal(20,0)") * F.lit(MICRO).cast("decimal(8,0)") + F.sum(rest).cast("decimal(20,0)")
-    return units.cast("double") / F.lit(float(MICRO))
+def _limbs(m: Column) -> tuple[Column, Column]:
+    """(high, low) with m = high * LIMB + low and 0 <= low < LIMB."""
+    return F.shiftright(m, LIMB_BITS), m.bitwiseAND(F.lit(LIMB - 1).cast("long"))
+
+
+def _sum_wide(m: Column, weight: int = 1) -> Column:
+    """Exact sum of longs times ``weight`` as decimal(38,0), from one long sum a limb."""
+    high, low = _limbs(m)
+    total = F.sum(high).cast("decimal(20,0)") * F.lit(LIMB).cast("decimal(8,0)") + F.sum(low).cast("decimal(20,0)")
+    return total.cast("decimal(38,0)") if weight == 1 else \
+        (total * F.lit(weight).cast("decimal(14,0)")).cast("decimal(38,0)")
+
+
+def _sum_squares_wide(m: Column) -> Column:
+    """Exact sum of m * m as decimal(38,0): the three products of the limbs, each
+    summed in limbs again."""
+    high, low = _limbs(m)
+    return (_sum_wide(high * high, LIMB * LIMB) + _sum_wide(high * low, 2 * LIMB)
+            + _sum_wide(low * low)).cast("decimal(38,0)")
 
 
 def mean_of(c, integral: bool = False) -> Column:
@@ -71,22 +86,33 @@ def mean_of(c, integral: bool = False) -> Column:
 
 def exact_sum(c, integral: bool = False) -> Column:
     """Exact sum (long for integers; else the double of the exact sum)."""
-    return F.sum(col(c)) if integral else _exact(c)
-
-
-def exact_sum_sq(c, integral: bool = False) -> Column:
-    c = col(c)
-    if integral:
-        return F.sum(c.cast("long") * c.cast("long"))
-    d = c.cast("decimal(18,6)")
-    return F.sum(d * d)
-
-
-def pop_std_from(n: Column, s: Column, q: Column) -> Column:
-    """Population std from count, exact sum and exact sum of squares."""
-    mean = F.try_divide(s.cast("double"), n)
-    var = F.try_divide(q.cast("double"), n) - mean * mean
-    return F.sqrt(F.greatest(var, F.lit(0.0)))
+    return F.sum(col(c)) if integral else _sum_wide(nanos(c)).cast("double") / F.lit(float(NANO))
+
+
+def moments_of(c, integral: bool = False) -> Column:
+    """A group's (n, s, q) struct: count, exact sum and exact sum of squares, in
+    units (integers) or billionths."""
+    m = col(c).cast("long") if integral else nanos(c)
+    return F.struct(F.count(col(c)).alias("n"), _sum_wide(m).alias("s"), _sum_squares_wide(m).alias("q"))
+
+
+def pop_std_from(moments: Column, integral: bool = False) -> Column:
+    """Population std from ``moments_of``, without cancellation: squares are taken
+    about the whole part p of the mean in integers, and only the remainder r of
+    the sum (0 <= r < n) is subtracted in floating point.  Null for no rows."""
+    unit = 1 if integral else NANO
+    n, s, q = moments["n"].cast("decimal(20,0)"), moments["s"], moments["q"]
+    p = F.floor(F.try_divide(s, n)).cast("decimal(20,0)")
+    r = (s - p * n).cast("decimal(38,0)")
+    about = (q - (p * (s + r)).cast("decimal(38,0)")).cast("decimal(38,0)")      # q - 2ps + npp = q - p(s + r)
+    square = F.lit(unit * unit).cast("decimal(20,0)")
+    whole = F.floor(about / square).cast("decimal(38,0)")
+    rest = (about - whole * square).cast("decimal(38,0)")
+    spread = whole.cast("double") + rest.cast("double") / F.lit(float(unit * unit))
+    over = r.cast("double") / F.lit(float(unit))
+    count = moments["n"].cast("double")
+    var = F.try_divide(spread - F.try_divide(over * over, count), count)
+    return F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var))
 
 
 def congestion_category(score="congestion_score") -> Column:

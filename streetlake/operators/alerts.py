@@ -33,6 +33,23 @@ def baselines(df: DataFrame) -> DataFrame:
             .agg(X.mean_of("vehicle_count", integral=True).alias("baseline_vehicle_count")))
 
 
+def baseline_sums(df: DataFrame) -> DataFrame:
+    """The mergeable state behind ``baselines``: rows and vehicles per camera."""
+    return (df.dropna(subset=FEATURE_COLS).groupBy("camera_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("vehicle_count").cast("long")).alias("vehicles")))
+
+
+def merge_baseline_sums(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Sum of two states; a camera may be in either or both."""
+    return a.unionByName(b).groupBy("camera_id").agg(F.sum("n").alias("n"), F.sum("vehicles").alias("vehicles"))
+
+
+def baselines_from_sums(sums: DataFrame) -> DataFrame:
+    """``baselines`` from the state: the same exact sum over the same count."""
+    return sums.select("camera_id", F.try_divide(F.col("vehicles").cast("double"), F.col("n"))
+                       .alias("baseline_vehicle_count"))
+
+
 def with_baseline(df: DataFrame, base: DataFrame, checked: bool = False) -> DataFrame:
     """Left join of the per-camera baseline (size-checked broadcast).
 

@@ -80,20 +80,13 @@ def _unit_hash(*cols) -> "F.Column":
 
 def fit_scaler(df: DataFrame, features=FEATURE_COLS) -> DataFrame:
     """Mean and population std per feature (exact sums; zero std -> 1)."""
-    aggs = []
-    for f in features:
-        integral = f in INTEGRAL_FEATURES
-        aggs += [F.count(f).alias(f"{f}__n"), X.exact_sum(f, integral).cast("double").alias(f"{f}__s"),
-                 X.exact_sum_sq(f, integral).cast("double").alias(f"{f}__q"),
-                 (F.min(f) == F.max(f)).alias(f"{f}__same")]
-    wide = df.agg(*aggs)
-    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"{f}__n").alias("n"),
-                     F.col(f"{f}__s").alias("s"), F.col(f"{f}__q").alias("q"), F.col(f"{f}__same").alias("same")) for f in features]
+    integral = {f: f in INTEGRAL_FEATURES for f in features}
+    wide = df.agg(*[X.moments_of(f, integral[f]).alias(f"{f}__m") for f in features],
+                  *[X.mean_of(f, integral[f]).alias(f"{f}__mean") for f in features])
+    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"{f}__m.n").alias("n"), F.col(f"{f}__mean").alias("mean"),
+                     X.pop_std_from(F.col(f"{f}__m"), integral[f]).alias("std")) for f in features]
     long = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    n, s, q = F.col("n"), F.col("s"), F.col("q")
-    std = X.pop_std_from(n, s, q)
-    return long.select("feature", "n", F.try_divide(s, n).alias("mean"),
-                       F.when((std > 0) & ~F.col("same"), std).otherwise(F.lit(1.0)).alias("std"))
+    return long.select("feature", "n", "mean", F.when(F.col("std") > 0, F.col("std")).otherwise(F.lit(1.0)).alias("std"))
 
 
 def scale(df: DataFrame, stats: dict, features=FEATURE_COLS, prefix: str = "z_") -> DataFrame:

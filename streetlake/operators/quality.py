@@ -137,37 +137,62 @@ def apply_defaults(df: DataFrame) -> DataFrame:
 
 # --- A9 / A10 data-quality statistics and gate --------------------------------
 
+def _id_slots(event_id: Column) -> tuple[Column, Column, Column]:
+    """(bucket, position, text) of an event id: a number in its usual spelling is a
+    bit of its bucket's bitmap; any other id keeps its text (null: neither)."""
+    number = event_id.try_cast("long")
+    plain = (number > 0) & (number.cast("string") == event_id)
+    return (F.when(plain, F.bitmap_bucket_number(number)), F.when(plain, F.bitmap_bit_position(number)),
+            F.when(~F.coalesce(plain, F.lit(False)), event_id))
+
+
 def dq_stats(df: DataFrame, date=None, by_date: bool = True, exact: bool = True,
-             rsd: float = 0.01) -> DataFrame:
+             rsd: float = 0.01, bitmap: bool = False) -> DataFrame:
     """Total, null_rate, out_of_range, dup_rate (4 dp) per event date.
 
     ``date`` restricts to one day (partition filter on ``event_date``).  The
     unrounded rates are kept in ``*_raw`` columns for the gate.  The exact
     duplicate rate shuffles every (day, event_id); ``exact=False`` counts
     distinct ids with HyperLogLog (relative error ``rsd``, merged map-side, no
-    id shuffle) for days too large to de-duplicate exactly.
+    id shuffle) for days too large to de-duplicate exactly.  ``bitmap=True``
+    is exact too: numeric ids become bits of 4 KB bitmaps, one for 32,768
+    neighbouring ids, merged map-side, so a bitmap is shuffled instead of its
+    ids.  It pays where ids are dense (sequence numbers); other ids are
+    de-duplicated as text, and widely scattered numbers cost a bitmap each.
     """
     if "event_date" not in df.columns:
         df = df.withColumn("event_date", F.to_date("event_ts"))
     if date is not None:
         df = df.filter(F.col("event_date") == F.lit(str(date)).cast("date"))
-    total = F.count(F.lit(1))
-    nulls = [F.count_if(F.col(c).isNull()) for c in ("camera_id", "vehicle_count", "average_speed")]
     vc = F.col("vehicle_count")
+    keys = ["event_date"] if by_date else []
+    counts = {"total": F.count(F.lit(1)),
+              "_no_camera": F.count_if(F.col("camera_id").isNull()),
+              "_no_count": F.count_if(vc.isNull()),
+              "_no_speed": F.count_if(F.col("average_speed").isNull()),
+              "_out": F.count_if((vc < X.VEHICLE_RANGE[0]) | (vc > X.VEHICLE_RANGE[1])),
+              "_no_id": F.max(F.col("event_id").isNull().cast("int"))}
+    aggs = [c.alias(n) for n, c in counts.items()]
+    if bitmap:
+        bucket, position, text = _id_slots(F.col("event_id"))
+        slots = (df.withColumns({"_bucket": bucket, "_position": position, "_text": text})
+                 .groupBy(*keys, "_bucket", "_text")
+                 .agg(*aggs, F.bitmap_count(F.bitmap_construct_agg("_position")).alias("_bits")))
+        stats = slots.groupBy(*keys).agg(
+            *[(F.max(n) if n == "_no_id" else F.coalesce(F.sum(n), F.lit(0))).alias(n) for n in counts],
+            (F.coalesce(F.sum("_bits"), F.lit(0)) + F.count("_text")).alias("_ids"))
+    else:
+        ids = F.count_distinct("event_id") if exact else F.approx_count_distinct("event_id", rsd)
+        stats = df.groupBy(*keys).agg(*aggs, ids.alias("_ids"))
 
     def rate(x):
-        return F.try_divide(x, total)          # empty input -> null, not an error
-
-    aggs = [
-        total.alias("total"),
-        ((rate(nulls[0]) + rate(nulls[1]) + rate(nulls[2])) / 3).alias("null_rate_raw"),
-        rate(F.count_if((vc < X.VEHICLE_RANGE[0]) | (vc > X.VEHICLE_RANGE[1]))).alias("out_of_range_raw"),
-        rate(F.greatest(F.lit(0), total - (F.count_distinct("event_id") if exact
-                                           else F.approx_count_distinct("event_id", rsd))
-             - F.coalesce(F.max(F.col("event_id").isNull().cast("int")), F.lit(0)))).alias("dup_rate_raw"),
-    ]
-    keys = ["event_date"] if by_date else []
-    out = df.groupBy(*keys).agg(*aggs)
+        return F.try_divide(x, F.col("total"))          # empty input -> null, not an error
+
+    out = stats.select(
+        *keys, "total",
+        ((rate(F.col("_no_camera")) + rate(F.col("_no_count")) + rate(F.col("_no_speed"))) / 3).alias("null_rate_raw"),
+        rate(F.col("_out")).alias("out_of_range_raw"),
+        rate(F.greatest(F.lit(0), F.col("total") - F.col("_ids") - F.coalesce("_no_id", F.lit(0)))).alias("dup_rate_raw"))
     return out.select(
         *keys, "total",
         F.round("null_rate_raw", 4).alias("null_rate"),
@@ -197,16 +222,12 @@ def zscore_outliers(df: DataFrame, k: float = 3.0, max_share: float = 0.05,
     size-checked broadcast.
     """
     specs = [("vehicle_count", True, "vc"), ("average_speed", False, "sp")]
-    aggs = []
-    for c, integral, p in specs:
-        aggs += [F.count(c).alias(f"{p}_n"), X.exact_sum(c, integral).alias(f"{p}_s"),
-                 X.exact_sum_sq(c, integral).alias(f"{p}_q"), (F.min(c) == F.max(c)).alias(f"{p}_same")]
-    stats = df.groupBy(key).agg(*aggs)
+    stats = df.groupBy(key).agg(
+        *[X.moments_of(c, integral).alias(f"{p}_m") for c, integral, p in specs],
+        *[X.mean_of(c, integral).alias(f"{p}_mean") for c, integral, p in specs])
     sel = [key]
-    for _, _, p in specs:
-        n, s, q = F.col(f"{p}_n"), F.col(f"{p}_s"), F.col(f"{p}_q")
-        sel += [F.try_divide(s.cast("double"), n).alias(f"{p}_mean"),
-                F.when(F.col(f"{p}_same"), F.lit(0.0)).otherwise(X.pop_std_from(n, s, q)).alias(f"{p}_std")]
+    for _, integral, p in specs:
+        sel += [f"{p}_mean", X.pop_std_from(F.col(f"{p}_m"), integral).alias(f"{p}_std")]
     stats = stats.select(*sel)
     joined = attach_small(df.select(key, *[c for c, _, _ in specs]), stats, key)
 
@@ -241,7 +262,9 @@ def dedup_events(df: DataFrame) -> DataFrame:
                      F.concat(F.lit("\u0000"), F.col("kafka_partition").cast("string"),
                               F.lit(":"), F.col("kafka_offset").cast("string")),
                      F.concat(F.lit("\u0000#"), F.sha2(F.to_json(F.struct(*cols)), 256)))
-    order = F.struct(F.col("kafka_ingest_ts"), F.col("kafka_partition"), F.col("kafka_offset"))
+    # every column takes part, so ties are broken the same way in any partitioning
+    order = F.struct(F.col("kafka_ingest_ts"), F.col("kafka_partition"), F.col("kafka_offset"),
+                     F.struct(*[F.col(c) for c in cols]))
     agg = (df.withColumn("_k", key)
            .groupBy("_k")
            .agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r")))

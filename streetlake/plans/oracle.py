@@ -5,8 +5,13 @@ from __future__ import annotations
 from ..sources.fixtures import ADAPTER_SQL
 
 
+def _units(c: str) -> str:
+    """A group's exact sum in billionths, a 128-bit integer."""
+    return f"cast(sum(cast({c} * cast(1000000000 as double) as bigint)) as hugeint)"
+
+
 def mean(c: str) -> str:
-    return f"(cast(sum(cast({c} as decimal(18,6))) as double) / count({c}))"
+    return f"(cast({_units(c)} as double) / cast(1000000000 as double) / count({c}))"
 
 
 def imean(c: str) -> str:
@@ -27,13 +32,18 @@ def speed_index(c: str = "average_speed") -> str:
 
 
 def pop_std(c: str, integral: bool) -> str:
-    if integral:
-        s, q = f"cast(sum({c}) as double)", f"cast(sum(cast({c} as bigint) * cast({c} as bigint)) as double)"
-    else:
-        s = f"cast(sum(cast({c} as decimal(18,6))) as double)"
-        q = f"cast(sum(cast({c} as decimal(18,6)) * cast({c} as decimal(18,6))) as double)"
-    m = f"({s} / count({c}))"
-    return f"sqrt(greatest({q} / count({c}) - {m} * {m}, 0.0))"
+    """Population std about the whole part of the mean, in 128-bit integers."""
+    unit = 1 if integral else 1_000_000_000
+    m = f"cast({c} as hugeint)" if integral else f"cast({c} * cast(1000000000 as double) as hugeint)"
+    n, s, q = f"count({c})", f"cast(sum({m}) as hugeint)", f"cast(sum({m} * {m}) as hugeint)"
+    p = f"({s} // {n})"
+    r = f"({s} - {p} * {n})"
+    about = f"({q} - {p} * ({s} + {r}))"
+    square = f"cast({unit * unit} as hugeint)"
+    spread = (f"(cast({about} // {square} as double) + cast({about} % {square} as double) "
+              f"/ cast({unit * unit} as double))")
+    over = f"(cast({r} as double) / cast({unit} as double))"
+    return f"sqrt(greatest(({spread} - {over} * {over} / {n}) / {n}, 0.0))"
 
 
 def with_adapter(*ctes: str, body: str) -> str:

@@ -127,6 +127,17 @@ def q_dq_stats(spark, sf_dir):
         "event_date", "total", "null_rate", "out_of_range", "dup_rate")
 
 
+@register("dq_stats_bitmap", O.with_adapter(
+    f"s AS (SELECT cast(event_ts as date) AS event_date, count(*) AS total, {_DQ_RATES} "
+    "FROM traffic_raw GROUP BY 1)",
+    body=(f"SELECT event_date, total, {O.rnd('nr', 4)} AS null_rate, {O.rnd('oor', 4)} AS out_of_range, "
+          f"{O.rnd('dr', 4)} AS dup_rate FROM s")))
+def q_dq_stats_bitmap(spark, sf_dir):
+    """The same statistics with distinct ids counted in merged bitmaps."""
+    return Q.dq_stats(TB.raw(spark, sf_dir), bitmap=True).select(
+        "event_date", "total", "null_rate", "out_of_range", "dup_rate")
+
+
 @register("dq_gate", O.with_adapter(
     f"s AS (SELECT cast(event_ts as date) AS event_date, count(*) AS total, {_DQ_RATES} "
     "FROM traffic_raw GROUP BY 1)",

@@ -203,21 +203,80 @@ def await_all(queries: list[StreamingQuery], timeout: float | None = None) -> No
             raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
 
 
+class RunningBaselines:
+    """A6 on a stream: rows and vehicles per camera over every batch so far.
+
+    Generation ``k`` of the state is the folder ``batch=k`` under ``path``, written
+    after micro-batch ``k`` from the newest generation below ``k`` and the batch's
+    own sums (combined map-side, so a camera with a third of all rows is no
+    hot key).  Its ``_SUCCESS`` mark makes it count: a batch that fails and is
+    run again starts from the same generation below its own and writes its
+    folder anew, so nothing is counted twice or lost.  Two generations are kept.
+    ``seed`` is the state before the first batch (none: no rows).
+    """
+
+    SCHEMA = "camera_id string, n long, vehicles long"
+
+    def __init__(self, spark: SparkSession, path: str, seed: DataFrame | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
+        if seed is not None and not self._generations():
+            self._write(seed, -1)
+
+    def _fs(self):
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return root.getFileSystem(self.spark._jsc.hadoopConfiguration()), root
+
+    def _generations(self) -> list[int]:
+        fs, root = self._fs()
+        if not fs.exists(root):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(root)]
+        numbers = [int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")]
+        return sorted(k for k in numbers
+                      if fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={k}/_SUCCESS")))
+
+    def _write(self, sums: DataFrame, k: int) -> None:
+        sums.write.mode("overwrite").parquet(f"{self.path}/batch={k}")
+
+    def state_before(self, batch_id: int) -> DataFrame:
+        older = [k for k in self._generations() if k < batch_id]
+        if not older:
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/batch={older[-1]}")
+
+    def advance(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        """Adds the batch and returns the baselines over all rows up to it."""
+        self._write(A.merge_baseline_sums(self.state_before(batch_id), A.baseline_sums(batch)), batch_id)
+        fs, _ = self._fs()
+        for k in [g for g in self._generations() if g < batch_id][:-1]:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch={k}"), True)
+        state = self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/batch={batch_id}")
+        return A.baselines_from_sums(state)
+
+
 def score_stream(clean: DataFrame, model: ForestModel, alerts_path: str, checkpoint: str,
-                 baselines: DataFrame, threshold: float = 0.85, trigger: str | None = "30 seconds",
+                 baselines: DataFrame | None = None, threshold: float = 0.85, trigger: str | None = "30 seconds",
                  available_now: bool = False, publish_servers: str | None = None,
-                 spike_pct: float = A.SPIKE_PCT, min_speed: float = A.MIN_SPEED_ALERT) -> StreamingQuery:
+                 spike_pct: float = A.SPIKE_PCT, min_speed: float = A.MIN_SPEED_ALERT,
+                 running: RunningBaselines | None = None) -> StreamingQuery:
     """Score each micro-batch (model-fixed normalisation) and append only
-    alerts whose id is not in the table yet (re-run safe)."""
+    alerts whose id is not in the table yet (re-run safe).
+
+    Baselines are either fixed (``baselines``) or, with ``running``, the means
+    of all rows up to and including the batch being scored.
+    """
+    if (baselines is None) == (running is None):
+        raise ValueError("give either fixed baselines or running ones")
     spark = clean.sparkSession
-    # the static baselines are checked once, not in every micro-batch
+    # fixed baselines are checked once, not in every micro-batch
     from ..operators.joins import MAX_BROADCAST_ROWS
     from ..session import cut_lineage
-    base = cut_lineage(baselines)
-    checked = base.count() <= MAX_BROADCAST_ROWS
+    fixed = cut_lineage(baselines) if running is None else None
+    checked = fixed is not None and fixed.count() <= MAX_BROADCAST_ROWS
     shared = share_model(spark, model)      # once per stream, not per micro-batch
 
     def each(batch: DataFrame, batch_id: int) -> None:
+        base = fixed if running is None else running.advance(batch, batch_id)
         scored = score_events(batch, model, norm="model", shared=shared)
         alerts = A.build_alerts(scored, base, threshold=threshold, base_checked=checked,
                                 spike_pct=spike_pct, min_speed=min_speed)

@@ -396,11 +396,62 @@ def test_dq_stats_approximate_mode_close_to_exact(spark):
 def test_means_keep_small_decimals(spark):
     from pyspark.sql import functions as F
     from streetlake.functions import exprs as X
-    df = spark.createDataFrame([(0.004,), (0.004,), (-33.333,), (33.334,)], "x double")
-    r = df.groupBy((F.abs("x") > 1).alias("k")).agg(X.mean_of("x").alias("m"), X.exact_sum_sq("x").alias("q")).collect()
-    got = {x.k: (x.m, float(x.q)) for x in r}
-    assert got[False] == (0.004, 3.2e-05)
-    assert abs(got[True][0] - 0.0005) < 1e-12
+    df = spark.createDataFrame([(4e-7,), (4e-7,), (-33.333,), (33.334,)], "x double")
+    m = df.groupBy((F.abs("x") > 1).alias("k")).agg(X.mean_of("x").alias("m"))
+    got = {x.k: x.m for x in m.collect()}
+    assert got == {False: 4e-7, True: 0.0005}
+
+
+@pytest.mark.parametrize("values", [
+    [50.00001, 50.00002], [0.0], [1000.0, -1000.0, 999.999999999], [-0.000000001, 0.000000002, 0.1],
+    [199.9, 0.1, 77.7, 77.7] * 500, [1e-9 * i for i in range(1000)], [-12.5, -12.5], [None, 3.25, None, 4.75], [None]])
+def test_moments_are_exact(spark, values):
+    """Count, sums and spread against rational arithmetic, whatever the partitioning."""
+    from fractions import Fraction
+    from math import sqrt
+    from streetlake.functions import exprs as X
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
+    r = df.agg(X.moments_of("x").alias("m"), X.mean_of("x").alias("mean")) \
+        .select("m.*", "mean", X.pop_std_from(F.col("m")).alias("std")).first()
+    xs = [round(Fraction(v) * 10**9) for v in values if v is not None]
+    assert (r.n, int(r.s or 0), int(r.q or 0)) == (len(xs), sum(xs), sum(x * x for x in xs))
+    if not xs:
+        assert r.mean is None and r.std is None
+        return
+    var = (Fraction(sum(x * x for x in xs)) - Fraction(sum(xs)) ** 2 / len(xs)) / len(xs) / 10**18
+    assert abs(r.mean - sum(xs) / len(xs) / 1e9) < 1e-12
+    assert abs(r.std - sqrt(var)) <= 1e-9 * max(1e-9, sqrt(var))
+
+
+def test_integer_moments(spark):
+    from streetlake.functions import exprs as X
+    xs = [2**31 - 1, -2**31, 0, 7, 7, -1]
+    df = spark.createDataFrame([(v,) for v in xs], "x int")
+    r = df.agg(X.moments_of("x", True).alias("m")).select("m.*", X.pop_std_from(F.col("m"), True).alias("std")).first()
+    assert (r.n, int(r.s), int(r.q)) == (6, sum(xs), sum(v * v for v in xs))
+    mean = sum(xs) / 6
+    assert abs(r.std - (sum((v - mean) ** 2 for v in xs) / 6) ** 0.5) < 1e-3
+
+
+def test_bitmap_ids_count_like_text(spark):
+    """Numbers, other spellings of them, text, negative and huge ids, nulls, repeated rows."""
+    ids = ["1", "01", "1", "+1", " 1", "0", "-5", "32768", "32769", "32769", "9223372036854775807",
+           "9223372036854775808", "abc", "abc", "", None, None, "7.0", "65537"]
+    df = spark.createDataFrame([(i, "CAM_01", 5, 1.0, d) for i in ids for d in ("2024-01-15 01:00:00", None)],
+                               "event_id string, camera_id string, vehicle_count int, average_speed double, t string") \
+        .withColumn("event_ts", F.to_timestamp("t")).drop("t").repartition(4)
+    for by_date in (True, False):
+        want = sorted(map(tuple, Q.dq_stats(df, by_date=by_date).collect()), key=str)
+        assert sorted(map(tuple, Q.dq_stats(df, by_date=by_date, bitmap=True).collect()), key=str) == want
+    none = df.limit(0)
+    assert Q.dq_stats(none, bitmap=True).count() == 0
+    assert Q.dq_stats(none, by_date=False, bitmap=True).collect() == Q.dq_stats(none, by_date=False).collect()
+
+
+def test_dedup_ties_are_broken_by_the_whole_row(spark):
+    cols = "event_id string, kafka_partition int, kafka_offset long, kafka_ingest_ts timestamp, camera_id string"
+    df = spark.createDataFrame([("a", None, None, None, f"c{i}") for i in range(50)], cols)
+    assert {tuple(Q.dedup_events(df.repartition(n)).first()) for n in (1, 3, 8)} == {("a", None, None, None, "c0")}
 
 
 def test_rows_without_event_id_are_not_merged(spark):

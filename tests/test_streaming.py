@@ -192,6 +192,46 @@ def test_score_stream_appends_alerts_once(spark, tmp_path):
     assert alerts.count() == alerts.select("alert_id").distinct().count()
 
 
+def test_running_baselines_equal_batch_over_the_prefix(spark, tmp_path):
+    """Alerts of each micro-batch are those of a batch run with the baselines of all rows so far,
+    also where a batch is run twice."""
+    from streetlake.operators import alerts as A
+    from streetlake.operators.iforest import fit_forest, score_events
+    from streetlake.sources.streams import read_zone_stream
+    from streetlake.streaming.pipeline import RunningBaselines, score_stream
+    clean = TB.clean(spark, SF001).dropDuplicates(["event_id"])
+    model = fit_forest(clean, n_trees=20, calibrate=True)
+    zone, ap, state = (str(tmp_path / x) for x in ("clean", "alerts", "state"))
+    expected = set()
+    for k in range(3):                          # one run, and so one micro-batch, a third
+        part = clean.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == k)
+        part.coalesce(1).write.mode("append").parquet(zone)
+        prefix = clean.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) <= k)
+        want = A.build_alerts(score_events(part, model, norm="model"), A.baselines(prefix), threshold=0.7)
+        expected |= {tuple(r) for r in want.select("alert_id", "message", "baseline_vehicle_count",
+                                                   "pct_above_baseline").collect()}
+        q = score_stream(read_zone_stream(spark, zone, schema=clean.schema, fmt="parquet"), model, ap,
+                         str(tmp_path / "ck"), threshold=0.7, available_now=True,
+                         running=RunningBaselines(spark, state))
+        q.awaitTermination()
+        assert q.exception() is None
+    got = {tuple(r) for r in spark.read.parquet(ap).select(
+        "alert_id", "message", "baseline_vehicle_count", "pct_above_baseline").collect()}
+    assert got == expected and len(got) > 3
+    running = RunningBaselines(spark, state)
+    last = running._generations()[-1]
+    before = sorted(map(tuple, spark.read.parquet(f"{state}/batch={last}").collect()))
+    part = clean.filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == 2)
+    again = running.advance(part, last)         # the last batch once more: the same state
+    assert sorted(map(tuple, spark.read.parquet(f"{state}/batch={last}").collect())) == before
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, A.baselines(clean).collect()))
+    assert len(running._generations()) <= 2
+    empty = running.advance(clean.limit(0), last + 1)     # a batch without rows changes nothing
+    assert sorted(map(tuple, empty.collect())) == sorted(map(tuple, A.baselines(clean).collect()))
+    with pytest.raises(ValueError):
+        score_stream(clean, model, ap, "x")
+
+
 def test_jdbc_options_wiring():
     from streetlake.sources.jdbc import jdbc_options
     o = jdbc_options("jdbc:postgresql://db/x", "clean_events", partition_column="id", lower=0, upper=100,
