@@ -63,20 +63,29 @@ def _limbs(m: Column) -> tuple[Column, Column]:
     return F.shiftright(m, LIMB_BITS), m.bitwiseAND(F.lit(LIMB - 1).cast("long"))
 
 
-def _sum_wide(m: Column, weight: int = 1) -> Column:
-    """Exact sum of longs times ``weight`` as decimal(38,0), from one long sum a limb."""
+def _join_sums(digits: list[Column], bits: int) -> Column:
+    """sum(digit[i] << (bits * i)) as decimal(38,0), from one long sum a digit."""
+    total = F.lit(0).cast("decimal(38,0)")
+    for i, d in enumerate(digits):
+        weight = F.lit(1 << (bits * i)).cast("decimal(20,0)")
+        total = (total + (F.sum(d).cast("decimal(20,0)") * weight).cast("decimal(38,0)")).cast("decimal(38,0)")
+    return total
+
+
+def _sum_wide(m: Column) -> Column:
+    """Exact sum of longs as decimal(38,0)."""
     high, low = _limbs(m)
-    total = F.sum(high).cast("decimal(20,0)") * F.lit(LIMB).cast("decimal(8,0)") + F.sum(low).cast("decimal(20,0)")
-    return total.cast("decimal(38,0)") if weight == 1 else \
-        (total * F.lit(weight).cast("decimal(14,0)")).cast("decimal(38,0)")
+    return _join_sums([low, high], LIMB_BITS)
 
 
 def _sum_squares_wide(m: Column) -> Column:
-    """Exact sum of m * m as decimal(38,0): the three products of the limbs, each
-    summed in limbs again."""
+    """Exact sum of m * m as decimal(38,0): the square's four digits to the base
+    LIMB, carried from the products of m's limbs, are summed apart."""
     high, low = _limbs(m)
-    return (_sum_wide(high * high, LIMB * LIMB) + _sum_wide(high * low, 2 * LIMB)
-            + _sum_wide(low * low)).cast("decimal(38,0)")
+    carry, d0 = _limbs(low * low)
+    carry, d1 = _limbs(F.lit(2) * high * low + carry)
+    d3, d2 = _limbs(high * high + carry)
+    return _join_sums([d0, d1, d2, d3], LIMB_BITS)
 
 
 def mean_of(c, integral: bool = False) -> Column:
@@ -91,25 +100,34 @@ def exact_sum(c, integral: bool = False) -> Column:
 
 def moments_of(c, integral: bool = False) -> Column:
     """A group's (n, s, q) struct: count, exact sum and exact sum of squares, in
-    units (integers) or billionths."""
-    m = col(c).cast("long") if integral else nanos(c)
-    return F.struct(F.count(col(c)).alias("n"), _sum_wide(m).alias("s"), _sum_squares_wide(m).alias("q"))
-
-
-def pop_std_from(moments: Column, integral: bool = False) -> Column:
+    units (32-bit integers) or billionths."""
+    if integral:
+        m = col(c).cast("long")
+        square = m * m
+        s = F.sum(m).cast("decimal(38,0)")
+        q = _join_sums([square.bitwiseAND(F.lit((1 << 31) - 1).cast("long")), F.shiftright(square, 31)], 31)
+    else:
+        m = nanos(c)
+        s, q = _sum_wide(m), _sum_squares_wide(m)
+    return F.struct(F.count(col(c)).alias("n"), s.alias("s"), q.alias("q"))
+
+
+def pop_std_from(moments: Column, integral: bool | Column = False) -> Column:
     """Population std from ``moments_of``, without cancellation: squares are taken
     about the whole part p of the mean in integers, and only the remainder r of
-    the sum (0 <= r < n) is subtracted in floating point.  Null for no rows."""
-    unit = 1 if integral else NANO
+    the sum (0 <= r < n) is subtracted in floating point.  Null for no rows.
+    ``integral`` as ``moments_of`` was given it, or a boolean column."""
+    integral = integral if isinstance(integral, Column) else F.lit(integral)
+    unit = F.when(integral, F.lit(1)).otherwise(F.lit(NANO)).cast("long")
     n, s, q = moments["n"].cast("decimal(20,0)"), moments["s"], moments["q"]
     p = F.floor(F.try_divide(s, n)).cast("decimal(20,0)")
     r = (s - p * n).cast("decimal(38,0)")
     about = (q - (p * (s + r)).cast("decimal(38,0)")).cast("decimal(38,0)")      # q - 2ps + npp = q - p(s + r)
-    square = F.lit(unit * unit).cast("decimal(20,0)")
+    square = (unit * unit).cast("decimal(20,0)")
     whole = F.floor(about / square).cast("decimal(38,0)")
     rest = (about - whole * square).cast("decimal(38,0)")
-    spread = whole.cast("double") + rest.cast("double") / F.lit(float(unit * unit))
-    over = r.cast("double") / F.lit(float(unit))
+    spread = whole.cast("double") + rest.cast("double") / (unit * unit).cast("double")
+    over = r.cast("double") / unit.cast("double")
     count = moments["n"].cast("double")
     var = F.try_divide(spread - F.try_divide(over * over, count), count)
     return F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var))

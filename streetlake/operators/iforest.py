@@ -83,10 +83,11 @@ def fit_scaler(df: DataFrame, features=FEATURE_COLS) -> DataFrame:
     integral = {f: f in INTEGRAL_FEATURES for f in features}
     wide = df.agg(*[X.moments_of(f, integral[f]).alias(f"{f}__m") for f in features],
                   *[X.mean_of(f, integral[f]).alias(f"{f}__mean") for f in features])
-    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"{f}__m.n").alias("n"), F.col(f"{f}__mean").alias("mean"),
-                     X.pop_std_from(F.col(f"{f}__m"), integral[f]).alias("std")) for f in features]
+    rows = [F.struct(F.lit(f).alias("feature"), F.lit(integral[f]).alias("integral"), F.col(f"{f}__m").alias("m"),
+                     F.col(f"{f}__mean").alias("mean")) for f in features]
     long = wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    return long.select("feature", "n", "mean", F.when(F.col("std") > 0, F.col("std")).otherwise(F.lit(1.0)).alias("std"))
+    std = X.pop_std_from(F.col("m"), F.col("integral"))         # one expression for all features
+    return long.select("feature", F.col("m.n").alias("n"), "mean", F.when(std > 0, std).otherwise(F.lit(1.0)).alias("std"))
 
 
 def scale(df: DataFrame, stats: dict, features=FEATURE_COLS, prefix: str = "z_") -> DataFrame:
