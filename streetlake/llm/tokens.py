@@ -42,10 +42,10 @@ class PieceCache:
         new = distinct.difference(self.known)
         if len(self.known) + len(new) > self.limit:
             self.old, self.known, new = self.known, {}, distinct
-        back = new.intersection(self.old) if self.old else ()
-        for p in back:
-            self.known[p] = self.old[p]
-        new = list(new.difference(back)) if back else list(new)
+        # one look-up a piece: an intersection with a dict would go through all of it
+        back = {p: self.old[p] for p in new if p in self.old}
+        self.known.update(back)
+        new = list(new.difference(back))
         if new:
             self.known.update(zip(new, self.encode_many(new)))
         return b"".join(map(self.known.__getitem__, pieces))
