@@ -142,3 +142,20 @@ def test_op8_sketches_first_then_texts(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = neardup.near_duplicates(docs, 3, 85).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got)) == classes_of(rows, 3, 85)
+
+
+def test_piece_cache_turns_over():
+    """Pieces come back from the old half, are encoded again once both halves forgot them, and
+    one text may hold more pieces than a half."""
+    from streetlake.llm.tokens import PieceCache
+    asked = []
+
+    def encode(pieces):
+        asked.extend(pieces)
+        return [p.encode() + b"|" for p in pieces]
+
+    cache = PieceCache(encode, limit=3)
+    texts = [["a", "b", "a"], ["c"], ["d", "a"], ["a", "e"], ["f"], ["g", "h"], ["b"], [], list("abcdefgh") * 2]
+    for t in texts:
+        assert cache.packed(t) == b"".join(p.encode() + b"|" for p in t)
+    assert asked.count("a") <= 2 and asked.count("b") >= 2
