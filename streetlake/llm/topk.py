@@ -7,11 +7,16 @@ time; every vector met is scored in full, and reading stops once the sum of
 the components last read, times the query's, is under the k-th score, as nothing
 unread can reach it then, or once every vector has been met.  The cells' results are merged by a ranking window.
 
+Blocks hold a bounded number of components, so wide vectors give smaller ones.
+A candidate is shuffled once per block of queries, a query once per block of
+candidates; rows are numbered and dealt to blocks by their number, so that an
+id on many rows is spread like any other.
+
 Defined results: vectors that are null, or hold a null or non-finite
 component, take no part (neither do rows without an id); vectors are compared
-with those of their own length only; a vector isn't found by a query of its own id; ties go to
-the smaller id; repeated rows are candidates each; an empty table gives no
-rows; other columns are ignored.
+with those of their own length only; a query is a row, and finds every row but
+itself: rows of one id, equal or not, are queries with a list each, and find each
+other; ties go to the smaller id; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +29,9 @@ from pyspark.sql.window import Window
 
 from streetlake.llm.common import ship_package, stage
 
-CANDIDATES, QUERIES = 16_384, 512      # rows of a block
+CANDIDATES, QUERIES = 16_384, 4_096    # most rows of a block
+NUMBERS = 1 << 22                      # components of a block
+FEW_QUERIES = 512                      # blocks of queries aren't made smaller than this for more tasks
 BAND = 32                              # entries read from each list at first
 
 
@@ -32,9 +39,13 @@ def threshold_top(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, order
                   own: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, scores) of the k best rows of ``vectors`` for ``query``.
 
-    ``order[d]`` holds the rows in ascending order of component d.
+    ``order[d]`` holds the rows in ascending order of component d; ``own`` is
+    the query's own row among them, or -1.
     """
     n = len(vectors)
+    others = np.ones(n, bool)
+    if own >= 0:
+        others[own] = False
     ups = np.flatnonzero(query > 0)
     downs = np.flatnonzero(query < 0)
     seen = np.zeros(n, bool)
@@ -53,26 +64,25 @@ def threshold_top(query: np.ndarray, vectors: np.ndarray, ids: np.ndarray, order
         rows = np.flatnonzero(fresh)
         seen |= fresh
         scores[rows] = vectors[rows] @ query
-        scores[rows[ids[rows] == own]] = np.iinfo(np.int64).min
         depth, band = end, band * 2
         done = depth >= n or bool(seen.all())       # every row met: nothing is left to read
         if not done:
-            have = scores[seen & (ids != own)]
+            have = scores[seen & others]
             if len(have) >= k:
                 least = np.partition(have, len(have) - k)[len(have) - k]
                 bound = int(vectors[order[ups, n - depth], ups] @ query[ups]) \
                     + int(vectors[order[downs, depth - 1], downs] @ query[downs])
                 done = bound < least
         if done:
-            rows = np.flatnonzero(seen & (ids != own))
+            rows = np.flatnonzero(seen & others)
             best = rows[np.lexsort((ids[rows], -scores[rows]))[:k]]
             return ids[best], scores[best]
 
 
-def _array(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _array(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = table.column("vec_id").to_numpy()
     flat = table.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return ids, flat.reshape(len(ids), -1) if len(ids) else np.zeros((0, 0), np.int64)
+    return table.column("row").to_numpy(), ids, flat.reshape(len(ids), -1) if len(ids) else np.zeros((0, 0), np.int64)
 
 
 def quantised(embeddings: DataFrame) -> DataFrame:
@@ -87,32 +97,34 @@ def quantised(embeddings: DataFrame) -> DataFrame:
 def exact_top_k(embeddings: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     """The k highest inner products of every row whose id ``every`` divides."""
     ship_package(embeddings.sparkSession)
-    v = stage(quantised(embeddings), "vectors")
+    v = stage(quantised(embeddings).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    v = v.withColumn("d", F.size("v"))
     isq = F.col("vec_id") % every == 0
-    size = v.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(isq, 1)).alias("q")).first()
-    blocks = max(1, -(-size["n"] // CANDIDATES))
-    groups = max(1, -(-size["q"] // QUERIES))
-    place = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n)).cast("int")
+    size = v.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(isq, 1)).alias("q"), F.avg("d").alias("d")).first()
+    at_most = lambda rows: max(1, min(rows, int(NUMBERS / (size["d"] or 1))))
+    blocks = max(1, -(-size["n"] // at_most(CANDIDATES)))
+    tasks = 2 * embeddings.sparkSession.sparkContext.defaultParallelism
+    groups = max(1, -(-size["q"] // at_most(QUERIES)), min(-(-size["q"] // FEW_QUERIES), -(-tasks // blocks)))
+    place = lambda n, salt: F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(n)).cast("int")
     every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    v = v.withColumn("d", F.size("v"))
-    cands = v.select("vec_id", "v", "d", place(blocks, "c").alias("c"), every_of(groups).alias("q"))
-    queries = v.where(isq).dropDuplicates(["vec_id", "v"]).select(
-        "vec_id", "v", "d", every_of(blocks).alias("c"), place(groups, "q").alias("q"))
+    cands = v.select("row", "vec_id", "v", "d", place(blocks, "c").alias("c"), every_of(groups).alias("q"))
+    queries = v.where(isq).select("row", "vec_id", "v", "d", every_of(blocks).alias("c"), place(groups, "q").alias("q"))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        qid, qv = _array(left)
-        cid, cv = _array(right)
+        qrow, qid, qv = _array(left)
+        crow, cid, cv = _array(right)
         out: list[tuple[np.ndarray, ...]] = []
         if len(qid) and len(cid):
             order = np.argsort(cv, axis=0, kind="stable").T
-            for own, query in zip(qid, qv):
-                ids, scores = threshold_top(query, cv, cid, order, k, own)
-                out.append((np.full(len(ids), own), ids, scores))
-        a, b, s = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
-        return pa.table({"query_id": a, "vec_id": b, "score": s})
+            at = {row: i for i, row in enumerate(crow.tolist())}
+            for row, own, query in zip(qrow.tolist(), qid, qv):
+                ids, scores = threshold_top(query, cv, cid, order, k, at.get(row, -1))
+                out.append((np.full(len(ids), row), np.full(len(ids), own), ids, scores))
+        a, b, c, s = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4
+        return pa.table({"row": a, "query_id": b, "vec_id": c, "score": s})
 
     found = queries.groupBy("c", "q", "d").cogroup(cands.groupBy("c", "q", "d")) \
-        .applyInArrow(cell, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        .applyInArrow(cell, "row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

@@ -1,4 +1,4 @@
-"""Plain-Python versions of the quotation links, the URL trees and the quality scores."""
+"""Plain-Python versions of the quotation links, the URL trees, the quality scores and the top-k search."""
 
 import collections
 import math
@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pytest
 
-from streetlake.llm import quality_model, quotes, urls
+from streetlake.llm import quality_model, quotes, topk, urls
 
 QUOTED = re.compile(r"\s*>[\s>]*", re.ASCII)
 
@@ -250,3 +250,26 @@ def test_op2_scores_by_plain_equations(spark):
         assert got[i].score == pytest.approx(s, abs=1e-6), i
         assert got[i].held_out == (fold[i] == 0)
         assert got[i].predicted == int(got[i].score >= 0.3)
+
+
+# --- repeated ids in the top-k search --------------------------------------------
+
+@pytest.mark.parametrize("candidates, queries, numbers", [(16_384, 4_096, 1 << 22), (17, 3, 1 << 22), (64, 8, 40)])
+def test_op4_queries_are_rows(spark, monkeypatch, candidates, queries, numbers):
+    monkeypatch.setattr(topk, "CANDIDATES", candidates)
+    monkeypatch.setattr(topk, "QUERIES", queries)
+    monkeypatch.setattr(topk, "NUMBERS", numbers)
+    rng = np.random.default_rng(9)
+    rows = [(int(i), [float(v) for v in rng.normal(size=4)]) for i in rng.integers(0, 60, 90)]
+    rows += [(50, [float(v) for v in rng.normal(size=4)]) for _ in range(40)]      # one id on a third of all rows
+    rows += rows[:10] + rows[-3:] + [(0, [0.0] * 4)] * 2
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows],
+                               "vec_id long, embedding array<double>, row long, d int").repartition(4)
+    ints = [np.floor(256 * np.array(v)).astype(int) for _, v in rows]
+    want = []
+    for a, (i, _) in enumerate(rows):
+        if i % 50 == 0:
+            best = sorted((-int(ints[a] @ ints[b]), rows[b][0]) for b in range(len(rows)) if b != a)[:5]
+            want += [(i, k + 1, j, -s) for k, (s, j) in enumerate(best)]
+    got = topk.exact_top_k(df).select("query_id", "rank", "vec_id", "score").collect()
+    assert collections.Counter(map(tuple, got)) == collections.Counter(want)
