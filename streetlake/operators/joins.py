@@ -36,11 +36,6 @@ def join_counted(big: DataFrame, small: DataFrame, on, how: str = "left",
     return big.join(small, on, how)
 
 
-def broadcast_fixed(df: DataFrame) -> DataFrame:
-    """Broadcast a frame whose size is fixed by construction (e.g. 12 cameras)."""
-    return F.broadcast(df)
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin split an input that arrives in fewer partitions than the
     cluster has cores (e.g. one small unsplittable file) before CPU-heavy

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..schema import EVENT_FIELDS
 from .joins import attach_small
 
 # --- fixed values: contract rule names, in evaluation order -------------------
@@ -249,6 +250,13 @@ def zscore_outliers(df: DataFrame, k: float = 3.0, max_share: float = 0.05,
 
 # --- A12 de-duplication ----------------------------------------------------------
 
+def _delivery(df: DataFrame) -> Column:
+    """Partition and offset of a row as a key, null where either is missing."""
+    if not {"kafka_partition", "kafka_offset"} <= set(df.columns):
+        return F.lit(None).cast("string")
+    return F.concat(F.lit("\u0000"), F.col("kafka_partition").cast("string"), F.lit(":"), F.col("kafka_offset").cast("string"))
+
+
 def dedup_events(df: DataFrame) -> DataFrame:
     """One row per event_id, the earliest ingest (then lowest offset).
 
@@ -259,8 +267,7 @@ def dedup_events(df: DataFrame) -> DataFrame:
     """
     cols = df.columns
     key = F.coalesce(F.col("event_id"),
-                     F.concat(F.lit("\u0000"), F.col("kafka_partition").cast("string"),
-                              F.lit(":"), F.col("kafka_offset").cast("string")),
+                     _delivery(df),
                      F.concat(F.lit("\u0000#"), F.sha2(F.to_json(F.struct(*cols)), 256)))
     # every column takes part, so ties are broken the same way in any partitioning
     order = F.struct(F.col("kafka_ingest_ts"), F.col("kafka_partition"), F.col("kafka_offset"),
@@ -274,7 +281,10 @@ def dedup_events(df: DataFrame) -> DataFrame:
 def dedup_stream(df: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Streaming de-duplication by event_id within the watermark.
 
-    Rows without an event id are duplicates only where every column agrees."""
-    key = F.coalesce(F.col("event_id"), F.concat(F.lit("\u0000#"), F.sha2(F.to_json(F.struct(*df.columns)), 256)))
+    Rows without an event id go by their (partition, offset) delivery
+    coordinates; without those, rows that agree in every column of the event
+    are one: broker and processing times differ from delivery to delivery."""
+    event = F.to_json(F.struct(*[F.col(c) for c in EVENT_FIELDS if c in df.columns]))
+    key = F.coalesce(F.col("event_id"), _delivery(df), F.concat(F.lit("\u0000#"), F.sha2(event, 256)))
     return df.withWatermark("event_ts", watermark).withColumn("_k", key) \
         .dropDuplicatesWithinWatermark(["_k"]).drop("_k")

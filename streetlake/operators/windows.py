@@ -29,7 +29,8 @@ def traffic_aggs() -> list[Column]:
         F.max("congestion_score").alias("max_congestion_score"),
         F.sum(F.col("accident_detected").cast("int")).alias("accident_count"),
         F.count(F.lit(1)).alias("event_count"),
-        F.min_by("congestion_category", F.struct("event_ts", "event_id")).alias("congestion_category"),
+        # the score decides among events of one time without ids; rows that tie there too have one category
+        F.min_by("congestion_category", F.struct("event_ts", "event_id", "congestion_score")).alias("congestion_category"),
     ]
 
 

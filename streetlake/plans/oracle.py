@@ -46,7 +46,7 @@ def pop_std(c: str, integral: bool) -> str:
     return f"sqrt(greatest(({spread} - {over} * {over} / {n}) / {n}, 0.0))"
 
 
-def with_adapter(*ctes: str, body: str) -> str:
+def with_adapter(*ctes: str, body: str, adapter: str = ADAPTER_SQL) -> str:
     """Adapter views + extra CTEs + the final SELECT."""
     extra = "".join(f",\n{c}" for c in ctes)
-    return f"{ADAPTER_SQL}{extra}\n{body}"
+    return f"{adapter}{extra}\n{body}"

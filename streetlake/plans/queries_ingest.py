@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators import windows as W
 from ..schema import EVENT_FIELDS
+from ..sources.fixtures import ADAPTER_SQL, ROUGH_SQL
 from . import oracle as O
 from . import tables as TB
 from .registry import register
@@ -154,25 +155,35 @@ def _z(c: str, mean: str, std: str) -> str:
     return f"coalesce(abs(CASE WHEN {std} > 0 THEN ({c} - {mean}) / {std} ELSE 0.0 END) > 3, false)"
 
 
-@register("zscore_outliers", O.with_adapter(
-    "st AS (SELECT camera_id, "
-    f"{O.imean('vehicle_count')} AS vc_mean, {O.pop_std('vehicle_count', True)} AS vc_std, "
-    f"{O.mean('average_speed')} AS sp_mean, {O.pop_std('average_speed', False)} AS sp_std "
-    "FROM clean GROUP BY camera_id)",
-    "j AS (SELECT c.camera_id, "
-    f"{_z('c.vehicle_count', 'st.vc_mean', 'st.vc_std')} AS vo, "
-    f"{_z('c.average_speed', 'st.sp_mean', 'st.sp_std')} AS so "
-    "FROM clean c JOIN st ON c.camera_id = st.camera_id)",
-    "g AS (SELECT camera_id, count(*) AS events, cast(count_if(vo) as bigint) AS vehicle_outliers, "
-    "cast(count_if(so) as bigint) AS speed_outliers, cast(count_if(vo OR so) as bigint) AS outlier_rows "
-    "FROM j GROUP BY camera_id)",
-    body=("SELECT camera_id, events, vehicle_outliers, speed_outliers, outlier_rows, "
-          "outlier_rows / events AS outlier_rate, outlier_rows / events <= 0.05 AS zscore_pass FROM g")))
+def _zscore_sql(adapter: str = ADAPTER_SQL) -> str:
+    return O.with_adapter(
+        "st AS (SELECT camera_id, "
+        f"{O.imean('vehicle_count')} AS vc_mean, {O.pop_std('vehicle_count', True)} AS vc_std, "
+        f"{O.mean('average_speed')} AS sp_mean, {O.pop_std('average_speed', False)} AS sp_std "
+        "FROM clean GROUP BY camera_id)",
+        "j AS (SELECT c.camera_id, "
+        f"{_z('c.vehicle_count', 'st.vc_mean', 'st.vc_std')} AS vo, "
+        f"{_z('c.average_speed', 'st.sp_mean', 'st.sp_std')} AS so "
+        "FROM clean c JOIN st ON c.camera_id = st.camera_id)",
+        "g AS (SELECT camera_id, count(*) AS events, cast(count_if(vo) as bigint) AS vehicle_outliers, "
+        "cast(count_if(so) as bigint) AS speed_outliers, cast(count_if(vo OR so) as bigint) AS outlier_rows "
+        "FROM j GROUP BY camera_id)",
+        body=("SELECT camera_id, events, vehicle_outliers, speed_outliers, outlier_rows, "
+              "outlier_rows / events AS outlier_rate, outlier_rows / events <= 0.05 AS zscore_pass FROM g"), adapter=adapter)
+
+
+@register("zscore_outliers", _zscore_sql())
 def q_zscore_outliers(spark, sf_dir):
     """Per-camera 3-sigma outlier share and gate."""
     return Q.zscore_outliers(TB.clean(spark, sf_dir))
 
 
+@register("zscore_outliers_rough", _zscore_sql(ROUGH_SQL))
+def q_zscore_outliers_rough(spark, sf_dir):
+    """A11 where one camera's speed never changes (its z-score is 0)."""
+    return Q.zscore_outliers(TB.rough_clean(spark, sf_dir))
+
+
 @register("dedup_events", O.with_adapter(body=(
     f"SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY event_id "
     "ORDER BY kafka_ingest_ts NULLS FIRST, kafka_offset NULLS FIRST) AS rn FROM traffic_raw) WHERE rn = 1")))
@@ -181,6 +192,24 @@ def q_dedup_events(spark, sf_dir):
     return Q.dedup_events(TB.raw(spark, sf_dir))
 
 
+@register("sliding_metrics_rough", window_sql("1 minute", 5, "5 minutes", ROUGH_SQL))
+def q_sliding_metrics_rough(spark, sf_dir):
+    """T2/A1 over events without ids and values of seven decimals."""
+    return W.sliding_metrics(TB.rough_clean(spark, sf_dir))
+
+
+@register("dedup_events_rough", O.with_adapter(
+    "k AS (SELECT *, CASE WHEN event_id IS NOT NULL THEN event_id "
+    "WHEN kafka_offset IS NOT NULL THEN '#' || kafka_partition || ':' || kafka_offset "
+    "ELSE '#' || cast(traffic_raw as varchar) END AS id FROM traffic_raw)",
+    body=(f"SELECT {RAW_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY kafka_ingest_ts NULLS FIRST, "
+          "kafka_partition NULLS FIRST, kafka_offset NULLS FIRST) AS rn FROM k) WHERE rn = 1"),
+    adapter=ROUGH_SQL))
+def q_dedup_events_rough(spark, sf_dir):
+    """A12 where ids and offsets are missing: by id, else by delivery coordinates, else by the whole row."""
+    return Q.dedup_events(TB.rough(spark, sf_dir))
+
+
 @register("stream_sliding_metrics", window_sql("1 minute", 5, "5 minutes").replace(
     "FROM w GROUP BY camera_id, location, window_start",
     "FROM w GROUP BY camera_id, location, window_start "
@@ -200,3 +229,13 @@ def q_stream_dedup_events(spark, sf_dir):
     event id within the watermark (each re-delivered event kept once)."""
     from .replay import replay_clean_dedup
     return replay_clean_dedup(spark, TB.raw(spark, sf_dir))
+
+
+@register("stream_dedup_late_events", O.with_adapter(body=(
+    "SELECT DISTINCT " + ", ".join(EVENT_FIELDS) + f", {O.speed_index()} AS speed_index, "
+    "congestion_category, is_peak_hour, event_date, event_hour FROM clean"), adapter=ROUGH_SQL))
+def q_stream_dedup_late_events(spark, sf_dir):
+    """T6 where second deliveries come 20 s, 20 min or 6 days late, the last ones in a
+    later micro-batch behind the watermark, and some events have no id."""
+    from .replay import replay_clean_dedup
+    return replay_clean_dedup(spark, TB.rough(spark, sf_dir))

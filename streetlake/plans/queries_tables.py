@@ -9,6 +9,7 @@ from ..functions.registry import upsert_registry
 from ..operators import alerts as A
 from ..operators import daily as D
 from ..operators import serving as S
+from ..sources.fixtures import ADAPTER_SQL, ROUGH_SQL
 from . import oracle as O
 from . import tables as TB
 from .registry import register
@@ -166,7 +167,7 @@ def q_registry_upsert(spark, sf_dir):
 # Isolation forest (rows-only checks; scaler statistics are SQL-checked)
 # ============================================================================
 
-def _scaler_sql() -> str:
+def _scaler_sql(adapter: str = ADAPTER_SQL) -> str:
     from ..schema import FEATURE_COLS, INTEGRAL_FEATURES
     parts = []
     for f in FEATURE_COLS:
@@ -175,7 +176,7 @@ def _scaler_sql() -> str:
         sd = O.pop_std(f, integral)
         parts.append(f"SELECT '{f}' AS feature, count({f}) AS n, {m} AS mean, "
                      f"CASE WHEN {sd} > 0 THEN {sd} ELSE cast(1.0 as double) END AS std FROM feat")
-    return O.with_adapter(ALERTS_SQL[0], body=" UNION ALL ".join(parts))
+    return O.with_adapter(ALERTS_SQL[0], body=" UNION ALL ".join(parts), adapter=adapter)
 
 
 @register("scaler_stats", _scaler_sql())
@@ -186,6 +187,14 @@ def q_scaler_stats(spark, sf_dir):
     return fit_scaler(TB.clean(spark, sf_dir).dropna(subset=FEATURE_COLS))
 
 
+@register("scaler_stats_rough", _scaler_sql(ROUGH_SQL))
+def q_scaler_stats_rough(spark, sf_dir):
+    """A7 over values of seven decimals."""
+    from ..operators.iforest import fit_scaler
+    from ..schema import FEATURE_COLS
+    return fit_scaler(TB.rough_clean(spark, sf_dir).dropna(subset=FEATURE_COLS))
+
+
 SCAN_COLS = ["event_id", "kafka_offset", "camera_id", "event_ts", "vehicle_count", "average_speed"]
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from ..schema import RAW_FIELDS
+from ..sources.fixtures import ADAPTER_SQL
 from . import oracle as O
 
 RAW_COLS = ", ".join(RAW_FIELDS)
@@ -34,7 +35,7 @@ RULE_SQL = {
 }
 
 
-def window_sql(bucket: str, n_slides: int, width: str) -> str:
+def window_sql(bucket: str, n_slides: int, width: str, adapter: str = ADAPTER_SQL) -> str:
     return O.with_adapter(
         f"w AS (SELECT c.*, time_bucket(INTERVAL '{bucket}', event_ts) - (k.k * INTERVAL '{bucket}') AS window_start "
         f"FROM clean c CROSS JOIN range({n_slides}) AS k(k))",
@@ -45,8 +46,8 @@ def window_sql(bucket: str, n_slides: int, width: str) -> str:
             f"{O.mean('average_speed')} AS avg_speed, min(average_speed) AS min_speed, "
             f"{O.mean('congestion_score')} AS avg_congestion_score, max(congestion_score) AS max_congestion_score, "
             f"{O.isum('cast(accident_detected as int)')} AS accident_count, count(*) AS event_count, "
-            "arg_min(congestion_category, row(event_ts, event_id)) AS congestion_category "
-            "FROM w GROUP BY camera_id, location, window_start"))
+            "arg_min(congestion_category, row(event_ts, coalesce(event_id, ''), congestion_score)) AS congestion_category "
+            "FROM w GROUP BY camera_id, location, window_start"), adapter=adapter)
 
 
 LOOKBACK_MIN = 1440

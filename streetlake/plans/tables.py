@@ -14,7 +14,7 @@ from ..functions.registry import camera_registry
 from ..operators.enrich import enrich
 from ..operators.quality import validate
 from ..sources.decode import decode_events
-from ..sources.fixtures import to_wire, traffic_raw
+from ..sources.fixtures import to_wire, traffic_raw, traffic_rough
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,15 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return traffic_raw(table(spark, sf_dir, "events"))
 
 
+def rough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``raw`` with ids and offsets missing, finer decimals and late second deliveries."""
+    return traffic_rough(raw(spark, sf_dir))
+
+
+def rough_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enrich(validate(rough(spark, sf_dir)), processing_time=False)
+
+
 def wire(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-shaped records (JSON value) as a producer would send them.
 

@@ -87,6 +87,35 @@ def traffic_raw(events: DataFrame) -> DataFrame:
     return out.select(*RAW_FIELDS)
 
 
+# --- fixed values of the rough variant (FIXTURES.md §5) ------------------------
+NO_ID_EVERY = 13                # n % 13 = 0: delivered without an event id
+NO_OFFSET_EVERY = 3             # n % 3 = 0: without partition and offset
+CONSTANT_CAMERA = "CAM_11"
+CONSTANT_SPEED = 50.0000001
+# ingest delay of a second delivery, in seconds, by n % 4: none, 20 s, 20 min, 6 days
+SECOND_DELIVERY_DELAY = [0, 20, 1_200, 518_400]
+
+
+def traffic_rough(raw: DataFrame) -> DataFrame:
+    """``traffic_raw`` as a careless producer and broker would deliver it: events
+    without an id, rows without offsets, speeds of seven decimals, one camera
+    that always reads the same, second deliveries that come late."""
+    n = F.col("event_id").cast("long")
+    second = F.col("kafka_offset") != n
+    delay = F.element_at(F.array(*[F.lit(s) for s in SECOND_DELIVERY_DELAY]), (n % len(SECOND_DELIVERY_DELAY) + 1).cast("int"))
+    no_offset = n % NO_OFFSET_EVERY == 0
+    return raw.select(*[{
+        "event_id": F.when(n % NO_ID_EVERY != 0, F.col("event_id")),
+        "average_speed": F.when((F.col("camera_id") == CONSTANT_CAMERA) & F.col("average_speed").isNotNull(),
+                                F.lit(CONSTANT_SPEED))
+                          .otherwise(F.col("average_speed") + (n % 1000).cast("double") / F.lit(10_000_000.0)),
+        "kafka_partition": F.when(~no_offset, F.col("kafka_partition")),
+        "kafka_offset": F.when(~no_offset, F.col("kafka_offset")),
+        "kafka_ingest_ts": F.col("kafka_ingest_ts") + F.make_dt_interval(
+            secs=F.when(second, delay).otherwise(F.lit(0)).cast("decimal(18,6)")),
+    }.get(c, F.col(c)).alias(c) for c in raw.columns])
+
+
 WIRE_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -175,3 +204,19 @@ clean AS (
     AND average_speed BETWEEN 0 AND 200 AND congestion_score BETWEEN 0 AND 100
     AND event_ts IS NOT NULL AND latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 180
 )"""
+
+# ``traffic_rough`` in DuckDB: the adapter with its raw frame replaced.
+_ROUGH = """rough_key AS (SELECT *, cast(event_id as bigint) AS n FROM traffic_plain),
+traffic_raw AS (
+  SELECT * EXCLUDE (n) REPLACE (
+           CASE WHEN n % 13 <> 0 THEN event_id END AS event_id,
+           CASE WHEN camera_id = 'CAM_11' AND average_speed IS NOT NULL THEN 50.0000001::double
+                ELSE average_speed + (n % 1000)::double / 10000000.0::double END AS average_speed,
+           CASE WHEN n % 3 <> 0 THEN kafka_partition END AS kafka_partition,
+           CASE WHEN n % 3 <> 0 THEN kafka_offset END AS kafka_offset,
+           kafka_ingest_ts + to_seconds(CASE WHEN kafka_offset = n THEN 0 WHEN n % 4 = 0 THEN 0 WHEN n % 4 = 1 THEN 20
+                                             WHEN n % 4 = 2 THEN 1200 ELSE 518400 END) AS kafka_ingest_ts)
+  FROM rough_key
+),
+clean AS ("""
+ROUGH_SQL = ADAPTER_SQL.replace("traffic_raw AS (", "traffic_plain AS (").replace("clean AS (", _ROUGH)
